@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldseries.llm import bpe, mixing, repetition, sharding
+from fieldseries.functions.session import ship
+from fieldseries.llm import bpe, mixing, ranking, repetition, sharding, toxicity
 from fieldseries.llm.common import table
 
 SHARDS = 8
@@ -34,8 +36,30 @@ def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "source", "copy", "shuffle_key", F.octet_length("text").alias("n_bytes"))
 
 
+def _fold(parts: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
+
+
+def op8_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", _fold(5) != 0)
+    made = toxicity.score(docs, machine, ["doc_id"])
+    return made.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ranker = ranking.train(docs, table(spark, sf_dir, "labels"), "quality", _fold(4) != 2)
+    made = ranking.score(docs, ranker, ["doc_id"], at_threshold=0.7)
+    return made.select("doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return wraps(f)(lambda spark, sf_dir: f(ship(spark), sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_repetition, op2_best_fit_sharding, op6_bpe, op7_poisson_mixing)}
+    return {f.__name__: shipped(f) for f in (op1_quality_repetition, op2_best_fit_sharding, op6_bpe, op7_poisson_mixing, op8_toxicity_string_kernel, op9_quality_bradley_terry)}
 
 
 def _windows(k: int, name: str) -> str:
