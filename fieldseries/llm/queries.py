@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldseries.functions.session import ship
-from fieldseries.llm import bpe, mixing, ranking, repetition, sharding, toxicity
+from fieldseries.llm import bpe, mixing, pii, ranking, repetition, sharding, sketches, toxicity
 from fieldseries.llm.common import table
 
 SHARDS = 8
+#: The surrogates' key; a deployment sets its own.
+PII_KEY = "fieldseries-demo-key"
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -27,6 +29,14 @@ def op2_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_entities")
+
+
+def op5_invertible_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprint_versions(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), ["doc_id"], digests=True)
 
@@ -59,7 +69,7 @@ def shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: shipped(f) for f in (op1_quality_repetition, op2_best_fit_sharding, op6_bpe, op7_poisson_mixing, op8_toxicity_string_kernel, op9_quality_bradley_terry)}
+    return {f.__name__: shipped(f) for f in (op1_quality_repetition, op2_best_fit_sharding, op3_surrogates, op5_invertible_sketch, op6_bpe, op7_poisson_mixing, op8_toxicity_string_kernel, op9_quality_bradley_terry)}
 
 
 def _windows(k: int, name: str) -> str:
