@@ -278,7 +278,7 @@ def fit(marks: Landmarks, docs: list[Matches], y: np.ndarray, rounds: int = 4) -
     return made
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landmarks: int = 64, candidates: int = 2000, most_toxic: int = 3000, most_clean: int = 9000, hard_words: int = 24, id: str = "doc_id", text: str = "text") -> Machine:
+def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landmarks: int = 64, candidates: int = 2000, most_toxic: int = 3000, most_clean: int = 6000, hard_words: int = 16, id: str = "doc_id", text: str = "text") -> Machine:
     """Learn from labels(id, label): at most most_toxic + most_clean rows, chosen by the order of a hash of the id. Landmarks come
     from the candidates that Spark counts in those documents; the machine sees the hard_words closest words of each."""
     known = labels.select(F.col(id), F.col(label).cast("int").alias("y")).where(usable & F.col("y").isin(0, 1) & F.col(id).isNotNull())
@@ -303,11 +303,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landma
         found = []
         for x, sentence, n in Reader(marks).matches(ts):
             hard = np.sort(np.argsort(-x.max(1), kind="stable")[:hard_words]) if len(x) else np.zeros(0, int)
-            found.append((x[hard].ravel(), sentence[hard], n))
+            found.append((x[hard].astype(np.float32).tobytes(), sentence[hard], n))
         return pd.DataFrame(dict(zip("xsn", map(list, zip(*found, strict=True)), strict=True)))
 
-    got = by_text(rows, vectors, "x array<double>, s array<long>, n long", [id, "y"], "t").orderBy(id, "y").collect()
-    return fit(marks, [(np.array(r["x"], float).reshape(-1, len(marks.words)), np.array(r["s"], np.int64), r["n"]) for r in got], np.array([r["y"] for r in got]))
+    got = by_text(rows, vectors, "x binary, s array<long>, n long", [id, "y"], "t").orderBy(id, "y").collect()
+    return fit(marks, [(np.frombuffer(r["x"], np.float32).reshape(-1, len(marks.words)), np.array(r["s"], np.int64), r["n"]) for r in got], np.array([r["y"] for r in got]))
 
 
 def spread(words: list[str], most: int, alike: float = 0.8) -> list[str]:
