@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldseries.functions.session import ship
-from fieldseries.llm import bpe, mixing, pii, ranking, repetition, sharding, sketches, toxicity
+from fieldseries.llm import bpe, mixing, pii, ranking, repetition, sharding, simhash, sketches, toxicity
 from fieldseries.llm.common import table
 
 SHARDS = 8
@@ -33,6 +33,10 @@ def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_entities")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_invertible_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprint_versions(table(spark, sf_dir, "documents"))
 
@@ -69,7 +73,7 @@ def shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: shipped(f) for f in (op1_quality_repetition, op2_best_fit_sharding, op3_surrogates, op5_invertible_sketch, op6_bpe, op7_poisson_mixing, op8_toxicity_string_kernel, op9_quality_bradley_terry)}
+    return {f.__name__: shipped(f) for f in (op1_quality_repetition, op2_best_fit_sharding, op3_surrogates, op4_simhash, op5_invertible_sketch, op6_bpe, op7_poisson_mixing, op8_toxicity_string_kernel, op9_quality_bradley_terry)}
 
 
 def _windows(k: int, name: str) -> str:
