@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldseries.functions.session import ship
-from fieldseries.llm import bpe, mixing, pii, ranking, repetition, sharding, simhash, sketches, toxicity
+from fieldseries.llm import bpe, mixing, passages, pii, ranking, repetition, sharding, simhash, sketches, toxicity
 from fieldseries.llm.common import table
 
 SHARDS = 8
@@ -68,12 +68,16 @@ def op9_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op10_sparse_suffix_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return wraps(f)(lambda spark, sf_dir: f(ship(spark), sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: shipped(f) for f in (op1_quality_repetition, op2_best_fit_sharding, op3_surrogates, op4_simhash, op5_invertible_sketch, op6_bpe, op7_poisson_mixing, op8_toxicity_string_kernel, op9_quality_bradley_terry)}
+    return {f.__name__: shipped(f) for f in (op1_quality_repetition, op2_best_fit_sharding, op3_surrogates, op4_simhash, op5_invertible_sketch, op6_bpe, op7_poisson_mixing, op8_toxicity_string_kernel, op9_quality_bradley_terry, op10_sparse_suffix_passages)}
 
 
 def _windows(k: int, name: str) -> str:
@@ -97,5 +101,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 FROM made"""
 
 
+#: Windows of 50 words that stand at two or more places, united to spans.
+OP10_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    win AS (SELECT doc_id, i, hash(list_slice(w, i, i + 49)) AS h FROM words, unnest(range(1, len(w) - 48)) AS u(i) WHERE len(w) >= 50),
+    rep AS (SELECT doc_id, i - 1 AS a, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS earlier FROM win QUALIFY count(*) OVER (PARTITION BY h) > 1),
+    seen AS (SELECT *, lag(a) OVER o AS last, max(CASE WHEN earlier THEN a + 50 END) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS past FROM rep WINDOW o AS (PARTITION BY doc_id ORDER BY a)),
+    isl AS (SELECT *, sum(CASE WHEN last IS NULL OR a > last + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY a) AS island FROM seen)
+SELECT doc_id, min(a)::BIGINT AS start_word, (max(a) + 50)::BIGINT AS end_word, sum(CASE WHEN earlier THEN a + 50 - greatest(a, coalesce(past, 0)) ELSE 0 END)::BIGINT AS earlier_words
+FROM isl GROUP BY doc_id, island"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_repetition": OP1_SQL}
+    return {"op1_quality_repetition": OP1_SQL, "op10_sparse_suffix_passages": OP10_SQL}
