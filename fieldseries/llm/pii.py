@@ -12,6 +12,8 @@ repeated rows give equal rows; an empty table gives an empty table; all input co
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,129 +50,113 @@ HINT = rf"[@\d]|(?:{'|'.join([*MALE, *FEMALE, *EITHER])})\.? \p{{Lu}}|[0-9a-fA-F
 ATTEMPTS = 50
 
 
-def kind(value: Column) -> Column:
-    """The type of a found value."""
-    out = F.lit("person")
-    for name in reversed([n for n in TYPES if n != "person"]):
-        out = F.when(F.regexp_like(value, F.lit(f"^(?:{TYPES[name]})$")), F.lit(name)).otherwise(out)
-    return out
+def quoted(s: str) -> str:
+    """A SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def normal(value: Column) -> Column:
-    """Spellings that mean one thing: case of addresses and names, separators of numbers do not count."""
-    return F.when(value.contains("@"), F.lower(value)).when(F.regexp_like(value, F.lit(r"^[+(\d][\d ().+-]+$")) & ~value.contains("."), F.regexp_replace(value, r"[ ().-]", "")).otherwise(F.lower(value))
+# The surrogate is one SQL expression, put together from texts: far smaller to build and plan than columns made one by one.
 
 
-def _draw(seed: Column, i: Column, n: int) -> Column:
-    return F.pmod(F.xxhash64(seed, i), F.lit(n)).cast("int")
+def let(name: str, value: str, body: str) -> str:
+    """body with value computed once under a name."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _pick(options: list[str], at: Column) -> Column:
-    return F.get(F.array(*[F.lit(x) for x in options]), at)
+def kind(value: str) -> str:
+    """The type of a found value."""
+    cases = " ".join(f"when {value} rlike {quoted(f'^(?:{pattern})$')} then '{name}'" for name, pattern in TYPES.items() if name != "person")
+    return f"(case {cases} else 'person' end)"
 
 
-def letters(value: Column, seed: Column) -> Column:
-    """Every digit and letter drawn anew within its script and case; all else stays. Positions count digits and letters only, so separators do not matter."""
-    ranges = [("0-9", "0", 10), ("a-z", "a", 26), ("A-Z", "A", 26), ("а-я", "а", 32), ("А-Я", "А", 32), ("α-ρ", "α", 17), ("Α-Ρ", "Α", 17), ("ぁ-ん", "ぁ", 83), ("ァ-ン", "ァ", 83), ("一-鿿", "一", 20000), ("가-힣", "가", 11172)]
+def normal(value: str) -> str:
+    """Spellings that mean one thing: case of addresses and names, separators of numbers do not count."""
+    number = quoted(r"^[+(\d][\d ().+-]+$")
+    return f"if(not contains({value}, '@') and not contains({value}, '.') and {value} rlike {number}, regexp_replace({value}, '[ ().-]', ''), lower({value}))"
 
-    def one(c: Column, i: Column) -> Column:
-        out = F.when(F.regexp_like(c, F.lit(r"\p{Lu}")), _pick([chr(65 + k) for k in range(26)], _draw(seed, i, 26))).when(F.regexp_like(c, F.lit(r"\p{L}")), _pick([chr(97 + k) for k in range(26)], _draw(seed, i, 26))).otherwise(c)
-        for span, first, n in reversed(ranges):
-            lo, hi = span.split("-")
-            drawn = F.decode(F.unhex(F.lpad(F.hex(F.lit(ord(first)) + _draw(seed, i, n)), 8, "0")), "utf-32")
-            out = F.when(c.between(lo, hi), drawn).otherwise(out)
-        return out
 
-    return F.array_join(F.transform(F.filter(F.split(value, ""), lambda c: c != ""), one), "")
+def draw(seed: str, i: str | int, n: str | int) -> str:
+    return f"cast(pmod(xxhash64({seed}, {i}), {n}) as int)"
 
 
-def hexadecimal(value: Column, seed: Column) -> Column:
-    low = [*"0123456789abcdef"]
-    return F.array_join(F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c, i: F.when(c.between("A", "F") | (c.between("0", "9") & F.regexp_like(value, F.lit("[A-F]"))), F.upper(_pick(low, _draw(seed, i, 16)))).otherwise(_pick(low, _draw(seed, i, 16)))), "")
+def pick(options: list[str], seed: str, i: str | int) -> str:
+    return f"get(split({quoted(' '.join(options))}, ' '), {draw(seed, i, len(options))})"
 
 
-def check_sum(digits: Column) -> Column:
-    """The Luhn sum of a string of digits, modulo 10."""
-    each = F.reverse(F.filter(F.split(digits, ""), lambda c: c != ""))
-    value = lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise(F.when(c.cast("int") > 4, c.cast("int") * 2 - 9).otherwise(c.cast("int") * 2))
-    return F.aggregate(F.transform(each, value), F.lit(0), lambda acc, x: acc + x) % 10
+def chars(value: str) -> str:
+    return f"filter(split({value}, ''), c -> c != '')"
 
 
-def card(value: Column, seed: Column) -> Column:
-    """Digits anew; the last one makes the check sum hold exactly if it held."""
-    digits = lambda v: F.regexp_replace(v, r"\D", "")
+#: First and last letter of the alphabets whose letters are drawn from themselves; other letters become Latin ones.
+ALPHABETS = ["09", "az", "AZ", "ая", "АЯ", "αρ", "ΑΡ", "ぁん", "ァン", "一鿿", "가힣"]
+SPANS = "array(" + ", ".join(f"struct({ord(a)} as low, {ord(b)} as high)" for a, b in ALPHABETS) + ")"
 
-    def with_last(drawn: Column) -> Column:
-        rest = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
-        right = (10 - check_sum(F.concat(digits(rest), F.lit("0")))) % 10
-        other = F.lit(1) + _draw(seed, F.lit(99), 9)
-        last = F.when(check_sum(digits(value)) == 0, right).otherwise((right + other) % 10)
-        return F.concat(rest, last.cast("string"))
 
-    return _let(letters_by_digits(value, seed), with_last)
+def letters(value: str, seed: str) -> str:
+    """Every digit and letter drawn anew within its script and case; all else stays."""
+    drawn = f"decode(unhex(lpad(hex(s.low + {draw(seed, 'i', 's.high - s.low + 1')}), 8, '0')), 'utf-32')"
+    own = f"get(transform(filter({SPANS}, s -> ascii(c) between s.low and s.high), s -> {drawn}), 0)"
+    other = f"case when c rlike {quoted(r'\p{Lu}')} then char(65 + {draw(seed, 'i', 26)}) when c rlike {quoted(r'\p{L}')} then char(97 + {draw(seed, 'i', 26)}) else c end"
+    return f"array_join(transform({chars(value)}, (c, i) -> coalesce({own}, {other})), '')"
 
 
-def letters_by_digits(value: Column, seed: Column) -> Column:
-    """Digits anew by their rank among the digits, so that spacing does not change them."""
-    start = F.struct(F.lit(0).alias("n"), F.lit("").alias("out"))
+def hexadecimal(value: str, seed: str) -> str:
+    """Hexadecimal digits anew, in capitals if the value has capitals."""
+    drawn = f"array_join(transform({chars(value)}, (c, i) -> substr('0123456789abcdef', 1 + {draw(seed, 'i', 16)}, 1)), '')"
+    return f"if({value} rlike '[A-F]', upper({drawn}), {drawn})"
 
-    def step(acc: Column, c: Column) -> Column:
-        return F.when(c.between("0", "9"), F.struct((acc["n"] + 1).alias("n"), F.concat(acc["out"], _draw(seed, acc["n"], 10).cast("string")).alias("out"))).otherwise(F.struct(acc["n"].alias("n"), F.concat(acc["out"], c).alias("out")))
 
-    return F.aggregate(F.filter(F.split(value, ""), lambda c: c != ""), start, step, lambda acc: acc["out"])
+def digits(value: str, seed: str) -> str:
+    """Digits anew by their rank among the digits, so that spacing does not change them."""
+    step = f"if(c between '0' and '9', struct(acc.n + 1 as n, concat(acc.made, {draw(seed, 'acc.n', 10)}) as made), struct(acc.n as n, concat(acc.made, c) as made))"
+    return f"aggregate({chars(value)}, struct(0 as n, '' as made), (acc, c) -> {step}, acc -> acc.made)"
 
 
-def email(value: Column, seed: Column, domain_seed: Column) -> Column:
-    """Local part and host labels anew, the last label kept; one domain always becomes one other domain."""
-    at = F.instr(value, "@")
-    local = F.substring(value, F.lit(1), at - 1)
-    domain = F.substring(value, at + 1, F.length(value))
-    host = F.regexp_replace(domain, r"\.[^.]*$", "")
-    return F.concat(F.lower(letters(local, seed)), F.lit("@"), F.lower(letters(host, domain_seed)), F.lit("."), F.substring_index(domain, ".", -1))
+def check_sum(number: str) -> str:
+    """The Luhn sum of a string of digits, modulo 10."""
+    one = "if(i % 2 = 0, int(c), if(int(c) > 4, int(c) * 2 - 9, int(c) * 2))"
+    return f"(aggregate(transform(reverse({chars(number)}), (c, i) -> {one}), 0, (acc, x) -> acc + x) % 10)"
 
 
-def ip(seed: Column) -> Column:
-    return F.concat_ws(".", *[(F.lit(1) + _draw(seed, F.lit(i), 254)).cast("string") for i in range(4)])
+def card(value: str, seed: str) -> str:
+    """Digits anew; the last one makes the check sum hold exactly if it held."""
+    only = lambda v: f"regexp_replace({v}, '[^0-9]', '')"
+    right = f"(10 - {check_sum(f"concat({only('rest')}, '0')")}) % 10"
+    last = f"if({check_sum(only(value))} = 0, {right}, ({right} + 1 + {draw(seed, 99, 9)}) % 10)"
+    return let("drawn", digits(value, seed), let("rest", "substr(drawn, 1, length(drawn) - 1)", f"concat(rest, {last})"))
 
 
-def person(value: Column, seed: Column, attempt: Column) -> Column:
-    """Title as it stands, then a given name (if there were two) and a family name of the same gender and script."""
-    title = F.substring_index(value, " ", 1)
-    bare = F.rtrim(F.regexp_replace(title, r"\.$", ""))
-    script = F.when(F.regexp_like(value, F.lit(r"\p{IsCyrillic}")), "cyrillic").otherwise("latin")
-    gender = F.when(bare.isin(MALE), "m").when(bare.isin(FEMALE), "f").otherwise("e")
-    given = F.lit("")
-    for (g, s), names in GIVEN.items():
-        given = F.when((gender == g) & (script == s), _pick(names, _draw(seed, F.lit(0), len(names)))).otherwise(given)
-    family = F.lit("")
-    for s, parts in SYLLABLES.items():
-        built = F.array_join(F.transform(F.sequence(F.lit(1), 4 + F.floor(attempt / 4).cast("int")), _syllable(parts, seed)), "")
-        family = F.when(script == s, F.initcap(built)).otherwise(family)
-    both = F.size(F.split(value, " ")) > 2
-    return F.when(both, F.concat_ws(" ", title, given, family)).otherwise(F.concat_ws(" ", title, family))
+def email(value: str, seed: str, domain_seed: str) -> str:
+    """Local part and host labels anew, the last label kept; one domain always becomes one other domain."""
+    domain = f"substr({value}, instr({value}, '@') + 1)"
+    host = f"regexp_replace({domain}, {quoted(r'\.[^.]*$')}, '')"
+    return f"concat(lower({letters(f"substr({value}, 1, instr({value}, '@') - 1)", seed)}), '@', lower({letters(host, domain_seed)}), '.', substring_index({domain}, '.', -1))"
 
 
-def _syllable(parts: list[str], seed: Column):  # noqa: ANN202
-    return lambda i: _pick(parts, _draw(seed, i, len(parts)))
+def ip(seed: str) -> str:
+    return f"concat_ws('.', transform(sequence(0, 3), i -> cast(1 + {draw(seed, 'i', 254)} as string)))"
 
 
-def _let(value: Column, body) -> Column:  # noqa: ANN001
-    return F.element_at(F.transform(F.array(value), body), 1)
+def person(value: str, seed: str, attempt: str) -> str:
+    """Title as it stands, then a given name (if there were two) and a family name of the same gender and script."""
+    title = f"substring_index({value}, ' ', 1)"
+    among = lambda names: f"regexp_replace({title}, '[.]$', '') in ({', '.join(map(quoted, names))})"
+    out = {}
+    for script, parts in SYLLABLES.items():
+        given = f"case when {among(MALE)} then {pick(GIVEN['m', script], seed, 0)} when {among(FEMALE)} then {pick(GIVEN['f', script], seed, 0)} else {pick(GIVEN['e', script], seed, 0)} end"
+        family = f"initcap(array_join(transform(sequence(1, 4 + int(floor({attempt} / 4))), i -> {pick(parts, seed, 'i')}), ''))"
+        out[script] = f"concat_ws(' ', {title}, if(size(split({value}, ' ')) > 2, {given}, null), {family})"
+    return f"if({value} rlike {quoted(r'\p{IsCyrillic}')}, {out['cyrillic']}, {out['latin']})"
 
 
-def surrogate(value: Column, type: Column, norm: Column, attempt: Column, key: str) -> Column:
+def surrogate(value: str, type: str, norm: str, attempt: str, key: str) -> str:
     """The replacement of a value: a function of the key, the type, the normal form and the attempt."""
-    secret = F.sha2(F.lit(key), 256)
-    seed = F.sha2(F.concat_ws("|", secret, type, norm, attempt.cast("string")), 256)
-    domain_seed = F.sha2(F.concat_ws("|", secret, F.lit("domain"), F.substring_index(norm, "@", -1)), 256)
-
-    def drawn(s: Column) -> Column:
-        return (
-            F.when(type == "email", email(value, s, domain_seed)).when(type == "ip", ip(s)).when(type == "card", card(value, s)).when(type.isin("ssn", "phone"), letters_by_digits(value, s))
-            .when(type == "secret", F.when(F.regexp_like(value, F.lit("^[0-9a-fA-F]+$")), hexadecimal(value, s)).otherwise(letters(value, s))).otherwise(person(value, s, attempt))
-        )
-
-    return _let(seed, drawn)
+    secret = quoted(hashlib.sha256(key.encode()).hexdigest())
+    domain_seed = f"sha2(concat_ws('|', {secret}, 'domain', substring_index({norm}, '@', -1)), 256)"
+    cases = {"email": email(value, "seed", domain_seed), "ip": ip("seed"), "card": card(value, "seed"), "ssn": digits(value, "seed"), "phone": digits(value, "seed")}
+    cases["secret"] = f"if({value} rlike '^[0-9a-fA-F]+$', {hexadecimal(value, 'seed')}, {letters(value, 'seed')})"
+    drawn = f"(case {' '.join(f"when {type} = '{name}' then {body}" for name, body in cases.items())} else {person(value, 'seed', attempt)} end)"
+    return let("seed", f"sha2(concat_ws('|', {secret}, {type}, {norm}, {attempt}), 256)", drawn)
 
 
 def entities(text: Column) -> Column:
@@ -181,12 +167,12 @@ def entities(text: Column) -> Column:
 def clashing(df: DataFrame, text: str, key: str) -> DataFrame | None:
     """norm, attempt of the values whose first surrogate is taken; None if there is none (as for most corpora below 10^8 values)."""
     found = df.select(F.explode(entities(F.col(f"`{text}`"))).alias("value"))
-    values = found.select(kind(F.col("value")).alias("type"), normal(F.col("value")).alias("norm"), "value").groupBy("type", "norm").agg(F.min("value").alias("value"))
+    values = found.selectExpr(f"{kind('value')} as type", f"{normal('value')} as norm", "value").groupBy("type", "norm").agg(F.min("value").alias("value"))
     state = cut(values.withColumn("attempt", F.lit(0)), "entities")
     known = state.select("type", F.col("norm").alias("drawn"))
     moved = False
     for _ in range(ATTEMPTS):
-        drawn = state.withColumn("drawn", normal(surrogate(F.col("value"), F.col("type"), F.col("norm"), F.col("attempt"), key)))
+        drawn = state.withColumn("drawn", F.expr(let("made", surrogate("value", "type", "norm", "attempt", key), normal("made"))))
         taken = drawn.groupBy("type", "drawn").agg(F.count("*").alias("n"), F.min("norm").alias("first")).where("n > 1")
         doubled = drawn.join(taken, ["type", "drawn"]).where("norm != first").select("type", "norm")
         real = drawn.join(known, ["type", "drawn"], "left_semi").select("type", "norm")
@@ -207,20 +193,17 @@ def replace(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     body = F.col(f"`{text}`")
     clash = clashing(df, text, key)
     if clash is None:
-        tries, rows = F.create_map().cast("map<string,int>"), df
+        tries, rows = "0", df
     else:  # few values: their texts' own maps are joined by the texts' digests
         digest = F.sha2(body, 256)
         held = df.select(digest.alias("__digest"), F.explode(F.array_distinct(entities(body))).alias("value")).distinct()
-        typed = held.select("__digest", kind(F.col("value")).alias("type"), normal(F.col("value")).alias("norm")).join(clash, ["type", "norm"])
+        typed = held.selectExpr("__digest", f"{kind('value')} as type", f"{normal('value')} as norm").join(clash, ["type", "norm"])
         maps = typed.groupBy("__digest").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct(F.concat_ws("|", "type", "norm"), "attempt")))).alias("__tries"))
         rows = df.withColumn("__digest", digest).join(maps, "__digest", "left").drop("__digest")
-        tries = F.coalesce(F.col("__tries"), F.create_map().cast("map<string,int>"))
-
-    def swap(value: Column) -> Column:
-        named = _let(F.struct(kind(value).alias("t"), normal(value).alias("n")), lambda x: surrogate(value, x["t"], x["n"], F.coalesce(F.try_element_at(tries, F.concat_ws("|", x["t"], x["n"])), F.lit(0)), key))
-        return named
+        tries = "coalesce(try_element_at(__tries, concat_ws('|', x.t, x.n)), 0)"
 
-    swapped = F.concat(F.transform(F.col("__found"), swap), F.array(F.lit("")))
+    swap = let("x", f"struct({kind('v')} as t, {normal('v')} as n)", surrogate("v", "x.t", "x.n", tries, key))
+    swapped = F.expr(f"concat(transform(__found, v -> {swap}), array(''))")
     joined = F.array_join(F.zip_with(F.split(body, PATTERN, -1), swapped, lambda gap, s: F.concat(gap, s)), "")
     out = rows.withColumn("__found", entities(body)).withColumn("n_entities", F.coalesce(F.greatest(F.size("__found"), F.lit(0)), F.lit(0)))
     columns = [F.when(F.col("n_entities") > 0, joined).otherwise(body).alias(text) if c == text else F.col(f"`{c}`") for c in df.columns if c != "n_entities"]
