@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -127,27 +128,42 @@ def neighbours(rows: DataFrame, check_bits: int | None, most: int) -> DataFrame:
     return rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id").mapInPandas(run, "a long, b long, big long")
 
 
-def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int | None, most: int) -> DataFrame:
-    """Candidate links (a, b) inside big variants between different components: every member outside a variant's largest component against all its others."""
+def once(parts: list[Callable[[Column], Column]], bits: int, variant: Column, x: Column, y: Column) -> Column:
+    """Whether the variant is the first that two fingerprints share: of the lowest segment with at most one differing bit, and of its lowest place."""
+    differ = F.array(*[F.bit_count(part(x).bitwiseXOR(part(y))) for part in parts])
+    size = (bits - 1).bit_length()
+    number, place = F.shiftright(variant, bits + size).cast("int"), F.shiftright(variant, bits).bitwiseAND((1 << size) - 1)
+    lowest = F.array_position(F.transform(differ, lambda d: d <= 1), True) - 1
+    return (lowest == number) & ((F.get(differ, number) == 1) | (place == 0))
+
+
+def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int | None, most: int, wide: DataFrame | None, parts: list[Callable[[Column], Column]], bits_each: int) -> DataFrame:
+    """Candidate links (a, b) inside big variants between different components: every member outside a variant's largest component against all its others.
+
+    A pair is taken in the first variant that it shares. Were that one not big, or held by one component, the pair would have been compared, or linked, before.
+    """
     variant = F.col("key") if check_bits is None else F.shiftright("key", check_bits)
     bits = F.col("id") if check_bits is None else F.col("key").bitwiseAND((1 << check_bits) - 1)
     members = rows.select(variant.alias("variant"), "id", bits.alias("bits")).join(big.select(F.col("big").alias("variant")).distinct(), "variant", "left_semi")
     members = members.join(label, "id", "left").select("variant", "id", "bits", F.coalesce("component", "id").alias("component"))
     sizes = members.groupBy("variant", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("variant").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
-    members = cut(members.join(mixed.select("variant", "main"), "variant"), "members")
+    members = members.join(mixed.select("variant", "main"), "variant")
+    members = cut(members.withColumn("fp", F.col("id")) if wide is None else members.join(wide, "id"), "members")
     few, every = members.where("component <> main").alias("x"), members.alias("y")
     near = (F.col("x.component") != F.col("y.component")) & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= most)
+    near = near & once(parts, bits_each, F.col("x.variant"), F.col("x.fp"), F.col("y.fp"))
     return few.join(every, (F.col("x.variant") == F.col("y.variant")) & near).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def linked(rows: DataFrame, check_bits: int | None, most: int, verify: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None) -> DataFrame:
-    """rows(key, id) -> (id, component) of all ids with a link. verify(candidates, labels so far) gives the true links; None: all candidates are."""
+def linked(rows: DataFrame, check_bits: int | None, most: int, parts: list[Callable[[Column], Column]], bits_each: int, wide: DataFrame | None = None, verify: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None) -> DataFrame:
+    """rows(key, id) -> (id, component) of all ids with a link. parts: the segments of a fingerprint (of wide(id, fp); None: of the id itself).
+    verify(candidates, labels so far) gives the true links; None: all candidates are."""
     verify = verify or (lambda pairs, _: pairs)
     near = cut(neighbours(rows, check_bits, most), "near")
     links = cut(verify(near.where("big IS NULL").select("a", "b").distinct(), None), "found")
     label = components(links)
-    more = cut(verify(across(rows, near.where("big IS NOT NULL"), label, check_bits, most), label), "found")
+    more = cut(verify(across(rows, near.where("big IS NOT NULL"), label, check_bits, most, wide, parts, bits_each), label), "found")
     if not more.isEmpty():
         label = components(links.union(more))
     drop_cut(near)
@@ -169,10 +185,10 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", k: in
     make = lambda ts: pd.DataFrame({"fp": [fingerprint(t, k) for t in ts]})
     prints = cut(by_text(df, make, "fp long", [id], text), "prints")
     nodes = prints.groupBy("fp").agg(F.min(id).alias("least"))
-    low, high = F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32)
-    keys = F.concat(wildcards(low, F.lit(0), 32), wildcards(high, F.lit(1), 32))
+    halves = [lambda fp: fp.bitwiseAND(0xFFFFFFFF), lambda fp: F.shiftrightunsigned(fp, 32)]
+    keys = F.concat(*[wildcards(half(F.col("fp")), F.lit(i), 32) for i, half in enumerate(halves)])
     rows = nodes.select(F.explode(keys).alias("key"), F.col("fp").alias("id"))
-    label = linked(rows, None, most)
+    label = linked(rows, None, most, halves, 32)
     named = nodes.join(label, nodes["fp"] == label["id"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     classes = named.join(smallest, "component").select("fp", "component_id")
@@ -185,7 +201,7 @@ WORDS, SEGMENTS, BITS, CHECK = 6, 16, 20, 34
 CHECK_MOST, WIDE_MOST = 11, 80
 
 
-def segment(words: str, i: int) -> Column:
+def segment(words: Column, i: int) -> Column:
     """Bits i * BITS to (i + 1) * BITS of an array of 64-bit words."""
     at, shift = divmod(i * BITS, 64)
     out = F.shiftrightunsigned(F.get(words, F.lit(at)), shift)
@@ -216,7 +232,7 @@ def similar_groups(df: DataFrame, id: str = "doc_id", text: str = "text", k: int
     nodes = cut(prints.groupBy("digest").agg(F.min(id).cast("long").alias("id"), F.any_value("fp").alias("fp")), "nodes")
     check = F.shiftrightunsigned(F.get("fp", F.lit(WORDS - 1)), 64 - CHECK)
     head = lambda keys: F.transform(keys, lambda x: F.shiftleft(x, CHECK).bitwiseOR(check))
-    keys = F.concat(*[head(wildcards(segment("fp", i), F.lit(i), BITS)) for i in range(SEGMENTS)])
+    keys = F.concat(*[head(wildcards(segment(F.col("fp"), i), F.lit(i), BITS)) for i in range(SEGMENTS)])
     rows = nodes.select(F.explode(keys).alias("key"), "id")
     wide = nodes.select("id", "fp")
     apart = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
@@ -233,7 +249,8 @@ def similar_groups(df: DataFrame, id: str = "doc_id", text: str = "text", k: int
         rest = rest.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
         return one.union(_similar(rest, df, id, text, k, least))
 
-    label = linked(rows, CHECK, CHECK_MOST, verify)
+    parts = [partial(segment, i=i) for i in range(SEGMENTS)]
+    label = linked(rows, CHECK, CHECK_MOST, parts, BITS, wide, verify)
     named = nodes.join(label, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     return prints.join(named, "digest").select(F.col(id).alias("id"), "component")
 
