@@ -1,0 +1,321 @@
+"""Operators on training data: brute-force versions, round trips, held-out accuracy and edge cases."""
+
+import hashlib
+import random
+import re
+import struct
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from fieldseries.llm import bpe, components, mixing, passages, pii, queries, ranking, repetition, sharding, simhash, sketches, toxicity
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, key string, t int, a int"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def corpus(seed=0, n=120):
+    """Random texts with copies, near copies, shared passages, nulls, empty and long texts."""
+    r = random.Random(seed)
+    vocab = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 6))) for _ in range(300)]
+    words = lambda k: [r.choice(vocab) for _ in range(k)]
+    shared = words(80)
+    texts = [" ".join(words(r.randint(0, 150))) for _ in range(n)]
+    for i in range(0, n, 7):
+        texts[i] = " ".join(words(30) + shared[r.randint(0, 15) :] + words(9))
+    for i in range(3, n, 11):
+        w = texts[i].split()
+        if len(w) > 20:
+            w[r.randrange(len(w))] = "edited"
+        texts[i - 1] = " ".join(w)
+    texts += [texts[0], texts[0], None, "", " \n\t ", " ".join(words(3000)), "word " * 500, "Ünïcödé 文字 " * 30]
+    return texts
+
+
+def frame(spark, texts, ids=None):
+    ids = list(range(len(texts))) if ids is None else ids
+    return spark.createDataFrame([(i, t, "xx", f"src{n % 3}", None, "x", "y", 1, 2) for n, (i, t) in enumerate(zip(ids, texts, strict=True))], SCHEMA).repartition(5)
+
+
+def components_of(ids, links):
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        p, q = find(a), find(b)
+        parent[max(p, q)] = min(p, q)
+    return {i: find(i) for i in ids}
+
+
+def repeated(words, k):
+    """Positions inside k-word windows that occur twice or more in one text."""
+    seen = Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    return {j for i in range(len(words) - k + 1) if seen[tuple(words[i : i + k])] > 1 for j in range(i, i + k)}
+
+
+def test_quality_equals_brute_force(spark):
+    texts = corpus()
+    got = {r["doc_id"]: r for r in repetition.quality(frame(spark, texts), ["doc_id"]).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        w = WORDS.findall(t or "")
+        lines = [x for x in (t or "").split("\n") if WORDS.search(x)]
+        assert (got[i]["n_words"], got[i]["n_repeat_words"], got[i]["covered_words"], got[i]["n_dup_lines"]) == (len(w), len(repeated(w, 8)), len(repeated(w, 5)), len(lines) - len(set(lines)))
+        assert got[i]["longest_repeat"] == max((k for k in range(1, len(w)) if repeated(w, k)), default=0) if len(w) < 200 else True
+
+
+def test_packing_is_best_fit_decreasing_and_shards_hold_equal_texts(spark):
+    sizes, cap = sorted((random.Random(1).randint(1, 60) for _ in range(400)), reverse=True), 100
+    room, want = [], []
+    for s in sizes:
+        fits = [(x, i) for i, x in enumerate(room) if x >= s]
+        i = min(fits)[1] if fits else len(room)
+        if not fits:
+            room.append(cap)
+        room[i] -= s
+        want.append(i)
+    assert list(sharding.best_fit(sizes, cap)) == want
+    texts = corpus()
+    rows = sharding.shard_documents(frame(spark, texts), 8).collect()
+    assert len(rows) == len(texts)
+    by = {}
+    for r in rows:
+        t = (texts[r["doc_id"]] or "").encode()
+        assert r["size"] == len(t) + 1
+        by.setdefault(t, set()).add(r["shard"])
+    assert all(len(s) == 1 for s in by.values())
+    for shard in {r["shard"] for r in rows}:
+        slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_surrogates_keep_form_and_identity(spark):
+    texts = ["Mail Anna.Berg@mail1.example.com or anna.berg@MAIL1.example.com, call +1 (286) 555-5136.", "Mrs Anna Berg met Mr. Иванов; card 4539578763621486, 10.1.2.3 and 078-05-1120", None, "", "No data here, only 12 apples.", "key 1eb9c654e721b4f812088970e66a6345cee33dd6"]
+    got = {r["doc_id"]: r for r in pii.replace(frame(spark, texts), "k").collect()}
+    assert got[2]["text"] is None and got[3]["text"] == "" and got[4]["text"] == texts[4]
+    mails = re.findall(r"\S+@\S+?\.com", got[0]["text"])
+    assert len(mails) == 2 and mails[0] == mails[1] and "berg" not in got[0]["text"].lower()
+    assert re.search(r"\+\d \(\d{3}\) \d{3}-\d{4}\.$", got[0]["text"]) and "555-5136" not in got[0]["text"]
+    card = re.search(r"card (\d{16})", got[1]["text"])[1]
+    digits = [int(c) for c in reversed(card)]
+    assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+    assert re.match(r"Mrs [A-Z]\w+ [A-Z]\w+ met Mr\. [А-Я][а-я]+;", got[1]["text"])
+    assert re.search(r"[0-9a-f]{40}$", got[5]["text"]) and got[5]["text"] != texts[5]
+    again = {r["doc_id"]: r["text"] for r in pii.replace(frame(spark, texts[::-1], list(range(len(texts)))[::-1]), "k").collect()}
+    assert again == {i: r["text"] for i, r in got.items()}
+    assert pii.replace(frame(spark, texts), "other").where("doc_id = 0").first()["text"] != got[0]["text"]
+
+
+def test_clashing_surrogates_are_drawn_again(spark):
+    texts = [f"at 10.0.{i // 200}.{i % 200 + 1} or +{i:08d}" for i in range(600)]
+    out = pii.replace(frame(spark, texts), "k").select(F.explode(pii.entities(F.col("text"))).alias("v")).collect()
+    assert len({r["v"] for r in out}) == 1200 and not {r["v"] for r in out} & {v for t in texts for v in re.findall(r"10\.\S+|\+\d+", t)}
+
+
+def test_simhash_equals_brute_force(spark):
+    texts = corpus()
+    rows = simhash.near_duplicates(frame(spark, texts)).collect()
+    import xxhash
+
+    def print_of(t):
+        w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in WORDS.findall(t or "")]
+        sh = [" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+        h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    want = {i: print_of(t) for i, t in enumerate(texts)}
+    label = components_of(want, [(a, b) for a in want for b in range(a) if (want[a] ^ want[b]).bit_count() <= 3])
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows} == {i: (f"{f:016x}", label[i]) for i, f in want.items()}
+
+
+def test_close_fingerprints_in_one_crowded_variant_are_all_linked(spark):
+    """Many fingerprints that share a half: links inside must be found although most pairs are far."""
+    r = random.Random(4)
+    low = 0x1234ABCD
+    prints = [(r.getrandbits(31) << 32) | low for _ in range(150)]
+    prints += [p ^ (1 << 40) ^ (1 << 50) ^ (1 << 3) for p in prints[::3]]
+    halves = [lambda fp: fp.bitwiseAND(0xFFFFFFFF), lambda fp: F.shiftrightunsigned(fp, 32)]
+    nodes = spark.createDataFrame([(p,) for p in prints], "fp long")
+    keys = F.concat(*[simhash.wildcards(h(F.col("fp")), F.lit(i), 32) for i, h in enumerate(halves)])
+    got = {x["id"]: x["component"] for x in simhash.linked(nodes.select(F.explode(keys).alias("key"), F.col("fp").alias("id")), None, 3, halves, 32).collect()}
+    want = components_of(prints, [(a, b) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= 3])
+    assert {p: got.get(p, p) for p in prints} == want
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(200, 200)]
+    got = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert {v for k, v in got.items() if k < 60} == {0} and {v for k, v in got.items() if k >= 100} == {100}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_duplicates_keep_one_of_each_group(spark):
+    texts = corpus()
+    kept = sorted(r["doc_id"] for r in simhash.one_of_each(frame(spark, texts)).collect())
+    sh = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    alike = lambda a, b: 1.0 if not a | b else len(a & b) / len(a | b)
+    label = components_of(range(len(texts)), [(a, b) for a in range(len(texts)) for b in range(a) if alike(sh[a], sh[b]) >= 0.8])
+    assert kept == sorted(set(label.values()))
+
+
+def test_sketch_differences_are_exact(spark):
+    r = random.Random(5)
+    cases = [(sorted(r.sample(range(10**6), r.randint(0, 40))), r.sample(range(10**6), r.randint(0, 40))) for _ in range(20)] + [([], []), ([1, 2], [2, 1])]
+    cases = [(a, b + a[: len(a) // 2]) for a, b in cases]
+    df = spark.createDataFrame([(i, a, sorted(set(b))) for i, (a, b) in enumerate(cases)], "i int, a array<long>, b array<long>")
+    for x in df.select("i", sketches.difference(F.col("a"), F.col("b")).alias("d"), sketches.likeness(F.col("a"), F.col("b")).alias("l")).collect():
+        a, b = map(set, cases[x["i"]])
+        assert set(x["d"]["left"]) == a - b and set(x["d"]["right"]) == b - a
+        assert x["l"] == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+
+
+def test_versions_are_edited_with_the_next_text(spark):
+    texts = [t if t is None else t.replace(" e", ". e") for t in corpus(n=40)]
+    rows = {r["doc_id"]: r for r in sketches.fingerprint_versions(frame(spark, texts)).collect()}
+    full = [t or "" for t in texts]
+    prints = {}
+    for i, t in enumerate(full):
+        following = full[i - 1]
+        n = len(t) // 3
+        assert rows[i]["n_chars"] == len(t)
+        assert rows[i]["edited_sha256"] == hashlib.sha256((t[: len(t) - n] + following[:n]).encode()).hexdigest()
+        assert 0 <= rows[i]["near_edited"] <= 1 and 0 <= rows[i]["near_next"] <= 1
+        prints.setdefault(t, set()).add(rows[i]["fingerprint"])
+    assert all(len(v) == 1 for v in prints.values())
+
+
+def test_bpe_equals_the_library(spark):
+    path = public_tokenizers.path(queries.TOKENIZER)
+    lib = Tokenizer.from_file(path)
+    lib.no_padding()
+    lib.no_truncation()
+    texts = corpus(n=30) + ["It's <|endoftext|> DON'T we'LL 12 345 ½ ² naïve É É ΣΑΣ ΌΣΟΣ İI ß 🙂👍🏽 a​b 　 c\x85d", "x" * 5000, "<|startoftext|>A!!!??? ... --", "﻿abc def", "ab\0cd"]
+    rows = {r["doc_id"]: r for r in bpe.encode(frame(spark, texts), path, ["doc_id"]).collect()}
+    short = {r["doc_id"]: r for r in bpe.encode(frame(spark, texts), path, ["doc_id"], digests=True).collect()}
+    for i, t in enumerate(texts):
+        ids = lib.encode(t or "", add_special_tokens=False).ids
+        text = lib.decode(ids, skip_special_tokens=False)
+        assert (rows[i]["ids"], rows[i]["decoded"]) == (ids, text), t
+        assert short[i]["n_tokens"] == len(ids) and short[i]["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest() and short[i]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_mixing_reaches_the_target(spark):
+    df = spark.createDataFrame([(i, "a" * 9, ["big", "small", None][0 if i % 10 else 1 + i % 20 // 10]) for i in range(6000)], "doc_id long, text string, source string")
+    out = mixing.replicate(df, {"big": 0.5, "small": 0.5})
+    n = {r["source"]: r["count"] for r in out.groupBy("source").count().collect()}
+    assert set(n) == {"big", "small"} and abs(n["big"] - 3000) < 250 and abs(n["small"] - 3000) < 250
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, mixing.replicate(df.repartition(7), {"big": 0.5, "small": 0.5}).collect()))
+    per = Counter(out.where("source = 'small'").groupBy("doc_id").count().toPandas()["count"])
+    assert max(per) > 12  # a Poisson count of mean 10
+
+
+def test_repeated_passages_equal_brute_force(spark):
+    texts = corpus() + ["head " + " ".join(f"w{i}" for i in range(60)) + " tail " + " ".join(f"w{i}" for i in range(60))]
+    texts += [texts[-1]]
+    got = {}
+    for r in passages.repeated_passages(frame(spark, texts)).collect():
+        got.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+    words = [WORDS.findall(t or "") for t in texts]
+    seen = Counter(tuple(w[i : i + 50]) for w in words for i in range(len(w) - 49))
+    want = {d: {j for i in range(len(w) - 49) if seen[tuple(w[i : i + 50])] > 1 for j in range(i, i + 50)} for d, w in enumerate(words)}
+    assert got == {d: s for d, s in want.items() if s}
+
+
+def test_removal_keeps_the_first_place(spark):
+    p = " ".join(f"w{i}" for i in range(60))
+    texts = [f"one {p} end", f"two\n{p}\nstop", None, p, "short"]
+    got = {r["doc_id"]: r for r in passages.without_repeats(frame(spark, texts)).collect()}
+    assert [got[i]["text"] for i in range(5)] == [texts[0], "two\n\nstop", None, "", "short"]
+    assert got[0]["key"] == "y" and len(got) == 5
+
+
+def halves(df, fold, parts, out):
+    return df.where((F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts)) == fold) == out)
+
+
+def test_classifiers_hold_out(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").toPandas().set_index("doc_id")
+    for query, label, least in ((queries.op8_toxicity_string_kernel, "toxic", 0.9), (queries.op9_quality_bradley_terry, "quality", 0.85)):
+        got = query(spark, folder).toPandas().set_index("doc_id")
+        both = got.join(labels, how="inner")
+        both = both[both.held_out]
+        assert (both.predicted == both[label]).mean() >= least
+        assert got.score.between(0, 1).all()
+
+
+def test_pairs_fit_a_known_order():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(4000, 3))
+    s = x @ np.array([2.0, -1.0, 0.0])
+    w = ranking.fit_pairs(x[s > 0.5][:1000], x[s < -0.5][:1000])
+    assert w[0] > 0 > w[1] and abs(w[2]) < 0.3 * w[0]
+
+
+def test_string_kernel_equals_its_definition():
+    def direct(s, t, n=3, decay=toxicity.DECAY):
+        from itertools import combinations
+
+        total = 0.0
+        for i in combinations(range(len(s)), n):
+            for j in combinations(range(len(t)), n):
+                if [s[x] for x in i] == [t[x] for x in j]:
+                    total += decay ** (i[-1] - i[0] + 1 + j[-1] - j[0] + 1)
+        return total
+
+    pairs = [("idiot", "id.iot"), ("abcabc", "acb"), ("abc", "abc"), ("ab", "abc")]
+    width = max(len(x) for p in pairs for x in p)
+    got = toxicity.kernel(toxicity.letters([a for a, _ in pairs], width), toxicity.letters([b for _, b in pairs], width))
+    assert np.allclose(got, [direct(a, b) for a, b in pairs])
+
+
+@pytest.mark.parametrize("case", ["empty", "null", "repeated"])
+def test_edge_tables(spark, case):
+    """Empty tables, all nulls, and repeated rows with one id: a defined number of rows from every operator."""
+    rows = {"empty": [], "null": [(None, None)] * 3, "repeated": [(1, "the same words again and again " * 20)] * 3}[case]
+    df = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    n, path = len(rows), public_tokenizers.path(queries.TOKENIZER)
+    assert repetition.quality(df, ["doc_id"]).count() == n
+    assert sharding.shard_documents(df, 8).count() == n
+    assert pii.replace(df, "k").count() == n
+    assert simhash.near_duplicates(df).count() == n
+    assert simhash.one_of_each(df).count() == {"empty": 0, "null": 3, "repeated": 1}[case]
+    assert sketches.fingerprint_versions(df).count() == n
+    assert bpe.encode(df, path, ["doc_id"]).count() == n
+    assert mixing.replicate(df).select(df.columns).count() >= 0
+    assert passages.without_repeats(df).count() == n
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert ranking.score(df, ranking.train(df, labels, "quality", F.lit(True)), ["doc_id"]).count() == n
+    assert toxicity.score(df, toxicity.train(df, labels, "toxic", F.lit(True)), ["doc_id"]).count() == n
+
+
+def test_pipeline_stages_equal_plain_versions(spark):
+    import corpus_pipeline
+
+    texts = [None if t is None else t + " a b c d e f g h i j k l m n o p q r s t" * (i % 2) for i, t in enumerate(corpus(seed=8, n=60))]
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    docs = frame(spark, texts).select(columns)
+    stages = dict(corpus_pipeline.STAGES)
+    one = stages["quality rules"](spark, docs, "")
+    measured = {r["doc_id"]: r["kept"] for r in repetition.quality(docs, ["doc_id"]).collect()}
+    assert {r["doc_id"] for r in one.collect()} == {i for i, k in measured.items() if k}
+    two = stages["simhash near-dedup"](spark, one, "")
+    assert two.columns == columns and two.count() == len({r["component"] for r in simhash.similar_groups(one).collect()})
+    three = stages["pii"](spark, two, "")
+    assert three.columns == columns and three.count() == two.count()
+    four = stages["mixing sources"](spark, three, "")
+    assert four.columns == columns
+    five = stages["bpe encoding"](spark, four, "").toPandas()
+    lib = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
+    want = {r["doc_id"]: lib.encode(r["text"], add_special_tokens=False).ids for r in four.collect()}
+    assert len(five) == four.count() and all(list(r.ids) == want[r.doc_id] for r in five.itertuples())
+    assert isinstance(five, pd.DataFrame)
