@@ -144,7 +144,7 @@ def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int |
     """
     variant = F.col("key") if check_bits is None else F.shiftright("key", check_bits)
     bits = F.col("id") if check_bits is None else F.col("key").bitwiseAND((1 << check_bits) - 1)
-    members = rows.select(variant.alias("variant"), "id", bits.alias("bits")).join(big.select(F.col("big").alias("variant")).distinct(), "variant", "left_semi")
+    members = only(rows.select(variant.alias("variant"), "id", bits.alias("bits")), "variant", big.select("big").distinct())
     members = members.join(label, "id", "left").select("variant", "id", "bits", F.coalesce("component", "id").alias("component"))
     sizes = members.groupBy("variant", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("variant").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
