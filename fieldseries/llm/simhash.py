@@ -62,8 +62,8 @@ def fingerprint(text: str | None, k: int) -> int:
 
 
 def wide_fingerprint(text: str | None, k: int, words: int) -> np.ndarray:
-    """words * 64 bits, each 64 from another mix of the shingles' hashes."""
-    h = shingle_hashes(text, k)
+    """words * 64 bits, each 64 from another mix of the distinct shingles' hashes: repeats count once, as in jaccard()."""
+    h = np.unique(shingle_hashes(text, k))
     if not len(h):
         return np.zeros(words, np.int64)
     x = h[:, None] + (np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None]

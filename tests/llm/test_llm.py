@@ -167,6 +167,19 @@ def test_near_duplicates_keep_one_of_each_group(spark):
     assert kept == sorted(set(label.values()))
 
 
+def test_texts_that_differ_in_how_often_a_line_recurs_are_found(spark):
+    """The similarity counts distinct shingles, so the fingerprints of the candidates must too."""
+    r = random.Random(12)
+    texts = []
+    for words, line, times in ((600, 20, 6), (600, 20, 10), (1500, 30, 10)) * 4:
+        body, again = [str(r.random()) for _ in range(words)], [str(r.random()) for _ in range(line)]
+        places = {words * i // times for i in range(times)}
+        texts += [" ".join(again + body), " ".join(x for i, w in enumerate(body) for x in ([*again, w] if i in places else [w]))]
+    assert all(simhash.jaccard(a, b, 5) >= 0.83 for a, b in zip(texts[::2], texts[1::2], strict=True))
+    got = {x["id"]: x["component"] for x in simhash.similar_groups(frame(spark, texts)).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_sketch_differences_are_exact(spark):
     r = random.Random(5)
     cases = [(sorted(r.sample(range(10**6), r.randint(0, 40))), r.sample(range(10**6), r.randint(0, 40))) for _ in range(20)] + [([], []), ([1, 2], [2, 1])]
