@@ -45,7 +45,7 @@ PERSON = rf"(?<!\p{{L}})(?:{'|'.join([*MALE, *FEMALE, *EITHER])})\.? {NAME}(?: {
 TYPES = {"secret": SECRET, "email": EMAIL, "ip": IP, "card": CARD, "ssn": SSN, "phone": PHONE, "person": PERSON}
 PATTERN = "|".join(TYPES.values())
 #: Texts that this does not find hold no entity; it is much cheaper than PATTERN.
-HINT = rf"[@\d]|(?:{'|'.join([*MALE, *FEMALE, *EITHER])})\.? \p{{Lu}}|[0-9a-fA-F]{{32}}|AKIA"
+HINT = rf"[@\d]|(?:{'|'.join([*MALE, *FEMALE, *EITHER])})\.? \p{{Lu}}|[0-9a-fA-F]{{32}}|AKIA|(?:sk|pk|ghp)[-_]?[A-Za-z0-9]{{16}}"
 #: Distinct values that clash are looked at again at most so often; every attempt draws anew.
 ATTEMPTS = 50
 
