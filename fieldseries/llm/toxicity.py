@@ -250,8 +250,8 @@ def gapped(marks: Landmarks) -> np.ndarray:
     return out
 
 
-def fit(marks: Landmarks, docs: list[Matches], y: np.ndarray, rounds: int = 4) -> Machine:
-    """docs: vectors and sentence numbers of each labelled document."""
+def fit(marks: Landmarks, toxic: list[tuple[np.ndarray, np.ndarray]], clean: np.ndarray, times: np.ndarray, rounds: int = 4) -> Machine:
+    """toxic: distinct word vectors of each toxic document and how often each stands in it. clean: distinct word vectors, each in `times` clean documents. The logistic function is not fitted yet."""
     m = len(marks.words)
     own = np.eye(m)
     i, j = np.triu_indices(m, 1)
@@ -259,28 +259,25 @@ def fit(marks: Landmarks, docs: list[Matches], y: np.ndarray, rounds: int = 4) -
         own[i, j] = own[j, i] = kernel(marks.t[i], marks.t[j]) / np.sqrt(marks.own[i] * marks.own[j])
     value, vector = np.linalg.eigh(own)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-2))) @ vector.T
-    clean = np.concatenate([np.unique(x, axis=0) for (x, *_), label in zip(docs, y, strict=True) if not label] or [np.zeros((0, m))])
-    clean = np.concatenate([clean, np.zeros((1, m))])
-    toxic = [x for (x, *_), label in zip(docs, y, strict=True) if label and len(x)]
+    clean, times = np.concatenate([clean, np.zeros((1, m))]), np.r_[times, 1]
+    toxic = [(x, n) for x, n in toxic if len(x)]
     disguised = gapped(marks)
     weights, bias = np.zeros(m), 0.0
     for i in range(rounds):
         # a toxic document's positive words: those next to a landmark, and its worst by the machine so far
-        on = [(x.max(1) >= 0.9) | (np.arange(len(x)) == np.argmax(x @ weights if i else x.max(1))) for x in toxic]
-        found = np.concatenate([x[o] for x, o in zip(toxic, on, strict=True)] or [np.zeros((0, m))])
-        share = np.concatenate([np.full(o.sum(), 1 / o.sum()) for o in on] or [np.zeros(0)])
+        on = [(x.max(1) >= 0.9) | (np.arange(len(x)) == np.argmax(x @ weights if i else x.max(1))) for x, _ in toxic]
+        found = np.concatenate([x[o] for (x, _), o in zip(toxic, on, strict=True)] or [np.zeros((0, m))])
+        share = np.concatenate([n[o] / n[o].sum() for (_, n), o in zip(toxic, on, strict=True)] or [np.zeros(0)])
         s = np.r_[np.ones(len(found) + len(disguised)), -np.ones(len(clean))]
-        each = np.r_[0.4 * share / max(1, share.sum()), np.full(len(disguised), 0.1 / max(1, len(disguised))), np.full(len(clean), 0.5 / len(clean))]
+        each = np.r_[0.4 * share / max(1, share.sum()), np.full(len(disguised), 0.1 / max(1, len(disguised))), 0.5 * times / times.sum()]
         w = fit_hinge(np.concatenate([found, disguised, clean]) @ root, s, each)
         weights, bias = root @ w[:-1], float(w[-1])
-    made = Machine(marks, weights, bias, np.zeros(EVIDENCE))
-    made.logit = fit_logistic(made.evidence(docs), y)
-    return made
+    return Machine(marks, weights, bias, np.zeros(EVIDENCE))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landmarks: int = 64, candidates: int = 2000, most_toxic: int = 3000, most_clean: int = 6000, hard_words: int = 16, id: str = "doc_id", text: str = "text") -> Machine:
+def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landmarks: int = 64, candidates: int = 2000, most_toxic: int = 3000, most_clean: int = 9000, id: str = "doc_id", text: str = "text") -> Machine:
     """Learn from labels(id, label): at most most_toxic + most_clean rows, chosen by the order of a hash of the id. Landmarks come
-    from the candidates that Spark counts in those documents; the machine sees the hard_words closest words of each."""
+    from the candidates that Spark counts in those documents; the machine sees all their distinct words, the logistic function the evidence of whole texts, found in tasks."""
     known = labels.select(F.col(id), F.col(label).cast("int").alias("y")).where(usable & F.col("y").isin(0, 1) & F.col(id).isNotNull())
     sample = None
     for y, most in ((0, most_clean), (1, most_toxic)):
@@ -300,14 +297,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landma
     marks = Landmarks(spread([START + r["w"] for r in top.select("w").collect()], landmarks))
 
     def vectors(ts: list[str | None]) -> pd.DataFrame:
-        found = []
-        for x, sentence, n in Reader(marks).matches(ts):
-            hard = np.sort(np.argsort(-x.max(1), kind="stable")[:hard_words]) if len(x) else np.zeros(0, int)
-            found.append((x[hard].astype(np.float32).tobytes(), sentence[hard], n))
-        return pd.DataFrame(dict(zip("xsn", map(list, zip(*found, strict=True)), strict=True)))
-
-    got = by_text(rows, vectors, "x binary, s array<long>, n long", [id, "y"], "t").orderBy(id, "y").collect()
-    return fit(marks, [(np.frombuffer(r["x"], np.float32).reshape(-1, len(marks.words)), np.array(r["s"], np.int64), r["n"]) for r in got], np.array([r["y"] for r in got]))
+        found = [np.unique(x.astype(np.float32), axis=0, return_counts=True) for x, *_ in Reader(marks).matches(ts)]
+        return pd.DataFrame({"x": [[v.tobytes() for v in x] for x, _ in found], "n": [n for _, n in found]})
+
+    def read(parts: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(parts), np.float32).reshape(len(parts), len(marks.words))
+
+    got = cut(by_text(rows, vectors, "x array<binary>, n array<long>", [id, "y"], "t"), "vectors")
+    toxic = [(read(r["x"]), np.array(r["n"], np.int64)) for r in got.where("y = 1").orderBy(id).toLocalIterator()]
+    clean = got.where("y = 0").select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("n")).orderBy("x").toPandas()
+    machine = fit(marks, toxic, read(clean["x"].tolist()), clean["n"].to_numpy(np.int64))
+    evidence = by_text(rows, lambda ts: pd.DataFrame({"e": list(machine.evidence(Reader(marks).matches(ts)))}), "e array<double>", [id, "y"], "t").orderBy(id, "y").collect()
+    machine.logit = fit_logistic(np.array([r["e"] for r in evidence]), np.array([r["y"] for r in evidence]))
+    return machine
 
 
 def spread(words: list[str], most: int, alike: float = 0.8) -> list[str]:

@@ -286,6 +286,20 @@ def test_pairs_fit_a_known_order():
     assert w[0] > 0 > w[1] and abs(w[2]) < 0.3 * w[0]
 
 
+def test_the_logistic_function_is_fitted_on_whole_texts(spark, monkeypatch):
+    """Texts with more matching words than any bound on training words: the evidence fitted is the evidence that scoring takes."""
+    r = random.Random(3)
+    plain, bad = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(200)], ["".join(r.choice("pqrstuvw") for _ in range(6)) for _ in range(40)]
+    texts = [" ".join(r.choices(plain, k=60) + (bad if i % 2 else [])) for i in range(60)]
+    seen = []
+    solve = toxicity.fit_logistic
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda x, y: seen.append(x) or solve(x, y))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    machine = toxicity.train(frame(spark, texts), labels, "toxic", F.lit(True))
+    assert np.allclose(seen[0], machine.evidence(toxicity.Reader(machine.marks).matches(texts)))
+    assert seen[0][:, 4].max() == pytest.approx(np.log1p(40))
+
+
 def test_string_kernel_equals_its_definition():
     def direct(s, t, n=3, decay=toxicity.DECAY):
         from itertools import combinations
