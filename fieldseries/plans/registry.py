@@ -236,7 +236,8 @@ def qc_action(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def whittaker(spark: SparkSession, d: str) -> DataFrame:
     obs = A.dated(spark, d)
-    return smoothing.whittaker(smoothing.dense_series(smoothing.weighted_bins(obs, "id_parcel", step=1), obs, "id_parcel", 30), "id_parcel")
+    days = obs.agg(F.datediff(F.max("date"), F.min("date")) + 1).first()[0]  # from the first date to the last
+    return smoothing.whittaker(smoothing.dense_series(smoothing.weighted_bins(obs, "id_parcel", step=1), obs, "id_parcel", max(3, days or 0)), "id_parcel")  # second differences need three points
 
 
 @query()

@@ -230,3 +230,13 @@ def test_sources(spark, tmp_path):
     assert poly.select(geo.area(F.col("ring"))).first()[0] == 0.5
     assert tables.feature_properties(spark, str(tmp_path / "g.json")).first()["properties"] == {"a": "b"}
     assert tables.fingerprints(spark, str(tmp_path / "c.json")).count() == 1
+
+
+def test_the_daily_grid_spans_all_dates(spark, tmp_path):
+    from fieldseries.plans import registry
+
+    events = spark.range(45).selectExpr("1L AS user_id", "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, int(id)) AS ts", "'t' AS event_type", "100.0D AS value", "'{\"k\": 1}' AS props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    assert [len(r["z"]) for r in registry.queries()["whittaker"](spark, str(tmp_path)).collect()] == [45]
+    for name in ("sf0.001", "sf0.01"):
+        assert {len(r["z"]) for r in registry.queries()["whittaker"](spark, f"/root/testdata/{name}").where("z IS NOT NULL").collect()} == {30}
