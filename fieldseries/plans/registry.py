@@ -379,7 +379,7 @@ def without_pixels(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def rf_predict(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings").withColumn("label", F.col("label").cast("string"))
-    fitted = model.train(rows, "embedding", "label", trees=10, depth=8)
+    fitted = model.train(rows, "embedding", "label")
     return model.predict(fitted, rows, "embedding", "vec_id", "label", "rf_base")
 
 

@@ -240,3 +240,14 @@ def test_the_daily_grid_spans_all_dates(spark, tmp_path):
     assert [len(r["z"]) for r in registry.queries()["whittaker"](spark, str(tmp_path)).collect()] == [45]
     for name in ("sf0.001", "sf0.01"):
         assert {len(r["z"]) for r in registry.queries()["whittaker"](spark, f"/root/testdata/{name}").where("z IS NOT NULL").collect()} == {30}
+
+
+def test_the_registered_forest_is_the_operators_own(spark, monkeypatch):
+    from fieldseries.operators import model
+    from fieldseries.plans import registry
+
+    seen, train = [], model.train
+    monkeypatch.setattr(model, "train", lambda *args, **named: seen.append(train(*args, **named)) or seen[-1])
+    got = registry.queries()["rf_predict"](spark, "/root/testdata/sf0.001")
+    forest = seen[0].stages[1]
+    assert (forest.getNumTrees, forest.getOrDefault("maxDepth")) == (300, 30) and got.count() == 500
