@@ -16,13 +16,13 @@ import heapq
 import json
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from fieldseries.llm.common import by_text
 
 #: Unicode white space as the vocabulary's own patterns mean it.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -179,20 +179,15 @@ class Encoder:
 
 def encode(df: DataFrame, tokenizer: str, keys: list[str], text: str = "text", digests: bool = False) -> DataFrame:
     """ids (array<int>) and decoded (string) of every text beside the key columns; with digests their SHA-256 and the count instead."""
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(Vocabulary(tokenizer))  # bounded by the vocabulary file
-    picked = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)], F.col(f"`{text}`").alias("t"))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shared.value)
-        for pdf in frames:
-            made = encoder.batch([t if isinstance(t, str) else None for t in pdf.pop("t")])
-            if digests:
-                yield pdf.assign(n_tokens=[len(b) // 4 for b, _ in made], ids_sha256=[hashlib.sha256(b).hexdigest() for b, _ in made], decoded_sha256=[hashlib.sha256(s.encode()).hexdigest() for _, s in made])
-            else:
-                yield pdf.assign(ids=[np.frombuffer(b, "<u4").astype(np.int32) for b, _ in made], decoded=[s for _, s in made])
-
-    types = dict(picked.dtypes)
-    made = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
-    out = picked.mapInPandas(run, ", ".join([*(f"k{i} {types[f'k{i}']}" for i in range(len(keys))), made]))
-    return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], *out.columns[len(keys) :])
+    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(tokenizer))  # bounded by the vocabulary file
+    encoders: list[Encoder] = []
+
+    def run(texts: list[str | None]) -> pd.DataFrame:
+        if not encoders:  # one a task
+            encoders.append(Encoder(shared.value))
+        made = encoders[0].batch(texts)
+        if digests:
+            return pd.DataFrame({"n_tokens": [len(b) // 4 for b, _ in made], "ids_sha256": [hashlib.sha256(b).hexdigest() for b, _ in made], "decoded_sha256": [hashlib.sha256(s.encode()).hexdigest() for _, s in made]})
+        return pd.DataFrame({"ids": [np.frombuffer(b, "<u4").astype(np.int32) for b, _ in made], "decoded": [s for _, s in made]})
+
+    return by_text(df, run, "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string", keys, text)

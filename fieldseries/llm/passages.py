@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldseries.llm.common import CHUNK_CHARS, WORD_CLASS, cut, drop_cut
+from fieldseries.llm.common import CHUNK_BYTES, WORD_CLASS, cut, drop_cut
 
 #: Words of the sequence whose hash selects a suffix; a passage of L words has L - K + 1 of them.
 K = 24
@@ -110,7 +110,7 @@ def chunks(pdf: pd.DataFrame) -> Iterator[slice]:
     start = size = 0
     for i, t in enumerate(pdf["text"]):
         size += len(t or "")
-        if size >= CHUNK_CHARS or i + 1 == len(pdf):
+        if size >= CHUNK_BYTES or i + 1 == len(pdf):
             yield slice(start, i + 1)
             start, size = i + 1, 0
 

@@ -1,36 +1,41 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
-Fingerprints are cut into segments, so few that two within the distance differ in some segment by at most one bit. Each
-segment is indexed under its variants with one bit wildcarded; fingerprints that differ there by one bit share exactly
-one variant, equal ones all. Rows are ordered by variant and compared with the rows before them and with the first of
-their variant; candidates are verified. Variants with more rows than that covers are finished by a join between the connected
-groups found so far, so no link between groups is lost, and no group of copies is expanded into pairs. Equal
-fingerprints (or texts) are one row before anything is compared.
-
-Defined results: a null or empty text has no word and fingerprint zero; a text with fewer words than a shingle is one shingle;
-repeated rows share a component; rows with a null id get a fingerprint and take part in it, but no link names them; an
-empty table gives an empty table; other columns are not read by the fingerprints.
+Fingerprints are cut into segments, so few that two within the distance differ in some segment by at most one bit. A
+segment is indexed under its variants with one bit wildcarded, the wildcard being written as a set bit: a segment's own value (all
+variants whose wildcard is set in it) and, as a visitor, the value with each unset bit set. Segments that are equal or one
+bit apart meet in exactly one variant, where one of them is at home. Rows are ordered by variant and compared with the rows
+before them and with the first of their variant; candidates are verified. Variants with more rows than that covers are
+finished by a salted join between the connected groups found so far, so no link between groups is lost, and no group of
+copies is expanded into pairs. Equal fingerprints (or texts) are one row before anything is compared. Joins on a fingerprint or a
+text that very many rows share are split at run time by adaptive execution.
+
+Defined results: a null or empty text has no word and fingerprint zero; a text with fewer words than a shingle is one shingle, however long;
+repeated rows share a component; rows with a null id get a fingerprint and take part in it, but no link names them; of
+rows with one id and several texts each text counts on its own; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldseries.llm.common import by_text, cut, drop_cut
+from fieldseries.llm.common import by_text, cut, drop_cuts
 from fieldseries.llm.components import components
 
 #: Rows before it that a row is compared with.
 LAGS = 4
 #: Ids up to so many are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
+#: A crowded variant is joined in parts of about so many rows.
+SALTED_ROWS = 20_000
 
 
 def shingle_hashes(text: str | None, k: int, seed: int = 42) -> np.ndarray:
@@ -72,29 +77,34 @@ def wide_fingerprint(text: str | None, k: int, words: int) -> np.ndarray:
     return bit_majority(x ^ (x >> np.uint64(31))).view(np.int64)
 
 
-def neighbours(rows: DataFrame, check_bits: int | None, most: int) -> DataFrame:
+def differing(x: np.ndarray) -> np.ndarray:
+    """Set bits of 64-bit words; the sign bit is a bit like others."""
+    return np.bitwise_count(np.ascontiguousarray(x).view(np.uint64)).astype(np.int64)
+
+
+def neighbours(rows: DataFrame, check_bits: int, most: int) -> DataFrame:
     """rows(key, id) -> (a, b, big): candidate links, or in big a variant that needs the join.
 
-    With check_bits, a key's low bits are check bits of the fingerprint and the rest is the variant; without, id is the fingerprint itself.
-    Rows are dealt out by ranges of (key, id), so a hot variant spreads over tasks; variants at the edges of tasks count as big.
+    From its high bits down a key holds the variant, whether the row is a visitor, and check_bits bits of the fingerprint; without check bits
+    the id is the fingerprint itself. Rows are dealt out by ranges of (key, id), so a hot variant spreads over tasks; variants at the edges of tasks count as big.
     """
 
-    def parts(key: np.ndarray, id: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (key, id) if check_bits is None else (key >> check_bits, key & ((1 << check_bits) - 1))
+    def parts(key: np.ndarray, id: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        bits = key & ((1 << check_bits) - 1) if check_bits else id
+        return key >> (check_bits + 1), (key >> check_bits) & 1 == 0, bits
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, id, hub = np.zeros(0, np.int64), np.zeros(0, np.int64), None
         first = last = None
-        length = 0
+        length = homes = 0
         for pdf in frames:
             if not len(pdf):
                 continue
             old = len(key)
             key, id = np.concatenate([key, pdf["key"].to_numpy(np.int64)]), np.concatenate([id, pdf["id"].to_numpy(np.int64)])
-            variant, bits = parts(key, id)
+            variant, home, bits = parts(key, id)
             at = np.arange(len(key))
-            fresh = np.r_[True, variant[1:] != variant[:-1]]
-            start = np.maximum.accumulate(np.where(fresh, at, 0))
+            start = np.maximum.accumulate(np.where(np.r_[True, variant[1:] != variant[:-1]], at, 0))
             found = []
             for lag in range(1, LAGS + 1):
                 j = at[max(lag, old) :]
@@ -102,25 +112,29 @@ def neighbours(rows: DataFrame, check_bits: int | None, most: int) -> DataFrame:
             new = at[old:]
             found.append((new, start[new]))
             a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-            ok = (variant[a] == variant[b]) & (id[a] != id[b]) & (np.bitwise_count(bits[a] ^ bits[b]) <= most)
+            ok = (variant[a] == variant[b]) & (home[a] | home[b]) & (id[a] != id[b])
+            a, b = a[ok], b[ok]
+            ok = differing(bits[a] ^ bits[b]) <= most
             pair = [np.stack([id[a[ok]], id[b[ok]]], 1)]
             if hub is not None and old and start[old] == 0 and variant[old] == hub[0]:  # the variant began in an earlier batch
                 run_on = new[start[new] == 0]
-                near = run_on[(np.bitwise_count(bits[run_on] ^ hub[2]) <= most) & (id[run_on] != hub[1])]
+                near = run_on[(differing(bits[run_on] ^ hub[2]) <= most) & (id[run_on] != hub[1]) & (home[run_on] | hub[3])]
                 pair.append(np.stack([id[near], np.full(len(near), hub[1])], 1))
-            found_pairs = np.unique(np.sort(np.concatenate(pair), 1), axis=0)
-            runs, counts = np.unique(variant[old:], return_counts=True)
+            pairs = np.unique(np.sort(np.concatenate(pair), 1), axis=0)
+            runs, at, counts = np.unique(variant[old:], return_index=True, return_counts=True)
+            owners = np.add.reduceat(home[old:].astype(np.int64), at)
             if last is not None and runs[0] == last:
                 counts[0] += length
-            big = runs[counts > LAGS + 1]
+                owners[0] += homes
+            big = runs[(counts > LAGS + 1) & (owners > 1)]  # those with one at home come first in their variant and were compared with all
             if first is None:
                 first = runs[0]
-            length, last = int(counts[-1]), runs[-1]
+            length, homes, last = int(counts[-1]), int(owners[-1]), runs[-1]
             i = start[-1]
             if hub is None or hub[0] != variant[i]:
-                hub = (variant[i], id[i], bits[i])
+                hub = (variant[i], id[i], bits[i], home[i])
             key, id = key[-LAGS:], id[-LAGS:]
-            yield pd.DataFrame({"a": pd.array(np.r_[found_pairs[:, 0], np.zeros(len(big), np.int64)]), "b": np.r_[found_pairs[:, 1], np.zeros(len(big), np.int64)], "big": pd.array([None] * len(found_pairs) + big.tolist(), "Int64")})
+            yield pd.DataFrame({"a": pd.array(np.r_[pairs[:, 0], np.zeros(len(big), np.int64)]), "b": np.r_[pairs[:, 1], np.zeros(len(big), np.int64)], "big": pd.array([None] * len(pairs) + big.tolist(), "Int64")})
         if first is not None:
             edges = sorted({int(first), int(last)})
             yield pd.DataFrame({"a": 0, "b": 0, "big": pd.array(edges, "Int64")})
@@ -128,35 +142,30 @@ def neighbours(rows: DataFrame, check_bits: int | None, most: int) -> DataFrame:
     return rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id").mapInPandas(run, "a long, b long, big long")
 
 
-def once(parts: list[Callable[[Column], Column]], bits: int, variant: Column, x: Column, y: Column) -> Column:
-    """Whether the variant is the first that two fingerprints share: of the lowest segment with at most one differing bit, and of its lowest place."""
-    differ = F.array(*[F.bit_count(part(x).bitwiseXOR(part(y))) for part in parts])
-    size = (bits - 1).bit_length()
-    number, place = F.shiftright(variant, bits + size).cast("int"), F.shiftright(variant, bits).bitwiseAND((1 << size) - 1)
-    lowest = F.array_position(F.transform(differ, lambda d: d <= 1), True) - 1
-    return (lowest == number) & ((F.get(differ, number) == 1) | (place == 0))
-
-
-def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int | None, most: int, wide: DataFrame | None, parts: list[Callable[[Column], Column]], bits_each: int) -> DataFrame:
+def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int, most: int, wide: DataFrame | None, parts: list[Callable[[Column], Column]], bits_each: int) -> DataFrame:
     """Candidate links (a, b) inside big variants between different components: every member outside a variant's largest component against all its others.
 
-    A pair is taken in the first variant that it shares. Were that one not big, or held by one component, the pair would have been compared, or linked, before.
+    A pair is taken in its first segment of at most one differing bit. Were the variant of that one not big, or held by one component, the pair would have
+    been compared, or linked, before. A variant of very many rows is dealt out by salts.
     """
-    variant = F.col("key") if check_bits is None else F.shiftright("key", check_bits)
-    bits = F.col("id") if check_bits is None else F.col("key").bitwiseAND((1 << check_bits) - 1)
-    members = only(rows.select(variant.alias("variant"), "id", bits.alias("bits")), "variant", big.select("big").distinct())
-    members = members.join(label, "id", "left").select("variant", "id", "bits", F.coalesce("component", "id").alias("component"))
-    sizes = members.groupBy("variant", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("variant").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
-    members = members.join(mixed.select("variant", "main"), "variant")
+    bits = F.col("key").bitwiseAND((1 << check_bits) - 1) if check_bits else F.col("id")
+    members = only(rows.select(F.shiftright("key", check_bits + 1).alias("variant"), (F.shiftright("key", check_bits).bitwiseAND(1) == 0).alias("home"), "id", bits.alias("bits")), big.select(F.col("big").alias("variant")).distinct())
+    members = members.join(label, "id", "left").select("variant", "home", "id", "bits", F.coalesce("component", "id").alias("component"))
+    sizes = members.groupBy("variant", "component").agg(F.count("*").alias("n"), F.count_if("home").alias("homes"))
+    mixed = sizes.groupBy("variant").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("homes").alias("homes"), F.sum("n").alias("n")).where("parts > 1 AND homes > 0")
+    salts = F.ceil(F.col("n") / SALTED_ROWS).cast("int")
+    members = members.join(mixed.select("variant", "main", salts.alias("salts")), "variant")
     members = cut(members.withColumn("fp", F.col("id")) if wide is None else members.join(wide, "id"), "members")
-    few, every = members.where("component <> main").alias("x"), members.alias("y")
-    near = (F.col("x.component") != F.col("y.component")) & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= most)
-    near = near & once(parts, bits_each, F.col("x.variant"), F.col("x.fp"), F.col("y.fp"))
-    return few.join(every, (F.col("x.variant") == F.col("y.variant")) & near).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    few = members.where("component <> main").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("x")
+    every = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).alias("y")
+    near = (F.col("x.component") != F.col("y.component")) & (F.col("x.home") | F.col("y.home")) & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= most)
+    differ = F.array(*[F.bit_count(part(F.col("x.fp")).bitwiseXOR(part(F.col("y.fp")))) for part in parts])
+    near = near & (F.array_position(F.transform(differ, lambda d: d <= 1), True) - 1 == F.shiftright("x.variant", bits_each))
+    found = few.join(every, (F.col("x.variant") == F.col("y.variant")) & (F.col("x.salt") == F.col("y.salt")) & near)
+    return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def linked(rows: DataFrame, check_bits: int | None, most: int, parts: list[Callable[[Column], Column]], bits_each: int, wide: DataFrame | None = None, verify: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None) -> DataFrame:
+def linked(rows: DataFrame, check_bits: int, most: int, parts: list[Callable[[Column], Column]], bits_each: int, wide: DataFrame | None = None, verify: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None) -> DataFrame:
     """rows(key, id) -> (id, component) of all ids with a link. parts: the segments of a fingerprint (of wide(id, fp); None: of the id itself).
     verify(candidates, labels so far) gives the true links; None: all candidates are."""
     verify = verify or (lambda pairs, _: pairs)
@@ -166,16 +175,20 @@ def linked(rows: DataFrame, check_bits: int | None, most: int, parts: list[Calla
     more = cut(verify(across(rows, near.where("big IS NOT NULL"), label, check_bits, most, wide, parts, bits_each), label), "found")
     if not more.isEmpty():
         label = components(links.union(more))
-    drop_cut(near)
+    drop_cuts(near, links, more)
     return label
 
 
-def wildcards(segment: Column, number: Column, bits: int) -> Column:
-    """The keys of a segment's variants: segment number, wildcard's place, and the bits with that one cleared."""
-    place = F.sequence(F.lit(0), F.lit(bits - 1))
-    size = (bits - 1).bit_length()
-    head = lambda j: F.call_function("shiftleft", number.cast("long") * (1 << size) + j.cast("long"), F.lit(bits))
-    return F.transform(place, lambda j: head(j).bitwiseOR(segment.bitwiseAND(F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), j)))))
+def variants(segment: Column, number: int, bits: int) -> Column:
+    """The segment's own variant and those it visits: segment number, value, and a last bit that is set for visits."""
+    own = F.lit(number).cast("long") * (1 << bits) + segment
+    unset = F.filter(F.transform(F.sequence(F.lit(0), F.lit(bits - 1)), lambda j: F.call_function("shiftleft", F.lit(1).cast("long"), j)), lambda b: segment.bitwiseAND(b) == 0)
+    return F.concat(F.array(own * 2), F.transform(unset, lambda b: (own + b) * 2 + 1))
+
+
+def spread(nodes: DataFrame) -> DataFrame:
+    """nodes in as many tasks as a shuffle has: each makes many keys of a row, so few files must not mean few tasks."""
+    return nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", k: int = 3, most: int = 3) -> DataFrame:
@@ -184,12 +197,11 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", k: in
         raise ValueError("two segments serve distances up to 3")
     make = lambda ts: pd.DataFrame({"fp": [fingerprint(t, k) for t in ts]})
     prints = cut(by_text(df, make, "fp long", [id], text), "prints")
-    nodes = prints.groupBy("fp").agg(F.min(id).alias("least"))
+    nodes = prints.groupBy(F.col("fp").alias("id")).agg(F.min(id).alias("least"))
     halves = [lambda fp: fp.bitwiseAND(0xFFFFFFFF), lambda fp: F.shiftrightunsigned(fp, 32)]
-    keys = F.concat(*[wildcards(half(F.col("fp")), F.lit(i), 32) for i, half in enumerate(halves)])
-    rows = nodes.select(F.explode(keys).alias("key"), F.col("fp").alias("id"))
-    label = linked(rows, None, most, halves, 32)
-    named = nodes.join(label, nodes["fp"] == label["id"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    keys = F.concat(*[variants(half(F.col("id")), i, 32) for i, half in enumerate(halves)])
+    label = linked(spread(nodes).select(F.explode(keys).alias("key"), "id"), 0, most, halves, 32)
+    named = nodes.join(label, "id", "left").select(F.col("id").alias("fp"), "least", F.coalesce("component", "id").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     classes = named.join(smallest, "component").select("fp", "component_id")
     return prints.join(classes, "fp").select(id, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -218,70 +230,81 @@ def jaccard(a: str | None, b: str | None, k: int) -> float:
     return both / (len(x) + len(y) - both)
 
 
+def node(text: Column) -> Column:
+    """What stands for a text: a hash, so that equal texts are one node whatever their ids."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def similar_groups(df: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, least: float = 0.8) -> DataFrame:
-    """(id, component): the smallest id of its group for every non-null id, groups being linked by equal texts or a Jaccard similarity of k-word shingles of at least `least`.
+    """(id, node, component, first): for every row with an id its text's node, the smallest id of its group, and whether it is that id's row
+    (with the least node, should it have several texts). Groups are linked by equal texts or a Jaccard similarity of k-word shingles of at least `least`.
 
     Candidates share a one-wildcard variant of one of SEGMENTS segments; a pair at similarity 0.8 does with probability 0.95, at 0.85 with 0.99,
     at 0.9 with 0.999. Each candidate is verified on whole texts, closest first; pairs whose groups have meanwhile been linked need no verifying.
     """
-
-    def make(ts: list[str | None]) -> pd.DataFrame:
-        return pd.DataFrame({"digest": [hashlib.sha256((t or "").encode("utf-8", "surrogatepass")).digest()[:16] for t in ts], "fp": [wide_fingerprint(t, k, WORDS) for t in ts]})
-
-    prints = cut(by_text(df.where(F.col(f"`{id}`").isNotNull()), make, "digest binary, fp array<long>", [id], text), "prints")
-    nodes = cut(prints.groupBy("digest").agg(F.min(id).cast("long").alias("id"), F.any_value("fp").alias("fp")), "nodes")
+    known = df.where(F.col(f"`{id}`").isNotNull()).select(F.col(f"`{id}`").alias("id"), node(F.col(f"`{text}`")).alias("node"), F.col(f"`{text}`").alias("text"))
+    make = lambda ts: pd.DataFrame({"fp": [wide_fingerprint(t, k, WORDS) for t in ts]})
+    prints = cut(by_text(known, make, "fp array<long>", ["id", "node"]), "prints")
+    nodes = cut(prints.groupBy(F.col("node").alias("id")).agg(F.any_value("fp").alias("fp")), "nodes")
     check = F.shiftrightunsigned(F.get("fp", F.lit(WORDS - 1)), 64 - CHECK)
-    head = lambda keys: F.transform(keys, lambda x: F.shiftleft(x, CHECK).bitwiseOR(check))
-    keys = F.concat(*[head(wildcards(segment(F.col("fp"), i), F.lit(i), BITS)) for i in range(SEGMENTS)])
-    rows = nodes.select(F.explode(keys).alias("key"), "id")
+    keys = F.concat(*[variants(segment(F.col("fp"), i), i, BITS) for i in range(SEGMENTS)])
+    rows = spread(nodes).select(F.explode(F.transform(keys, lambda x: F.shiftleft(x, CHECK).bitwiseOR(check))).alias("key"), "id")
     wide = nodes.select("id", "fp")
     apart = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    held: list[DataFrame] = []
 
     def verify(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
         pairs = pairs.join(wide.toDF("a", "fa"), "a").join(wide.toDF("b", "fb"), "b").select("a", "b", apart.alias("bits")).where(F.col("bits") <= WIDE_MOST)
         pairs = cut(pairs, "pairs")
         best = pairs.select("a", F.struct("bits", "b").alias("x"), "b").union(pairs.select(F.col("b"), F.struct("bits", "a"), F.col("a"))).toDF("a", "x", "b").groupBy("a").agg(F.min("x").alias("x"))
         chosen = best.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
-        one = cut(_similar(chosen, df, id, text, k, least), "similar")
+        one = cut(_similar(chosen, known, k, least), "similar")
         have = components(one if label is None else one.union(label.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))))
         rest = pairs.join(chosen, ["a", "b"], "left_anti")
         side = lambda x: have.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
         rest = rest.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-        return one.union(_similar(rest, df, id, text, k, least))
+        held.extend((pairs, one))
+        return one.union(_similar(rest, known, k, least))
 
     parts = [partial(segment, i=i) for i in range(SEGMENTS)]
     label = linked(rows, CHECK, CHECK_MOST, parts, BITS, wide, verify)
-    named = nodes.join(label, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
-    return prints.join(named, "digest").select(F.col(id).alias("id"), "component")
+    drop_cuts(*held)
+    named = prints.groupBy("node").agg(F.min("id").alias("least")).join(label.withColumnRenamed("id", "node"), "node", "left").select("node", "least", F.coalesce("component", "node").alias("group"))
+    heads = named.groupBy("group").agg(F.min(F.struct("least", "node")).alias("head"))
+    classes = named.join(heads, "group").select("node", "head")
+    return prints.select("id", "node").join(classes, "node").select("id", "node", F.col("head.least").alias("component"), ((F.col("id") == F.col("head.least")) & (F.col("node") == F.col("head.node"))).alias("first"))
 
 
-def _similar(pairs: DataFrame, df: DataFrame, id: str, text: str, k: int, least: float) -> DataFrame:
-    """The pairs (a, b) of ids whose texts reach the similarity."""
+def _similar(pairs: DataFrame, known: DataFrame, k: int, least: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts reach the similarity."""
     pairs = cut(pairs, "verify")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = only(df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t")), "id", ids).dropDuplicates(["id"])
+    ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = only(known.select("node", "text"), ids).dropDuplicates(["node"])  # equal texts
     both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            ok = [jaccard(x, y, k) >= least for x, y in zip(pdf["ta"], pdf["tb"], strict=True)]
-            yield pdf.loc[ok, ["a", "b"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [jaccard(x.as_py(), y.as_py(), k) >= least for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True)]
+            yield pa.RecordBatch.from_arrays([pc.filter(batch.column(c), pa.array(ok, pa.bool_())) for c in "ab"], names=["a", "b"])
 
-    return both.mapInPandas(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long")
 
 
-def only(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows of df with (left_semi) or without (left_anti) one of the ids, by a broadcast of ids whose number is checked, else by a shuffle."""
-    ids = cut(ids.toDF(column), "ids")
-    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, column, how)
+def only(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of df with (left_semi) or without (left_anti) one of the keys, by a broadcast of keys whose number is checked, else by a shuffle."""
+    ids = cut(ids, "ids")
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, ids.columns, how)
 
 
 def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, least: float = 0.8) -> DataFrame:
-    """df with the row of the smallest id of every group; rows with a null id stay, of rows with one id the one with the least text digest stays."""
+    """df with the row of the smallest id of every group; rows with a null id stay, and of equal rows of that id and text any one."""
     groups = cut(similar_groups(df, id, text, k, least), "groups")
-    kept = only(df, id, groups.where("id <> component").select("id"), "left_anti")
-    repeated = groups.groupBy("id").count().where("count > 1").select("id")
-    if repeated.isEmpty():
-        return kept
-    twice = only(kept, id, repeated).orderBy(id, F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256)).dropDuplicates([id])
-    return only(kept, id, repeated, "left_anti").unionByName(twice)
+    names = {"id": "__near_id", "node": "__near_node"}
+    keys = lambda rows: rows.select(*[F.col(a).alias(b) for a, b in names.items()])
+    keyed = df.withColumns({"__near_id": F.col(f"`{id}`"), "__near_node": node(F.col(f"`{text}`"))})
+    kept = only(keyed, keys(groups.where("not first")).distinct(), "left_anti")
+    repeated = cut(keys(groups.where("first").groupBy("id", "node").count().where("count > 1")), "repeated")
+    if not repeated.isEmpty():
+        twice = only(kept, repeated).dropDuplicates(list(names.values()))
+        kept = only(kept, repeated, "left_anti").unionByName(twice)
+    return kept.drop(*names.values())

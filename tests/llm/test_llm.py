@@ -149,18 +149,53 @@ def test_simhash_equals_brute_force(spark):
     assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows} == {i: (f"{f:016x}", label[i]) for i, f in want.items()}
 
 
-def test_close_fingerprints_in_one_crowded_variant_are_all_linked(spark):
-    """Many fingerprints that share a half: links inside must be found although most pairs are far."""
+def labels_of(spark, prints):
+    halves = [lambda fp: fp.bitwiseAND(0xFFFFFFFF), lambda fp: F.shiftrightunsigned(fp, 32)]
+    nodes = spark.createDataFrame([(p - (p >> 63 << 64),) for p in prints], "id long")
+    keys = F.concat(*[simhash.variants(h(F.col("id")), i, 32) for i, h in enumerate(halves)])
+    got = {x["id"] % 2**64: x["component"] % 2**64 for x in simhash.linked(nodes.select(F.explode(keys).alias("key"), "id"), 0, 3, halves, 32).collect()}
+    groups = {}
+    for p in prints:
+        groups.setdefault(got.get(p, p), set()).add(p)
+    return sorted(map(sorted, groups.values()))
+
+
+def groups_of(prints):
+    label, groups = components_of(prints, [(a, b) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= 3]), {}
+    for p in prints:
+        groups.setdefault(label[p], set()).add(p)
+    return sorted(map(sorted, groups.values()))
+
+
+def test_close_fingerprints_in_one_crowded_variant_are_all_linked(spark, monkeypatch):
+    """Many fingerprints that share a half: links inside must be found although most pairs are far, also when the variant is salted."""
     r = random.Random(4)
     low = 0x1234ABCD
-    prints = [(r.getrandbits(31) << 32) | low for _ in range(150)]
-    prints += [p ^ (1 << 40) ^ (1 << 50) ^ (1 << 3) for p in prints[::3]]
-    halves = [lambda fp: fp.bitwiseAND(0xFFFFFFFF), lambda fp: F.shiftrightunsigned(fp, 32)]
-    nodes = spark.createDataFrame([(p,) for p in prints], "fp long")
-    keys = F.concat(*[simhash.wildcards(h(F.col("fp")), F.lit(i), 32) for i, h in enumerate(halves)])
-    got = {x["id"]: x["component"] for x in simhash.linked(nodes.select(F.explode(keys).alias("key"), F.col("fp").alias("id")), None, 3, halves, 32).collect()}
-    want = components_of(prints, [(a, b) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= 3])
-    assert {p: got.get(p, p) for p in prints} == want
+    prints = [(r.getrandbits(32) << 32) | low for _ in range(150)]
+    prints += [p ^ (1 << 63) ^ (1 << 50) ^ (1 << 3) for p in prints[::3]]
+    want = groups_of(prints)
+    assert labels_of(spark, prints) == want
+    monkeypatch.setattr(simhash, "SALTED_ROWS", 40)
+    assert labels_of(spark, prints) == want
+
+
+def test_the_sign_bit_counts_like_others(spark):
+    """Pairs 3 bits apart with bit 63 among them are linked; complements and pairs of 4 bits are not."""
+    r = random.Random(9)
+    base = [r.getrandbits(64) for _ in range(40)]
+    near = [p ^ (1 << 63) ^ (1 << 33) ^ (1 << 20) for p in base[:20]]
+    far = [p ^ (1 << 63) ^ (1 << 62) ^ (1 << 21) ^ (1 << 20) for p in base[20:30]] + [p ^ (2**64 - 1) for p in base[30:]]
+    far += [0x0000000112345678, 0xFFFFFFFE12345678]
+    assert labels_of(spark, base + near + far) == groups_of(base + near + far)
+
+
+def test_components_equal_brute_force_on_the_documents(spark):
+    rows = simhash.near_duplicates(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    prints = np.array([int(r["fingerprint"], 16) for r in rows], np.uint64)
+    ids = [r["doc_id"] for r in rows]
+    close = [np.flatnonzero(np.bitwise_count(prints ^ p) <= 3) for p in prints]
+    label = components_of(ids, [(ids[i], ids[j]) for i, js in enumerate(close) for j in js if j < i])
+    assert {r["doc_id"]: r["component_id"] for r in rows} == label
 
 
 def test_components_of_chains_and_stars(spark):
@@ -192,6 +227,34 @@ def test_texts_that_differ_in_how_often_a_line_recurs_are_found(spark):
     assert got == {i: i - i % 2 for i in range(len(texts))}
 
 
+def test_pair_recall_by_band_of_similarity(spark):
+    """Pairs of single texts at a known similarity: at least 0.9 of them are found in every band."""
+    r = random.Random(31)
+    texts, bands = [], []
+    for i in range(450):
+        body = [str(r.random()) for _ in range(400)]
+        changes = (16, 10, 6)[i % 3]  # a changed word takes five shingles with it
+        other = list(body)
+        for at in r.sample(range(5, 395, 10), changes // 2) + [0] * (changes % 2):
+            other[at] = "x" + other[at]
+        for at in r.sample(range(0, 395, 10), changes - changes // 2):
+            other[at] = "y" + other[at]
+        texts += [" ".join(body), " ".join(other)]
+        bands.append(int(simhash.jaccard(texts[-2], texts[-1], 5) * 20) / 20)
+    got = {x["id"]: x["component"] for x in simhash.similar_groups(frame(spark, texts)).collect()}
+    for band in sorted({b for b in bands if b >= 0.8}):
+        hits = [got[2 * i] == got[2 * i + 1] for i, b in enumerate(bands) if b == band]
+        assert sum(hits) >= 0.9 * len(hits), (band, sum(hits), len(hits))
+    assert all(got[2 * i] != got[2 * i + 1] for i, b in enumerate(bands) if b < 0.8)
+
+
+def test_ids_of_several_texts_and_text_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = spark.createDataFrame([("k1", a, 1), ("k1", b, 2), ("k0", c, 3), ("k2", a, 4), ("k1", a, 5), (None, a, 6), (None, a, 7)], "doc_id string, text string, __near_id int")
+    kept = simhash.one_of_each(rows.withColumnRenamed("__near_id", "other"))
+    assert sorted((r["doc_id"] or "", r["text"]) for r in kept.collect()) == sorted([("k1", a), ("k1", b), ("k0", c), ("", a), ("", a)])
+
+
 def test_sketch_differences_are_exact(spark):
     r = random.Random(5)
     cases = [(sorted(r.sample(range(10**6), r.randint(0, 40))), r.sample(range(10**6), r.randint(0, 40))) for _ in range(20)] + [([], []), ([1, 2], [2, 1])]
