@@ -2,7 +2,8 @@
 
 Every round each vertex points at the one of its closed neighbourhood that a hash of vertex and round ranks lowest; links
 are rewritten to those and loops and repeats drop out. The links shrink by a constant factor a round, whatever their shape (chains, stars),
-and every round starts from files in the shared folder. Labels are composed backwards at the end.
+and every round starts from files in the shared folder. A vertex of very many links is summed up before the shuffle, and its
+joins are split by adaptive execution. Labels are composed backwards at the end.
 """
 
 from __future__ import annotations
@@ -13,18 +14,23 @@ from pyspark.sql import functions as F
 from fieldseries.llm.common import cut, drop_cut
 
 
+#: A task of a round works on about so many links; a round has at least so many tasks.
+LINKS, TASKS = 200_000, 8
+
+
 def components(links: DataFrame) -> DataFrame:
     """links(a long, b long) -> (id, component): the smallest id reachable, for every id that occurs in a link."""
     work = cut(links.select("a", "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     steps: list[DataFrame] = []
-    while not work.isEmpty():
+    while (n := work.count()) > 0:
+        tasks = max(TASKS, n // LINKS)  # as the links shrink, so do the files of a round
         rank = lambda c: F.struct(F.xxhash64(F.lit(len(steps)), c), F.col(c).alias("v"))
         both = work.select("a", "b").union(work.select(F.col("b"), F.col("a")))
         points = both.groupBy("a").agg(F.min(rank("b")).alias("low")).select("a", F.least(F.col("low"), rank("a"))["v"].alias("to"))
-        step = cut(points, "points")
+        step = cut(points.coalesce(tasks), "points")
         steps.append(step)
         moved = work.join(step.withColumnRenamed("to", "x"), "a").select("x", "b").join(step.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
-        less = cut(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        less = cut(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().coalesce(tasks), "links")
         drop_cut(work)
         work = less
     drop_cut(work)
