@@ -70,3 +70,28 @@ def utm_epsg(tile: Column) -> Column:
 
 def compactness(perimeter: Column, area: Column) -> Column:
     return perimeter * perimeter / (4 * F.pi() * area)
+
+
+def half_even(x: Column, digits: int = 0) -> Column:
+    """Rounding of arrays of doubles, halves to the even neighbour; SQL's own round takes halves away from zero."""
+    return F.rint(x * 10.0**digits) / 10.0**digits
+
+
+def version_name(prefix: str, date: Column | None = None) -> Column:
+    """a version's name by its day."""
+    return F.concat(F.lit(f"{prefix}_"), F.date_format(F.current_date() if date is None else date, "yyyyMMdd"))
+
+
+def tile_pair(tile: Column, pairs: dict[str, str]) -> Column:
+    """The strip of a tile; null for a tile that is in none."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for item in pairs.items() for x in item]), tile)
+
+
+def without_nodata(x: Column, nodata: float = -9999.0) -> Column:
+    """The composites' nodata as NULL."""
+    return F.nullif(x, F.lit(nodata))
+
+
+def group_code(group: Column) -> Column:
+    """P10: the group as a number; text that is none raises (crop_class takes it as unknown instead)."""
+    return group.cast("int")

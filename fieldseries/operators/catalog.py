@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldseries.functions.columns import month
+from fieldseries.functions.columns import half_even, month, tile_pair
 
 
 def retained(scenes: DataFrame, least: float = 0.01) -> DataFrame:
@@ -32,9 +32,33 @@ def daily(scenes: DataFrame) -> DataFrame:
     return scenes.groupBy("date").agg(F.count("*").alias("n_scenes"), (F.bool_or(F.col("pair") == "nord") & F.bool_or(F.col("pair") == "sud")).alias("complet"))
 
 
-def days(first: Column, last: Column, df: DataFrame) -> DataFrame:
-    """One row per day of one row's range."""
-    return df.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date"))
+def every_day(daily_: DataFrame, first: str, last: str) -> DataFrame:
+    """Every day of a window, both ends included, with its scenes (0) and whether it is full (false)."""
+    days = daily_.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("date"))
+    return days.join(daily_, "date", "left").select("date", F.coalesce("n_scenes", F.lit(0)).alias("n_scenes"), F.coalesce("complet", F.lit(False)).alias("complet"))
+
+
+def strips(north: DataFrame, south: DataFrame) -> DataFrame:
+    """Two series of days side by side, false where a day is missing in one."""
+    one = lambda df, name: df.select("date").distinct().withColumn(name, F.lit(True))
+    both = one(north, "nord").join(one(south, "sud"), "date", "full")
+    return both.select("date", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("nord", "sud")])
+
+
+def selected(scenes: DataFrame, tiles: list[str], first: str, last: str, pairs: dict[str, str]) -> DataFrame:
+    """Scenes of some tiles and days (both ends included) with their strip, by time and tile. The filters reach the scan."""
+    found = scenes.where(F.col("tile_id").isin(tiles) & F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return found.withColumn("pair", tile_pair(F.col("tile_id"), pairs)).orderBy("date", "tile_id", "scene_id")
+
+
+def scenes_by_orbit(scenes: DataFrame) -> DataFrame:
+    """Scenes per tile, strip and orbit."""
+    return scenes.groupBy("tile_id", "pair", "orbit_relative").agg(F.count("*").alias("n"))
+
+
+def repeated_days(scenes: DataFrame) -> DataFrame:
+    """Tiles and dates with more than one scene."""
+    return scenes.groupBy("tile_id", "date").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def monthly_availability(scenes: DataFrame) -> DataFrame:
@@ -46,14 +70,14 @@ def monthly_availability(scenes: DataFrame) -> DataFrame:
     length = F.day(F.last_day("m"))
     zero = {c: F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_scenes", "n_jours", "n_jours_complets")}
     made = months.join(sums, "m", "left").select("m", *zero.values())
-    return made.select(month(F.col("m")).alias("mois"), *zero, length.alias("jours_mois"), F.round(100 * F.col("n_jours") / length, 1).alias("pct_jours"), F.round(100 * F.col("n_jours_complets") / length, 1).alias("pct_complets"))
+    return made.select(month(F.col("m")).alias("mois"), *zero, length.alias("jours_mois"), half_even(100 * F.col("n_jours") / length, 1).alias("pct_jours"), half_even(100 * F.col("n_jours_complets") / length, 1).alias("pct_complets"))
 
 
 def window_totals(scenes: DataFrame, first: str, last: str) -> DataFrame:
     """Days of the window (both ends included), days with a scene, their share."""
     covered = scenes.where(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).agg(F.count_distinct("date").alias("n_couverts"))
     n = F.datediff(F.lit(last).cast("date"), F.lit(first).cast("date")) + 1
-    return covered.select(n.alias("n_jours"), "n_couverts", F.round(100 * F.col("n_couverts") / n, 1).alias("pct"))
+    return covered.select(n.alias("n_jours"), "n_couverts", half_even(100 * F.col("n_couverts") / n, 1).alias("pct"))
 
 
 def orbits_per_tile(scenes: DataFrame) -> DataFrame:
@@ -61,6 +85,6 @@ def orbits_per_tile(scenes: DataFrame) -> DataFrame:
     return scenes.groupBy("tile_id").agg(F.array_join(F.sort_array(F.collect_set("orbit_relative")), ",").alias("orbites"))
 
 
-def latest_by_window(scenes: DataFrame, keys: list[str], order: str = "scene_id") -> DataFrame:
-    """The same choice with an explicit row number, where a rank is wanted too."""
-    return scenes.withColumn("rang", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order))))
+def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Of each key the first row by the named columns, and its rang (1); the order must tell rows apart for equal results."""
+    return rows.withColumn("rang", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("rang = 1")

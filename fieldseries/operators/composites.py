@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldseries.functions.columns import month
+from fieldseries.functions.columns import half_even, month
 
 
 def two_stage_median(pixels: DataFrame, pixel: list[str], date: str = "date", value: str = "value") -> DataFrame:
@@ -19,7 +19,7 @@ def coverage(pixels: DataFrame, grid: DataFrame, pixel: list[str], date: str = "
     dated = pixels.groupBy(month(F.col(date)).alias("mois"), *pixel).agg(F.count_distinct(date).alias("n")).where("n > 0")
     covered = dated.join(grid.select(*pixel).distinct(), pixel, "left_semi").groupBy("mois").agg(F.count("*").alias("covered"))
     total = grid.select(*pixel).distinct().agg(F.count("*").alias("total"))
-    return covered.crossJoin(F.broadcast(total)).select("mois", F.round(100 * (F.col("total") - F.col("covered")) / F.col("total"), 1).alias("pct_pixels_0_date"))  # one row
+    return covered.crossJoin(F.broadcast(total)).select("mois", half_even(100 * (F.col("total") - F.col("covered")) / F.col("total"), 1).alias("pct_pixels_0_date"))  # one row
 
 
 def valid_fraction(pixels: DataFrame, scene: list[str], present: str, invalid: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldseries.operators import catalog, geo
+
 
 def zscore(features: DataFrame, feature: str = "feature", value: str = "value") -> DataFrame:
     """(x - mean) / population std per feature over all rows; a std of 0 counts as 1. Features are few: their statistics are broadcast."""
@@ -43,6 +45,21 @@ def rates(flagged: DataFrame, classe: str = "classe") -> DataFrame:
     return flagged.groupBy(classe).agg(F.count_if("divergent").alias("n_div"), (F.count_if("divergent") / F.count("*")).alias("taux"))
 
 
-def seam_flag(distance, limit: float = 2000.0):  # noqa: ANN001, ANN201
-    """Nearer than the limit to a boundary of orbits; unknown distances are not."""
-    return F.coalesce(distance < limit, F.lit(False))
+# The tile and the two orbits whose seam is looked at, and how near to it counts, in metres.
+SEAM_TILE, SEAM_ORBITS, SEAM_METRES = "30UYV", (51, 94), 2000.0
+
+
+def seam_scenes(scenes: DataFrame, tile: str = SEAM_TILE, orbits: tuple[int, int] = SEAM_ORBITS) -> DataFrame:
+    """Of each of the two orbits over a tile the first non-null value of every column by falling valid fraction."""
+    found = scenes.where((F.col("tile_id") == tile) & F.col("orbit_relative").isin(*orbits))
+    rank = F.struct(F.coalesce("f_valid_aoi", F.lit(-1.0)).alias("f"), "scene_id")
+    return catalog.first_nonnull(found.withColumn("__o", rank), ["orbit_relative"], ["__o"]).drop("__o")
+
+
+def seam_flag(parcels: DataFrame, footprints: DataFrame, id: str, boundary: str = "boundary", limit: float = SEAM_METRES) -> DataFrame:
+    """parcels(id, cx, cy, ...) with the distance to the nearest of the orbits' boundaries (rings in metres; two rows) and whether it is
+    below the limit. Without footprints the distance is null and the flag false, and the run goes on."""
+    lines = footprints.agg(F.collect_list(boundary).alias("__lines"))  # one row of two rings
+    away = F.array_min(F.transform("__lines", lambda line: geo.distance_to_line(line, F.col("cx"), F.col("cy"))))
+    out = parcels.drop("dist_raccord", "zone_raccord_orbital").crossJoin(F.broadcast(lines)).withColumn("dist_raccord", away).drop("__lines")
+    return out.withColumn("zone_raccord_orbital", F.coalesce(F.col("dist_raccord") < limit, F.lit(False)))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import Column
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The Lambert-93 conic (EPSG:2154): ellipsoid, parallels, origin, false easting and northing.
@@ -106,3 +109,161 @@ def from_lambert93(x: Column, y: Column, rounds: int = 6) -> Column:
     step = lambda phi, _: 2 * F.atan(F.exp(iso + (E / 2) * F.log((1 + E * F.sin(phi)) / (1 - E * F.sin(phi))))) - F.pi() / 2
     phi = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), 2 * F.atan(F.exp(iso)) - F.pi() / 2, step)
     return F.struct(F.degrees(LON0 + F.atan((x - XS) / (YS - y)) / N_CONE).alias("lon"), F.degrees(phi).alias("lat"))
+
+
+def ring_of(points: list[tuple[float, float]]) -> Column:
+    """A ring of fixed points."""
+    return F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in points])
+
+
+def _turn(a: Column, b: Column, c: Column) -> Column:
+    return F.signum((b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"]))
+
+
+def _between(a: Column, b: Column, c: Column) -> Column:
+    """c, on the line through a and b, lies within their box."""
+    return c["x"].between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & c["y"].between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
+
+
+def _cut(s: Column, t: Column) -> Column:
+    """Two sides have a point in common."""
+    p, q, r, o = s["p"], s["q"], t["p"], t["q"]
+    a, b, c, d = _turn(p, q, r), _turn(p, q, o), _turn(r, o, p), _turn(r, o, q)
+    touch = ((a == 0) & _between(p, q, r)) | ((b == 0) & _between(p, q, o)) | ((c == 0) & _between(r, o, p)) | ((d == 0) & _between(r, o, q))
+    return ((a != b) & (c != d) & (a * b <= 0) & (c * d <= 0)) | touch
+
+
+def envelopes_meet(a: Column, b: Column) -> Column:
+    return (a["xmin"] <= b["xmax"]) & (a["xmax"] >= b["xmin"]) & (a["ymin"] <= b["ymax"]) & (a["ymax"] >= b["ymin"])
+
+
+def intersects(a: Column, b: Column) -> Column:
+    """Two rings have a point in common: sides meet, or one lies within the other."""
+    meet = F.exists(_sides(a), lambda s: F.exists(_sides(b), lambda t: _cut(s, t)))
+    p, q = F.element_at(a, 1), F.element_at(b, 1)
+    return envelopes_meet(envelope(a), envelope(b)) & (meet | contains(b, p["x"], p["y"]) | contains(a, q["x"], q["y"]))
+
+
+def valid(ring: Column) -> Column:
+    """Closed, with an area, and no two sides meet but neighbours in their common point. Repair is left to the source."""
+    n = F.size(ring) - 1
+    numbered = F.transform(_sides(ring), lambda s, i: F.struct(s["p"].alias("p"), s["q"].alias("q"), i.alias("i")))
+    apart = lambda s, t: (t["i"] > s["i"] + 1) & ~((s["i"] == 0) & (t["i"] == n - 1))
+    crossed = F.exists(numbered, lambda s: F.exists(numbered, lambda t: apart(s, t) & _cut(s, t)))
+    return closed(ring) & (area(ring) > 0) & ~crossed
+
+
+def wrong_srid(df: DataFrame, srid: str, expected: int = 2154) -> DataFrame:
+    """Rows whose reference system is not the expected one, null included, in one row."""
+    return df.agg(F.count("*").alias("n"), F.count_if(~F.col(srid).eqNullSafe(F.lit(expected))).alias("n_faux"))
+
+
+def dissolve(parts: DataFrame, id: str, ring: str = "ring") -> DataFrame:
+    """Per id one array of its rings (the parts of one parcel, in a fixed order)."""
+    return parts.groupBy(id).agg(F.sort_array(F.collect_list(ring)).alias("rings"))
+
+
+#: An area of interest has at most so many rings; more would have to be joined by cells.
+MOST_AREAS = 1000
+
+
+def in_areas(parcels: DataFrame, areas: DataFrame, ring: str = "ring", area_ring: str = "aoi") -> DataFrame:
+    """Parcels, whole, with every area that they meet (an inner join: a parcel in two areas has two rows). The few areas are counted, then broadcast;
+    parcels(xmin, ymin, xmax, ymax) from with_envelope are compared by their boxes first."""
+    n = areas.limit(MOST_AREAS + 1).count()
+    if n > MOST_AREAS:
+        raise ValueError(f"more than {MOST_AREAS} areas")
+    few = areas.withColumn("__a", envelope(F.col(area_ring)))
+    near = (F.col("xmin") <= F.col("__a.xmax")) & (F.col("xmax") >= F.col("__a.xmin")) & (F.col("ymin") <= F.col("__a.ymax")) & (F.col("ymax") >= F.col("__a.ymin"))
+    return parcels.join(F.broadcast(few), near & intersects(F.col(ring), F.col(area_ring))).drop("__a")
+
+
+def to_geojson(ring: Column) -> Column:
+    """The text of a polygon."""
+    return F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(ring, lambda p: F.array(p["x"], p["y"]))).alias("coordinates")))
+
+
+def wkt_ring(text: Column) -> Column:
+    """The points of the first ring of a POLYGON, or of a LINESTRING."""
+    first = F.regexp_extract(text, r"\(+([^()]*)\)", 1)
+    numbers = lambda pair: F.transform(F.split(F.trim(pair), r"\s+"), lambda x: x.cast("double"))
+    return F.transform(F.split(first, ","), lambda pair: F.struct(F.get(numbers(pair), 0).alias("x"), F.get(numbers(pair), 1).alias("y")))
+
+
+def footprint(text: Column) -> Column:
+    """A catalogue's footprint ("geography'SRID=4326;POLYGON((...))'") as WKT."""
+    return F.regexp_replace(F.element_at(F.split(text, ";", 2), -1), "'$", "")
+
+
+def reproject(ring: Column, to: str = "metres") -> Column:
+    """A ring between degrees and metres of Lambert-93."""
+    if to == "metres":
+        return F.transform(ring, lambda p: lambert93(p["x"], p["y"]))
+    at = lambda p: from_lambert93(p["x"], p["y"])
+    return F.transform(F.transform(ring, at), lambda d: F.struct(d["lon"].alias("x"), d["lat"].alias("y")))
+
+
+def lambert93_point(lon: float, lat: float) -> tuple[float, float]:
+    """G06 for one point of the driver's."""
+    phi = math.radians(lat)
+    iso = math.log(math.tan(math.pi / 4 + phi / 2)) + (E / 2) * math.log((1 - E * math.sin(phi)) / (1 + E * math.sin(phi)))
+    r, gamma = C_CONE * math.exp(-N_CONE * iso), N_CONE * (math.radians(lon) - LON0)
+    return XS + r * math.sin(gamma), YS - r * math.cos(gamma)
+
+
+def box_corners(box: tuple[float, float, float, float]) -> list[tuple[float, float]]:
+    """The closed ring of a box of degrees, in metres."""
+    xmin, ymin, xmax, ymax = box
+    return [lambert93_point(*p) for p in ((xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax), (xmin, ymin))]
+
+
+def with_envelope(df: DataFrame, ring: str = "ring") -> DataFrame:
+    """The envelope as columns of their own. Written in their order (or by cell), Parquet statistics skip files outside a box."""
+    return df.withColumn("__e", envelope(F.col(ring))).select("*", "__e.*").drop("__e")
+
+
+def cell(x: Column, y: Column, size: float = 10_000.0) -> Column:
+    """The number of the square a point lies in, to partition or bucket by."""
+    return F.floor(x / size) * 100_000 + F.floor(y / size)
+
+
+def keep_points(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
+    """Douglas-Peucker between the first and the last point: which points stay."""
+    keep = np.zeros(len(x), bool)
+    keep[[0, -1]] = True
+    spans = [(0, len(x) - 1)]
+    while spans:
+        a, b = spans.pop()
+        if b - a < 2:
+            continue
+        dx, dy = x[b] - x[a], y[b] - y[a]
+        px, py = x[a + 1 : b] - x[a], y[a + 1 : b] - y[a]
+        length = math.hypot(dx, dy)
+        away = np.abs(dx * py - dy * px) / length if length else np.hypot(px, py)
+        i = int(away.argmax())
+        if away[i] > tolerance:
+            m = a + 1 + i
+            keep[m] = True
+            spans += [(a, m), (m, b)]
+    return keep
+
+
+def simplify(df: DataFrame, ring: str = "ring", tolerance: float = 5.0) -> DataFrame:
+    """Df with fewer points in its rings: halves between the first point and the one farthest from it are thinned; a ring that would
+    fall below four points stays as it is. Other columns pass through in Arrow batches of the pandas function's argument only."""
+
+    @F.pandas_udf(df.schema[ring].dataType)
+    def thin(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for rings in parts:
+            out = []
+            for points in rings:
+                if points is None or len(points) < 5:
+                    out.append(points)
+                    continue
+                x, y = np.array([p["x"] for p in points], float), np.array([p["y"] for p in points], float)
+                far = int(np.hypot(x - x[0], y - y[0]).argmax())
+                on = np.r_[keep_points(x[: far + 1], y[: far + 1], tolerance)[:-1], keep_points(x[far:], y[far:], tolerance)]
+                out.append([points[i] for i in np.flatnonzero(on)] if on.sum() >= 4 else points)
+            yield pd.Series(out)
+
+    return df.withColumn(ring, thin(F.col(ring)))

@@ -11,19 +11,25 @@ def qc_action(pct: Column, threshold: float = 0.50) -> Column:
     return F.when(pct == 0, "exclure").when(pct < threshold, "imputer").otherwise("conserver")
 
 
-def calendar(cells: DataFrame, id: str) -> DataFrame:
-    """Every id with every month of the table and its position; months come from the table itself (bounded by the calendar)."""
-    order = Window.orderBy("mois")
-    months = cells.select("mois").distinct().withColumn("pos", F.row_number().over(order) - 1)
-    return cells.select(id).distinct().crossJoin(F.broadcast(months))
+def on_calendar(cells: DataFrame, id: str, months: list[str] | None = None) -> DataFrame:
+    """Every id with every month (default: those of the table, at most a calendar's) and its position; a cell that is not there has nulls.
+
+    An id's cells come together in one map, so one shuffle serves this and the windows behind it; a repeated month of an id raises.
+    """
+    if months is None:
+        months = sorted(r["mois"] for r in cells.select("mois").distinct().collect())
+    rest = [c for c in cells.columns if c not in (id, "mois")]
+    held = cells.groupBy(id).agg(F.map_from_entries(F.collect_list(F.struct("mois", F.struct(*rest).alias("c")))).alias("__m"))
+    every = held.select(id, "__m", F.posexplode(F.array(*map(F.lit, months)).cast("array<string>")).alias("pos", "mois"))
+    return every.select(id, "mois", "pos", *[F.try_element_at("__m", F.col("mois"))[c].alias(c) for c in rest])
 
 
-def anchors(actions: DataFrame, id: str) -> DataFrame:
+def anchors(actions: DataFrame, id: str, months: list[str] | None = None) -> DataFrame:
     """For cells to impute, the distance in months to the nearest cell on either side that is not exclure (a missing cell is none).
 
-    Those with no such neighbour within one month become exclure.
+    Those with no such neighbour within one month become exclure. Other columns than the action pass through.
     """
-    full = calendar(actions, id).join(actions, [id, "mois"], "left")
+    full = on_calendar(actions, id, months)
     usable = F.when(F.col("action").isNull() | (F.col("action") != "exclure"), F.col("pos"))
     w = Window.partitionBy(id).orderBy("pos")
     left = F.col("pos") - F.last(usable, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -44,14 +50,13 @@ def interpolate(cells: DataFrame, keys: list[str], value: str = "value") -> Data
     return made.withColumn("filled", F.coalesce(F.col(value), line, F.col("b.v"), F.col("a.v"))).drop("a", "b")
 
 
-def impute(values: DataFrame, actions: DataFrame, id: str, variable: str = "variable", value: str = "value", force: bool = False) -> DataFrame:
-    """Missing values of cells whose action stays imputer are interpolated from all values of their series; others stay.
-
-    force also replaces values that are there, from the others.
-    """
-    tiers = anchors(actions, id).select(id, "mois", "pos", "action")
-    grid = tiers.crossJoin(F.broadcast(values.select(variable).distinct()))  # a handful of variables
-    cells = grid.join(values, [id, "mois", variable], "left")
-    base = cells.withColumn("own", F.col(value)).withColumn(value, F.when(F.lit(not force) | (F.coalesce(F.col("action"), F.lit("")) != "imputer"), F.col(value)))
-    filled = interpolate(base, [id, variable], value)
-    return filled.select(id, variable, "mois", "action", F.when(F.col("action") == "imputer", F.col("filled")).otherwise(F.col("own")).alias(value))
+def impute(cells: DataFrame, id: str, variables: list[str], months: list[str] | None = None, force: bool = False) -> DataFrame:
+    """cells(id, mois, action, one column for each variable) -> id, variable, mois, action, value. Missing values of cells whose action stays imputer
+    are interpolated from all values of their series; others stay. force also replaces values that are there, from the others."""
+    out = anchors(cells, id, months).select(id, "mois", "pos", "action", *variables)
+    for v in variables:
+        own = f"__own_{v}"
+        donor = F.when(F.lit(not force) | (F.coalesce(F.col("action"), F.lit("")) != "imputer"), F.col(v))
+        out = interpolate(out.withColumn(own, F.col(v)).withColumn(v, donor), [id], v)
+        out = out.withColumn(v, F.when(F.col("action") == "imputer", F.col("filled")).otherwise(F.col(own))).drop("filled", own)
+    return out.select(id, "mois", "action", F.inline(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("value")) for v in variables])))

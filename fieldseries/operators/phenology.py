@@ -21,7 +21,7 @@ def seasons(series: DataFrame, start: str, classe: str = "classe", y: str = "z",
     work = work.withColumn("pos", F.expr("get(filter(pts, p -> p.v = top), 0)"))
     work = work.withColumn("left", F.expr("filter(pts, p -> p.i <= pos.i)")).withColumn("right", F.expr("filter(pts, p -> p.i >= pos.i)"))
     work = work.withColumn("lo_l", F.expr("array_min(transform(left, p -> p.v))")).withColumn("lo_r", F.expr("array_min(transform(right, p -> p.v))"))
-    work = work.where(F.lit(True)).withColumn("thr_l", F.expr(f"if(top > lo_l, lo_l + {fraction} * (top - lo_l), top)")).withColumn("thr_r", F.expr(f"if(top > lo_r, lo_r + {fraction} * (top - lo_r), top)"))
+    work = work.withColumn("thr_l", F.expr(f"if(top > lo_l, lo_l + {fraction} * (top - lo_l), top)")).withColumn("thr_r", F.expr(f"if(top > lo_r, lo_r + {fraction} * (top - lo_r), top)"))
     work = work.withColumn("has", F.expr("coalesce(top > lo_l or top > lo_r, false)"))
     work = work.withColumn("sos", F.expr("coalesce(get(reverse(filter(left, p -> p.v <= thr_l)), 0), get(pts, 0))")).withColumn("eos", F.expr("coalesce(get(filter(right, p -> p.v <= thr_r), 0), get(reverse(pts), 0))"))
     date = lambda p: F.when(F.col("has"), F.date_add(F.lit(start).cast("date"), F.col(f"{p}.day"))).alias(f"{p}_date")
@@ -32,6 +32,6 @@ def seasons(series: DataFrame, start: str, classe: str = "classe", y: str = "z",
 
 
 def class_summary(seasons_: DataFrame, classe: str = "classe") -> DataFrame:
-    """Medians of dates (as days of the epoch) and length, and shares of flags, per class."""
+    """Medians of dates (as days of the epoch) and length, and shares of all flags, per class."""
     days = {c: F.median(F.unix_date(f"{c}_date")).alias(f"{c}_mediane") for c in ("sos", "pos", "eos")}
-    return seasons_.groupBy(classe).agg(*days.values(), F.median("los_jours").alias("los_mediane"), F.avg(F.col("fiable").cast("int")).alias("taux_fiable"))
+    return seasons_.groupBy(classe).agg(*days.values(), F.median("los_jours").alias("los_mediane"), *[F.avg(F.col(c).cast("int")).alias(f"taux_{c}") for c in ("sos_en_bord", "pos_en_bord", "eos_en_bord", "fiable")])

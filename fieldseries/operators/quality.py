@@ -46,3 +46,14 @@ def violations(df: DataFrame, key: list[str], required: list[str], allowed: dict
     rows += [F.struct(F.lit(f"domaine:{c}").alias("contrainte"), F.count_if(~F.col(c).isin(v)).alias("n")) for c, v in allowed.items()]
     rows.append(F.struct(F.lit("cle").alias("contrainte"), (F.count("*") - F.count_distinct(F.struct(*key))).alias("n")))
     return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+
+
+def zero_share(pixels: DataFrame, keys: list[str], value: str, most: float = 99.0) -> DataFrame:
+    """Share of zero pixels in percent, and whether the band counts as read."""
+    made = pixels.groupBy(*keys).agg((100 * F.avg((F.col(value) == 0).cast("int"))).alias("pct_zero"))
+    return made.withColumn("valide", F.col("pct_zero") < most)
+
+
+def cleanup_allowed(checked: DataFrame) -> DataFrame:
+    """Whether all expected artifacts are there, which is when source files may go; they are not deleted here."""
+    return checked.agg(F.coalesce(F.bool_and(F.col("statut") == "OK"), F.lit(False)).alias("nettoyage_permis"))

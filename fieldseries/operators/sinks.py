@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -11,9 +11,35 @@ def insert_if_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
     return old.unionByName(new.join(old.select(*keys), keys, "left_anti").select(*old.columns))
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """New rows replace old ones of their keys."""
-    return new.select(*old.columns).unionByName(old.join(new.select(*keys), keys, "left_anti").select(*old.columns))
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], stamp: str | None = None) -> DataFrame:
+    """New rows replace old ones of their keys, and take the time of writing in the column `stamp`. A key that occurs twice in new raises, as it has no one row."""
+    if stamp:
+        new = new.withColumn(stamp, F.current_timestamp())
+    once = new.withColumn("__n", F.count("*").over(Window.partitionBy(*keys))).where(F.assert_true(F.col("__n") == 1, F.lit("two new rows have one key")).isNull()).drop("__n")
+    return once.select(*old.columns).unionByName(old.join(new.select(*keys), keys, "left_anti").select(*old.columns))
+
+
+def last_of(rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """One row a key: the greatest by the order columns, then by all others, so that a repeated run chooses the same."""
+    rest = [c for c in rows.columns if c not in keys]
+    if not rest:
+        return rows.distinct()
+    rank = [c for c in order or [] if c in rest] + [c for c in rest if c not in (order or [])]
+    return rows.groupBy(*keys).agg(F.max(F.struct(*rank)).alias("__r")).select(*keys, "__r.*").select(*rows.columns)
+
+
+def absent(rows: DataFrame, loaded: DataFrame, unit: str) -> DataFrame:
+    """Rows of the units (months) of which the target has none; a unit that is there is skipped as a whole, corrections included."""
+    return rows.join(loaded.select(unit).distinct(), unit, "left_anti")
+
+
+def replace_table(df: DataFrame, name: str, expected: int | None = None) -> int:
+    """A catalog table made anew from df, and its row count, which is checked if one is expected."""
+    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    n = df.sparkSession.table(name).count()
+    if expected is not None and n != expected:
+        raise ValueError(f"{name} has {n} rows, {expected} are expected")
+    return n
 
 
 def pending(wanted: DataFrame, manifest: DataFrame, keys: list[str], version: str) -> DataFrame:

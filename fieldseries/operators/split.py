@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldseries.functions.columns import half_even
+
 
 def block_ids(parcels: DataFrame, size: float = 10_000.0, x: str = "cx", y: str = "cy") -> DataFrame:
     """"bx_by" by floor((c - min c) / size)."""
@@ -29,4 +31,4 @@ def split_table(rows: DataFrame, classe: str = "classe") -> DataFrame:
     """Rows per class and split, total and share of test in percent."""
     made = rows.groupBy(classe).pivot("split", ["train", "test"]).count().na.fill(0, ["train", "test"])
     total = F.col("train") + F.col("test")
-    return made.withColumn("total", total).withColumn("pct_test", F.round(100 * F.col("test") / total, 1)).orderBy(F.desc("total"), classe)
+    return made.withColumn("total", total).withColumn("pct_test", half_even(100 * F.col("test") / total, 1)).orderBy(F.desc("total"), classe)

@@ -36,8 +36,8 @@ ACTIONS = SHARES + """, act AS (SELECT id_parcel, mois, CASE WHEN pct = 0 THEN '
   sides AS (SELECT *, pos - last_value(usable IGNORE NULLS) OVER (PARTITION BY id_parcel ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gauche, first_value(usable IGNORE NULLS) OVER (PARTITION BY id_parcel ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) - pos AS droite FROM grid),
   tiers AS (SELECT id_parcel, mois, pos, gauche, droite, least(gauche, droite) AS dist_min, CASE WHEN action = 'imputer' AND (least(gauche, droite) IS NULL OR least(gauche, droite) > 1) THEN 'exclure' ELSE action END AS action FROM sides)"""
 BINS = DATED + ", b AS (SELECT min(date) AS lo, max(date) AS hi FROM dated), bins AS (SELECT id_parcel, CAST(least(ceil((date - lo) / 5.0), floor((hi - lo) / 5.0)) AS INTEGER) AS idx, sum(ndvi * n_pixels) / sum(n_pixels) AS v, CAST(sum(n_pixels) AS DOUBLE) AS w FROM dated, b GROUP BY ALL)"
-BOX = (20000.0, 10000.0, 26000.0, 18000.0)
 MONTHS = [f"{y}-{m:02d}" for y in (1998, 1999) for m in range(1, 9)]
+CALENDAR = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -56,7 +56,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 @query(f"WITH {PIXELS} SELECT id_parcel, mois, variable, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(quantile_cont(value, 0.1), 6) AS p10, round(quantile_cont(value, 0.9), 6) AS p90 FROM pixels GROUP BY ALL")
 def zonal_stats(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(zonal.zonal_stats(A.pixels(spark, d), ["id_parcel", "mois", "variable"]))
+    return rounded(zonal.zonal_stats_of(A.pixels_wide(spark, d), ["id_parcel", "mois"], list(A.VARIABLES)))
 
 
 @query(f"WITH {COUNTS} SELECT id_parcel, mois, round(avg(n_valid), 6) AS n_dates_valides_moy, round(100 * avg(CASE WHEN n_valid > 0 THEN 1 ELSE 0 END), 6) AS pct_pixels_couverts FROM counts GROUP BY ALL")
@@ -74,7 +74,7 @@ def two_stage_median(spark: SparkSession, d: str) -> DataFrame:
     return rounded(composites.two_stage_median(A.dated(spark, d), ["id_parcel"], value="ndvi"))
 
 
-@query("WITH px AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS mois, o_custkey FROM orders), t AS (SELECT count(*) AS total FROM customer) SELECT mois, round(100 * (max(total) - count(*)) / max(total), 1) AS pct_pixels_0_date FROM px, t WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY mois")
+@query("WITH px AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS mois, o_custkey FROM orders), t AS (SELECT count(*) AS total FROM customer) SELECT mois, round_even(10 * (100 * (max(total) - count(*)) / max(total)), 0) / 10 AS pct_pixels_0_date FROM px, t WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY mois")
 def coverage_month(spark: SparkSession, d: str) -> DataFrame:
     seen = table(spark, d, "orders").select(F.col("o_custkey").alias("px"), F.to_date("o_orderdate").alias("date"))
     return composites.coverage(seen, table(spark, d, "customer").select(F.col("c_custkey").alias("px")), ["px"])
@@ -91,12 +91,12 @@ def full_coverage_days(spark: SparkSession, d: str) -> DataFrame:
     return catalog.daily(A.scenes(spark, d))
 
 
-@query(f"WITH {SCENES}, {DAILY}, m AS (SELECT unnest(generate_series(date_trunc('month', min(date)), date_trunc('month', max(date)), INTERVAL 1 MONTH))::DATE AS m FROM daily), s AS (SELECT date_trunc('month', date)::DATE AS m, sum(n_scenes) AS a, count(*) AS b, count(*) FILTER (complet) AS c FROM daily GROUP BY ALL) SELECT strftime(m, '%Y-%m') AS mois, coalesce(a, 0)::BIGINT AS n_scenes, coalesce(b, 0) AS n_jours, coalesce(c, 0) AS n_jours_complets, CAST(day(last_day(m)) AS INTEGER) AS jours_mois, round(100 * coalesce(b, 0) / day(last_day(m)), 1) AS pct_jours, round(100 * coalesce(c, 0) / day(last_day(m)), 1) AS pct_complets FROM m LEFT JOIN s USING (m)")
+@query(f"WITH {SCENES}, {DAILY}, m AS (SELECT unnest(generate_series(date_trunc('month', min(date)), date_trunc('month', max(date)), INTERVAL 1 MONTH))::DATE AS m FROM daily), s AS (SELECT date_trunc('month', date)::DATE AS m, sum(n_scenes) AS a, count(*) AS b, count(*) FILTER (complet) AS c FROM daily GROUP BY ALL) SELECT strftime(m, '%Y-%m') AS mois, coalesce(a, 0)::BIGINT AS n_scenes, coalesce(b, 0) AS n_jours, coalesce(c, 0) AS n_jours_complets, CAST(day(last_day(m)) AS INTEGER) AS jours_mois, round_even(10 * (100 * coalesce(b, 0) / day(last_day(m))), 0) / 10 AS pct_jours, round_even(10 * (100 * coalesce(c, 0) / day(last_day(m))), 0) / 10 AS pct_complets FROM m LEFT JOIN s USING (m)")
 def monthly_availability(spark: SparkSession, d: str) -> DataFrame:
     return catalog.monthly_availability(A.scenes(spark, d))
 
 
-@query(f"WITH {SCENES} SELECT 60 AS n_jours, count(DISTINCT date) AS n_couverts, round(100 * count(DISTINCT date) / 60, 1) AS pct FROM scenes WHERE date BETWEEN DATE '2023-12-15' AND DATE '2024-02-12'")
+@query(f"WITH {SCENES} SELECT 60 AS n_jours, count(DISTINCT date) AS n_couverts, round_even(10 * (100 * count(DISTINCT date) / 60), 0) / 10 AS pct FROM scenes WHERE date BETWEEN DATE '2023-12-15' AND DATE '2024-02-12'")
 def window_totals(spark: SparkSession, d: str) -> DataFrame:
     return catalog.window_totals(A.scenes(spark, d), "2023-12-15", "2024-02-12")
 
@@ -106,12 +106,12 @@ def orbits_per_tile(spark: SparkSession, d: str) -> DataFrame:
     return catalog.orbits_per_tile(A.scenes(spark, d))
 
 
-@query("SELECT o_custkey, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM orders), 1) AS pct FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey LIMIT 20")
+@query("SELECT o_custkey, count(*) AS n, round_even(10 * (100 * count(*) / (SELECT count(*) FROM orders)), 0) / 10 AS pct FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey LIMIT 20")
 def top20_pct(spark: SparkSession, d: str) -> DataFrame:
     return feat.top_shares(table(spark, d, "orders"), "o_custkey")
 
 
-@query("SELECT count(o_totalprice) AS n, round(avg(o_totalprice), 3) AS mean, round(stddev_samp(o_totalprice), 3) AS std, round(min(o_totalprice), 3) AS min, round(max(o_totalprice), 3) AS max, round(quantile_cont(o_totalprice, 0.25), 3) AS q25, round(quantile_cont(o_totalprice, 0.5), 3) AS q50, round(quantile_cont(o_totalprice, 0.75), 3) AS q75 FROM orders")
+@query("SELECT count(o_totalprice) AS n, round_even(1000 * avg(o_totalprice), 0) / 1000 AS mean, round_even(1000 * stddev_samp(o_totalprice), 0) / 1000 AS std, round_even(1000 * min(o_totalprice), 0) / 1000 AS min, round_even(1000 * max(o_totalprice), 0) / 1000 AS max, round_even(1000 * quantile_cont(o_totalprice, 0.25), 0) / 1000 AS q25, round_even(1000 * quantile_cont(o_totalprice, 0.5), 0) / 1000 AS q50, round_even(1000 * quantile_cont(o_totalprice, 0.75), 0) / 1000 AS q75 FROM orders")
 def describe(spark: SparkSession, d: str) -> DataFrame:
     return feat.describe(table(spark, d, "orders"), "o_totalprice")
 
@@ -165,13 +165,13 @@ def weighted_bins(spark: SparkSession, d: str) -> DataFrame:
     return rounded(smoothing.weighted_bins(A.dated(spark, d), "id_parcel"))
 
 
-@query(f"WITH {PARCELS}, b AS (SELECT classe, CASE WHEN CAST(floor(cx / 10000) AS INTEGER) % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM parcels) SELECT classe, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'test') AS test, count(*) AS total, round(100 * count(*) FILTER (split = 'test') / count(*), 1) AS pct_test FROM b GROUP BY classe")
+@query(f"WITH {PARCELS}, b AS (SELECT classe, CASE WHEN CAST(floor(cx / 10000) AS INTEGER) % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM parcels) SELECT classe, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'test') AS test, count(*) AS total, round_even(10 * (100 * count(*) FILTER (split = 'test') / count(*)), 0) / 10 AS pct_test FROM b GROUP BY classe")
 def class_split_crosstab(spark: SparkSession, d: str) -> DataFrame:
     rows = A.parcels(spark, d).withColumn("split", F.when(F.floor(F.col("cx") / 10000).cast("int") % 5 == 0, "test").otherwise("train"))
     return split.split_table(rows)
 
 
-@query(f"WITH {FEATURES} SELECT CAST(feature % 12 AS VARCHAR) AS mois, count(*) FILTER (value IS NULL) AS n_nan, round(100 * avg(CASE WHEN value IS NULL THEN 1 ELSE 0 END), 2) AS pct_nan FROM features GROUP BY 1")
+@query(f"WITH {FEATURES} SELECT CAST(feature % 12 AS VARCHAR) AS mois, count(*) FILTER (value IS NULL) AS n_nan, round_even(100 * (100 * avg(CASE WHEN value IS NULL THEN 1 ELSE 0 END)), 0) / 100 AS pct_nan FROM features GROUP BY 1")
 def nan_by_month(spark: SparkSession, d: str) -> DataFrame:
     named = A.features(spark, d).withColumn("feature", F.concat(F.lit("ndvi_mean_"), (F.col("feature") % 12).cast("string")))
     return feat.missing_by_month(named)
@@ -187,10 +187,24 @@ def confusion_matrix(spark: SparkSession, d: str) -> DataFrame:
     return model.confusion(table(spark, d, "orders"), "o_orderpriority", "o_orderstatus")
 
 
-@query("WITH m AS (SELECT label AS t, vec_id % 10 AS g, count(*) AS n FROM embeddings GROUP BY ALL), a AS (SELECT t AS classe, sum(n) AS support, sum(CASE WHEN t = g THEN n ELSE 0 END) AS hits FROM m GROUP BY t), b AS (SELECT g AS classe, sum(n) AS said FROM m GROUP BY g), c AS (SELECT classe, coalesce(hits / said, 0.0) AS p, coalesce(hits / support, 0.0) AS r, support FROM a LEFT JOIN b USING (classe)) SELECT CAST(classe AS BIGINT) AS classe, round(p, 6) AS precision, round(r, 6) AS rappel, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1, CAST(support AS BIGINT) AS support FROM c")
+REPORT = """m AS (SELECT label % 8 AS t, vec_id % 10 AS g, count(*) AS n FROM embeddings GROUP BY ALL), a AS (SELECT t AS classe, sum(n) AS support, sum(CASE WHEN t = g THEN n ELSE 0 END) AS hits FROM m GROUP BY t), b AS (SELECT g AS classe, sum(n) AS said FROM m GROUP BY g),
+  c AS (SELECT CAST(classe AS VARCHAR) AS classe, coalesce(hits / nullif(said, 0), 0.0) AS p, coalesce(hits / nullif(support, 0), 0.0) AS r, CAST(coalesce(support, 0) AS BIGINT) AS support, coalesce(hits, 0) AS hits FROM a FULL JOIN b USING (classe)),
+  d AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM c)"""
+
+
+def _report(spark: SparkSession, d: str) -> DataFrame:
+    pairs = table(spark, d, "embeddings").select((F.col("label") % 8).cast("long").alias("t"), (F.col("vec_id") % 10).alias("g"))
+    return model.report(model.confusion(pairs, "t", "g"), "t", "g")
+
+
+@query(f"WITH {REPORT} SELECT classe, round(p, 6) AS precision, round(r, 6) AS rappel, round(f1, 6) AS f1, support FROM d")
 def class_report(spark: SparkSession, d: str) -> DataFrame:
-    pairs = table(spark, d, "embeddings").select(F.col("label").cast("long").alias("t"), (F.col("vec_id") % 10).alias("g"))
-    return rounded(model.report(model.confusion(pairs, "t", "g"), "t", "g"))
+    return rounded(_report(spark, d).drop("hits"))
+
+
+@query(f"WITH {REPORT} SELECT 'macro' AS moyenne, round(avg(p), 6) AS precision, round(avg(r), 6) AS rappel, round(avg(f1), 6) AS f1, CAST(sum(support) AS BIGINT) AS support FROM d UNION ALL SELECT 'ponderee', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM d UNION ALL SELECT 'exactitude', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM d")
+def report_averages(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(model.averages(_report(spark, d)))
 
 
 @query(f"WITH {SCENES} SELECT * FROM scenes QUALIFY row_number() OVER (PARTITION BY tile_id, date ORDER BY scene_id DESC) = 1")
@@ -211,7 +225,7 @@ def first_nonnull(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {ACTIONS} SELECT id_parcel, mois, gauche, droite, dist_min, action FROM tiers")
 def anchor_distance(spark: SparkSession, d: str) -> DataFrame:
-    made = imputation.anchors(_actions(spark, d), "id_parcel").select("id_parcel", "mois", "gauche", "droite", "dist_min", "action")
+    made = imputation.anchors(_actions(spark, d), "id_parcel", _months(spark, d)).select("id_parcel", "mois", "gauche", "droite", "dist_min", "action")
     return made.withColumns({c: F.col(c).cast("long") for c in ("gauche", "droite", "dist_min")})
 
 
@@ -224,8 +238,13 @@ def _actions(spark: SparkSession, d: str) -> DataFrame:
     WINDOW lo AS (PARTITION BY id_parcel ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), hi AS (PARTITION BY id_parcel ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
   SELECT id_parcel, 'quantity' AS variable, mois, action, round(CASE WHEN action = 'imputer' THEN coalesce(quantity, bv + (av - bv) * (pos - bp) / nullif(ap - bp, 0), bv, av) ELSE quantity END, 6) AS value FROM n""")
 def impute_linear(spark: SparkSession, d: str) -> DataFrame:
-    values = A.monthly_shares(spark, d).select("id_parcel", "mois", F.lit("quantity").alias("variable"), F.col("quantity").alias("value"))
-    return rounded(imputation.impute(values, _actions(spark, d), "id_parcel"))
+    cells = A.monthly_shares(spark, d).select("id_parcel", "mois", imputation.qc_action(F.col("pct"), 30.0).alias("action"), "quantity")
+    return rounded(imputation.impute(cells, "id_parcel", ["quantity"], _months(spark, d)))
+
+
+def _months(spark: SparkSession, d: str) -> list[str]:
+    """The table's months, from one column."""
+    return sorted(r[0] for r in table(spark, d, "lineitem").select(C.month(F.col("l_shipdate"))).distinct().collect())
 
 
 @query(f"WITH {SHARES} SELECT mois, CASE WHEN pct = 0 THEN 'exclure' WHEN pct < 0.5 THEN 'imputer' ELSE 'conserver' END AS action, count(*) AS n FROM shares GROUP BY ALL")
@@ -240,6 +259,36 @@ def whittaker(spark: SparkSession, d: str) -> DataFrame:
     return smoothing.whittaker(smoothing.dense_series(smoothing.weighted_bins(obs, "id_parcel", step=1), obs, "id_parcel", max(3, days or 0)), "id_parcel")  # second differences need three points
 
 
+SEASON = BINS.replace("5.0", "1.0") + """, who AS (SELECT DISTINCT id_parcel, ['prairie', 'colza', 'autres'][id_parcel % 3 + 1] AS classe FROM dated),
+  pts AS (SELECT id_parcel, idx AS i, v FROM bins JOIN who USING (id_parcel) WHERE classe <> 'colza' OR idx BETWEEN 5 AND 380), top AS (SELECT id_parcel, max(v) AS top, min(i) AS f, max(i) AS l FROM pts GROUP BY 1),
+  peak AS (SELECT id_parcel, any_value(top) AS top, any_value(f) AS f, any_value(l) AS l, min(i) FILTER (v = top) AS p FROM pts JOIN top USING (id_parcel) GROUP BY 1),
+  low AS (SELECT id_parcel, min(v) FILTER (i <= p) AS lo_l, min(v) FILTER (i >= p) AS lo_r FROM pts JOIN peak USING (id_parcel) GROUP BY 1),
+  thr AS (SELECT *, CASE WHEN top > lo_l THEN lo_l + 0.2 * (top - lo_l) ELSE top END AS tl, CASE WHEN top > lo_r THEN lo_r + 0.2 * (top - lo_r) ELSE top END AS tr, top > lo_l OR top > lo_r AS has FROM peak JOIN low USING (id_parcel)),
+  se AS (SELECT id_parcel, coalesce(max(i) FILTER (i <= p AND v <= tl), any_value(f)) AS s, coalesce(min(i) FILTER (i >= p AND v <= tr), any_value(l)) AS e FROM pts JOIN thr USING (id_parcel) GROUP BY 1),
+  seasons AS (SELECT w.id_parcel, classe, CASE WHEN has THEN DATE '2024-01-01' + s END AS sos_date, CASE WHEN has THEN DATE '2024-01-01' + p END AS pos_date, CASE WHEN has THEN DATE '2024-01-01' + e END AS eos_date, CASE WHEN has THEN e - s END AS los_jours,
+    coalesce(has AND s <= f + 1, false) AS sos_en_bord, coalesce(has AND e >= l - 1, false) AS eos_en_bord, coalesce(has AND (p <= f + 1 OR p >= l - 1), false) AS pos_en_bord FROM who w LEFT JOIN thr USING (id_parcel) LEFT JOIN se USING (id_parcel))"""
+
+
+def _season_bins(spark: SparkSession, d: str) -> DataFrame:
+    obs = A.dated(spark, d)
+    days = obs.agg(F.datediff(F.max("date"), F.min("date")) + 1).first()[0]
+    bins = smoothing.dense_series(smoothing.weighted_bins(obs, "id_parcel", step=1), obs, "id_parcel", max(1, days or 0))
+    known = F.zip_with("y", "w", lambda y, w: F.when(w > 0, y))
+    classes = F.get(F.array(*[F.lit(c) for c in ("prairie", "colza", "autres")]), (F.col("id_parcel") % 3).cast("int"))
+    return phenology.seasons(bins.select("id_parcel", classes.alias("classe"), known.alias("z")), "2024-01-01", step=1)
+
+
+@query(f"WITH {SEASON} SELECT *, NOT (sos_en_bord OR eos_en_bord OR pos_en_bord) AS fiable FROM seasons")
+def season_bins(spark: SparkSession, d: str) -> DataFrame:
+    """Seasons of the bins as they are, without smoothing."""
+    return _season_bins(spark, d)
+
+
+@query(f"WITH {SEASON} SELECT classe, " + ", ".join(f"median({c}_date - DATE '1970-01-01') AS {c}_mediane" for c in ("sos", "pos", "eos")) + ", median(los_jours) AS los_mediane, " + ", ".join(f"round(avg(CASE WHEN {c}_en_bord THEN 1 ELSE 0 END), 6) AS taux_{c}_en_bord" for c in ("sos", "pos", "eos")) + ", round(avg(CASE WHEN sos_en_bord OR eos_en_bord OR pos_en_bord THEN 0 ELSE 1 END), 6) AS taux_fiable FROM seasons GROUP BY classe")
+def season_bins_summary(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(phenology.class_summary(_season_bins(spark, d)))
+
+
 @query()
 def season_extract(spark: SparkSession, d: str) -> DataFrame:
     classes = F.get(F.array(*[F.lit(c) for c in ("prairie", "colza", "autres")]), (F.col("id_parcel") % 3).cast("int"))
@@ -251,26 +300,14 @@ def season_summary(spark: SparkSession, d: str) -> DataFrame:
     return rounded(phenology.class_summary(season_extract(spark, d)))
 
 
-@query(f"WITH {PARCELS} SELECT id_parcel, classe, round(surf_parc, 6) AS surf_parc FROM parcels WHERE cx <= {BOX[2]} AND cx + w >= {BOX[0]} AND cy <= {BOX[3]} AND cy + h >= {BOX[1]} ORDER BY id_parcel LIMIT 2000")
-def bbox_list(spark: SparkSession, d: str) -> DataFrame:
-    page = api.parcels_in_box(A.parcels(spark, d), geo.meets_box(F.col("ring"), BOX), BOX, "id_parcel")
-    return rounded(page.rows.select("id_parcel", "classe", "surf_parc"))
-
-
-@query(f"WITH {PARCELS}, f AS (SELECT id_parcel FROM parcels WHERE cx <= {BOX[2]} AND cx + w >= {BOX[0]} AND cy <= {BOX[3]} AND cy + h >= {BOX[1]}) SELECT id_parcel, (SELECT count(*) FROM f) AS total, (SELECT count(*) FROM f) > 5 AS truncated FROM f ORDER BY id_parcel LIMIT 5")
-def limit_truncation(spark: SparkSession, d: str) -> DataFrame:
-    page = api.parcels_in_box(A.parcels(spark, d), geo.meets_box(F.col("ring"), BOX), BOX, "id_parcel", 5)
-    return page.rows.select("id_parcel", F.lit(page.total).cast("long").alias("total"), F.lit(page.truncated).alias("truncated"))
-
-
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def label_difference(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select("c_custkey").subtract(table(spark, d, "orders").select("o_custkey"))
+    return table(spark, d, "customer").select("c_custkey").subtract(table(spark, d, "orders").where("o_orderstatus = 'P'").select("o_custkey"))
 
 
-@query("SELECT l.* FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)")
+@query("SELECT l.* FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')")
 def orphans(spark: SparkSession, d: str) -> DataFrame:
-    return quality.orphans(table(spark, d, "lineitem"), table(spark, d, "orders").withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"])
+    return quality.orphans(table(spark, d, "lineitem"), table(spark, d, "orders").where("o_orderstatus = 'F'").withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"])
 
 
 @query("SELECT count(*) AS n FROM part WHERE p_partkey NOT IN (SELECT DISTINCT l_partkey FROM lineitem)")
@@ -279,10 +316,12 @@ def not_in(spark: SparkSession, d: str) -> DataFrame:
     return quality.orphans(table(spark, d, "part"), used, ["p_partkey"]).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {PIXELS}, s AS (SELECT id_parcel, variable, mois, avg(value) AS mean, min(value) AS low FROM pixels GROUP BY ALL) SELECT id_parcel, " + ", ".join(f"round(max({s}) FILTER (variable = '{v}' AND mois = '{m}'), 6) AS \"{v}_{s}_{m}\"" for v in ("quantity", "tax") for s in ("mean", "low") for m in MONTHS[:3]) + " FROM s GROUP BY id_parcel")
+@query(f"WITH {PIXELS}, s AS (SELECT id_parcel, variable, mois, avg(value) AS mean, min(value) AS low FROM pixels GROUP BY ALL) SELECT id_parcel, " + ", ".join(f"round(max({s}) FILTER (variable = '{v}' AND mois = '{m}'), 6) AS \"{v}_{s}_{m}\"" for v in A.VARIABLES for s in ("mean", "low") for m in CALENDAR) + f" FROM s WHERE mois IN {tuple(CALENDAR)} GROUP BY id_parcel")
 def pivot_wide(spark: SparkSession, d: str) -> DataFrame:
-    stats = A.pixels(spark, d).groupBy("id_parcel", "variable", "mois").agg(F.avg("value").alias("mean"), F.min("value").alias("low"))
-    return rounded(feat.wide(stats, "id_parcel", ["mean", "low"], ["quantity", "tax"], MONTHS[:3]))
+    px = A.pixels_wide(spark, d).where(F.col("mois").isin(CALENDAR)).repartition("id_parcel")  # serves both aggregates
+    stats = px.groupBy("id_parcel", "mois").agg(*[a for v in A.VARIABLES for a in (F.avg(v).alias(f"mean_{v}"), F.min(v).alias(f"low_{v}"))])
+    cells = stats.select("id_parcel", "mois", F.inline(F.array(*[F.struct(F.lit(v).alias("variable"), F.round(f"mean_{v}", 6).alias("mean"), F.round(f"low_{v}", 6).alias("low")) for v in A.VARIABLES])))
+    return feat.wide(cells, "id_parcel", ["mean", "low"], list(A.VARIABLES), CALENDAR)
 
 
 @query("SELECT p_partkey, unnest(['p_size', 'p_retailprice']) AS feature, unnest([CAST(p_size AS DOUBLE), p_retailprice]) AS value FROM part")
@@ -290,12 +329,13 @@ def unpivot_long(spark: SparkSession, d: str) -> DataFrame:
     return feat.long(table(spark, d, "part").withColumn("p_size", F.col("p_size").cast("double")), "p_partkey", ["p_size", "p_retailprice"])
 
 
-@query(f"WITH {PIXELS}, s AS (SELECT id_parcel, variable, mois, avg(value) AS mean FROM pixels GROUP BY ALL), m AS (SELECT unnest({MONTHS}) AS mois), g AS (SELECT c_custkey AS id_parcel, mois, variable FROM customer, m, (SELECT unnest(['quantity', 'tax']) AS variable)) SELECT id_parcel, array_to_string(list(coalesce(CAST(CAST(round(mean * 100) AS BIGINT) AS VARCHAR), '-') ORDER BY mois) FILTER (variable = 'quantity'), ',') AS quantity, array_to_string(list(coalesce(CAST(CAST(round(mean * 100) AS BIGINT) AS VARCHAR), '-') ORDER BY mois) FILTER (variable = 'tax'), ',') AS tax FROM g LEFT JOIN s USING (id_parcel, variable, mois) GROUP BY id_parcel")
+@query(f"WITH {PIXELS}, s AS (SELECT id_parcel, variable, mois, avg(value) AS mean FROM pixels GROUP BY ALL), m AS (SELECT unnest({MONTHS}) AS mois), g AS (SELECT c_custkey AS id_parcel, mois, variable FROM customer, m, (SELECT unnest(['quantity', 'extendedprice', 'discount', 'tax']) AS variable)) SELECT id_parcel, " + ", ".join(f"array_to_string(list(coalesce(CAST(CAST(round(mean * 100) AS BIGINT) AS VARCHAR), '-') ORDER BY mois) FILTER (variable = '{v}'), ',') AS {v}" for v in A.VARIABLES) + " FROM g LEFT JOIN s USING (id_parcel, variable, mois) GROUP BY id_parcel")
 def aligned_profile(spark: SparkSession, d: str) -> DataFrame:
-    stats = A.pixels(spark, d).groupBy("id_parcel", "variable", "mois").agg(F.avg("value").alias("mean"))
-    made = api.aligned_profile(stats, A.parcels(spark, d), "id_parcel", MONTHS, ("quantity", "tax"))
+    px = A.pixels_wide(spark, d).where(F.col("mois").isin(MONTHS)).repartition("id_parcel")  # serves both aggregates
+    means = px.groupBy("id_parcel", "mois").agg(*[F.avg(v).alias(v) for v in A.VARIABLES])
+    made = api.aligned_profile(means.unpivot(["id_parcel", "mois"], list(A.VARIABLES), "variable", "mean"), A.parcels(spark, d), "id_parcel", MONTHS, A.VARIABLES)
     text = lambda c: F.array_join(F.transform(c, lambda x: F.coalesce(F.round(x * 100).cast("long").cast("string"), F.lit("-"))), ",").alias(c)
-    return made.select("id_parcel", text("quantity"), text("tax"))
+    return made.select("id_parcel", *map(text, A.VARIABLES))
 
 
 @query("WITH b AS (SELECT p_partkey, p_size * 200.0 AS nir, p_retailprice AS red, (p_partkey % 900) * 1.0 AS blue FROM part), r AS (SELECT p_partkey, nir / 10000 AS n, red / 10000 AS r, blue / 10000 AS b FROM b) SELECT p_partkey, round(greatest(-1.0, least(1.0, (n - r) / (n + r + 1e-10))), 6) AS ndvi, round(greatest(-2.0, least(2.0, 2.5 * (n - r) / CASE WHEN abs(n + 6 * r - 7.5 * b + 1) < 0.001 THEN 0.001 ELSE n + 6 * r - 7.5 * b + 1 END)), 6) AS evi FROM r")
@@ -383,9 +423,15 @@ def rf_predict(spark: SparkSession, d: str) -> DataFrame:
     return model.predict(fitted, rows, "embedding", "vec_id", "label", "rf_base")
 
 
+def _all() -> None:
+    from fieldseries.plans import reports, spatial  # noqa: F401 - they register their queries here
+
+
 def queries() -> dict[str, Query]:
+    _all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_SQL)

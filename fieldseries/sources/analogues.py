@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldseries.functions.columns import month
+from fieldseries.operators import geo
 from fieldseries.sources.tables import table
 
 VARIABLES = ("quantity", "extendedprice", "discount", "tax")
@@ -17,8 +18,12 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
 
 def pixels(spark: SparkSession, d: str) -> DataFrame:
     """id_parcel, mois, variable, value: a pixel is a line of an order."""
-    lines = _orders(spark, d).select(F.col("o_custkey").alias("id_parcel"), month(F.col("l_shipdate")).alias("mois"), *[F.col(f"l_{v}").alias(v) for v in VARIABLES])
-    return lines.unpivot(["id_parcel", "mois"], list(VARIABLES), "variable", "value")
+    return pixels_wide(spark, d).unpivot(["id_parcel", "mois"], list(VARIABLES), "variable", "value")
+
+
+def pixels_wide(spark: SparkSession, d: str) -> DataFrame:
+    """id_parcel, mois and one column for each variable."""
+    return _orders(spark, d).select(F.col("o_custkey").alias("id_parcel"), month(F.col("l_shipdate")).alias("mois"), *[F.col(f"l_{v}").alias(v) for v in VARIABLES])
 
 
 def pixel_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -61,3 +66,27 @@ def parcels(spark: SparkSession, d: str) -> DataFrame:
     p = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
     ring = F.array(p(x, y), p(x + w, y), p(x + w, y + h), p(x, y + h), p(x, y))
     return c.select(F.col("c_custkey").alias("id_parcel"), F.col("c_mktsegment").alias("classe"), F.col("c_nationkey").alias("code_group"), F.when(F.col("c_mktsegment") == "FURNITURE", "BTN").otherwise("X").alias("code_cultu"), F.col("c_acctbal").alias("surf_parc"), x.alias("cx"), y.alias("cy"), ring.alias("ring"))
+
+
+def classification(spark: SparkSession, d: str) -> DataFrame:
+    """id_parcel, classe_predite, classe_declaree, proba_max, split, model_version."""
+    k = F.col("c_custkey")
+    return table(spark, d, "customer").select(k.alias("id_parcel"), F.element_at(F.array(F.lit("colza"), F.lit("mais"), F.lit("lin")), (k % 3 + 1).cast("int")).alias("classe_predite"), F.col("c_mktsegment").alias("classe_declaree"), ((k % 97) / 97).alias("proba_max"), F.when(k % 5 == 0, "test").otherwise("train").alias("split"), F.concat(F.lit("rf_"), (k % 2).cast("string")).alias("model_version"))
+
+
+def divergence(spark: SparkSession, d: str) -> DataFrame:
+    """id_parcel, classe_declaree (another one for some), divergent (missing parcels)."""
+    k = F.col("c_custkey")
+    return table(spark, d, "customer").where(k % 7 != 3).select(k.alias("id_parcel"), F.when(k % 11 == 0, "autres").otherwise(F.col("c_mktsegment")).alias("classe_declaree"), (k % 4 == 1).alias("divergent"))
+
+
+def phenology(spark: SparkSession, d: str) -> DataFrame:
+    """id_parcel, classe_declaree (some missing), los_jours, fiable."""
+    k = F.col("c_custkey")
+    return table(spark, d, "customer").where(k % 6 != 2).select(k.alias("id_parcel"), F.when(k % 13 != 0, F.col("c_mktsegment")).alias("classe_declaree"), (k * 37 % 211 + 30).cast("int").alias("los_jours"), (k % 5 != 0).alias("fiable"))
+
+
+def fields(spark: SparkSession, d: str) -> DataFrame:
+    """Parcels in metres of Lambert-93, with envelope columns."""
+    moved = parcels(spark, d).withColumn("ring", F.transform("ring", lambda p: F.struct((p["x"] + 600_000).alias("x"), (p["y"] + 6_880_000).alias("y")))).withColumns({"cx": F.col("cx") + 600_000, "cy": F.col("cy") + 6_880_000})
+    return geo.with_envelope(moved)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldseries.functions.columns import attribute, nan_to_null
+from fieldseries.functions.columns import attribute, nan_to_null, scene_tile
+from fieldseries.operators.catalog import selected
+from fieldseries.operators.geo import reproject
 
 CATALOGUE_SCHEMA = "value array<struct<Id:string,Name:string,ContentDate:struct<Start:timestamp>,Attributes:array<struct<Name:string,Value:string>>>>"
 GEOJSON_SCHEMA = "features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:array<array<array<double>>>>>>"
@@ -23,11 +27,34 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
     return items.select(F.col("p.Id").alias("product_id"), scene.alias("scene_id"), F.col("p.ContentDate.Start").alias("datetime_utc"), attribute(F.col("p.Attributes"), "cloudCover").cast("double").alias("cloud_cover_catalogue"), attribute(F.col("p.Attributes"), "relativeOrbitNumber").cast("int").alias("orbit_relative"))
 
 
-def polygons(spark: SparkSession, path: str) -> DataFrame:
-    """Outer rings of a GeoJSON collection, as arrays of struct(x, y)."""
+def catalogue_pages(spark: SparkSession, path: str, tiles: list[str], first: str, last: str, pairs: dict[str, str]) -> DataFrame:
+    """All saved pages of the tiles' queries, with tile, strip, date and a valid fraction yet to be measured, by time and tile."""
+    found = catalogue(spark, path).withColumns({"tile_id": scene_tile(F.col("scene_id")), "date": F.to_date("datetime_utc"), "f_valid_aoi": F.lit(None).cast("double")})
+    return selected(found, tiles, first, last, pairs)
+
+
+def polygons(spark: SparkSession, path: str, metres: bool = False) -> DataFrame:
+    """Outer rings of a GeoJSON collection, as arrays of struct(x, y); in metres of Lambert-93 if wanted."""
     f = spark.read.schema(GEOJSON_SCHEMA).json(path, multiLine=True).select(F.explode("features").alias("f"))
     ring = F.transform(F.get("f.geometry.coordinates", F.lit(0)), lambda c: F.struct(F.get(c, 0).alias("x"), F.get(c, 1).alias("y")))
-    return f.select(F.col("f.properties").alias("properties"), ring.alias("ring"))
+    return f.select(F.col("f.properties").alias("properties"), (reproject(ring) if metres else ring).alias("ring"))
+
+
+def wkb_rings(df: DataFrame, wkb: str, ring: str = "ring") -> DataFrame:
+    """S02, in part: the outer ring of WKB polygons (little endian, two dimensions), as a geometry table's export to Parquet holds them."""
+    @F.pandas_udf("array<struct<x:double,y:double>>")
+    def read(values: pd.Series) -> pd.Series:
+        def one(v: bytes | None) -> list | None:
+            if v is None or v[0] != 1 or int.from_bytes(v[1:5], "little") & 0xFF != 3:
+                return None
+            at = 9 if not v[4] & 0x20 else 13
+            n = int.from_bytes(v[at : at + 4], "little")
+            xy = np.frombuffer(v, "<f8", 2 * n, at + 4).reshape(n, 2)
+            return [{"x": x, "y": y} for x, y in xy.tolist()]
+
+        return pd.Series([one(v) for v in values])
+
+    return df.withColumn(ring, read(F.col(wkb)))
 
 
 def feature_properties(spark: SparkSession, path: str) -> DataFrame:
@@ -35,6 +62,11 @@ def feature_properties(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(GEOJSON_SCHEMA).json(path, multiLine=True).select(F.explode("features").alias("f")).select("f.properties")
 
 
+def write_reference(spark: SparkSession, path: str, target: str, columns: list[str]) -> None:
+    """Named properties of a feature service's response as CSV with a header."""
+    feature_properties(spark, path).select(*[F.col("properties")[c].alias(c) for c in columns]).distinct().orderBy(*columns).write.mode("overwrite").csv(target, header=True)
+
+
 def fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of files."""
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))

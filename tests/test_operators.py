@@ -62,9 +62,14 @@ def test_first_non_null_of_each_column(spark):
 def test_imputation_tiers_and_edges(spark):
     assert [r[0] for r in spark.createDataFrame([(0.0,), (0.3,), (40.0,), (None,)], "p double").select(imputation.qc_action(F.col("p"))).collect()] == ["exclure", "imputer", "conserver", "conserver"]
     months = [f"2024-0{m}" for m in range(1, 7)]
-    act = spark.createDataFrame([("a", m, x) for m, x in zip(months, ["imputer", "conserver", "imputer", "exclure", "imputer", "exclure"], strict=True)] + [("b", months[0], "imputer")], "id string, mois string, action string")
-    val = spark.createDataFrame([("a", months[1], "v", 4.0), ("a", months[3], "v", 8.0), ("a", months[2], "w", 7.0)], "id string, mois string, variable string, value double")
-    got = {(r["id"], r["variable"], r["mois"]): (r["action"], r["value"]) for r in imputation.impute(val, act, "id").collect()}
+    tiers = ["imputer", "conserver", "imputer", "exclure", "imputer", "exclure"]
+    v, w = [None, 4.0, None, 8.0, None, None], [None, None, 7.0, None, None, None]
+    cells = spark.createDataFrame([("a", *x) for x in zip(months, tiers, v, w, strict=True)] + [("b", months[0], "imputer", None, None)], "id string, mois string, action string, v double, w double")
+    got = {(r["id"], r["variable"], r["mois"]): (r["action"], r["value"]) for r in imputation.impute(cells, "id", ["v", "w"]).collect()}
+    forced = {(r["id"], r["mois"]): r["value"] for r in imputation.impute(cells.where("id = 'a'").na.fill({"v": 1.0}), "id", ["v"], force=True).collect()}
+    assert forced["a", months[2]] == 6.0 and forced["a", months[1]] == 4.0  # between 4 and 8, whatever stood there
+    with pytest.raises(Exception, match="(?i)duplicate"):
+        imputation.impute(cells.union(cells), "id", ["v"]).collect()
     assert got["a", "v", months[0]] == ("imputer", 4.0)  # constant beyond the first value
     assert got["a", "v", months[2]] == ("imputer", 6.0)
     assert got["a", "w", months[2]] == ("imputer", 7.0)  # a value that is there stays
@@ -162,19 +167,64 @@ def test_lambert_and_back(spark):
 
 
 def test_box_limits(spark):
-    assert api.box_area_km2((0, 0, 50.04e3, 1e3)) == 50.0
+    assert 16 < api.box_area_km2((0.72, 49.39, 0.79, 49.42)) < 18
     df = spark.createDataFrame([(i,) for i in range(4)], "id int")
-    small = (0.0, 0.0, 1.0, 1.0)
-    assert api.parcels_in_box(df, F.lit(True), small, "id", 4).truncated is False
-    page = api.parcels_in_box(df, F.lit(True), small, "id", 3)
+    small = (0.72, 49.39, 0.73, 49.40)
+    assert api.parcels_in_box(df, small, "id", 4).truncated is False
+    page = api.parcels_in_box(df, small, "id", 3)
     assert page.truncated and page.total == 4 and page.rows.count() == 3
     with pytest.raises(api.BboxTooLargeError) as e:
-        api.parcels_in_box(df, F.lit(True), (0, 0, 50.06e3, 1e3), "id")
-    assert e.value.area == 50.1
+        api.parcels_in_box(df, (-5, 42, 8, 51), "id")
+    assert e.value.area > 900_000
     with pytest.raises(ValueError):
         api.parse_bbox("1,2,3")
 
 
+def test_the_limit_is_compared_after_rounding(spark, monkeypatch):
+    df = spark.createDataFrame([(1,)], "id int")
+    for metres, accepted in ((50.04e6, True), (50.06e6, False)):
+        monkeypatch.setattr(geo, "box_corners", lambda box, m=metres: [(0, 0), (m, 0), (m, 1), (0, 1), (0, 0)])
+        if accepted:
+            assert api.parcels_in_box(df, (0, 0, 1, 1), "id").total == 1
+        else:
+            with pytest.raises(api.BboxTooLargeError):
+                api.parcels_in_box(df, (0, 0, 1, 1), "id")
+
+
+def ring(*points):
+    return geo.ring_of(list(points))
+
+
+def test_rings_meet_and_are_valid(spark):
+    a, b = ring((0, 0), (4, 0), (4, 4), (0, 4), (0, 0)), ring((1, 1), (2, 1), (2, 2), (1, 1))
+    c, d = ring((4, 4), (6, 4), (6, 6), (4, 4)), ring((5, 0), (6, 0), (6, 1), (5, 0))
+    cross, bow = ring((-1, 1), (9, 1), (9, 2), (-1, 2), (-1, 1)), ring((0, 0), (2, 2), (2, 0), (0, 2), (0, 0))
+    got = spark.range(1).select(geo.intersects(a, b), geo.intersects(b, a), geo.intersects(a, c), geo.intersects(a, d), geo.intersects(a, cross), geo.valid(a), geo.valid(bow), geo.valid(ring((0, 0), (1, 0), (0, 0)))).first()
+    assert tuple(got) == (True, True, True, False, True, True, False, False)
+
+
+def test_wkt_and_footprints(spark):
+    df = spark.createDataFrame([("geography'SRID=4326;POLYGON((0 0, 4 0, 4 4, 0 0))'",)], "t string")
+    got = df.select(geo.wkt_ring(geo.footprint(F.col("t"))).alias("r")).first()["r"]
+    assert [tuple(p) for p in got] == [(0, 0), (4, 0), (4, 4), (0, 0)]
+
+
+def test_unknown_parcels_and_feature_order(spark):
+    m = spark.createDataFrame([("a", "2024-02", "NDVI", 0.5)], "id string, mois string, variable string, mean double")
+    known = spark.createDataFrame([("a", True)], "id string, divergent boolean")
+    assert api.parcel_detail(known, "id", "a").columns == ["id", "divergente"]
+    assert api.parcel_profile(m, known, "id", "a", ["2024-01", "2024-02"]).first()["ndvi"] == [None, 0.5]
+    for call in (lambda: api.parcel_detail(known, "id", "b"), lambda: api.parcel_profile(m, known, "id", "b", ["2024-01"])):
+        with pytest.raises(api.UnknownParcelError):
+            call()
+    page = spark.createDataFrame([(i,) for i in (10, 2, 1)], "id int").withColumn("ring", ring((7e5, 6.6e6), (7.1e5, 6.6e6), (7e5, 6.7e6), (7e5, 6.6e6)))
+    import json
+
+    made = json.loads(api.feature_collection(page, "ring", "id", 9, True).first()["geojson"])
+    assert [f["properties"]["id"] for f in made["features"]] == [1, 2, 10] and (made["retourne"], made["total_disponible"], made["tronque"]) == (3, 9, True)
+    assert made["features"][0]["geometry"]["coordinates"][0][0] == pytest.approx([3.0, 46.5], abs=1e-6)
+
+
 def test_profile_is_aligned_with_the_calendar(spark):
     m = spark.createDataFrame([("a", "2024-02", "NDVI", 0.5), ("a", "2024-01", "XX", 0.1)], "id string, mois string, variable string, mean double")
     ids = spark.createDataFrame([("a",), ("b",)], "id string")
@@ -185,6 +235,12 @@ def test_sinks_and_manifest(spark, tmp_path):
     old, new = spark.createDataFrame([(1, "o"), (2, "o")], "k int, v string"), spark.createDataFrame([(2, "n"), (3, "n")], "k int, v string")
     assert rows(sinks.insert_if_absent(old, new, ["k"]), "k") == [(1, "o"), (2, "o"), (3, "n")]
     assert rows(sinks.upsert(old, new, ["k"]), "k") == [(1, "o"), (2, "n"), (3, "n")]
+    with pytest.raises(Exception, match="two new rows have one key"):
+        sinks.upsert(old, new.union(new), ["k"]).collect()
+    assert sinks.upsert(old.withColumn("t", F.lit(None).cast("timestamp")), new, ["k"], stamp="t").where("t IS NULL").count() == 1
+    assert sinks.replace_table(old, "replaced_once", 2) == sinks.replace_table(old, "replaced_once") == 2
+    with pytest.raises(ValueError, match="expected"):
+        sinks.replace_table(old, "replaced_once", 3)
     want = spark.createDataFrame([(1, 5), (2, 5), (3, 5)], "k int, src_max_ts int")
     have = spark.createDataFrame([(1, "v", 5), (2, "v", 4), (3, "u", 9)], "k int, version string, src_max_ts int")
     assert rows(sinks.pending(want, have, ["k"], "v"), "k") == [(2, 5), (3, 5)]
@@ -195,7 +251,7 @@ def test_sinks_and_manifest(spark, tmp_path):
 
 def test_wide_features_refuse_repeated_keys(spark):
     df = spark.createDataFrame([(1, "NDVI", "2024-01", 0.5)] * 2, "id int, variable string, mois string, mean double")
-    with pytest.raises(Exception, match="two rows have one key"):
+    with pytest.raises(Exception, match="(?i)duplicate"):
         features.wide(df, "id", ["mean"], ["NDVI"], ["2024-01"]).collect()
     assert features.wide(df.limit(1), "id", ["mean"], ["NDVI"], ["2024-01"]).first()["NDVI_mean_2024-01"] == 0.5
 
@@ -216,7 +272,14 @@ def test_stream_upserts_in_order(spark, tmp_path):
     spark.createDataFrame([(2, "b")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     q = ingest.start(spark, str(tmp_path / "in"), first.schema, str(tmp_path / "out"), ["k"], str(tmp_path / "cp"))
     q.awaitTermination()
-    assert rows(spark.read.parquet(str(tmp_path / "out/v000001")), "k") == [(1, "a"), (2, "b")]
+    assert rows(ingest.current(spark, str(tmp_path / "out")), "k") == [(1, "a"), (2, "b")]
+    # a fresh checkpoint goes on from the table, and a half-written version is none
+    (tmp_path / "out/v000000002-000000000000-0").mkdir()
+    spark.createDataFrame([(3, "c"), (3, "b")], schema).coalesce(1).write.parquet(str(tmp_path / "in2"))
+    for _ in range(2):
+        ingest.start(spark, str(tmp_path / "in2"), first.schema, str(tmp_path / "out"), ["k"], str(tmp_path / "cp2"), order=["v"]).awaitTermination()
+    assert rows(ingest.current(spark, str(tmp_path / "out")), "k") == [(1, "a"), (2, "b"), (3, "c")]
+    assert len(ingest.versions(spark, str(tmp_path / "out"))) == 3
 
 
 def test_sources(spark, tmp_path):
@@ -230,6 +293,13 @@ def test_sources(spark, tmp_path):
     assert poly.select(geo.area(F.col("ring"))).first()[0] == 0.5
     assert tables.feature_properties(spark, str(tmp_path / "g.json")).first()["properties"] == {"a": "b"}
     assert tables.fingerprints(spark, str(tmp_path / "c.json")).count() == 1
+    tables.write_reference(spark, str(tmp_path / "g.json"), str(tmp_path / "csv"), ["a"])
+    assert spark.read.csv(str(tmp_path / "csv"), header=True).first()["a"] == "b"
+    import struct
+
+    wkb = struct.pack("<BIII8d", 1, 3, 1, 4, 0, 0, 1, 0, 0, 1, 0, 0)
+    got = tables.wkb_rings(spark.createDataFrame([(wkb,), (None,)], "g binary"), "g")
+    assert got.select(geo.area(F.col("ring"))).first()[0] == 0.5
 
 
 def test_the_daily_grid_spans_all_dates(spark, tmp_path):
@@ -251,3 +321,47 @@ def test_the_registered_forest_is_the_operators_own(spark, monkeypatch):
     got = registry.queries()["rf_predict"](spark, "/root/testdata/sf0.001")
     forest = seen[0].stages[1]
     assert (forest.getNumTrees, forest.getOrDefault("maxDepth")) == (300, 30) and got.count() == 500
+
+
+def test_the_entry_points_run_one_after_another(spark, tmp_path):
+    import json
+
+    from fieldseries import cli
+
+    r, d = np.random.default_rng(0), str(tmp_path)
+    corner = lambda i: (700_000 + 200 * (i % 8), 6_600_000 + 12_000 * (i // 20) + 200 * (i % 20 // 8))
+    square = lambda x, y: [(float(a), float(b)) for a, b in ((x, y), (x + 90, y), (x + 90, y + 90), (x, y + 90), (x, y))]
+    parcels = [(f"p{i:02d}", square(*corner(i)), str(1 + i % 2), "X") for i in range(40)] + [("far", square(800_000, 6_600_000), "1", "X")]
+    spark.createDataFrame(parcels, "id_parcel string, ring array<struct<x:double,y:double>>, code_group string, code_cultu string").write.parquet(f"{d}/parcels")
+    (tmp_path / "aoi.geojson").write_text(json.dumps({"features": [{"properties": {}, "geometry": {"type": "Polygon", "coordinates": [[[2.9, 46.4], [3.1, 46.4], [3.1, 46.7], [2.9, 46.7], [2.9, 46.4]]]}}]}))
+    names = [f"S2A_MSIL2A_2024{m:02d}{day:02d}T1_N0510_R051_T30UYV_X{m}.SAFE" for m in range(3, 7) for day in (3, 18)]
+    scene = lambda n: {"Id": n[-9:], "Name": n, "ContentDate": {"Start": f"{n[11:15]}-{n[15:17]}-{n[17:19]}T00:00:00Z"}, "Attributes": [{"Name": "relativeOrbitNumber", "Value": "51"}]}
+    (tmp_path / "pages").mkdir()
+    (tmp_path / "pages/a.json").write_text(json.dumps({"value": [scene(n) for n in names]}))
+    cli.main(["ingest", d], spark)
+    kept = spark.read.parquet(f"{d}/parcels_aoi")
+    assert kept.count() == 40 and spark.read.parquet(f"{d}/catalogue").count() == 8
+    from fieldseries.operators import raster
+
+    cells = raster.rasterize(kept, raster.Grid.of(kept), "id_parcel").collect()
+    obs = [(n.removesuffix(".SAFE"), "30UYV", date(2024, int(n[15:17]), int(n[17:19])), c["row"], c["col"], 4 if r.random() > 0.1 else 9, *[float(1000 + 500 * b + 300 * int(c["id_parcel"][1:]) % 2 + r.integers(90) + 200 * int(n[15:17])) for b in range(7)]) for n in names for c in cells]
+    spark.createDataFrame(obs, "scene_id string, tile_id string, date date, row int, col int, scl int, b02 double, b04 double, b05 double, b06 double, b07 double, b08 double, b11 double").write.parquet(f"{d}/pixel_obs")
+    cli.main(["process", d], spark)
+    assert spark.read.parquet(f"{d}/monthly").count() == 40 * 4 * 11
+    cli.ml(spark, d, trees=5, depth=4)
+    assert spark.read.parquet(f"{d}/classification").count() == 40 and spark.read.parquet(f"{d}/report_model").count() == 3
+    cli.main(["phenology", d], spark)
+    assert spark.read.parquet(f"{d}/phenology").count() == 40 == spark.read.parquet(f"{d}/divergence").count()
+
+
+def test_search_and_unseen_rows(spark):
+    from fieldseries.operators import model
+
+    data = [(i, [float(i % 2), float(i % 5)], "ab"[i % 2]) for i in range(60)]
+    df = spark.createDataFrame(data, "id int, x array<double>, classe string")
+    found = model.search(df, "x", "classe", "id", {"trees": (3, 5), "depth": (2,), "least": (1,)}, draws=2, parts=2).collect()
+    assert len(found) == 2 and found[0]["f1_macro"] == 1.0
+    assert model.unseen_score(df, "x", "classe", "id", parts=2, trees=3, depth=2, least=1).first()["accuracy"] == 1.0
+    fitted = model.train(df, "x", "classe", trees=3, depth=2, least=1)
+    ranked = model.importances(fitted, ["a", "b"], df, top=1).collect()
+    assert [(r["feature"], r["rang"]) for r in ranked] == [("a", 1)]
