@@ -11,13 +11,17 @@ from fieldseries.functions.columns import half_even
 def wide(stats: DataFrame, id: str, columns: list[str], variables: list[str], months: list[str]) -> DataFrame:
     """One column {variable}_{stat}_{month} for every combination of an explicit list; a repeated key raises.
 
-    Only the wanted cells are gathered, as one map an id (at most variables x months entries); the columns are a projection of it. A table
-    that is partitioned by the id already is not shuffled again.
+    Only the wanted cells are kept, and Spark's pivot puts each into its place of one buffer an id. A table that is partitioned by the id
+    already is not shuffled again.
     """
+    key = F.concat_ws("|", "variable", "mois")
+    wanted = [f"{v}|{m}" for v in variables for m in months]
     cells = stats.where(F.col("variable").isin(variables) & F.col("mois").isin(months))
-    key = F.concat_ws("_", "variable", "mois")
-    maps = cells.groupBy(id).agg(F.map_from_entries(F.collect_list(F.struct(key.alias("key"), F.struct(*columns).alias("stats")))).alias("__m"))
-    return maps.select(id, *[F.try_element_at("__m", F.lit(f"{v}_{m}"))[s].alias(f"{v}_{s}_{m}") for v in variables for s in columns for m in months])
+    single = cells.groupBy(id, key.alias("__key")).agg(*[F.first(c).alias(c) for c in columns], F.count("*").alias("__n"))
+    single = single.where(F.assert_true(F.col("__n") == 1, F.lit("two rows have one key")).isNull())
+    made = single.groupBy(id).pivot("__key", wanted).agg(*[F.first(c, ignorenulls=True).alias(f"__{c}") for c in columns])
+    name = (lambda v, s, m: f"{v}|{m}___{s}") if len(columns) > 1 else (lambda v, s, m: f"{v}|{m}")
+    return made.select(id, *[F.col(f"`{name(v, s, m)}`").alias(f"{v}_{s}_{m}") for v in variables for s in columns for m in months])
 
 
 def wide_by_month(stats: DataFrame, id: str, columns: list[str], variables: list[str]) -> DataFrame:

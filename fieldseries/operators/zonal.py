@@ -13,21 +13,22 @@ def zonal_stats(pixels: DataFrame, keys: list[str], value: str = "value") -> Dat
     return made.select(*keys, "mean", "std", F.get("p", F.lit(0)).alias("p10"), F.get("p", F.lit(1)).alias("p90"))
 
 
-def _percentile(sorted_values: Column, q: float) -> Column:
-    """Exact, linear between neighbours, of an ascending array."""
-    at = (F.size(sorted_values) - 1) * F.lit(q)
-    low = F.floor(at).cast("int")
-    a, b = F.get(sorted_values, low), F.get(sorted_values, F.ceil(at).cast("int"))
-    return a + (b - a) * (at - low)
+def _percentile(sorted_values: Column, n: Column, q: float) -> Column:
+    """Exact, linear between neighbours, of the last n of an ascending array (nulls come first)."""
+    at = (n - 1) * F.lit(q)
+    first = F.size(sorted_values) - n.cast("int")
+    a, b = F.get(sorted_values, first + F.floor(at).cast("int")), F.get(sorted_values, first + F.ceil(at).cast("int"))
+    return a + (b - a) * (at - F.floor(at))
 
 
 def zonal_stats_of(pixels: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:
     """A01 over several variables (columns): keys, variable, mean, std, p10, p90. Rows are shuffled once for all variables, and the percentiles are
     picked from each group's sorted values (at most one parcel's pixels of a month)."""
-    value = {v: F.array_sort(F.filter(F.col(f"__px.{v}"), lambda x: x.isNotNull())) for v in variables}
-    made = pixels.groupBy(*keys).agg(F.collect_list(F.struct(*variables)).alias("__px"), *[a for v in variables for a in (F.avg(v).alias(f"__m_{v}"), F.stddev_pop(v).alias(f"__s_{v}"))])
-    made = made.withColumns({f"__v_{v}": x for v, x in value.items()})
-    rows = [F.struct(F.lit(v).alias("variable"), F.col(f"__m_{v}").alias("mean"), F.col(f"__s_{v}").alias("std"), _percentile(F.col(f"__v_{v}"), 0.1).alias("p10"), _percentile(F.col(f"__v_{v}"), 0.9).alias("p90")) for v in variables]
+    sums = [a for v in variables for a in (F.avg(v).alias(f"__m_{v}"), F.stddev_pop(v).alias(f"__s_{v}"), F.count(v).alias(f"__n_{v}"))]
+    made = pixels.groupBy(*keys).agg(F.collect_list(F.struct(*variables)).alias("__px"), *sums)
+    made = made.withColumns({f"__v_{v}": F.sort_array(F.col(f"__px.{v}")) for v in variables})
+    cut = lambda v, q: _percentile(F.col(f"__v_{v}"), F.col(f"__n_{v}"), q)
+    rows = [F.struct(F.lit(v).alias("variable"), F.col(f"__m_{v}").alias("mean"), F.col(f"__s_{v}").alias("std"), cut(v, 0.1).alias("p10"), cut(v, 0.9).alias("p90")) for v in variables]
     return made.select(*keys, F.inline(F.array(*rows))).where("mean IS NOT NULL")
 
 
