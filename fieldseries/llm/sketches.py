@@ -1,14 +1,17 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame functions only.
 
 A text is cut into paragraphs (lines, cut further at sentence ends) and each distinct paragraph hashed to 64 bits. A sketch
-spreads the digests over tables of three rows of cells; a cell holds the number of its digests, their exclusive-or
-and that of their check hashes. Sketches of two versions subtract cell by cell; peeling takes cells left with one digest, removes it
-from its other cells and goes on until every cell is empty: what was taken are the digests only one version has. A table
-that does not empty is tried again with twice the cells and other hashes.
+has three rows of WIDTH cells, whatever the length of the text: it is sized for what two versions differ in. A cell holds the number
+of its digests, their exclusive-or and that of their check hashes; the fingerprint is these cells. Fingerprints of two versions subtract
+cell by cell; peeling takes cells left with one digest, removes it from its other cells and goes on until every cell is empty: what
+was taken are the digests only one version has. If cells remain, the pair is tried again with larger sketches: its digests are dealt out by
+their hash to SPLIT tables, each with cells of its own and other hashes, and tables that fail are dealt out again. A pair that still
+fails after LEVELS levels (its digests share cells at every level) is settled by the exact difference of its few digests. The
+work is proportional to the paragraphs times the levels, so it grows no faster than the text.
 
 Defined results: a null text is an empty one; an empty text has no paragraph, and two such texts have likeness 1; repeated rows
 give equal rows (ties of the id are ordered by a hash of the text); rows with a null id come last in the descending order; one
-row alone is followed by itself; an empty table gives an empty table; other columns are not read.
+row alone is followed by itself; an empty table gives an empty table; other columns are not read. Ids are of any integer type.
 """
 
 from __future__ import annotations
@@ -18,8 +21,9 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Digests a table is made for, cells of a row at first, rounds of peeling, doublings of the cells.
-LOAD, WIDTH, ROUNDS, RETRIES = 12, 8, 16, 7
+#: Cells of a row, rounds of peeling, tables that a failed pair is dealt out to, and how often.
+WIDTH, ROUNDS, SPLIT_BITS, LEVELS = 8, 16, 3, 8
+SPLIT = 1 << SPLIT_BITS
 #: A paragraph ends at a line break or at white space behind a sentence's end.
 BREAKS = r"\n+|(?<=[.!?])\s+"
 
@@ -34,17 +38,12 @@ def _let(value: Column, body) -> Column:  # noqa: ANN001
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _tabled(digests: Column, tables: Column) -> Column:
-    """Each digest with its table and check hash."""
-    return F.transform(digests, lambda d: F.struct(F.pmod(F.shiftright(d, 3), tables.cast("long")).cast("int").alias("t"), d.alias("k"), F.xxhash64(d).alias("c")))
+def _placed(digests: Column, level: Column) -> Column:
+    """Each digest with its sign, its check hash and its cell in every row of cells."""
 
-
-def _placed(digests: Column, width: Column, attempt: Column) -> Column:
-    """Each digest of a table with its cell in every row of cells."""
-
-    def of(d: Column) -> Column:
-        places = lambda h: F.struct(d["n"].alias("n"), d["k"].alias("k"), d["c"].alias("c"), *[F.shiftright(h, 20 * r).bitwiseAND((width - 1).cast("long")).cast("int").alias(f"p{r}") for r in range(3)])
-        return _let(F.xxhash64(d["k"], attempt), places)
+    def of(k: Column) -> Column:
+        place = lambda h, r: F.shiftright(h, 20 * r).bitwiseAND(WIDTH - 1).cast("int").alias(f"p{r}")
+        return _let(F.xxhash64(k, level), lambda h: F.struct(F.lit(1).alias("n"), k.alias("k"), F.xxhash64(k).alias("c"), *[place(h, r) for r in range(3)]))
 
     return F.transform(digests, of)
 
@@ -54,29 +53,30 @@ def _add(cell: Column, d: Column, sign: int) -> Column:
     return F.struct(n.alias("n"), cell["k"].bitwiseXOR(d["k"]).alias("k"), cell["c"].bitwiseXOR(d["c"]).alias("c"))
 
 
-def cells(placed: Column, width: Column) -> list[Column]:
-    """The three rows of cells of one table."""
+def cells(digests: Column, level: Column) -> Column:
+    """struct(r0, r1, r2): the three rows of cells."""
     empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
 
-    def row(r: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.aggregate(placed, empty, lambda acc, d: F.when(d[f"p{r}"] == i, _add(acc, d, 1)).otherwise(acc)))
+    def row(placed: Column, r: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda i: F.aggregate(placed, empty, lambda acc, d: F.when(d[f"p{r}"] == i, _add(acc, d, 1)).otherwise(acc)))
 
-    return [row(r) for r in range(3)]
+    return _let(_placed(digests, level), lambda placed: F.struct(*[row(placed, r).alias(f"r{r}") for r in range(3)]))
 
 
-def subtract(left: list[Column], right: list[Column]) -> list[Column]:
-    return [F.zip_with(x, y, lambda a, b: _add(a, b, -1)) for x, y in zip(left, right, strict=True)]
+def subtract(left: Column, right: Column) -> Column:
+    return F.struct(*[F.zip_with(left[f"r{r}"], right[f"r{r}"], lambda a, b: _add(a, b, -1)).alias(f"r{r}") for r in range(3)])
 
 
-def peel(difference: list[Column], width: Column, attempt: Column) -> Column:
+def peel(difference: Column, level: Column) -> Column:
     """struct(left, right): the digests recovered; null if cells remain."""
     none = F.array().cast("array<bigint>")
     names = ["r0", "r1", "r2"]
-    start = F.struct(*[x.alias(n) for x, n in zip(difference, names, strict=True)], none.alias("left"), none.alias("right"), F.lit(True).alias("going"))
+    start = F.struct(*[difference[n].alias(n) for n in names], none.alias("left"), none.alias("right"), F.lit(True).alias("going"))
 
     def pure(acc: Column) -> Column:
-        single = F.filter(F.concat(*[acc[n] for n in names]), lambda x: (F.abs(x["n"]) == 1) & (F.xxhash64(x["k"]) == x["c"]))
-        return _placed(F.array_distinct(single), width, attempt)
+        single = F.array_distinct(F.filter(F.concat(*[acc[n] for n in names]), lambda x: (F.abs(x["n"]) == 1) & (F.xxhash64(x["k"]) == x["c"])))
+        signs = F.transform(single, lambda x: x["n"])
+        return F.zip_with(_placed(F.transform(single, lambda x: x["k"]), level), signs, lambda d, n: F.struct(n.alias("n"), *[d[c].alias(c) for c in ("k", "c", "p0", "p1", "p2")]))
 
     def without(found: Column, place: str):  # noqa: ANN202
         return lambda x, i: F.aggregate(found, x, lambda cell, d: F.when(d[place] == i, _add(cell, d, -1)).otherwise(cell))
@@ -97,57 +97,65 @@ def peel(difference: list[Column], width: Column, attempt: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, finish)
 
 
-def tables_for(n: Column) -> Column:
-    return F.greatest(F.lit(1), F.ceil(n / LOAD).cast("int"))
-
-
-def _share(tabled: Column, table: Column) -> Column:
-    one = lambda d: F.struct(F.lit(1).alias("n"), d["k"].alias("k"), d["c"].alias("c"))
-    return F.transform(F.filter(tabled, lambda d: d["t"] == table), one)
+def difference(left: Column, right: Column, known: Column | None = None) -> Column:
+    """struct(left, right): digests that only one side has, recovered from subtracted sketches. known: the subtracted cells of the first level, if they are at hand."""
+    none = F.array().cast("array<bigint>")
+    pair = F.struct(left.alias("a"), right.alias("b"))
+    first = F.struct(pair.alias("p"), peel(subtract(cells(left, F.lit(0)), cells(right, F.lit(0))) if known is None else known, F.lit(0)).alias("d"))
 
+    def tried(pairs: Column, level: Column) -> Column:
+        return F.transform(pairs, lambda p: F.struct(p.alias("p"), peel(subtract(cells(p["a"], level), cells(p["b"], level)), level).alias("d")))
 
-def difference(left: Column, right: Column) -> Column:
-    """struct(left, right): digests that only one side has, recovered from subtracted sketches table by table."""
-    none = F.lit(None).cast("struct<left:array<bigint>,right:array<bigint>>")
+    def sum_up(acc: Column, found: Column) -> Column:
+        """The state after a level: what was recovered, and the pairs that failed."""
+        done = F.filter(found, lambda x: x["d"].isNotNull())
+        gained = lambda side: F.concat(acc[side], F.flatten(F.transform(done, lambda x: x["d"][side]))).alias(side)
+        return F.struct(gained("left"), gained("right"), F.transform(F.filter(found, lambda x: x["d"].isNull()), lambda x: x["p"]).alias("open"))
 
-    def table(pair: Column) -> Column:
-        def again(acc: Column, attempt: Column) -> Column:
-            width = F.lit(WIDTH) * F.call_function("shiftleft", F.lit(1), attempt)
-            sketches = [_let(_placed(pair[side], width, attempt), lambda x: F.struct(*[c.alias(f"r{r}") for r, c in enumerate(cells(x, width))])) for side in "ab"]
-            rows = lambda both: peel(subtract(*[[both[side][f"r{r}"] for r in range(3)] for side in "ab"]), width, attempt)
-            return F.coalesce(acc, _let(F.struct(sketches[0].alias("a"), sketches[1].alias("b")), rows))
+    def dealt(pairs: Column, level: Column) -> Column:
+        """Failed pairs by the level's bits of their digests' hash."""
+        part = lambda ks, i: F.filter(ks, lambda k: F.pmod(F.xxhash64(F.lit(-1), level, k), F.lit(SPLIT)) == i)
+        return F.flatten(F.transform(pairs, lambda p: F.transform(F.sequence(F.lit(0), F.lit(SPLIT - 1)), lambda i: F.struct(part(p["a"], i).alias("a"), part(p["b"], i).alias("b")))))
 
-        return F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES)), none, again)
+    def step(acc: Column, level: Column) -> Column:
+        return F.when(F.size(acc["open"]) > 0, _let(tried(dealt(acc["open"], level), level), lambda found: sum_up(acc, found))).otherwise(acc)
 
-    def of(both: Column) -> Column:
-        share = lambda i: F.struct(_share(both["a"], i).alias("a"), _share(both["b"], i).alias("b"))
-        return F.transform(F.transform(F.sequence(F.lit(0), both["t"] - 1), share), table)
+    def settle(acc: Column) -> Column:
+        rest = lambda a, b: F.flatten(F.transform(acc["open"], lambda p: F.array_except(p[a], p[b])))
+        return F.struct(F.concat(acc["left"], rest("a", "b")).alias("left"), F.concat(acc["right"], rest("b", "a")).alias("right"))
 
-    sized = _let(tables_for(F.size(left) + F.size(right)), lambda t: F.struct(t.alias("t"), _tabled(left, t).alias("a"), _tabled(right, t).alias("b")))
-    return _let(_let(sized, of), lambda p: F.struct(F.flatten(F.transform(p, lambda x: x["left"])).alias("left"), F.flatten(F.transform(p, lambda x: x["right"])).alias("right")))
+    empty = F.struct(none.alias("left"), none.alias("right"), F.array().cast("array<struct<a:array<bigint>,b:array<bigint>>>").alias("open"))
+    start = _let(F.array(first), lambda found: sum_up(empty, found))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), start, step, settle)
 
 
 def sketch(digests: Column) -> Column:
-    """All cells of a text's own sketch."""
-    width = F.lit(WIDTH)
-    own = lambda both: F.flatten(F.transform(F.sequence(F.lit(0), both["t"] - 1), lambda i: _let(_placed(_share(both["a"], i), width, F.lit(0)), lambda x: F.concat(*cells(x, width)))))
-    return _let(_let(tables_for(F.size(digests)), lambda t: F.struct(t.alias("t"), _tabled(digests, t).alias("a"))), own)
+    """A text's own cells."""
+    return cells(digests, F.lit(0))
 
 
 def fingerprint(sketch_cells: Column) -> Column:
-    """32 hexadecimal digits of a sketch."""
-    half = lambda seed: F.lpad(F.lower(F.hex(F.xxhash64(F.lit(seed), sketch_cells))), 16, "0")
-    return F.concat(half(1), half(2))
+    """The cells as text: base 64 of 20 bytes a cell (number, exclusive-or, exclusive-or of check hashes)."""
+    one = lambda x: F.concat(F.lpad(F.hex(x["n"]), 8, "0"), F.lpad(F.hex(x["k"]), 16, "0"), F.lpad(F.hex(x["c"]), 16, "0"))
+    return F.translate(F.base64(F.unhex(F.array_join(F.transform(F.concat(*[sketch_cells[f"r{r}"] for r in range(3)]), one), ""))), "\r\n", "")
+
+
+def unpack(text: Column) -> Column:
+    """The cells of a fingerprint, so that two of them can be subtracted and peeled without their texts."""
+    raw = F.hex(F.unbase64(text))
+    part = lambda h, at, n: F.conv(F.substring(h, at, n), 16, -10).cast("long")  # noqa: E731 - signed, as the bits are
+    one = lambda h, i: _let(F.substring(h, F.lit(1) + 40 * i, F.lit(40)), lambda x: F.struct(part(x, 1, 8).cast("int").alias("n"), part(x, 9, 16).alias("k"), part(x, 25, 16).alias("c")))
+    return _let(raw, lambda h: F.struct(*[F.transform(F.sequence(F.lit(r * WIDTH), F.lit((r + 1) * WIDTH - 1)), lambda i: one(h, i)).alias(f"r{r}") for r in range(3)]))
 
 
-def likeness(left: Column, right: Column) -> Column:
+def likeness(left: Column, right: Column, known: Column | None = None) -> Column:
     """Shared over all distinct paragraphs, from the digests that the sketches' difference gives."""
 
     def of(d: Column) -> Column:
         every = F.size(left) + F.size(d["right"])
         return F.when(every == 0, F.lit(1.0)).otherwise((F.size(left) - F.size(d["left"])) / every)
 
-    return _let(difference(left, right), of)
+    return _let(difference(left, right, known), of)
 
 
 def with_next(df: DataFrame, id: str, text: str, rows_per_bucket: int = 1000, most_buckets: int = 65_536) -> DataFrame:
@@ -158,7 +166,9 @@ def with_next(df: DataFrame, id: str, text: str, rows_per_bucket: int = 1000, mo
     """
     rows = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     ids = rows.select("id")
-    n = min(most_buckets, max(1, ids.count() // rows_per_bucket))
+    total = ids.count()
+    n = min(most_buckets, max(1, total // rows_per_bucket))
+    ids = ids.sample(min(1.0, 200 * n / max(1, total)), 7)  # for the places of the cuts only, which balance the buckets
     cuts = sorted(set(ids.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 4 * n)).first()[0] or [])) if n > 1 else []
     if cuts:
         splits = F.from_json(F.lit(json.dumps(cuts)), "array<bigint>")
@@ -182,5 +192,6 @@ def fingerprint_versions(df: DataFrame, id: str = "doc_id", text: str = "text")
     third = F.floor(n / 3).cast("int")
     edited = with_next(df, id, text).withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 3) as int))"), F.substring(F.col("next_text"), F.lit(1), third)))
     hashed = edited.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), paragraphs(F.col("text")).alias("own"), paragraphs(F.col("edited")).alias("new"), paragraphs(F.col("next_text")).alias("next"))
-    own, new, following = F.col("own"), F.col("new"), F.col("next")
-    return hashed.select(F.col("id").alias(id), "n_chars", "edited_sha256", fingerprint(sketch(own)).alias("fingerprint"), fingerprint(sketch(new)).alias("edited_fingerprint"), likeness(own, new).alias("near_edited"), likeness(own, following).alias("near_next"))
+    made = hashed.withColumn("cells", sketch(F.col("own"))).withColumn("new_cells", sketch(F.col("new")))
+    near = likeness(F.col("own"), F.col("new"), subtract(F.col("cells"), F.col("new_cells")))
+    return made.select(F.col("id").alias(id), "n_chars", "edited_sha256", fingerprint(F.col("cells")).alias("fingerprint"), fingerprint(F.col("new_cells")).alias("edited_fingerprint"), near.alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"))

@@ -266,6 +266,22 @@ def test_sketch_differences_are_exact(spark):
         assert x["l"] == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
 
 
+def test_fingerprints_alone_give_small_differences(spark):
+    df = spark.createDataFrame([(list(range(1000, 1060)), list(range(1003, 1062)))], "a array<long>, b array<long>").select(sketches.fingerprint(sketches.sketch(F.col("a"))).alias("a"), sketches.fingerprint(sketches.sketch(F.col("b"))).alias("b"))
+    d = df.select(sketches.peel(sketches.subtract(sketches.unpack(F.col("a")), sketches.unpack(F.col("b"))), F.lit(0)).alias("d")).first()["d"]
+    assert set(d["left"]) == {1000, 1001, 1002} and set(d["right"]) == {1060, 1061}
+
+
+def test_a_very_long_text_takes_linear_work(spark):
+    import time
+
+    texts = [" ".join(f"Sentence {i + k} is here." for i in range(20_000)) for k in (0, 1)]
+    start = time.time()
+    rows = {r["doc_id"]: r for r in sketches.fingerprint_versions(frame(spark, texts)).collect()}
+    assert time.time() - start < 120
+    assert rows[1]["near_next"] == pytest.approx(19_999 / 20_001)
+
+
 def test_versions_are_edited_with_the_next_text(spark):
     texts = [t if t is None else t.replace(" e", ". e") for t in corpus(n=40)]
     rows = {r["doc_id"]: r for r in sketches.fingerprint_versions(frame(spark, texts)).collect()}
@@ -276,7 +292,9 @@ def test_versions_are_edited_with_the_next_text(spark):
         n = len(t) // 3
         assert rows[i]["n_chars"] == len(t)
         assert rows[i]["edited_sha256"] == hashlib.sha256((t[: len(t) - n] + following[:n]).encode()).hexdigest()
-        assert 0 <= rows[i]["near_edited"] <= 1 and 0 <= rows[i]["near_next"] <= 1
+        cut = lambda x: {p for p in re.split(r"\n+|(?<=[.!?])\s+", x) if p}
+        alike = lambda x, y: len(cut(x) & cut(y)) / len(cut(x) | cut(y)) if cut(x) | cut(y) else 1.0
+        assert rows[i]["near_edited"] == pytest.approx(alike(t, t[: len(t) - n] + following[:n])) and rows[i]["near_next"] == pytest.approx(alike(t, following))
         prints.setdefault(t, set()).add(rows[i]["fingerprint"])
     assert all(len(v) == 1 for v in prints.values())
 
