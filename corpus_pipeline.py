@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fieldseries.functions.session import ship
 from fieldseries.llm import bpe, mixing, pii, repetition, simhash
 from fieldseries.llm.common import cut, table
-from fieldseries.llm.queries import PII_KEY, TOKENIZER
+from fieldseries.llm.queries import TOKENIZER, pii_key
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced; n_chars follows the new text."""
-    made = pii.replace(docs, PII_KEY)
-    changed = F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    made = pii.replace(docs, pii_key(spark))
+    changed = F.when(F.col(made.columns[-1]) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return made.withColumn("n_chars", changed).select(docs.columns)
 
 

@@ -1,13 +1,17 @@
 """Surrogates for personal data, in DataFrame functions only.
 
 Entities are found by one pattern, and every distinct value gets a keyed surrogate of its type and format: digits become
-digits, letters become letters of the same script and case, separators stay, addresses stay valid, card numbers keep
-whether their check digit holds, and names keep their title, gender and script. Equal values get equal surrogates everywhere
-(coreference). Distinct values must get distinct surrogates that are no value of the corpus: values that clash take further
-attempts until none does; only those few are joined back, all others are computed in place.
+digits, letters become letters of the same script and case, separators stay, addresses stay valid, card and bank numbers keep
+whether their check digits hold. A person's name is taken apart: the title or label stays, the family name and every given name have
+surrogates of their own in their script, case and (given names) gender, so that Mr Berg, Herr Berg and Mrs Anna Berg keep one family name between
+them. Equal values get equal surrogates everywhere (coreference). Distinct values must get distinct surrogates that are no value of
+the corpus: those that clash, and only those, take further attempts until none does; they are few and are joined back, all others are computed in place.
+
+A name is found behind a title or a label (Name: ...), or if it begins with one of GIVEN_NAMES; other names stand in no rule and stay.
 
 Defined results: a null text stays null and an empty one empty, both without entities; texts without entities are unchanged;
-repeated rows give equal rows; an empty table gives an empty table; all input columns are kept under their names.
+repeated rows give equal rows; an empty table gives an empty table; texts of any length are read as a whole; all input columns are kept under
+their names, and the count of entities takes the first free name of n_entities, _n_entities, ... Names that begin with __pii are the library's.
 """
 
 from __future__ import annotations
@@ -17,37 +21,41 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldseries.llm.common import cut, drop_cut
+from fieldseries.llm.common import cut, drop_cuts
 
 # Titles by gender, in the languages' own spelling.
 MALE = "Mr Herr Monsieur Señor Sr Sir Mister Signor господин".split()
 FEMALE = "Mrs Ms Miss Frau Madame Mme Señora Sra Madam Signora госпожа".split()
 EITHER = "Dr Prof Doctor Professor".split()
-# Given names by gender and script, and syllables of family names by script.
-GIVEN = {
-    ("m", "latin"): "Adam Bruno Carl David Erik Felix Georg Hugo Ivan Jonas Karl Leo Marco Nils Oscar Paul".split(),
-    ("f", "latin"): "Anna Berta Clara Diana Elsa Flora Greta Helena Irene Julia Karin Laura Maria Nina Olga Paula".split(),
-    ("e", "latin"): "Alex Andrea Charlie Dominique Eden Francis Jules Kim Lou Marion Noel Robin Sacha Sam Toni Vivian".split(),
-    ("m", "cyrillic"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Никита Олег Павел Роман Семён Юрий".split(),
-    ("f", "cyrillic"): "Алла Белла Вера Галина Дарья Елена Инна Кира Лидия Мария Нина Ольга Полина Римма София Юлия".split(),
-    ("e", "cyrillic"): "Валя Вася Женя Мика Паша Рада Саша Слава Тоша Шура Юта Яша Лика Ника Рома Стася".split(),
-}
+TITLES = [t for given in (*MALE, *FEMALE, *EITHER) for t in (given, given.upper())]
+# Labels in front of a name.
+LABELS = "Name name NAME Fullname Nom Nombre Имя ФИО".split()
+# Given names that begin a name without a title; those of women.
+WOMEN = "Anna Maria Mary Elizabeth Jennifer Linda Susan Sarah Karen Nancy Lisa Emily Laura Julia Sophie Marie Claire Camille Isabelle Nathalie Sabine Petra Ursula Monika Heike Carmen Lucia Elena Ana Isabel Pilar Olga Irina Natalia Ольга Ирина Анна Мария Елена Наталья".split()
+MEN = "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Andrew Peter Paul Pierre Jean Jacques Michel Philippe Hans Klaus Jürgen Wolfgang Stefan Juan Carlos Antonio Manuel Javier Luis Pedro Ivan Sergei Dmitri Иван Сергей Дмитрий Александр Алексей".split()
+GIVEN_NAMES = WOMEN + MEN
+# Syllables of names by script, and endings of given names by gender.
 SYLLABLES = {"latin": "ba be bo da de do ga ka ke ko la le lo ma me mo na ne no ra re ro sa se so ta te to va vo".split(), "cyrillic": "ба бе бо да де до га ка ке ко ла ле ло ма ме мо на не но ра ре ро са се со та те то ва во".split()}
+ENDINGS = {("latin", "f"): "nia", ("latin", "m"): "rdo", ("cyrillic", "f"): "ния", ("cyrillic", "m"): "рдо"}
 # What an entity looks like, in the order in which alternatives are tried.
-NAME = r"\p{Lu}[\p{L}'’-]+"
+NAME = r"[\p{Lu}\p{Lo}][\p{L}\p{M}'’-]+"
 SECRET = r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:sk|pk|ghp|AKIA)[-_]?[A-Za-z0-9]{16,64})(?![\p{L}\p{N}])"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
+IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:(?: \d{4}){3,7}(?: \d{1,3})?|[A-Z0-9]{11,30})(?![\p{L}\p{N}])"
 IP = r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\p{N}|\.\p{N})"
 CARD = r"(?<![\p{N}-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{13,19})(?!\p{N})"
 SSN = r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"
 PHONE = r"(?<![\p{N}+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,3}|\+\d{8,15}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\p{N})"
-PERSON = rf"(?<!\p{{L}})(?:{'|'.join([*MALE, *FEMALE, *EITHER])})\.? {NAME}(?: {NAME})?"
-TYPES = {"secret": SECRET, "email": EMAIL, "ip": IP, "card": CARD, "ssn": SSN, "phone": PHONE, "person": PERSON}
+PREFIX = rf"(?:(?:{'|'.join(TITLES)})\.?|(?:{'|'.join(LABELS)}):) "
+PERSON = rf"(?<!\p{{L}})(?=[\p{{Lu}}гn])(?:(?:{PREFIX}){NAME}(?: {NAME}){{0,3}}|(?:{'|'.join(GIVEN_NAMES)}) {NAME}(?: {NAME})?)"
+TYPES = {"secret": SECRET, "email": EMAIL, "iban": IBAN, "ip": IP, "card": CARD, "ssn": SSN, "phone": PHONE, "person": PERSON}
 PATTERN = "|".join(TYPES.values())
 #: Texts that this does not find hold no entity; it is much cheaper than PATTERN.
-HINT = rf"[@\d]|(?:{'|'.join([*MALE, *FEMALE, *EITHER])})\.? \p{{Lu}}|[0-9a-fA-F]{{32}}|AKIA|(?:sk|pk|ghp)[-_]?[A-Za-z0-9]{{16}}"
-#: Distinct values that clash are looked at again at most so often; every attempt draws anew.
+HINT = rf"[@\d]|(?:{PREFIX})[\p{{Lu}}\p{{Lo}}]|(?:{'|'.join(GIVEN_NAMES)}) [\p{{Lu}}\p{{Lo}}]|[0-9a-fA-F]{{32}}|AKIA|(?:sk|pk|ghp)[-_]?[A-Za-z0-9]{{16}}"
+#: After so many attempts a value that still clashes gets a suffix of its own: its type has hardly a free value left.
 ATTEMPTS = 50
+#: Stands between the parts of a text whose entities are marked.
+MARK = "\ue000"
 
 
 def quoted(s: str) -> str:
@@ -69,10 +77,15 @@ def kind(value: str) -> str:
     return f"(case {cases} else 'person' end)"
 
 
-def normal(value: str) -> str:
+def normal(type: str, value: str) -> str:
     """Spellings that mean one thing: case of addresses and names, separators of numbers do not count."""
-    number = quoted(r"^[+(\d][\d ().+-]+$")
-    return f"if(not contains({value}, '@') and not contains({value}, '.') and {value} rlike {number}, regexp_replace({value}, '[ ().-]', ''), lower({value}))"
+    return f"(case when {type} in ('phone', 'card', 'ssn', 'iban') then upper(regexp_replace({value}, '[ ().-]', '')) when {type} = 'secret' then {value} else lower({value}) end)"
+
+
+def atoms(value: str, type: str) -> str:
+    """What of a value has a surrogate of its own: a person's names, else the value."""
+    words = f"split(regexp_replace({value}, {quoted(f'^{PREFIX}')}, ''), ' ')"
+    return f"if({type} = 'person', {let('ws', words, "transform(ws, (w, i) -> struct(if(i = size(ws) - 1, 'family', 'given') as t, w as v))")}, array(struct({type} as t, {value} as v)))"
 
 
 def draw(seed: str, i: str | int, n: str | int) -> str:
@@ -88,7 +101,7 @@ def chars(value: str) -> str:
 
 
 #: First and last letter of the alphabets whose letters are drawn from themselves; other letters become Latin ones.
-ALPHABETS = ["09", "az", "AZ", "ая", "АЯ", "αρ", "ΑΡ", "ぁん", "ァン", "一鿿", "가힣"]
+ALPHABETS = ["09", "az", "AZ", "àö", "øÿ", "ÀÖ", "ØÞ", "ая", "АЯ", "αω", "ΑΡ", "άί", "ϊώ", "את", "غي", "कह", "ぁん", "ァン", "一鿿", "가힣"]
 SPANS = "array(" + ", ".join(f"struct({ord(a)} as low, {ord(b)} as high)" for a, b in ALPHABETS) + ")"
 
 
@@ -137,26 +150,47 @@ def ip(seed: str) -> str:
     return f"concat_ws('.', transform(sequence(0, 3), i -> cast(1 + {draw(seed, 'i', 254)} as string)))"
 
 
-def person(value: str, seed: str, attempt: str) -> str:
-    """Title as it stands, then a given name (if there were two) and a family name of the same gender and script."""
-    title = f"substring_index({value}, ' ', 1)"
-    among = lambda names: f"regexp_replace({title}, '[.]$', '') in ({', '.join(map(quoted, names))})"
-    out = {}
-    for script, parts in SYLLABLES.items():
-        given = f"case when {among(MALE)} then {pick(GIVEN['m', script], seed, 0)} when {among(FEMALE)} then {pick(GIVEN['f', script], seed, 0)} else {pick(GIVEN['e', script], seed, 0)} end"
-        family = f"initcap(array_join(transform(sequence(1, 4 + int(floor({attempt} / 4))), i -> {pick(parts, seed, 'i')}), ''))"
-        out[script] = f"concat_ws(' ', {title}, if(size(split({value}, ' ')) > 2, {given}, null), {family})"
-    return f"if({value} rlike {quoted(r'\p{IsCyrillic}')}, {out['cyrillic']}, {out['latin']})"
+def iban(value: str, seed: str) -> str:
+    """Country and spaces stay, the rest anew, with check digits that hold."""
+    number = lambda c: f"if({c} between '0' and '9', int({c}), ascii({c}) - 55)"
+    left = f"aggregate({chars("concat(regexp_replace(substr(fresh, 5), ' ', ''), substr(fresh, 1, 2), '00')")}, 0, (acc, c) -> pmod(acc * if(c between '0' and '9', 10, 100) + {number('c')}, 97))"
+    return let("fresh", f"concat(substr({value}, 1, 4), {letters(f'substr({value}, 5)', seed)})", f"concat(substr(fresh, 1, 2), lpad(cast(98 - {left} as string), 2, '0'), substr(fresh, 5))")
+
+
+def name(value: str, type: str, seed: str, attempt: str) -> str:
+    """A family or a given name in the script and case of the value; a given name with an ending of its gender. Further attempts make longer ones."""
+    women = f"(lower({value}) in ({', '.join(quoted(n.lower()) for n in WOMEN)}) or (lower({value}) rlike '[aeаяά]$' and lower({value}) not in ({', '.join(quoted(n.lower()) for n in MEN)})))"
+
+    def of(script: str) -> str:
+        stem = f"array_join(transform(sequence(1, if({type} = 'given', 2, 4) + int(floor({attempt} / 4))), i -> {pick(SYLLABLES[script], seed, 'i')}), '')"
+        return f"initcap(concat({stem}, if({type} = 'given', if({women}, '{ENDINGS[script, 'f']}', '{ENDINGS[script, 'm']}'), '')))"
+
+    made = f"case when {value} rlike {quoted(r'^[\p{IsCyrillic}’\x27-]+$')} then {of('cyrillic')} when {value} rlike {quoted(r'^[\p{IsLatin}\p{M}’\x27-]+$')} then {of('latin')} else {letters(value, seed)} end"
+    return let("made", made, f"if({value} = upper({value}) and {value} != lower({value}), upper(made), made)")
+
+
+def mac(key: str, message: str) -> str:
+    """A keyed hash, taken twice so that it cannot be carried on by who sees it."""
+    inner, outer = (quoted(hashlib.sha256(f"{side}:{key}".encode()).hexdigest()) for side in ("inner", "outer"))
+    return f"sha2(concat({outer}, sha2(concat({inner}, {message}), 256)), 256)"
 
 
 def surrogate(value: str, type: str, norm: str, attempt: str, key: str) -> str:
-    """The replacement of a value: a function of the key, the type, the normal form and the attempt."""
-    secret = quoted(hashlib.sha256(key.encode()).hexdigest())
-    domain_seed = f"sha2(concat_ws('|', {secret}, 'domain', substring_index({norm}, '@', -1)), 256)"
-    cases = {"email": email(value, "seed", domain_seed), "ip": ip("seed"), "card": card(value, "seed"), "ssn": digits(value, "seed"), "phone": digits(value, "seed")}
+    """The replacement of an atom: a function of the key, the type, the normal form and the attempt."""
+    domain_seed = mac(key, f"concat('domain|', substring_index({norm}, '@', -1))")
+    cases = {"email": email(value, "seed", domain_seed), "iban": iban(value, "seed"), "ip": ip("seed"), "card": card(value, "seed"), "ssn": digits(value, "seed"), "phone": digits(value, "seed")}
     cases["secret"] = f"if({value} rlike '^[0-9a-fA-F]+$', {hexadecimal(value, 'seed')}, {letters(value, 'seed')})"
-    drawn = f"(case {' '.join(f"when {type} = '{name}' then {body}" for name, body in cases.items())} else {person(value, 'seed', attempt)} end)"
-    return let("seed", f"sha2(concat_ws('|', {secret}, {type}, {norm}, {attempt}), 256)", drawn)
+    drawn = f"(case {' '.join(f"when {type} = '{kind}' then {body}" for kind, body in cases.items())} else {name(value, type, 'seed', attempt)} end)"
+    last = f"if({attempt} > {ATTEMPTS}, concat('-', substr(seed, 1, 16)), '')"
+    return let("seed", mac(key, f"concat_ws('|', {type}, {norm}, {attempt})"), f"concat({drawn}, {last})")
+
+
+def found(text: Column) -> Column:
+    """A text's parts: what lies between entities, and at odd places the entities. One pass of the pattern marks them."""
+    one = F.split(F.regexp_replace(text, F.lit(PATTERN), F.lit(f"{MARK}$0{MARK}")), MARK, -1)
+    gaps, values = F.split(text, PATTERN, -1), F.concat(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), F.array(F.lit("")))
+    two = F.slice(F.flatten(F.zip_with(gaps, values, lambda g, v: F.array(g, v))), F.lit(1), 2 * F.size(gaps) - 1)  # the text holds the mark itself
+    return F.when(~F.regexp_like(text, F.lit(HINT)), F.array(text)).when(F.contains(text, F.lit(MARK)), two).otherwise(one)
 
 
 def entities(text: Column) -> Column:
@@ -164,47 +198,65 @@ def entities(text: Column) -> Column:
     return F.when(F.regexp_like(text, F.lit(HINT)), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
+def _typed(df: DataFrame, value: str, *keep: str) -> DataFrame:
+    """The atoms of a column of values: type, norm, value."""
+    parts = df.selectExpr(*keep, f"inline({let('k', kind(value), atoms(value, 'k'))})").toDF(*keep, "type", "value")
+    return parts.selectExpr(*keep, "type", f"{normal('type', 'value')} as norm", "value")
+
+
 def clashing(df: DataFrame, text: str, key: str) -> DataFrame | None:
-    """norm, attempt of the values whose first surrogate is taken; None if there is none (as for most corpora below 10^8 values)."""
-    found = df.select(F.explode(entities(F.col(f"`{text}`"))).alias("value"))
-    values = found.selectExpr(f"{kind('value')} as type", f"{normal('value')} as norm", "value").groupBy("type", "norm").agg(F.min("value").alias("value"))
-    state = cut(values.withColumn("attempt", F.lit(0)), "entities")
-    known = state.select("type", F.col("norm").alias("drawn"))
-    moved = False
-    for _ in range(ATTEMPTS):
-        drawn = state.withColumn("drawn", F.expr(let("made", surrogate("value", "type", "norm", "attempt", key), normal("made"))))
-        taken = drawn.groupBy("type", "drawn").agg(F.count("*").alias("n"), F.min("norm").alias("first")).where("n > 1")
-        doubled = drawn.join(taken, ["type", "drawn"]).where("norm != first").select("type", "norm")
-        real = drawn.join(known, ["type", "drawn"], "left_semi").select("type", "norm")
-        again = cut(doubled.union(real).distinct(), "again")
-        if again.isEmpty():
-            drop_cut(again)
+    """type, norm, attempt of the atoms whose first surrogate is taken; None if there is none (as for most corpora below 10^8 values).
+
+    A round draws only what clashed before. What is settled never moves again.
+    """
+    values = _typed(df.select(F.explode(entities(F.col(f"`{text}`"))).alias("found")), "found").groupBy("type", "norm").agg(F.min("value").alias("value"))
+    open = cut(values, "entities")
+    known = open.select("type", F.col("norm").alias("drawn"))
+    settled: DataFrame | None = None
+    moved: list[DataFrame] = []
+    for attempt in range(ATTEMPTS + 2):
+        last = attempt > ATTEMPTS
+        drawn = open.selectExpr("type", "norm", "value", f"{let('made', surrogate('value', 'type', 'norm', str(attempt), key), normal('type', 'made'))} as drawn")
+        taken = known if settled is None else known.unionByName(settled)
+        first = drawn.groupBy("type", "drawn").agg(F.min("norm").alias("norm"))
+        free = first.join(taken, ["type", "drawn"], "left_anti") if not last else drawn.select("type", "drawn", "norm")
+        free = cut(free.select("type", "norm", "drawn"), "settled")
+        if attempt:
+            moved.append(free.select("type", "norm", F.lit(attempt).alias("attempt")))
+        rest = cut(open.join(free, ["type", "norm"], "left_anti"), "entities")
+        if rest.isEmpty():
             break
-        moved = True
-        more = state.join(again.withColumn("more", F.lit(1)), ["type", "norm"], "left").select("type", "norm", "value", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt"))
-        state = cut(more, "entities")
-    else:
-        raise RuntimeError(f"values still clash after {ATTEMPTS} attempts")
-    return state.where("attempt > 0").select("type", "norm", "attempt") if moved else None
+        settled = free.select("type", "drawn") if settled is None else settled.unionByName(free.select("type", "drawn"))
+        open = rest
+    if not moved:
+        drop_cuts(open, free, rest)
+        return None
+    out = moved[0]
+    for part in moved[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def replace(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """df with the text's entities replaced, plus n_entities."""
+    """df with the text's entities replaced, plus their count."""
     body = F.col(f"`{text}`")
     clash = clashing(df, text, key)
     if clash is None:
         tries, rows = "0", df
     else:  # few values: their texts' own maps are joined by the texts' digests
         digest = F.sha2(body, 256)
-        held = df.select(digest.alias("__digest"), F.explode(F.array_distinct(entities(body))).alias("value")).distinct()
-        typed = held.selectExpr("__digest", f"{kind('value')} as type", f"{normal('value')} as norm").join(clash, ["type", "norm"])
-        maps = typed.groupBy("__digest").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct(F.concat_ws("|", "type", "norm"), "attempt")))).alias("__tries"))
-        rows = df.withColumn("__digest", digest).join(maps, "__digest", "left").drop("__digest")
-        tries = "coalesce(try_element_at(__tries, concat_ws('|', x.t, x.n)), 0)"
-
-    swap = let("x", f"struct({kind('v')} as t, {normal('v')} as n)", surrogate("v", "x.t", "x.n", tries, key))
-    swapped = F.expr(f"concat(transform(__found, v -> {swap}), array(''))")
-    joined = F.array_join(F.zip_with(F.split(body, PATTERN, -1), swapped, lambda gap, s: F.concat(gap, s)), "")
-    out = rows.withColumn("__found", entities(body)).withColumn("n_entities", F.coalesce(F.greatest(F.size("__found"), F.lit(0)), F.lit(0)))
-    columns = [F.when(F.col("n_entities") > 0, joined).otherwise(body).alias(text) if c == text else F.col(f"`{c}`") for c in df.columns if c != "n_entities"]
-    return out.select(*columns, "n_entities")
+        held = df.select(digest.alias("__pii_digest"), F.explode(F.array_distinct(entities(body))).alias("__pii_value")).distinct()
+        typed = _typed(held, "__pii_value", "__pii_digest").join(clash, ["type", "norm"])
+        maps = typed.groupBy("__pii_digest").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct(F.concat_ws("|", "type", "norm"), "attempt")))).alias("__pii_tries"))
+        rows = df.withColumn("__pii_digest", digest).join(maps, "__pii_digest", "left").drop("__pii_digest")
+        tries = "coalesce(try_element_at(__pii_tries, concat_ws('|', a.t, n)), 0)"
+    count = "n_entities"
+    while count in df.columns:
+        count = "_" + count
+    one = let("n", normal("a.t", "a.v"), let("t", tries, surrogate("a.v", "a.t", "n", "t", key)))
+    prefix = f"if(k = 'person', regexp_extract(p, {quoted(f'^{PREFIX}')}, 0), '')"
+    swap = let("k", kind("p"), f"concat({prefix}, array_join(transform({atoms('p', 'k')}, a -> {one}), ' '))")
+    joined = F.expr(f"array_join(transform(__pii_parts, (p, at) -> if(at % 2 = 1, {swap}, p)), '')")
+    out = rows.withColumn("__pii_parts", found(body)).withColumn("__pii_n", F.coalesce(F.greatest(F.floor(F.size("__pii_parts") / 2).cast("int"), F.lit(0)), F.lit(0)))
+    columns = [F.when(F.col("__pii_n") > 0, joined).otherwise(body).alias(text) if c == text else F.col(f"`{c}`") for c in df.columns]
+    return out.select(*columns, F.col("__pii_n").alias(count))

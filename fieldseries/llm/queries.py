@@ -14,8 +14,8 @@ from fieldseries.llm import bpe, mixing, passages, pii, ranking, repetition, sha
 from fieldseries.llm.common import table
 
 SHARDS = 8
-#: The surrogates' key; a deployment sets its own.
-PII_KEY = "fieldseries-demo-key"
+#: The setting that holds the surrogates' key, and what tests use where it is unset.
+PII_KEY, DEMO_KEY = "fieldseries.pii.key", "fieldseries-demo-key"
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -29,8 +29,12 @@ def op2_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def pii_key(spark: SparkSession) -> str:
+    return spark.conf.get(PII_KEY, DEMO_KEY)
+
+
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_entities")
+    return pii.replace(table(spark, sf_dir, "documents"), pii_key(spark)).select("doc_id", "text", "n_entities")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
