@@ -58,6 +58,13 @@ def drop_cut(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column has it."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def drop_cuts(*dfs: DataFrame) -> None:
     for df in dfs:
         drop_cut(df)

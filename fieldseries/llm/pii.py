@@ -21,7 +21,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldseries.llm.common import cut, drop_cuts
+from fieldseries.llm.common import cut, drop_cuts, free_name
 
 # Titles by gender, in the languages' own spelling.
 MALE = "Mr Herr Monsieur Señor Sr Sir Mister Signor господин".split()
@@ -41,17 +41,18 @@ ENDINGS = {("latin", "f"): "nia", ("latin", "m"): "rdo", ("cyrillic", "f"): "н
 NAME = r"[\p{Lu}\p{Lo}][\p{L}\p{M}'’-]+"
 SECRET = r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:sk|pk|ghp|AKIA)[-_]?[A-Za-z0-9]{16,64})(?![\p{L}\p{N}])"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
-IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:(?: \d{4}){3,7}(?: \d{1,3})?|[A-Z0-9]{11,30})(?![\p{L}\p{N}])"
+IBAN = r"(?=[A-Z])(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:(?: \d{4}){3,7}(?: \d{1,3})?|[A-Z0-9]{11,30})(?![\p{L}\p{N}])"
 IP = r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\p{N}|\.\p{N})"
 CARD = r"(?<![\p{N}-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{13,19})(?!\p{N})"
 SSN = r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"
 PHONE = r"(?<![\p{N}+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,3}|\+\d{8,15}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\p{N})"
 PREFIX = rf"(?:(?:{'|'.join(TITLES)})\.?|(?:{'|'.join(LABELS)}):) "
-PERSON = rf"(?<!\p{{L}})(?=[\p{{Lu}}гn])(?:(?:{PREFIX}){NAME}(?: {NAME}){{0,3}}|(?:{'|'.join(GIVEN_NAMES)}) {NAME}(?: {NAME})?)"
+BEGIN = r"(?=[A-ZА-Ягn])(?<!\p{L})"  # how titles, labels and given names begin: tried before the long lists
+PERSON = rf"{BEGIN}(?:(?:{PREFIX}){NAME}(?: {NAME}){{0,3}}|(?:{'|'.join(GIVEN_NAMES)}) {NAME}(?: {NAME})?)"
 TYPES = {"secret": SECRET, "email": EMAIL, "iban": IBAN, "ip": IP, "card": CARD, "ssn": SSN, "phone": PHONE, "person": PERSON}
 PATTERN = "|".join(TYPES.values())
 #: Texts that this does not find hold no entity; it is much cheaper than PATTERN.
-HINT = rf"[@\d]|(?:{PREFIX})[\p{{Lu}}\p{{Lo}}]|(?:{'|'.join(GIVEN_NAMES)}) [\p{{Lu}}\p{{Lo}}]|[0-9a-fA-F]{{32}}|AKIA|(?:sk|pk|ghp)[-_]?[A-Za-z0-9]{{16}}"
+HINT = rf"[@\d]|{BEGIN}(?:{PREFIX}|(?:{'|'.join(GIVEN_NAMES)}) )[\p{{Lu}}\p{{Lo}}]|[0-9a-fA-F]{{32}}|AKIA|(?:sk|pk|ghp)[-_]?[A-Za-z0-9]{{16}}"
 #: After so many attempts a value that still clashes gets a suffix of its own: its type has hardly a free value left.
 ATTEMPTS = 50
 #: Stands between the parts of a text whose entities are marked.
@@ -250,9 +251,7 @@ def replace(df: DataFrame, key: str, text: str = "text") -> DataFrame:
         maps = typed.groupBy("__pii_digest").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct(F.concat_ws("|", "type", "norm"), "attempt")))).alias("__pii_tries"))
         rows = df.withColumn("__pii_digest", digest).join(maps, "__pii_digest", "left").drop("__pii_digest")
         tries = "coalesce(try_element_at(__pii_tries, concat_ws('|', a.t, n)), 0)"
-    count = "n_entities"
-    while count in df.columns:
-        count = "_" + count
+    count = free_name(df, "n_entities")
     one = let("n", normal("a.t", "a.v"), let("t", tries, surrogate("a.v", "a.t", "n", "t", key)))
     prefix = f"if(k = 'person', regexp_extract(p, {quoted(f'^{PREFIX}')}, 0), '')"
     swap = let("k", kind("p"), f"concat({prefix}, array_join(transform({atoms('p', 'k')}, a -> {one}), ' '))")

@@ -109,16 +109,19 @@ def least_capacity(sizes: list[int], bins: int) -> int:
     return high
 
 
-def pack(groups: DataFrame, capacity: int | None = None, shards: int | None = None, bundles: int = 4096) -> DataFrame:
-    """groups(key, size) -> (key, shard): a minimal number of shards of the capacity, or, given a number of shards, the least capacity for it.
+def pack(groups: DataFrame, capacity: int | None = None, shards: int | None = None, bundles: int | None = None) -> DataFrame:
+    """groups(key, size) -> (key, shard): few shards of the capacity, or, given a number of shards, the least capacity found for it.
 
-    bundles bounds what the driver packs: a bundle takes total / bundles bytes, so at most 2 * bundles + tasks of them arise.
+    bundles bounds what the driver packs: a bundle takes total / bundles bytes, so at most 2 * bundles + tasks of them arise. It grows with the
+    groups, from 4096 to 65536. Where the capacity is no larger than a bundle, tasks pack the shards themselves, and each task may leave one
+    part-filled shard beyond what one packing of all groups would need.
     """
     spark = groups.sparkSession
     if (capacity is None) == (shards is None):
         raise ValueError("give a capacity or a number of shards")
     total, n = groups.agg(F.sum("size"), F.count("*")).first()
     total = total or 0
+    bundles = bundles or min(65_536, max(4096, n // 20_000))
     room = max(1, total // bundles)
     single = capacity is not None and capacity <= room  # then the tasks' bins are the shards
     room = capacity if single else room
@@ -160,21 +163,24 @@ def pack(groups: DataFrame, capacity: int | None = None, shards: int | None = No
     return placed.join(F.broadcast(spark.createDataFrame(table, "bundle long, shard int")), "bundle").select("key", "shard")
 
 
-def slots(df: DataFrame, shard: str, order: str, rows_per_block: int = 50_000) -> DataFrame:
-    """Append slot: gapless from 0 in each shard. Rows are numbered within blocks of a shard, which start where the blocks before end."""
+def slots(df: DataFrame, shard: str, order: list[str], rows_per_block: int = 50_000) -> DataFrame:
+    """Append slot: gapless from 0 in each shard, in blocks by a hash of the order columns and within them by these; rows that agree in all of them may change
+    places. Blocks of a shard start where the blocks before end, so no task numbers more than a block (rows that agree in all order columns share one)."""
     n = df.count()
     blocks = max(1, n // rows_per_block)
-    df = df.withColumn("__block", F.pmod(F.xxhash64(order), F.lit(blocks)).cast("int"))
-    counts = df.groupBy(shard, "__block").agg(F.count("*").alias("__n"))
-    starts = counts.withColumn("__start", F.sum("__n").over(Window.partitionBy(shard).orderBy("__block")) - F.col("__n")).drop("__n")
-    within = F.row_number().over(Window.partitionBy(shard, "__block").orderBy(order)) - 1
-    return df.withColumn("__row", within).join(starts, [shard, "__block"]).withColumn("slot", (F.col("__row") + F.col("__start")).cast("long")).drop("__block", "__row", "__start")
+    df = df.withColumn("__shard_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
+    counts = df.groupBy(shard, "__shard_block").agg(F.count("*").alias("__shard_n"))
+    starts = counts.withColumn("__shard_start", F.sum("__shard_n").over(Window.partitionBy(shard).orderBy("__shard_block")) - F.col("__shard_n")).drop("__shard_n")
+    within = F.row_number().over(Window.partitionBy(shard, "__shard_block").orderBy(*order)) - 1
+    placed = df.withColumn("__shard_row", within).join(F.broadcast(starts) if blocks <= 10_000 else starts, [shard, "__shard_block"])
+    return placed.withColumn("slot", (F.col("__shard_row") + F.col("__shard_start")).cast("long")).drop("__shard_block", "__shard_row", "__shard_start")
 
 
 def shard_documents(df: DataFrame, shards: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, size, text_crc32, shard, slot of every row; equal texts share a shard and the shards' bytes are near equal."""
+    """id, size, text_crc32, shard, slot of every row; equal texts share a shard and the shards' bytes are near equal. A text that very many rows share is one
+    group and summed up before the shuffle; the join that brings its shard back is split by adaptive execution."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = cut(df.select(F.col(f"`{id}`").alias(id), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"), F.unhex(F.sha2(body.cast("binary"), 256)).alias("key")), "rows")
     groups = cut(rows.groupBy("key").agg(F.sum("size").alias("size")), "groups")
     placed = rows.join(pack(groups, shards=shards), "key").drop("key")
-    return slots(placed, "shard", id)
+    return slots(placed, "shard", [id, "size", "text_crc32"])

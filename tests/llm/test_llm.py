@@ -354,6 +354,58 @@ def test_mixing_reaches_the_target(spark):
     assert max(per) > 12  # a Poisson count of mean 10
 
 
+def test_mixing_counts_invert_the_distribution(spark):
+    """Every row's copies recomputed from its uniform number and rate; input columns named like the added ones stay."""
+    import math
+
+    df = spark.createDataFrame([(i, "a" * (i % 40), f"s{i % 3}", 5, 6.0) for i in range(900)], "doc_id long, text string, source string, copy int, shuffle_key double")
+    out = mixing.replicate(df)
+    assert out.columns == [*df.columns, "_copy", "_shuffle_key"]
+    assert {(r["copy"], r["shuffle_key"]) for r in out.collect()} == {(5, 6.0)}
+    sizes = Counter()
+    for i in range(900):
+        sizes[f"s{i % 3}"] += i % 40 + 1
+    target = {k: v**0.7 for k, v in sizes.items()}
+    rate = {k: sum(sizes.values()) / sum(target.values()) * target[k] / sizes[k] for k in sizes}
+    draws = {r["doc_id"]: r["u"] for r in df.select("doc_id", mixing.uniform(F.lit(42), F.col("doc_id"), F.lit(1)).alias("u")).collect()}
+    want = {}
+    for i in range(900):
+        n, p = 0, math.exp(-rate[f"s{i % 3}"])
+        below = p
+        while below <= draws[i]:
+            n += 1
+            p *= rate[f"s{i % 3}"] / n
+            below += p
+        want[i] = n
+    got = Counter(r["doc_id"] for r in out.collect())
+    assert {i: got[i] for i in range(900)} == want
+    keys = [r["_shuffle_key"] for r in out.collect()]
+    assert len(set(keys)) == len(keys)
+
+
+def test_shards_are_near_equal_in_bytes_and_ties_are_numbered(spark):
+    r = random.Random(2)
+    texts = ["x" * r.randint(0, 400) + str(i) for i in range(2000)] + ["same"] * 50
+    rows = sharding.shard_documents(frame(spark, texts, [*range(2000), *[7] * 50]), 8).collect()
+    held = Counter()
+    for x in rows:
+        held[x["shard"]] += x["size"]
+    assert len(rows) == 2050 and max(held.values()) - min(held.values()) <= 60 and set(held) == set(range(8))
+    for shard in held:
+        assert sorted(x["slot"] for x in rows if x["shard"] == shard) == list(range(sum(x["shard"] == shard for x in rows)))
+
+
+def test_scores_are_recomputed_from_the_model(spark):
+    """op9: features times weights, through the quantile, by plain arithmetic for every row."""
+    texts = corpus(n=60)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    ranker = ranking.train(frame(spark, texts), labels, "quality", F.lit(True))
+    got = {x["doc_id"]: x["score"] for x in ranking.score(frame(spark, texts), ranker, ["doc_id"], 0.7).collect()}
+    for i, t in enumerate(texts):
+        s = sum((v - m) / d * w for v, m, d, w in zip(ranking.features(t), ranker.mean, ranker.scale, ranker.weights, strict=True)) - ranker.threshold
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(s + np.log(0.7 / 0.3)))), abs=1e-9)
+
+
 def test_repeated_passages_equal_brute_force(spark):
     texts = corpus() + ["head " + " ".join(f"w{i}" for i in range(60)) + " tail " + " ".join(f"w{i}" for i in range(60))]
     texts += [texts[-1]]
