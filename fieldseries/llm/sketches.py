@@ -5,7 +5,7 @@ has three rows of WIDTH cells, whatever the length of the text: it is sized for
 of its digests, their exclusive-or and that of their check hashes; the fingerprint is these cells. Fingerprints of two versions subtract
 cell by cell; peeling takes cells left with one digest, removes it from its other cells and goes on until every cell is empty: what
 was taken are the digests only one version has. If cells remain, the pair is tried again with larger sketches: its digests are dealt out by
-their hash to SPLIT tables, each with cells of its own and other hashes, and tables that fail are dealt out again. A pair that still
+their hash to up to MOST_TABLES tables, each with cells of its own and other hashes, and tables that fail are dealt out again. A pair that still
 fails after LEVELS levels (its digests share cells at every level) is settled by the exact difference of its few digests. The
 work is proportional to the paragraphs times the levels, so it grows no faster than the text.
 
@@ -21,9 +21,8 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Cells of a row, rounds of peeling, tables that a failed pair is dealt out to, and how often.
-WIDTH, ROUNDS, SPLIT_BITS, LEVELS = 8, 16, 3, 8
-SPLIT = 1 << SPLIT_BITS
+#: Cells of a row, rounds of peeling; digests of both sides a larger sketch's table is made for, tables that a failed pair is dealt out to at most, and how often.
+WIDTH, ROUNDS, LOAD, MOST_TABLES, LEVELS = 8, 16, 12, 64, 6
 #: A paragraph ends at a line break or at white space behind a sentence's end.
 BREAKS = r"\n+|(?<=[.!?])\s+"
 
@@ -113,9 +112,12 @@ def difference(left: Column, right: Column, known: Column | None = None) -> Colu
         return F.struct(gained("left"), gained("right"), F.transform(F.filter(found, lambda x: x["d"].isNull()), lambda x: x["p"]).alias("open"))
 
     def dealt(pairs: Column, level: Column) -> Column:
-        """Failed pairs by the level's bits of their digests' hash."""
-        part = lambda ks, i: F.filter(ks, lambda k: F.pmod(F.xxhash64(F.lit(-1), level, k), F.lit(SPLIT)) == i)
-        return F.flatten(F.transform(pairs, lambda p: F.transform(F.sequence(F.lit(0), F.lit(SPLIT - 1)), lambda i: F.struct(part(p["a"], i).alias("a"), part(p["b"], i).alias("b")))))
+        """Failed pairs by their digests' hash, into 2 to MOST_TABLES tables of about LOAD digests of both sides each."""
+        tables = lambda p: F.greatest(F.lit(2), F.least(F.lit(MOST_TABLES), F.ceil((F.size(p["a"]) + F.size(p["b"])) / LOAD).cast("int")))
+        numbered = lambda ks, t: F.transform(ks, lambda k: F.struct(F.pmod(F.xxhash64(F.lit(-1), level, k), t).cast("int").alias("t"), k.alias("k")))
+        part = lambda ks, i: F.transform(F.filter(ks, lambda x: x["t"] == i), lambda x: x["k"])
+        spread = lambda x: F.transform(F.sequence(F.lit(0), x["t"] - 1), lambda i: F.struct(part(x["a"], i).alias("a"), part(x["b"], i).alias("b")))
+        return F.flatten(F.transform(pairs, lambda p: _let(_let(tables(p), lambda t: F.struct(t.alias("t"), numbered(p["a"], t).alias("a"), numbered(p["b"], t).alias("b"))), spread)))
 
     def step(acc: Column, level: Column) -> Column:
         return F.when(F.size(acc["open"]) > 0, _let(tried(dealt(acc["open"], level), level), lambda found: sum_up(acc, found))).otherwise(acc)
