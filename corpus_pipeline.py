@@ -1,7 +1,10 @@
 """The training-data pipeline: STAGES applied to documents in turn, each stage's rows written as Parquet and read again by the next.
 
-ORACLE_SQL is None: the near-duplicate, surrogate and BPE stages are not expressible in SQL; tests/llm hold the pipeline's
-rows against a plain version of the stages.
+ORACLE_SQL is None: the near-duplicate, surrogate and BPE stages are not expressible in SQL; tests/llm hold each stage against a
+plain version or its own operator's brute-force tests.
+
+Defined results: null and empty texts fail the quality rules and go; a row with a null id is never a duplicate of another; of equal rows one
+stays; a text of any length is read as a whole; extra columns pass through all stages but the last; an empty table gives an empty table.
 """
 
 from __future__ import annotations
