@@ -129,10 +129,10 @@ def pieces(token: str) -> list[str]:
 
 
 class Reader:
-    """Turns texts into the vectors of words that match; keeps the kernel values of the words a task has seen."""
+    """Turns texts into the vectors of words that match, or with a machine into their margins; keeps those of the words a task has seen."""
 
-    def __init__(self, marks: Landmarks):
-        self.marks = marks
+    def __init__(self, marks: Landmarks, machine: Machine | None = None):
+        self.marks, self.machine = marks, machine
         self.clear()
 
     def clear(self) -> None:
@@ -140,7 +140,7 @@ class Reader:
         self.index.default_factory = self.index.__len__
         self.row = np.zeros(0, np.int32)  # of each token: its row in vectors, or -1
         self.stop = np.zeros(0, bool)  # tokens that end a sentence
-        self.vectors = np.zeros((0, len(self.marks.words)))
+        self.vectors = np.zeros((0, len(self.marks.words))) if self.machine is None else np.zeros(0)
 
     def learn(self, new: list[str]) -> None:
         own = [pieces(t) for t in new]
@@ -152,12 +152,12 @@ class Reader:
             made = np.zeros((len(tokens), len(self.marks.words)))
             np.maximum.at(made, (at, m), k)
             row[tokens] = len(self.vectors) + np.arange(len(tokens))
-            self.vectors = np.concatenate([self.vectors, made])
+            self.vectors = np.concatenate([self.vectors, made if self.machine is None else self.machine.margins(made)])
         self.row = np.concatenate([self.row, row])
         self.stop = np.concatenate([self.stop, np.array([t[-1] in ".!?" for t in new], bool)])
 
     def matches(self, texts: list[str | None]) -> list[Matches]:
-        """For each text, the vectors of its words that match a landmark, the number of the sentence each stands in, and the number of words."""
+        """For each text, the vectors (margins) of its words that match a landmark, the number of the sentence each stands in, and the number of words."""
         if len(self.row) > MOST_WORDS:
             self.clear()
         number, docs = self.index.__getitem__, []
@@ -184,6 +184,9 @@ class Machine:
     bias: float
     logit: np.ndarray  # of the values that evidence() makes
 
+    def margins(self, vectors: np.ndarray) -> np.ndarray:
+        return vectors @ self.weights + self.bias
+
     def evidence(self, docs: list[Matches]) -> np.ndarray:
         """The margins of the first, second, third and fifth worst word, the numbers of words and of sentences beyond the margin, such words in a hundred, and 1."""
         none = min(self.bias, 0.0)
@@ -192,7 +195,7 @@ class Machine:
         out[:, -1] = 1
         for i, (x, sentence, n) in enumerate(docs):
             if len(x):
-                f = x @ self.weights + self.bias
+                f = x if x.ndim == 1 else self.margins(x)  # a reader with this machine gives margins
                 worst = np.r_[np.sort(f)[::-1][:5], np.full(max(0, 5 - len(f)), none)]
                 over = f > 0.4
                 out[i, :-1] = *worst[[0, 1, 2, 4]], math.log1p(over.sum()), math.log1p(len(np.unique(sentence[over]))), math.log1p(100 * over.sum() / max(20, n))
@@ -307,7 +310,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landma
     toxic = [(read(r["x"]), np.array(r["n"], np.int64)) for r in got.where("y = 1").orderBy(id).toLocalIterator()]
     clean = got.where("y = 0").select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("n")).orderBy("x").toPandas()
     machine = fit(marks, toxic, read(clean["x"].tolist()), clean["n"].to_numpy(np.int64))
-    evidence = by_text(rows, lambda ts: pd.DataFrame({"e": list(machine.evidence(Reader(marks).matches(ts)))}), "e array<double>", [id, "y"], "t").orderBy(id, "y").collect()
+    evidence = by_text(rows, lambda ts: pd.DataFrame({"e": list(machine.evidence(Reader(marks, machine).matches(ts)))}), "e array<double>", [id, "y"], "t").orderBy(id, "y").collect()
     machine.logit = fit_logistic(np.array([r["e"] for r in evidence]), np.array([r["y"] for r in evidence]))
     return machine
 
@@ -334,7 +337,7 @@ def score(docs: DataFrame, machine: Machine, keys: list[str], text: str = "text"
 
     def make(ts: list[str | None]) -> pd.DataFrame:
         if not readers:
-            readers.append(Reader(machine.marks))
+            readers.append(Reader(machine.marks, machine))
         return pd.DataFrame({"score": machine.score(readers[0].matches(ts)) if machine.marks.words else np.zeros(len(ts))})
 
     return by_text(docs, make, "score double", keys, text)
