@@ -235,6 +235,29 @@ def test_components_of_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("last", [0, 20])
+def test_components_are_the_same_whichever_step_ends_them(spark, monkeypatch, last):
+    """By rounds alone, and with few links left to the last step: chains, a star and random links against a plain version."""
+    monkeypatch.setattr(components, "LAST", last)
+    r = random.Random(8)
+    links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 130)] + [(r.randrange(200, 260), r.randrange(200, 260)) for _ in range(35)]
+    links = [(a, b) for a, b in links if a != b]
+    got = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == components_of({v for x in links for v in x}, links)
+
+
+def test_margins_are_those_of_the_vectors():
+    """A reader that keeps margins gives the evidence of one that keeps vectors."""
+    r = random.Random(4)
+    marks = toxicity.Landmarks([toxicity.START + "".join(r.choice("abcd") for _ in range(6)) for _ in range(12)])
+    machine = toxicity.Machine(marks, np.linspace(-1, 2, 12), -0.2, np.zeros(toxicity.EVIDENCE))
+    texts = [" ".join("".join(r.choice("abcd") for _ in range(6)) for _ in range(40)) for _ in range(20)] + ["", None]
+    plain, kept = toxicity.Reader(marks), toxicity.Reader(marks, machine)
+    for part in (texts[:9], texts[9:]):
+        assert np.allclose(machine.evidence(plain.matches(part)), machine.evidence(kept.matches(part)))
+    assert plain.vectors.ndim == 2 and kept.vectors.ndim == 1 and len(plain.vectors) == len(kept.vectors) > 0
+
+
 def test_near_duplicates_keep_one_of_each_group(spark):
     texts = corpus()
     kept = sorted(r["doc_id"] for r in simhash.one_of_each(frame(spark, texts)).collect())
