@@ -36,6 +36,8 @@ LAGS = 4
 BROADCAST_IDS = 500_000
 #: A crowded variant is joined in parts of about so many rows.
 SALTED_ROWS = 20_000
+#: A task that checks pairs keeps the shingles of texts it has met, and forgets all when it holds more than so many; this bounds memory, not results.
+MOST_SHINGLES = 2_000_000
 
 
 def shingle_hashes(text: str | None, k: int, seed: int = 42) -> np.ndarray:
@@ -222,8 +224,16 @@ def segment(words: Column, i: int) -> Column:
     return out.bitwiseAND((1 << BITS) - 1)
 
 
+def shingle_set(text: str | None, k: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, k))
+
+
 def jaccard(a: str | None, b: str | None, k: int) -> float:
-    x, y = np.unique(shingle_hashes(a, k)), np.unique(shingle_hashes(b, k))
+    return overlap(shingle_set(a, k), shingle_set(b, k))
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> float:
+    """Shared over all values of two sorted sets; 1 for two empty ones."""
     if not len(x) and not len(y):
         return 1.0
     both = len(np.intersect1d(x, y, assume_unique=True))
@@ -283,8 +293,22 @@ def _similar(pairs: DataFrame, known: DataFrame, k: int, least: float) -> DataFr
     both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, np.ndarray] = {}
+        held = 0
+
+        def shingles(node: int, text: pa.Scalar) -> np.ndarray:
+            nonlocal held
+            if node not in seen:
+                if held > MOST_SHINGLES:
+                    seen.clear()
+                    held = 0
+                seen[node] = shingle_set(text.as_py(), k)
+                held += len(seen[node])
+            return seen[node]
+
         for batch in batches:
-            ok = [jaccard(x.as_py(), y.as_py(), k) >= least for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True)]
+            a, b, ta, tb = (batch.column(c) for c in ("a", "b", "ta", "tb"))
+            ok = [overlap(shingles(i, x), shingles(j, y)) >= least for i, j, x, y in zip(a.to_pylist(), b.to_pylist(), ta, tb, strict=True)]
             yield pa.RecordBatch.from_arrays([pc.filter(batch.column(c), pa.array(ok, pa.bool_())) for c in "ab"], names=["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")

@@ -280,6 +280,16 @@ def test_texts_that_differ_in_how_often_a_line_recurs_are_found(spark):
     assert got == {i: i - i % 2 for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("most", [0, 2_000_000])
+def test_pairs_are_checked_alike_whatever_a_task_keeps(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash, "MOST_SHINGLES", most)
+    texts = [t for t in dict.fromkeys(corpus()) if t is not None]
+    known = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a)]
+    got = {(x["a"], x["b"]) for x in simhash._similar(spark.createDataFrame(pairs, "a long, b long"), known, 5, 0.8).collect()}
+    assert got == {(a, b) for a, b in pairs if simhash.jaccard(texts[a], texts[b], 5) >= 0.8} and got
+
+
 def test_pair_recall_by_band_of_similarity(spark):
     """Pairs of single texts at a known similarity: at least 0.9 of them are found in every band."""
     r = random.Random(31)
