@@ -2,14 +2,16 @@
 
 The kernel of two words sums, over their common subsequences of three letters, a decay to the power of the lengths they
 span, so gaps and inserted characters weaken a match but do not end it. Words carry a mark at their start. Landmarks
-are words and stems that toxic training documents favour. A word is described by its kernel values with the landmarks (over
-each landmark's own), mapped by the inverse root of the landmarks' kernel matrix; a linear machine with squared hinge
-loss is trained on sentences of labelled documents, a sentence being as toxic as its worst word (in a toxic document the worst
-word of all is the positive one, chosen again after every round). A document's score is a logistic function of its worst
-words' margins and of how many words and sentences lie beyond the margin.
+are words and stems that toxic training documents favour. A sentence is described by its largest kernel value with each landmark (over
+the landmark's own), taken over its words and its joins of two tokens, mapped by the inverse root of the landmarks' kernel matrix; a linear
+machine with squared hinge loss is trained on the sentences of labelled documents. Labels belong to documents: in a toxic one the positive
+sentences are those with a word next to a landmark and the worst by the machine, chosen again after every round; in a clean one all
+sentences are negative. A document's score is a logistic function of its worst sentences' margins and of how many sentences, and words taken by
+themselves, lie beyond the margin.
 
 Kernel values are taken only where the longest common subsequence with a landmark reaches `least_common` of the landmark's
-length, found for all words by bit-parallel steps; below that they count as 0. Runs of single letters (i d i o t) are read as one word too.
+length, found for all words by bit-parallel steps; below that they count as 0. Runs of single letters (i d i o t) are read as one
+word too, and so are two neighbouring tokens of which one has under three letters (id iot).
 
 Training uses bounded samples of labelled rows (parameters of `train`); scoring is one pass without a shuffle.
 
@@ -38,8 +40,9 @@ Matches = tuple[np.ndarray, np.ndarray, int]
 EVIDENCE = 8
 #: Longer words are scored by their windows of so many letters, at half-window steps: every letter counts.
 WINDOW = 24
-#: A task forgets its words when it holds more than so many; this bounds memory, not results.
+#: A task forgets its words when it holds more than so many words and joins, or vectors; this bounds memory, not results.
 MOST_WORDS = 600_000
+MOST_VECTORS = 150_000
 #: Marks the start of a word.
 START = "^"
 #: Punctuation stripped from the ends of a word.
@@ -129,7 +132,9 @@ def pieces(token: str) -> list[str]:
 
 
 class Reader:
-    """Turns texts into the vectors of words that match, or with a machine into their margins; keeps those of the words a task has seen."""
+    """Turns texts into the vectors of their sentences: of each landmark the largest kernel value with a word of the sentence, or with two
+    neighbouring tokens read as one where one of them is shorter than the kernel's letters. With a machine, also the margins of those words
+    and joins by themselves. Keeps the vectors of the words a task has seen."""
 
     def __init__(self, marks: Landmarks, machine: Machine | None = None):
         self.marks, self.machine = marks, machine
@@ -138,27 +143,46 @@ class Reader:
     def clear(self) -> None:
         self.index: defaultdict[str, int] = defaultdict()
         self.index.default_factory = self.index.__len__
+        self.joined: dict[int, int] = {}  # of two neighbouring tokens' numbers: the row of their join in vectors, or -1
         self.row = np.zeros(0, np.int32)  # of each token: its row in vectors, or -1
+        self.size = np.zeros(0, np.int32)  # of each token: its letters without punctuation at the ends
         self.stop = np.zeros(0, bool)  # tokens that end a sentence
-        self.vectors = np.zeros((0, len(self.marks.words))) if self.machine is None else np.zeros(0)
+        self.vectors = np.zeros((0, len(self.marks.words)), np.float32)
 
-    def learn(self, new: list[str]) -> None:
-        own = [pieces(t) for t in new]
-        owner = np.array([i for i, p in enumerate(own) for _ in p], np.int64)
-        w, m, k = self.marks.values([x for p in own for x in p])
-        row = np.full(len(new), -1, np.int32)
+    def rows(self, words: list[list[str]]) -> np.ndarray:
+        """Store the vectors of what matches (the pieces of each word taken together) and return their rows, -1 for no match."""
+        owner = np.repeat(np.arange(len(words)), [len(p) for p in words])
+        w, m, k = self.marks.values([x for p in words for x in p])
+        row = np.full(len(words), -1, np.int32)
         if len(w):
-            tokens, at = np.unique(owner[w], return_inverse=True)
-            made = np.zeros((len(tokens), len(self.marks.words)))
-            np.maximum.at(made, (at, m), k)
-            row[tokens] = len(self.vectors) + np.arange(len(tokens))
-            self.vectors = np.concatenate([self.vectors, made if self.machine is None else self.machine.margins(made)])
-        self.row = np.concatenate([self.row, row])
+            found, at = np.unique(owner[w], return_inverse=True)
+            made = np.zeros((len(found), len(self.marks.words)), np.float32)
+            np.maximum.at(made, (at, m), k.astype(np.float32))
+            row[found] = len(self.vectors) + np.arange(len(found))
+            self.vectors = np.concatenate([self.vectors, made])
+        return row
+
+    def learn(self, new: list[str]) -> None:
+        self.row = np.concatenate([self.row, self.rows([pieces(t) for t in new])])
+        self.size = np.concatenate([self.size, np.array([len(t.strip(EDGES)) for t in new], np.int32)])
         self.stop = np.concatenate([self.stop, np.array([t[-1] in ".!?" for t in new], bool)])
 
+    def joins(self, tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position, row) of the neighbouring tokens of a sentence that match when read as one. Joins longer than every landmark are not read: their words are."""
+        size = self.size[tokens]
+        a, b = size[:-1], size[1:]
+        at = np.flatnonzero((a > 0) & (b > 0) & (np.minimum(a, b) < LENGTH) & (a + b > LENGTH) & (a + b < self.marks.width) & ~ends[:-1])
+        pair, back = np.unique(tokens[at].astype(np.int64) << 32 | tokens[at + 1], return_inverse=True)
+        new = [p for p in pair.tolist() if p not in self.joined]
+        if new:
+            names = list(self.index)
+            self.joined.update(zip(new, self.rows([[START + names[p >> 32].strip(EDGES) + names[p & 0xFFFFFFFF].strip(EDGES)] for p in new]).tolist(), strict=True))
+        row = np.fromiter((self.joined[p] for p in pair.tolist()), np.int32, len(pair))[back]
+        return at[row >= 0], row[row >= 0]
+
     def matches(self, texts: list[str | None]) -> list[Matches]:
-        """For each text, the vectors (margins) of its words that match a landmark, the number of the sentence each stands in, and the number of words."""
-        if len(self.row) > MOST_WORDS:
+        """For each text, the vectors of its sentences that match a landmark, the margins of its words and joins that do (none without a machine), and the number of words."""
+        if len(self.row) + len(self.joined) > MOST_WORDS or len(self.vectors) > MOST_VECTORS:
             self.clear()
         number, docs = self.index.__getitem__, []
         for t in texts:
@@ -168,13 +192,26 @@ class Reader:
                 tokens += [".", "".join(run.split())]
             docs.append(np.fromiter(map(number, tokens), np.int32, len(tokens)))
         self.learn(list(self.index)[len(self.row) :])
-        out = []
-        for d in docs:
-            row = self.row[d]
-            hits = np.flatnonzero(row >= 0)
-            stops = np.flatnonzero(self.stop[d]) if len(hits) else hits
-            out.append((self.vectors[row[hits]], np.searchsorted(stops, hits), len(d)))
-        return out
+        sizes = np.array([len(d) for d in docs], np.int64)
+        tokens = np.concatenate([np.zeros(0, np.int32), *docs])
+        ends = self.stop[tokens]
+        ends[np.cumsum(sizes)[sizes > 0] - 1] = True
+        words = np.flatnonzero(self.row[tokens] >= 0)
+        at, row = self.joins(tokens, ends)
+        at, row = np.r_[words, at], np.r_[self.row[tokens[words]], row]
+        sentence, of = np.unique((np.cumsum(ends) - ends)[at], return_inverse=True)
+        order = np.argsort(of, kind="stable")
+        out = np.zeros((len(sentence), len(self.marks.words)), np.float32)
+        for i in range(0, len(order), 65536):  # a sentence may go on in the next block
+            block = order[i : i + 65536]
+            mine, start = np.unique(of[block], return_index=True)
+            out[mine] = np.maximum(out[mine], np.maximum.reduceat(self.vectors[row[block]], start))
+        last = np.flatnonzero(ends)[sentence]  # the last token of each sentence tells its text
+        cuts = np.searchsorted(last, np.cumsum(sizes))
+        owner = np.searchsorted(np.cumsum(sizes), at, side="right")
+        margins = self.machine.margins(self.vectors)[row[np.argsort(owner, kind="stable")]] if self.machine else np.zeros(0)
+        counts = np.cumsum(np.bincount(owner, minlength=len(sizes)))
+        return [(out[a:b], margins[c:d], n) for a, b, c, d, n in zip(np.r_[0, cuts[:-1]], cuts, np.r_[0, counts[:-1]], counts, sizes.tolist(), strict=True)]
 
 
 @dataclass
@@ -188,17 +225,17 @@ class Machine:
         return vectors @ self.weights + self.bias
 
     def evidence(self, docs: list[Matches]) -> np.ndarray:
-        """The margins of the first, second, third and fifth worst word, the numbers of words and of sentences beyond the margin, such words in a hundred, and 1."""
+        """The margins of the first, second, third and fifth worst sentence, the numbers of words and of sentences beyond the margin, such words in a hundred, and 1."""
         none = min(self.bias, 0.0)
         out = np.zeros((len(docs), EVIDENCE))
         out[:, :4] = none
         out[:, -1] = 1
-        for i, (x, sentence, n) in enumerate(docs):
+        for i, (x, words, n) in enumerate(docs):
             if len(x):
-                f = x if x.ndim == 1 else self.margins(x)  # a reader with this machine gives margins
+                f = self.margins(x)
                 worst = np.r_[np.sort(f)[::-1][:5], np.full(max(0, 5 - len(f)), none)]
-                over = f > 0.4
-                out[i, :-1] = *worst[[0, 1, 2, 4]], math.log1p(over.sum()), math.log1p(len(np.unique(sentence[over]))), math.log1p(100 * over.sum() / max(20, n))
+                over = (words > 0.4).sum()
+                out[i, :-1] = *worst[[0, 1, 2, 4]], math.log1p(over), math.log1p((f > 0.4).sum()), math.log1p(100 * over / max(20, n))
         return out
 
     def score(self, docs: list[Matches]) -> np.ndarray:
@@ -254,7 +291,7 @@ def gapped(marks: Landmarks) -> np.ndarray:
 
 
 def fit(marks: Landmarks, toxic: list[tuple[np.ndarray, np.ndarray]], clean: np.ndarray, times: np.ndarray, rounds: int = 4) -> Machine:
-    """toxic: distinct word vectors of each toxic document and how often each stands in it. clean: distinct word vectors, each in `times` clean documents. The logistic function is not fitted yet."""
+    """toxic: distinct sentence vectors of each toxic document and how often each stands in it. clean: distinct sentence vectors, each in `times` clean documents. The logistic function is not fitted yet."""
     m = len(marks.words)
     own = np.eye(m)
     i, j = np.triu_indices(m, 1)
@@ -267,7 +304,7 @@ def fit(marks: Landmarks, toxic: list[tuple[np.ndarray, np.ndarray]], clean: np.
     disguised = gapped(marks)
     weights, bias = np.zeros(m), 0.0
     for i in range(rounds):
-        # a toxic document's positive words: those next to a landmark, and its worst by the machine so far
+        # a toxic document's positive sentences: those with a word next to a landmark, and its worst by the machine so far
         on = [(x.max(1) >= 0.9) | (np.arange(len(x)) == np.argmax(x @ weights if i else x.max(1))) for x, _ in toxic]
         found = np.concatenate([x[o] for (x, _), o in zip(toxic, on, strict=True)] or [np.zeros((0, m))])
         share = np.concatenate([n[o] / n[o].sum() for (_, n), o in zip(toxic, on, strict=True)] or [np.zeros(0)])
@@ -280,7 +317,7 @@ def fit(marks: Landmarks, toxic: list[tuple[np.ndarray, np.ndarray]], clean: np.
 
 def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landmarks: int = 64, candidates: int = 2000, most_toxic: int = 3000, most_clean: int = 9000, id: str = "doc_id", text: str = "text") -> Machine:
     """Learn from labels(id, label): at most most_toxic + most_clean rows, chosen by the order of a hash of the id. Landmarks come
-    from the candidates that Spark counts in those documents; the machine sees all their distinct words, the logistic function the evidence of whole texts, found in tasks."""
+    from the candidates that Spark counts in those documents; the machine sees all their distinct sentences, the logistic function the evidence of whole texts, found in tasks."""
     known = labels.select(F.col(id), F.col(label).cast("int").alias("y")).where(usable & F.col("y").isin(0, 1) & F.col(id).isNotNull())
     sample = None
     for y, most in ((0, most_clean), (1, most_toxic)):
@@ -300,7 +337,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landma
     marks = Landmarks(spread([START + r["w"] for r in top.select("w").collect()], landmarks))
 
     def vectors(ts: list[str | None]) -> pd.DataFrame:
-        found = [np.unique(x.astype(np.float32), axis=0, return_counts=True) for x, *_ in Reader(marks).matches(ts)]
+        found = [np.unique(x, axis=0, return_counts=True) for x, *_ in Reader(marks).matches(ts)]
         return pd.DataFrame({"x": [[v.tobytes() for v in x] for x, _ in found], "n": [n for _, n in found]})
 
     def read(parts: list[bytes]) -> np.ndarray:

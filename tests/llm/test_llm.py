@@ -246,16 +246,49 @@ def test_components_are_the_same_whichever_step_ends_them(spark, monkeypatch, la
     assert got == components_of({v for x in links for v in x}, links)
 
 
-def test_margins_are_those_of_the_vectors():
-    """A reader that keeps margins gives the evidence of one that keeps vectors."""
+def test_sentences_take_the_largest_values_of_their_words_and_joins(monkeypatch):
+    """Vectors of sentences and margins of words against a plain loop, in one call, in parts, and with words forgotten between parts."""
     r = random.Random(4)
     marks = toxicity.Landmarks([toxicity.START + "".join(r.choice("abcd") for _ in range(6)) for _ in range(12)])
     machine = toxicity.Machine(marks, np.linspace(-1, 2, 12), -0.2, np.zeros(toxicity.EVIDENCE))
-    texts = [" ".join("".join(r.choice("abcd") for _ in range(6)) for _ in range(40)) for _ in range(20)] + ["", None]
-    plain, kept = toxicity.Reader(marks), toxicity.Reader(marks, machine)
-    for part in (texts[:9], texts[9:]):
-        assert np.allclose(machine.evidence(plain.matches(part)), machine.evidence(kept.matches(part)))
-    assert plain.vectors.ndim == 2 and kept.vectors.ndim == 1 and len(plain.vectors) == len(kept.vectors) > 0
+    token = lambda: "".join(r.choice("abcd") for _ in range(r.choice((2, 2, 4, 6)))) + r.choice(("", "", "", ".", ","))
+    texts = [" ".join(token() for _ in range(60)) for _ in range(40)] + ["", None, "ab cdab. a"]
+
+    def value(word):
+        out = np.zeros(12)
+        w, m, k = marks.values([word])
+        out[m] = k
+        return out
+
+    def plain(text):
+        tokens, sentences, margins = text.split(), [[]], []
+        for a, b in zip(tokens, [*tokens, ""][1:], strict=True):
+            x, y = a.strip(".,"), b.strip(".,")
+            words = [toxicity.START + x] * (len(x) >= 3)
+            if not a.endswith(".") and x and y and min(len(x), len(y)) < 3 and 3 < len(x + y) < marks.width:
+                words.append(toxicity.START + x + y)
+            found = [v for v in map(value, words) if v.any()]
+            sentences[-1] += found
+            margins += [float(v @ machine.weights + machine.bias) for v in found]
+            if a.endswith("."):
+                sentences.append([])
+        return [np.max(x, axis=0) for x in sentences if x], sorted(margins), len(tokens)
+
+    want = [plain(t or "") for t in texts]
+    for most in (600_000, 10):
+        monkeypatch.setattr(toxicity, "MOST_WORDS", most)
+        reader = toxicity.Reader(marks, machine)
+        got = reader.matches(texts[:9]) + reader.matches(texts[9:])
+        for (x, margins, n), (sentences, plain_margins, words) in zip(got, want, strict=True):
+            assert n == words and len(x) == len(sentences) and np.allclose(x, np.array(sentences).reshape(x.shape), atol=1e-5)
+            assert np.allclose(np.sort(margins), plain_margins, atol=1e-5)
+    assert sum(len(x) for x, *_ in want) > 100
+
+
+def test_split_insults_are_read_as_one_word():
+    reader = toxicity.Reader(toxicity.Landmarks([toxicity.START + "idiot"]))
+    whole, split, spaced, apart = (x.max(initial=0) for x, *_ in reader.matches(["you idiot", "you id iot", "you i d i o t", "you id. iot"]))
+    assert whole == split == spaced > 0.9 and apart == 0
 
 
 def test_near_duplicates_keep_one_of_each_group(spark):
@@ -492,7 +525,7 @@ def test_the_logistic_function_is_fitted_on_whole_texts(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit_logistic", lambda x, y: seen.append(x) or solve(x, y))
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
     machine = toxicity.train(frame(spark, texts), labels, "toxic", F.lit(True))
-    assert np.allclose(seen[0], machine.evidence(toxicity.Reader(machine.marks).matches(texts)))
+    assert np.allclose(seen[0], machine.evidence(toxicity.Reader(machine.marks, machine).matches(texts)))
     assert seen[0][:, 4].max() == pytest.approx(np.log1p(40))
 
 
