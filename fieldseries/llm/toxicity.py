@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -41,7 +42,7 @@ EVIDENCE = 8
 #: Longer words are scored by their windows of so many letters, at half-window steps: every letter counts.
 WINDOW = 24
 #: A task forgets its words when it holds more than so many words and joins, or vectors; this bounds memory, not results.
-MOST_WORDS = 600_000
+MOST_WORDS = 800_000
 MOST_VECTORS = 150_000
 #: Marks the start of a word.
 START = "^"
@@ -123,9 +124,8 @@ class Landmarks:
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def pieces(token: str) -> list[str]:
-    """What a token offers the kernel: itself without punctuation at its ends, or windows of it if it is long."""
-    word = token.strip(EDGES)
+def pieces(word: str) -> list[str]:
+    """What a word (without punctuation at its ends) offers the kernel: itself, or windows of it if it is long."""
     if len(word) < LENGTH:
         return []
     return [START + word] if len(word) <= WINDOW else [START * (not i) + word[i : i + WINDOW] for i in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
@@ -145,7 +145,8 @@ class Reader:
         self.index.default_factory = self.index.__len__
         self.joined: dict[int, int] = {}  # of two neighbouring tokens' numbers: the row of their join in vectors, or -1
         self.row = np.zeros(0, np.int32)  # of each token: its row in vectors, or -1
-        self.size = np.zeros(0, np.int32)  # of each token: its letters without punctuation at the ends
+        self.bare: list[str] = []  # tokens without punctuation at their ends
+        self.size = np.zeros(0, np.int32)  # and their lengths
         self.stop = np.zeros(0, bool)  # tokens that end a sentence
         self.vectors = np.zeros((0, len(self.marks.words)), np.float32)
 
@@ -163,8 +164,10 @@ class Reader:
         return row
 
     def learn(self, new: list[str]) -> None:
-        self.row = np.concatenate([self.row, self.rows([pieces(t) for t in new])])
-        self.size = np.concatenate([self.size, np.array([len(t.strip(EDGES)) for t in new], np.int32)])
+        bare = [t.strip(EDGES) for t in new]
+        self.bare += bare
+        self.row = np.concatenate([self.row, self.rows([pieces(t) for t in bare])])
+        self.size = np.concatenate([self.size, np.array([len(t) for t in bare], np.int32)])
         self.stop = np.concatenate([self.stop, np.array([t[-1] in ".!?" for t in new], bool)])
 
     def joins(self, tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,8 +178,8 @@ class Reader:
         pair, back = np.unique(tokens[at].astype(np.int64) << 32 | tokens[at + 1], return_inverse=True)
         new = [p for p in pair.tolist() if p not in self.joined]
         if new:
-            names = list(self.index)
-            self.joined.update(zip(new, self.rows([[START + names[p >> 32].strip(EDGES) + names[p & 0xFFFFFFFF].strip(EDGES)] for p in new]).tolist(), strict=True))
+            bare = self.bare
+            self.joined.update(zip(new, self.rows([[START + bare[p >> 32] + bare[p & 0xFFFFFFFF]] for p in new]).tolist(), strict=True))
         row = np.fromiter((self.joined[p] for p in pair.tolist()), np.int32, len(pair))[back]
         return at[row >= 0], row[row >= 0]
 
@@ -242,19 +245,27 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.evidence(docs) @ self.logit, -500, 500)))
 
 
-def fit_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0, rounds: int = 50) -> np.ndarray:
-    """Weights and bias of the linear machine: |w|^2 / 2 + cost * weighted mean of squared hinge losses, by Newton steps."""
-    x1 = np.c_[x, np.ones(len(x))]
-    ridge = np.r_[np.ones(x.shape[1]), 1e-6]
+def fit_hinge(x: list[np.ndarray], y: np.ndarray, weight: np.ndarray, root: np.ndarray, cost: float = 10.0, rounds: int = 50) -> np.ndarray:
+    """Weights and bias of the linear machine over the rows of x (given in parts) times root: |w|^2 / 2 + cost * weighted mean of squared
+    hinge losses, by Newton steps. Only a block of rows at a time is mapped."""
+    ridge = np.r_[np.ones(root.shape[1]), 1e-6]
     weight = weight / weight.sum() * cost * 100
-    w = np.zeros(x1.shape[1])
-    loss = lambda w: (ridge * w * w).sum() / 2 + (weight * np.maximum(0, 1 - y * (x1 @ w)) ** 2).sum()
+    w = np.zeros(len(ridge))
+    blocks = [part[i : i + 8192] for part in x for i in range(0, len(part), 8192)]
+    mapped = lambda b: np.c_[b @ root, np.ones(len(b))]
+    margins = lambda w: np.concatenate([b @ (root @ w[:-1]) + w[-1] for b in blocks])
+    loss = lambda w: (ridge * w * w).sum() / 2 + (weight * np.maximum(0, 1 - y * margins(w)) ** 2).sum()
+    ends = np.cumsum([len(b) for b in blocks])
     for _ in range(rounds):
-        slack = 1 - y * (x1 @ w)
-        on = slack > 0
-        a = x1[on]
-        slope = ridge * w - 2 * (a * (weight * y * slack)[on, None]).sum(0)
-        step = np.linalg.solve(np.diag(ridge) + 2 * (a * weight[on, None]).T @ a, slope)
+        slack = 1 - y * margins(w)
+        slope, curve = ridge * w, np.diag(ridge)
+        for b, end in zip(blocks, ends, strict=True):
+            at = np.arange(end - len(b), end)
+            on = slack[at] > 0
+            a, at = mapped(b[on]), at[on]
+            slope = slope - 2 * (weight * y * slack)[at] @ a
+            curve = curve + 2 * (a * weight[at, None]).T @ a
+        step = np.linalg.solve(curve, slope)
         size = 1.0
         while size > 1e-4 and loss(w - size * step) > loss(w):
             size /= 2
@@ -299,7 +310,7 @@ def fit(marks: Landmarks, toxic: list[tuple[np.ndarray, np.ndarray]], clean: np.
         own[i, j] = own[j, i] = kernel(marks.t[i], marks.t[j]) / np.sqrt(marks.own[i] * marks.own[j])
     value, vector = np.linalg.eigh(own)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-2))) @ vector.T
-    clean, times = np.concatenate([clean, np.zeros((1, m))]), np.r_[times, 1]
+    none, times = np.zeros((1, m)), np.r_[times, 1]  # a sentence without a match is clean
     toxic = [(x, n) for x, n in toxic if len(x)]
     disguised = gapped(marks)
     weights, bias = np.zeros(m), 0.0
@@ -308,9 +319,9 @@ def fit(marks: Landmarks, toxic: list[tuple[np.ndarray, np.ndarray]], clean: np.
         on = [(x.max(1) >= 0.9) | (np.arange(len(x)) == np.argmax(x @ weights if i else x.max(1))) for x, _ in toxic]
         found = np.concatenate([x[o] for (x, _), o in zip(toxic, on, strict=True)] or [np.zeros((0, m))])
         share = np.concatenate([n[o] / n[o].sum() for (_, n), o in zip(toxic, on, strict=True)] or [np.zeros(0)])
-        s = np.r_[np.ones(len(found) + len(disguised)), -np.ones(len(clean))]
+        s = np.r_[np.ones(len(found) + len(disguised)), -np.ones(len(times))]
         each = np.r_[0.4 * share / max(1, share.sum()), np.full(len(disguised), 0.1 / max(1, len(disguised))), 0.5 * times / times.sum()]
-        w = fit_hinge(np.concatenate([found, disguised, clean]) @ root, s, each)
+        w = fit_hinge([found, disguised, clean, none], s, each, root)
         weights, bias = root @ w[:-1], float(w[-1])
     return Machine(marks, weights, bias, np.zeros(EVIDENCE))
 
@@ -345,8 +356,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landma
 
     got = cut(by_text(rows, vectors, "x array<binary>, n array<long>", [id, "y"], "t"), "vectors")
     toxic = [(read(r["x"]), np.array(r["n"], np.int64)) for r in got.where("y = 1").orderBy(id).toLocalIterator()]
-    clean = got.where("y = 0").select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("n")).orderBy("x").toPandas()
-    machine = fit(marks, toxic, read(clean["x"].tolist()), clean["n"].to_numpy(np.int64))
+    clean = got.where("y = 0").select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("n")).orderBy("x")
+    parts, times = bytearray(), array("q")  # one partition at a time is held besides
+    for r in clean.toLocalIterator():
+        parts += r["x"]
+        times.append(r["n"])
+    machine = fit(marks, toxic, np.frombuffer(parts, np.float32).reshape(len(times), len(marks.words)), np.array(times, np.int64))
     evidence = by_text(rows, lambda ts: pd.DataFrame({"e": list(machine.evidence(Reader(marks, machine).matches(ts)))}), "e array<double>", [id, "y"], "t").orderBy(id, "y").collect()
     machine.logit = fit_logistic(np.array([r["e"] for r in evidence]), np.array([r["y"] for r in evidence]))
     return machine
