@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldseries.functions.session import ship
-from fieldseries.llm import bpe, mixing, passages, pii, ranking, repetition, sharding, simhash, sketches, toxicity
+from fieldseries.llm import bpe, importance, mixing, packing, passages, pii, ranking, repetition, sharding, simhash, sketches, spelling, toxicity
 from fieldseries.llm.common import table
 
 SHARDS = 8
 #: The setting that holds the surrogates' key, and what tests use where it is unset.
 PII_KEY, DEMO_KEY = "fieldseries.pii.key", "fieldseries-demo-key"
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, PACKED_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def op1_quality_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,12 +76,25 @@ def op10_sparse_suffix_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKED_TOKENIZER), ["doc_id"], digests=True)
+    return made.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return wraps(f)(lambda spark, sf_dir: f(ship(spark), sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: shipped(f) for f in (op1_quality_repetition, op2_best_fit_sharding, op3_surrogates, op4_simhash, op5_invertible_sketch, op6_bpe, op7_poisson_mixing, op8_toxicity_string_kernel, op9_quality_bradley_terry, op10_sparse_suffix_passages)}
+    return {f.__name__: shipped(f) for f in (op1_quality_repetition, op2_best_fit_sharding, op3_surrogates, op4_simhash, op5_invertible_sketch, op6_bpe, op7_poisson_mixing, op8_toxicity_string_kernel, op9_quality_bradley_terry, op10_sparse_suffix_passages, op11_spelling_variants, op12_best_two_fit, op13_importance_resampling)}
 
 
 def _windows(k: int, name: str) -> str:
@@ -116,5 +129,45 @@ SELECT doc_id, min(a)::BIGINT AS start_word, (max(a) + 50)::BIGINT AS end_word,
 FROM isl GROUP BY doc_id, island"""
 
 
+#: The table of the byte-wise CRC-32, from its polynomial, and the checksum of a string of hexadecimal digits.
+CRC = """crc_table AS (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY b) AS steps FROM range(256) t(b))"""
+
+
+def _crc(bytes_as_hex: str) -> str:
+    octets = f"list_transform(range(0, length({bytes_as_hex}) // 2), lambda i: ('0x' || substr({bytes_as_hex}, 2 * i::BIGINT + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: One edit: a letter less in one word is the other word, or both agree but for one letter in the same place.
+OP11_SQL = rf"""
+WITH RECURSIVE {CRC},
+    runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({LOWER.format('text')}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+    hashed AS (SELECT run, n, {_crc("hex(encode(doc_id || ':' || run))")} AS h FROM runs, crc_table),
+    results AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+    words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM results WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+    cuts AS MATERIALIZED (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS less, substr(word, i + 1, 1) AS letter FROM words, unnest(range(0, length(word))) u(i)),
+    pairs AS (SELECT DISTINCT c.word AS a, w.word AS b FROM cuts c JOIN words w ON w.word = c.less UNION SELECT w.word, c.word FROM cuts c JOIN words w ON w.word = c.less
+        UNION SELECT c.word, d.word FROM cuts c JOIN cuts d ON c.less = d.less AND c.i = d.i AND c.letter <> d.letter),
+    best AS (SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, b) AS b, max(n) AS b_n FROM pairs JOIN words ON word = b GROUP BY a),
+    placed AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN b_n >= 5 * n THEN b END AS form, CASE WHEN b_n >= 5 * n THEN b_n END AS form_n FROM words LEFT JOIN best ON a = word),
+    chain AS (SELECT word, word AS root, form FROM placed UNION ALL SELECT c.word, p.word, p.form FROM chain c JOIN placed p ON p.word = c.form)
+SELECT word, form, root, n, n_near, form_n FROM placed JOIN (SELECT word, root FROM chain WHERE form IS NULL) USING (word)"""
+
+OP13_SQL = rf"""
+WITH {CRC},
+    source AS (SELECT doc_id, unnest(regexp_extract_all({LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
+    target AS (SELECT unnest(regexp_extract_all({LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+    buckets AS MATERIALIZED (SELECT w, {_crc("hex(encode(w))")} % 10000 AS b FROM (SELECT w FROM source UNION SELECT w FROM target), crc_table),
+    counted AS (SELECT b, (SELECT count(*) FROM source) AS all_s, (SELECT count(*) FROM target) AS all_t, coalesce(s, 0) AS s, coalesce(t, 0) AS t FROM (SELECT DISTINCT b FROM buckets)
+        LEFT JOIN (SELECT b, count(*) AS s FROM source JOIN buckets USING (w) GROUP BY b) USING (b) LEFT JOIN (SELECT b, count(*) AS t FROM target JOIN buckets USING (w) GROUP BY b) USING (b)),
+    gain AS (SELECT b, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS g FROM counted),
+    weighed AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight FROM (SELECT doc_id FROM documents) LEFT JOIN
+        (SELECT doc_id, count(*) AS n_features, floor(sum(g) / count(*))::BIGINT AS weight FROM source JOIN buckets USING (w) JOIN gain USING (b) GROUP BY doc_id) USING (doc_id)),
+    scored AS (SELECT *, weight + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM weighed),
+    drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN drawn USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_repetition": OP1_SQL, "op10_sparse_suffix_passages": OP10_SQL}
+    return {"op11_spelling_variants": OP11_SQL, "op13_importance_resampling": OP13_SQL, "op1_quality_repetition": OP1_SQL, "op10_sparse_suffix_passages": OP10_SQL}
