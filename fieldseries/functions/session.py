@@ -1,12 +1,13 @@
-"""Sending this package to the executors."""
+"""Sending this package to the executors, and tables that outlive them."""
 
 from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _sent: set[str] = set()
 
@@ -21,3 +22,21 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(shutil.make_archive(str(to / "fieldseries"), "zip", to / "src"))
         _sent.add(app)
     return spark
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to the folder that driver and executors share (spark.checkpoint.dir) and read again: what follows starts from files that survive lost
+    executors. Where the setting is unset, a temporary folder serves a local session."""
+    spark = df.sparkSession
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        where = found.get() if found.isDefined() else None
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        where = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.sparkContext.setCheckpointDir(where)
+    path = f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldseries.operators import catalog, geo
+from fieldseries.operators import catalog, geo, ranks
 
 
 def zscore(features: DataFrame, feature: str = "feature", value: str = "value") -> DataFrame:
-    """(x - mean) / population std per feature over all rows; a std of 0 counts as 1. Features are few: their statistics are broadcast."""
+    """(x - mean) / population std per feature over all rows; a std of 0 counts as 1. Features are few, so the
+    planner broadcasts their statistics where their size allows."""
     stats = features.groupBy(feature).agg(F.avg(value).alias("mu"), F.stddev_pop(value).alias("sd"))
     scale = F.when(F.col("sd") == 0, F.lit(1.0)).otherwise(F.col("sd"))
     return features.join(stats, feature).withColumn("z", (F.col(value) - F.col("mu")) / scale).drop("mu", "sd")
 
 
 def class_profile(scored: DataFrame, classe: str = "classe", feature: str = "feature") -> DataFrame:
-    """Median z per class and feature."""
-    return scored.groupBy(classe, feature).agg(F.median("z").alias("mediane"))
+    """Median z per class and feature, by rank: a class's column is never in one task's memory. null where a class has no value of a feature."""
+    found = ranks.percentiles(scored, [classe, feature], "z", [0.5])
+    return found.select(classe, feature, F.get("p", F.lit(0)).alias("mediane"))
 
 
 def rms_distance(scored: DataFrame, id: str, classe: str = "classe", feature: str = "feature") -> DataFrame:
@@ -28,8 +30,8 @@ def rms_distance(scored: DataFrame, id: str, classe: str = "classe", feature: st
 
 def thresholds(distances: DataFrame, classe: str = "classe", k: float = 2.0) -> DataFrame:
     """Quartiles of the distance and median + k * interquartile range per class."""
-    q = F.percentile("dist_classe", F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)]))
-    made = distances.groupBy(classe).agg(q.alias("q"), F.count("*").alias("n"))
+    found = ranks.percentiles(distances, [classe], "dist_classe", [0.25, 0.5, 0.75]).select(F.col(classe).alias("__c"), F.col("p").alias("q"))
+    made = distances.groupBy(classe).agg(F.count("*").alias("n")).join(found, F.col(classe).eqNullSafe(F.col("__c")), "left")
     parts = [F.get("q", F.lit(i)).alias(f"q{p}") for i, p in enumerate((25, 50, 75))]
     return made.select(classe, *parts, "n").withColumn("seuil_div", F.col("q50") + k * (F.col("q75") - F.col("q25")))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldseries.functions.columns import half_even
+from fieldseries.operators import ranks
 
 
 def wide(stats: DataFrame, id: str, columns: list[str], variables: list[str], months: list[str]) -> DataFrame:
@@ -54,8 +55,8 @@ def action_table(actions: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, value: str) -> DataFrame:
     """Count, mean, sample std, minimum, quartiles and maximum, rounded to 3 digits, in one row."""
-    q = F.percentile(value, F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)]))
-    one = df.agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), q.alias("q"), F.max(value).alias("max"))
+    one = df.agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
+    one = one.join(ranks.percentiles(df, [], value, [0.25, 0.5, 0.75]).select(F.col("p").alias("q")), how="left")  # a row each, or none
     return one.select("n", *[half_even(F.col(c), 3).alias(c) for c in ("mean", "std", "min", "max")], *[half_even(F.get("q", F.lit(i)), 3).alias(f"q{p}") for i, p in enumerate((25, 50, 75))])
 
 

@@ -158,26 +158,6 @@ def wrong_srid(df: DataFrame, srid: str, expected: int = 2154) -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.count_if(~F.col(srid).eqNullSafe(F.lit(expected))).alias("n_faux"))
 
 
-def dissolve(parts: DataFrame, id: str, ring: str = "ring") -> DataFrame:
-    """Per id one array of its rings (the parts of one parcel, in a fixed order)."""
-    return parts.groupBy(id).agg(F.sort_array(F.collect_list(ring)).alias("rings"))
-
-
-#: An area of interest has at most so many rings; more would have to be joined by cells.
-MOST_AREAS = 1000
-
-
-def in_areas(parcels: DataFrame, areas: DataFrame, ring: str = "ring", area_ring: str = "aoi") -> DataFrame:
-    """Parcels, whole, with every area that they meet (an inner join: a parcel in two areas has two rows). The few areas are counted, then broadcast;
-    parcels(xmin, ymin, xmax, ymax) from with_envelope are compared by their boxes first."""
-    n = areas.limit(MOST_AREAS + 1).count()
-    if n > MOST_AREAS:
-        raise ValueError(f"more than {MOST_AREAS} areas")
-    few = areas.withColumn("__a", envelope(F.col(area_ring)))
-    near = (F.col("xmin") <= F.col("__a.xmax")) & (F.col("xmax") >= F.col("__a.xmin")) & (F.col("ymin") <= F.col("__a.ymax")) & (F.col("ymax") >= F.col("__a.ymin"))
-    return parcels.join(F.broadcast(few), near & intersects(F.col(ring), F.col(area_ring))).drop("__a")
-
-
 def to_geojson(ring: Column) -> Column:
     """The text of a polygon."""
     return F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(ring, lambda p: F.array(p["x"], p["y"]))).alias("coordinates")))
@@ -218,15 +198,10 @@ def box_corners(box: tuple[float, float, float, float]) -> list[tuple[float, flo
 
 
 def with_envelope(df: DataFrame, ring: str = "ring") -> DataFrame:
-    """The envelope as columns of their own. Written in their order (or by cell), Parquet statistics skip files outside a box."""
+    """The envelope as columns of their own; spatial.write_clustered lays a table out by them."""
     return df.withColumn("__e", envelope(F.col(ring))).select("*", "__e.*").drop("__e")
 
 
-def cell(x: Column, y: Column, size: float = 10_000.0) -> Column:
-    """The number of the square a point lies in, to partition or bucket by."""
-    return F.floor(x / size) * 100_000 + F.floor(y / size)
-
-
 def keep_points(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
     """Douglas-Peucker between the first and the last point: which points stay."""
     keep = np.zeros(len(x), bool)

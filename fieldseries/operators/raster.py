@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldseries.operators import geo
+from fieldseries.functions.session import ship
+from fieldseries.operators import geo, ringsets
 
 
 @dataclass(frozen=True)
@@ -29,7 +32,8 @@ class Grid:
     @classmethod
     def of(cls, rings: DataFrame, ring: str = "ring", res: float = 20.0) -> Grid:
         """The grid around all rings: four numbers come to the driver."""
-        e = geo.envelope(F.col(ring))
+        single = rings.schema[ring].dataType.elementType.typeName() == "struct"
+        e = geo.envelope(F.col(ring) if single else F.flatten(ring))
         low = rings.select(e.alias("e")).agg(F.min("e.xmin"), F.min("e.ymin"), F.max("e.xmax"), F.max("e.ymax")).first()
         return cls.around(*low, res)
 
@@ -48,21 +52,78 @@ class Grid:
         return self.ymax - (row + 0.5) * self.res
 
 
-def cells_within(rings: DataFrame, grid: Grid, ring: str = "ring") -> DataFrame:
-    """Every row of rings with the cells (row, col) whose centre lies inside; only cells of a ring's own envelope are looked at.
-
-    Rows of the envelope are exploded before columns, so one large ring becomes many rows early and spreads over tasks.
-    """
-    e = geo.envelope(F.col(ring))
-    clip = lambda v, most: F.greatest(F.lit(0), F.least(F.lit(most - 1), F.floor(v).cast("int")))
-    span = lambda lo, hi: F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    rows = rings.withColumn("__e", e).withColumn("row", F.explode(span(clip((grid.ymax - F.col("__e.ymax")) / grid.res, grid.height), clip((grid.ymax - F.col("__e.ymin")) / grid.res, grid.height))))
-    every = rows.withColumn("col", F.explode(span(clip((F.col("__e.xmin") - grid.xmin) / grid.res, grid.width), clip((F.col("__e.xmax") - grid.xmin) / grid.res, grid.width))))
-    return every.where(geo.contains(F.col(ring), grid.x(F.col("col")), grid.y(F.col("row")))).drop("__e")
+def scanlines(shape: ringsets.Shape, grid: Grid) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first column, last column) of the runs of cells whose centre lies inside: each row's crossings with the sides, sorted and taken in pairs (even-odd), so a
+    cell costs the same however many sides the shape has. A centre on a left or lower border counts as inside."""
+    empty = np.zeros(0, np.int64)
+    if not shape:
+        return empty, empty, empty
+    p, q = np.concatenate([r[:-1] for r in shape]), np.concatenate([r[1:] for r in shape])
+    low, high = np.minimum(p[:, 1], q[:, 1]), np.maximum(p[:, 1], q[:, 1])
+    # A row more on either side than the bounds ask for; the exact test follows.
+    top = np.clip(np.floor((grid.ymax - high) / grid.res - 0.5), 0, grid.height).astype(np.int64)
+    bottom = np.clip(np.ceil((grid.ymax - low) / grid.res - 0.5), -1, grid.height - 1).astype(np.int64)
+    count = np.maximum(bottom - top + 1, 0)
+    side = np.repeat(np.arange(len(p)), count)
+    row = np.repeat(top, count) + np.arange(len(side)) - np.repeat(np.cumsum(count) - count, count)
+    y = grid.ymax - (row + 0.5) * grid.res
+    met = (p[side, 1] > y) != (q[side, 1] > y)
+    side, row, y = side[met], row[met], y[met]
+    a, b = p[side], q[side]
+    x = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) / (b[:, 1] - a[:, 1]) + a[:, 0]
+    by = np.lexsort((x, row))
+    row, x = row[by][::2], x[by]
+    centre = lambda col: grid.xmin + (col + 0.5) * grid.res
+
+    def first_not_left_of(edge: np.ndarray) -> np.ndarray:
+        col = np.ceil((edge - grid.xmin) / grid.res - 0.5)
+        col = np.where(centre(col - 1) >= edge, col - 1, col)
+        return np.where(centre(col) < edge, col + 1, col)
+
+    first, last = np.maximum(first_not_left_of(x[::2]), 0), np.minimum(first_not_left_of(x[1::2]) - 1, grid.width - 1)
+    some = first <= last
+    return row[some], first[some].astype(np.int64), last[some].astype(np.int64)
+
+
+def runs_within(shapes: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
+    """Every row of shapes, without its geometry (a ring set or one ring), for each run of cells inside: row, first and last column."""
+    ship(shapes.sparkSession)
+
+    @F.arrow_udf("array<struct<row:int,first:int,last:int>>")
+    def scan(values: pa.Array) -> pa.Array:
+        made = [scanlines(s or [], grid) for s in ringsets.shapes(values)]
+        ends = np.cumsum([0, *(len(m[0]) for m in made)])
+        columns = [pa.array(np.concatenate([m[k] for m in made]) if made else [], pa.int64()).cast(pa.int32()) for k in range(3)]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, names=["row", "first", "last"]))
+
+    single = shapes.schema[rings].dataType.elementType.typeName() == "struct"
+    given = F.array(F.col(rings)) if single else F.col(rings)
+    others = [c for c in shapes.columns if c != rings]
+    # Explicit runs are cheap rows; cells follow from them after the shuffle-free explode.
+    return shapes.where(F.col(rings).isNotNull()).select(*others, F.inline(scan(given)))
+
+
+def cells_within(shapes: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
+    """Every row of shapes, without its geometry, with the cells (row, col) whose centre lies inside."""
+    runs = runs_within(shapes, grid, rings)
+    return runs.withColumn("col", F.explode(F.sequence("first", "last"))).drop("first", "last")
+
+
+#: Columns of a block: runs and pixels meet by row and block.
+BLOCK = 256
+
+
+def crop(pixels: DataFrame, areas: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
+    """The pixels (row, col, ...) whose centre lies in any of the areas. Runs are cut at blocks of columns and meet pixels by row and block, so neither a
+    large area nor a wide row gathers in one task; a pixel in several areas stays once, and repeated pixel rows stay."""
+    runs = runs_within(areas.select(rings), grid, rings)
+    cut = runs.withColumn("__block", F.explode(F.sequence(F.floor(F.col("first") / BLOCK), F.floor(F.col("last") / BLOCK)))).select(F.col("row").alias("__row"), "__block", "first", "last")
+    on = (F.col("row") == F.col("__row")) & (F.floor(F.col("col") / BLOCK) == F.col("__block")) & F.col("col").between(F.col("first"), F.col("last"))
+    return pixels.join(cut.distinct(), on, "left_semi")
 
 
 def rasterize(parcels: DataFrame, grid: Grid, label: str = "label", ring: str = "ring") -> DataFrame:
-    """(row, col, label); where parcels overlap the greatest label wins, as the last drawn would."""
+    """(row, col, label); where parcels overlap the greatest label wins, as the last drawn would. ring: one ring or a ring set."""
     return cells_within(parcels.select(label, ring), grid, ring).groupBy("row", "col").agg(F.max(label).alias(label))
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldseries.operators import api, divergence, geo, raster, reports
+from fieldseries.functions.session import ship
+from fieldseries.operators import api, divergence, geo, raster, reports, ringsets, spatial
 from fieldseries.plans.registry import SCENES, query, rounded
 from fieldseries.sources import analogues as A
+from fieldseries.sources import tables
 
 #: A box of degrees, of about 39 square kilometres.
 BOX = (1.80, 49.10, 1.88, 49.16)
@@ -65,14 +67,80 @@ AOI = [(610000, 6890000), (640000, 6890000), (640000, 6900000), (620000, 6900000
 @query(f"WITH {FIELDS} SELECT id_parcel, classe FROM fields WHERE (x0 <= 640000 AND x1 >= 610000 AND y0 <= 6900000 AND y1 >= 6890000) OR (x0 <= 620000 AND x1 >= 610000 AND y0 <= 6920000 AND y1 >= 6890000)")
 def parcels_in_aoi(spark: SparkSession, d: str) -> DataFrame:
     aoi = spark.range(1).select(geo.ring_of(AOI).alias("aoi"))
-    return geo.in_areas(A.fields(spark, d), aoi).select("id_parcel", "classe")
+    return spatial.in_areas(A.fields(spark, d), aoi).select("id_parcel", "classe")
 
 
 @query(f"WITH {FIELDS} SELECT id_parcel % 100 AS id, CAST(count(*) AS INTEGER) AS n_parties, round(sum((x1 - x0) * (y1 - y0)), 4) AS surface FROM fields GROUP BY 1")
 def dissolve(spark: SparkSession, d: str) -> DataFrame:
-    made = geo.dissolve(A.fields(spark, d).withColumn("id", F.col("id_parcel") % 100), "id")
-    total = F.aggregate(F.transform("rings", geo.area), F.lit(0.0), lambda a, x: a + x)
-    return made.select("id", F.size("rings").alias("n_parties"), F.round(total, 4).alias("surface"))
+    parts = A.fields(spark, d).select((F.col("id_parcel") % 100).alias("id"), ringsets.of_ring(F.col("ring")).alias("rings"))
+    made = ringsets.dissolve(parts, "id")
+    return made.select("id", F.size("rings").alias("n_parties"), F.round(ringsets.area(F.col("rings")), 4).alias("surface"))
+
+
+def _box(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """A rectangle's ring, counter-clockwise."""
+    p = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    return F.array(p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1), p(x0, y0))
+
+
+@query(f"""WITH {FIELDS}, m AS (SELECT *, (x0 + x1) / 2 AS xm, (y0 + y1) / 2 AS ym FROM fields),
+  p AS (SELECT id_parcel, unnest(range(8)) AS i, unnest([x0, xm, x1, x1, x1, xm, x0, x0]) AS x, unnest([y0, y0, y0, ym, y1, y1, y1, y0]) AS y FROM m) SELECT id_parcel, CAST(1 AS INTEGER) AS n_rings, CAST(i AS INTEGER) AS i, x, y FROM p""")
+def dissolve_outline(spark: SparkSession, d: str) -> DataFrame:
+    """Three parts, one of them beside two others: one outline, whose corners are compared. The parts come in either direction."""
+    f = A.fields(spark, d)
+    x0, y0, x1, y1 = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
+    xm, ym = (x0 + x1) / 2, (y0 + y1) / 2
+    parts = f.select("id_parcel", F.explode(F.array(_box(x0, y0, xm, y1), F.reverse(_box(xm, y0, x1, ym)), _box(xm, ym, x1, y1))).alias("ring"))
+    made = ringsets.dissolve(parts.select("id_parcel", ringsets.of_ring(F.col("ring")).alias("rings")), "id_parcel")
+    corners = made.select("id_parcel", F.size("rings").alias("n_rings"), F.posexplode(F.get("rings", F.lit(0))).alias("i", "p"))
+    return corners.select("id_parcel", "n_rings", "i", "p.x", "p.y")
+
+
+def _two_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Each field with a hole in its middle and a second part 100 m east, written as WKB of either byte order and read again."""
+    f = ship(spark) and A.fields(spark, d)
+    x0, y0, x1, y1 = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
+    w, h = (x1 - x0) / 4, (y1 - y0) / 4
+    rings = F.array(_box(x0, y0, x1, y1), F.reverse(_box(x0 + w, y0 + h, x1 - w, y1 - h)), _box(x0 + 100, y0, x1 + 100, y1))
+    wkb = F.when(F.col("id_parcel") % 2 == 0, ringsets.to_wkb(rings)).otherwise(ringsets.to_wkb(rings, big=True))
+    return tables.wkb_rings(f.select("id_parcel", x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"), wkb.alias("wkb")), "wkb").drop("wkb")
+
+
+@query(f"""WITH {FIELDS}, s AS (SELECT *, x1 - x0 AS w, y1 - y0 AS h FROM fields)
+  SELECT id_parcel, CAST(3 AS INTEGER) AS n_rings, round(1.75 * w * h, 4) AS surface, round(5 * (w + h), 4) AS perimetre, round((x0 + x1) / 2 + 100 / 1.75, 4) AS cx, round((y0 + y1) / 2, 4) AS cy,
+    false AS milieu, true AS partie_est, true AS bord, false AS dans_trou, true AS touche FROM s""")
+def multipart_measures(spark: SparkSession, d: str) -> DataFrame:
+    """Area, perimeter, centroid, points inside and meetings of multi-part geometries: the hole's middle is outside, a box within the hole meets nothing."""
+    m = _two_parts(spark, d)
+    r, c = F.col("rings"), ringsets.centroid(F.col("rings"))
+    x0, y0, x1, y1 = (F.col(n) for n in ("x0", "y0", "x1", "y1"))
+    w, h, mx, my = x1 - x0, y1 - y0, (x0 + x1) / 2, (y0 + y1) / 2
+    hits = lambda *box: ringsets.intersects(F.array(_box(*box)), r)
+    made = m.select("id_parcel", F.size(r).alias("n_rings"), F.round(ringsets.area(r), 4).alias("surface"), F.round(ringsets.perimeter(r), 4).alias("perimetre"), F.round(c["x"], 4).alias("cx"), F.round(c["y"], 4).alias("cy"),
+                    ringsets.contains(r, mx, my).alias("milieu"), ringsets.contains(r, mx + 100, my).alias("partie_est"), ringsets.contains(r, x0 + w / 8, my).alias("bord"),
+                    hits(x0 + 0.3 * w, y0 + 0.3 * h, x0 + 0.6 * w, y0 + 0.6 * h).alias("dans_trou"), hits(mx, my, x1 + 1, my + 1).alias("touche"))
+    return made
+
+
+@query(f"""WITH {FIELDS}, g AS (SELECT floor(min(x0) / 5) * 5 AS gx, ceil(max(y1) / 5) * 5 AS gy FROM fields),
+  c AS (SELECT id_parcel, CAST(r AS INTEGER) AS row, CAST(k AS INTEGER) AS col, gx + 5 * (k + 0.5) AS x, gy - 5 * (r + 0.5) AS y, x0, x1, y0, y1, (x1 - x0) / 4 AS w, (y1 - y0) / 4 AS h FROM fields, g,
+    unnest(generate_series(CAST(floor((x0 - gx) / 5) AS INTEGER), CAST(floor((x1 + 100 - gx) / 5) AS INTEGER))) u(k), unnest(generate_series(CAST(floor((gy - y1) / 5) AS INTEGER), CAST(floor((gy - y0) / 5) AS INTEGER))) v(r)),
+  i AS (SELECT * FROM c WHERE y >= y0 AND y < y1 AND ((x >= x0 AND x < x1 AND NOT (x >= x0 + w AND x < x1 - w AND y >= y0 + h AND y < y1 - h)) OR (x >= x0 + 100 AND x < x1 + 100)))
+  SELECT id_parcel, count(*) AS n, min(row) AS row_min, max(row) AS row_max, min(col) AS col_min, max(col) AS col_max, CAST(sum(col) AS BIGINT) AS col_sum FROM i GROUP BY 1""")
+def multipart_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The cells of multi-part geometries on a grid of 5 m, by scanlines."""
+    m = _two_parts(spark, d)
+    cells = raster.cells_within(m.select("id_parcel", "rings"), raster.Grid.of(m, "rings", 5.0))
+    return cells.groupBy("id_parcel").agg(F.count("*").alias("n"), F.min("row").alias("row_min"), F.max("row").alias("row_max"), F.min("col").alias("col_min"), F.max("col").alias("col_max"), F.sum("col").alias("col_sum"))
+
+
+@query(f"WITH {FIELDS} SELECT f.id_parcel, a.id_parcel AS id_zone FROM fields f JOIN fields a ON f.x0 <= a.x1 + 400 AND f.x1 >= a.x0 + 200 AND f.y0 <= a.y1 + 400 AND f.y1 >= a.y0 + 200 AND a.id_parcel % 3 <> 0")
+def parcels_by_area(spark: SparkSession, d: str) -> DataFrame:
+    """As many areas as fields but a third: each meets the fields north-east of one."""
+    f = A.fields(spark, d)
+    x0, y0, x1, y1 = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
+    areas = f.where("id_parcel % 3 <> 0").select(F.col("id_parcel").alias("id_zone"), _box(x0 + 200, y0 + 200, x1 + 400, y1 + 400).alias("aoi"))
+    return spatial.in_areas(f, areas).select("id_parcel", "id_zone")
 
 
 @query(f"WITH {FIELDS} SELECT id_parcel, id_parcel % 7 <> 0 AS valide FROM fields")
@@ -121,6 +189,14 @@ def rasterize(spark: SparkSession, d: str) -> DataFrame:
     return _labels(spark, d)
 
 
+@query(f"WITH {CELLS}, placed AS (SELECT row, col, label, gx + 20 * (col + 0.5) AS x, gy - 20 * (row + 0.5) AS y FROM labels, g) SELECT row, col, label FROM placed WHERE (x >= 610000 AND x < 640000 AND y >= 6890000 AND y < 6900000) OR (x >= 610000 AND x < 620000 AND y >= 6890000 AND y < 6920000)")
+def crop(spark: SparkSession, d: str) -> DataFrame:
+    """The labelled cells within the area of interest, which comes twice and keeps each once."""
+    fields = A.fields(spark, d)
+    aoi = spark.range(2).select(F.array(geo.ring_of(AOI)).alias("rings"))
+    return raster.crop(_labels(spark, d), aoi, raster.Grid.of(fields))
+
+
 @query(f"WITH {CELLS}, px AS (SELECT row, col + s AS col, (row * 7 + (col + s) * 13) % 101 AS value FROM labels, (VALUES (0), (1)) t(s)) SELECT label, count(*) AS n_pixels, round(avg(value), 6) AS mean FROM px JOIN labels USING (row, col) GROUP BY label")
 def zonal_overlay(spark: SparkSession, d: str) -> DataFrame:
     """Pixels on and beside the parcels' cells, joined to the labels by (row, col)."""

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldseries.functions.columns import attribute, nan_to_null, scene_tile
+from fieldseries.functions.session import ship
+from fieldseries.operators import ringsets
 from fieldseries.operators.catalog import selected
 from fieldseries.operators.geo import reproject
 
@@ -40,21 +40,10 @@ def polygons(spark: SparkSession, path: str, metres: bool = False) -> DataFrame:
     return f.select(F.col("f.properties").alias("properties"), (reproject(ring) if metres else ring).alias("ring"))
 
 
-def wkb_rings(df: DataFrame, wkb: str, ring: str = "ring") -> DataFrame:
-    """S02, in part: the outer ring of WKB polygons (little endian, two dimensions), as a geometry table's export to Parquet holds them."""
-    @F.pandas_udf("array<struct<x:double,y:double>>")
-    def read(values: pd.Series) -> pd.Series:
-        def one(v: bytes | None) -> list | None:
-            if v is None or v[0] != 1 or int.from_bytes(v[1:5], "little") & 0xFF != 3:
-                return None
-            at = 9 if not v[4] & 0x20 else 13
-            n = int.from_bytes(v[at : at + 4], "little")
-            xy = np.frombuffer(v, "<f8", 2 * n, at + 4).reshape(n, 2)
-            return [{"x": x, "y": y} for x, y in xy.tolist()]
-
-        return pd.Series([one(v) for v in values])
-
-    return df.withColumn(ring, read(F.col(wkb)))
+def wkb_rings(df: DataFrame, wkb: str, rings: str = "rings") -> DataFrame:
+    """The ring sets of a column of WKB polygons and multipolygons, as a geometry table's export to Parquet holds them. What cannot be read raises."""
+    ship(df.sparkSession)
+    return df.withColumn(rings, ringsets.from_wkb(F.col(wkb)))
 
 
 def feature_properties(spark: SparkSession, path: str) -> DataFrame:
