@@ -5,7 +5,8 @@
     python -m fieldseries.cli ml FOLDER [--skip-search]
     python -m fieldseries.cli phenology FOLDER
 
-Tables read: pages/*.json and aoi.geojson, parcels (id_parcel, ring, code_group, code_cultu), pixel_obs (scene_id, tile_id, date, row, col, scl, bands).
+Tables read: pages/*.json and aoi.geojson, parcels (id_parcel, code_group, code_cultu and wkb, rings or ring; a parcel of several parts has a row for each or a
+multipolygon), pixel_obs (scene_id, tile_id, date, row, col, scl, bands).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldseries.functions import columns as C
-from fieldseries.operators import catalog, composites, divergence, geo, imputation, model, phenology, raster, reports, smoothing, split, zonal
+from fieldseries.operators import catalog, composites, divergence, geo, imputation, model, phenology, raster, reports, ringsets, smoothing, spatial, split, zonal
 from fieldseries.operators import features as feat
 from fieldseries.sources import tables
 
@@ -36,13 +37,29 @@ def _write(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
+def _shaped(parcels: DataFrame) -> DataFrame:
+    """Parcels with their geometry as ring sets."""
+    if "wkb" in parcels.columns:
+        return tables.wkb_rings(parcels, "wkb").drop("wkb")
+    return parcels if "rings" in parcels.columns else parcels.withColumn("rings", ringsets.of_ring(F.col("ring"))).drop("ring")
+
+
+def _whole(parts: DataFrame) -> DataFrame:
+    """One row a parcel: the outline of its parts, and of unequal codes the smallest pair, so that repeated runs agree."""
+    codes = parts.groupBy("id_parcel").agg(F.min(F.struct("code_group", "code_cultu")).alias("c")).select("id_parcel", "c.*")
+    return ringsets.dissolve(parts, "id_parcel").join(codes, "id_parcel")
+
+
 def ingest(spark: SparkSession, folder: str, skip_rpg: bool = False, skip_cdse: bool = False) -> None:
     """Parcels of the area with their checks, and the deduplicated catalogue with its report."""
     if not skip_rpg:
-        raw = _read(spark, folder, "parcels")
-        areas = tables.polygons(spark, f"{folder}/aoi.geojson", metres=True).select(F.col("ring").alias("aoi"))
-        kept = _write(geo.in_areas(geo.with_envelope(raw), areas).drop("aoi").repartition(F.expr("floor(xmin / 10000)"), F.expr("floor(ymin / 10000)")).sortWithinPartitions("xmin", "ymin"), folder, "parcels_aoi")
-        gate = reports.ingestion_gate(raw.withColumn("srid", F.lit(2154)), kept.withColumn("srid", F.lit(2154)), "id_parcel", "srid", geo.valid(F.col("ring")))
+        raw = ringsets.with_envelope(_shaped(_read(spark, folder, "parcels")))
+        areas = tables.shapes(spark, f"{folder}/aoi.geojson", metres=True).select(F.lit(0).alias("area"), "rings")
+        aoi = ringsets.dissolve(areas, "area").select(F.col("rings").alias("aoi"))  # one geometry, so that no part comes twice
+        spatial.write_clustered(spatial.in_areas(raw, aoi, "rings").drop("aoi"), f"{folder}/parcels_aoi")
+        kept = _read(spark, folder, "parcels_aoi")
+        _write(_whole(kept), folder, "parcels_whole")
+        gate = reports.ingestion_gate(raw.withColumn("srid", F.lit(2154)), kept.withColumn("srid", F.lit(2154)), "id_parcel", "srid", ringsets.valid(F.col("rings")))
         reports.write_report(gate, f"{folder}/report_parcels")
         reports.require(gate).collect()  # one row
     if not skip_cdse:
@@ -70,9 +87,9 @@ def process(spark: SparkSession, folder: str, skip_scl: bool = False, skip_bands
         long = clear.select("row", "col", "date", *INDICES, *BANDS).unpivot(["row", "col", "date"], [*INDICES, *BANDS], "variable", "value")
         raster.write_pixels(composites.two_stage_median(long, ["row", "col", "variable"]).where("composite IS NOT NULL"), f"{folder}/composites")
     if not skip_zonal:
-        parcels = _read(spark, folder, "parcels_aoi").dropDuplicates(["id_parcel"])
-        grid = raster.Grid.of(parcels)
-        labels = _write(raster.rasterize(parcels, grid, "id_parcel"), folder, "labels")  # the greatest id stands where parcels overlap
+        parcels = _read(spark, folder, "parcels_whole")
+        grid = raster.Grid.of(parcels, "rings")
+        labels = _write(raster.rasterize(parcels, grid, "id_parcel", "rings"), folder, "labels")  # the greatest id stands where parcels overlap
         on = lambda df: df.join(labels, ["row", "col"])
         _write(zonal.zonal_stats(on(_read(spark, folder, "composites")), ["id_parcel", "mois", "variable"], "composite"), folder, "monthly")
         clear = _read(spark, folder, "clear")
@@ -91,7 +108,7 @@ def _features(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str], l
 
 
 def _classes(spark: SparkSession, folder: str) -> DataFrame:
-    return _read(spark, folder, "parcels_aoi").dropDuplicates(["id_parcel"]).select("id_parcel", C.crop_class(F.col("code_group").cast("string"), F.col("code_cultu")).alias("classe"), geo.centroid(F.col("ring")).alias("c")).select("id_parcel", "classe", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"))
+    return _read(spark, folder, "parcels_whole").select("id_parcel", C.crop_class(F.col("code_group").cast("string"), F.col("code_cultu")).alias("classe"), ringsets.centroid(F.col("rings")).alias("c")).select("id_parcel", "classe", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"))
 
 
 def ml(spark: SparkSession, folder: str, skip_search: bool = True, **forest: int) -> None:
@@ -120,12 +137,16 @@ def ml(spark: SparkSession, folder: str, skip_search: bool = True, **forest: int
 
 
 def season(spark: SparkSession, folder: str) -> None:
-    """Divergence of the features as they are, seasons of smoothed series, and their synthesis."""
+    """Divergence of the features as they are with the flag of the orbits' seam, seasons of smoothed series, and their synthesis.
+    Without the seam's scenes or their footprints the distance is null and the flag false."""
     monthly, _, _ = _features(spark, folder)
     classes = _classes(spark, folder)
     stats = monthly.select("id_parcel", "mois", "variable", F.explode(F.create_map(*[x for s in ("mean", "std", "p10", "p90") for x in (F.lit(s), F.col(s).cast("double"))])).alias("stat", "value"))
     long = stats.select("id_parcel", F.concat_ws("_", "variable", "stat", "mois").alias("feature"), "value").join(classes.select("id_parcel", "classe"), "id_parcel")
-    flagged = _write(divergence.flags(divergence.rms_distance(divergence.zscore(long), "id_parcel")), folder, "divergence")
+    flagged = divergence.flags(divergence.rms_distance(divergence.zscore(long), "id_parcel")).join(classes.select("id_parcel", "cx", "cy"), "id_parcel")
+    prints = divergence.seam_scenes(_read(spark, folder, "scenes")).where("footprint IS NOT NULL")
+    lines = prints.select(geo.reproject(geo.wkt_ring(geo.footprint(F.col("footprint")))).alias("boundary"))
+    flagged = _write(divergence.seam_flag(flagged, lines, "id_parcel").drop("cx", "cy"), folder, "divergence")
     obs = reports.enough_pixels(_read(spark, folder, "ndvi_dates")).withColumnRenamed("mean", "ndvi")
     first, days = obs.agg(F.min("date"), F.datediff(F.max("date"), F.min("date"))).first()
     series = smoothing.whittaker(smoothing.dense_series(smoothing.weighted_bins(obs, "id_parcel"), obs, "id_parcel", max(3, days // 5 + 1)), "id_parcel")

@@ -154,10 +154,14 @@ def from_wkb(wkb: Column) -> Column:
     return read(wkb)
 
 
+def doubled(ring: Column) -> Column:
+    """Twice a ring's area, positive counter-clockwise."""
+    return geo._sum(geo._sides(ring), geo._cross)
+
+
 def of_ring(ring: Column) -> Column:
     """The ring set of one outer ring of either direction."""
-    turned = F.aggregate(geo._sides(ring), F.lit(0.0), lambda a, s: a + geo._cross(s["p"], s["q"])) < 0
-    return F.when(ring.isNotNull(), F.array(F.when(turned, F.reverse(ring)).otherwise(ring)))
+    return F.when(ring.isNotNull(), F.array(F.when(doubled(ring) < 0, F.reverse(ring)).otherwise(ring)))
 
 
 def sides(rings: Column) -> Column:

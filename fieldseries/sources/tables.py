@@ -11,7 +11,7 @@ from fieldseries.operators import ringsets
 from fieldseries.operators.catalog import selected
 from fieldseries.operators.geo import reproject
 
-CATALOGUE_SCHEMA = "value array<struct<Id:string,Name:string,ContentDate:struct<Start:timestamp>,Attributes:array<struct<Name:string,Value:string>>>>"
+CATALOGUE_SCHEMA = "value array<struct<Id:string,Name:string,ContentDate:struct<Start:timestamp>,Footprint:string,Attributes:array<struct<Name:string,Value:string>>>>"
 GEOJSON_SCHEMA = "features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:array<array<array<double>>>>>>"
 
 
@@ -24,7 +24,7 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
     """S05, offline: pages of a catalogue service saved as JSON -> one row per scene, without the .SAFE ending."""
     items = spark.read.schema(CATALOGUE_SCHEMA).json(path, multiLine=True).select(F.explode("value").alias("p"))
     scene = F.regexp_replace("p.Name", r"\.SAFE$", "")
-    return items.select(F.col("p.Id").alias("product_id"), scene.alias("scene_id"), F.col("p.ContentDate.Start").alias("datetime_utc"), attribute(F.col("p.Attributes"), "cloudCover").cast("double").alias("cloud_cover_catalogue"), attribute(F.col("p.Attributes"), "relativeOrbitNumber").cast("int").alias("orbit_relative"))
+    return items.select(F.col("p.Id").alias("product_id"), scene.alias("scene_id"), F.col("p.ContentDate.Start").alias("datetime_utc"), attribute(F.col("p.Attributes"), "cloudCover").cast("double").alias("cloud_cover_catalogue"), attribute(F.col("p.Attributes"), "relativeOrbitNumber").cast("int").alias("orbit_relative"), F.col("p.Footprint").alias("footprint"))
 
 
 def catalogue_pages(spark: SparkSession, path: str, tiles: list[str], first: str, last: str, pairs: dict[str, str]) -> DataFrame:
@@ -40,6 +40,20 @@ def polygons(spark: SparkSession, path: str, metres: bool = False) -> DataFrame:
     return f.select(F.col("f.properties").alias("properties"), (reproject(ring) if metres else ring).alias("ring"))
 
 
+def shapes(spark: SparkSession, path: str, metres: bool = False) -> DataFrame:
+    """The ring sets of a GeoJSON collection of polygons and multipolygons, holes included; in metres of Lambert-93 if wanted. Other geometries raise, a
+    feature without one is null."""
+    f = spark.read.schema("features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>").json(path, multiLine=True)
+    f = f.select(F.explode("features").alias("f")).select("f.properties", F.col("f.geometry.type").alias("t"), F.col("f.geometry.coordinates").alias("c"))
+    several = F.when(F.col("t") == "MultiPolygon", F.from_json("c", "array<array<array<array<double>>>>")).when(F.col("t") == "Polygon", F.array(F.from_json("c", "array<array<array<double>>>")))
+    several = several.when(F.col("t").isNotNull(), F.raise_error(F.concat(F.lit("no polygon: "), "t")).cast("array<array<array<array<double>>>>"))
+    point = lambda c: F.struct(F.get(c, 0).alias("x"), F.get(c, 1).alias("y"))
+    place = (lambda c: reproject(F.transform(c, point))) if metres else (lambda c: F.transform(c, point))
+    turned = lambda ring, i: F.when((ringsets.doubled(ring) < 0) == (i > 0), ring).otherwise(F.reverse(ring))
+    polygon = lambda rings: F.transform(F.transform(rings, place), turned)
+    return f.select("properties", F.flatten(F.transform(several, polygon)).alias("rings"))
+
+
 def wkb_rings(df: DataFrame, wkb: str, rings: str = "rings") -> DataFrame:
     """The ring sets of a column of WKB polygons and multipolygons, as a geometry table's export to Parquet holds them. What cannot be read raises."""
     ship(df.sparkSession)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldseries.functions import columns as C
-from fieldseries.operators import api, catalog, composites, divergence, features, geo, imputation, phenology, quality, sinks, smoothing, split, zonal
+from fieldseries.operators import api, catalog, composites, divergence, features, geo, imputation, phenology, quality, ringsets, sinks, smoothing, split, zonal
 
 
 def rows(df, *order):
@@ -299,7 +299,7 @@ def test_sources(spark, tmp_path):
 
     wkb = struct.pack("<BIII8d", 1, 3, 1, 4, 0, 0, 1, 0, 0, 1, 0, 0)
     got = tables.wkb_rings(spark.createDataFrame([(wkb,), (None,)], "g binary"), "g")
-    assert got.select(geo.area(F.col("ring"))).first()[0] == 0.5
+    assert [r[0] for r in got.select(ringsets.area(F.col("rings"))).collect()] == [0.5, None]
 
 
 def test_the_daily_grid_spans_all_dates(spark, tmp_path):
@@ -332,18 +332,21 @@ def test_the_entry_points_run_one_after_another(spark, tmp_path):
     corner = lambda i: (700_000 + 200 * (i % 8), 6_600_000 + 12_000 * (i // 20) + 200 * (i % 20 // 8))
     square = lambda x, y: [(float(a), float(b)) for a, b in ((x, y), (x + 90, y), (x + 90, y + 90), (x, y + 90), (x, y))]
     parcels = [(f"p{i:02d}", square(*corner(i)), str(1 + i % 2), "X") for i in range(40)] + [("far", square(800_000, 6_600_000), "1", "X")]
+    parcels += [("p00", square(corner(0)[0] + 90, corner(0)[1]), "1", "X"), ("p03", square(corner(3)[0], corner(3)[1] + 100), "2", "X")]  # parts: one adjoins, one lies apart
     spark.createDataFrame(parcels, "id_parcel string, ring array<struct<x:double,y:double>>, code_group string, code_cultu string").write.parquet(f"{d}/parcels")
     (tmp_path / "aoi.geojson").write_text(json.dumps({"features": [{"properties": {}, "geometry": {"type": "Polygon", "coordinates": [[[2.9, 46.4], [3.1, 46.4], [3.1, 46.7], [2.9, 46.7], [2.9, 46.4]]]}}]}))
     names = [f"S2A_MSIL2A_2024{m:02d}{day:02d}T1_N0510_R051_T30UYV_X{m}.SAFE" for m in range(3, 7) for day in (3, 18)]
-    scene = lambda n: {"Id": n[-9:], "Name": n, "ContentDate": {"Start": f"{n[11:15]}-{n[15:17]}-{n[17:19]}T00:00:00Z"}, "Attributes": [{"Name": "relativeOrbitNumber", "Value": "51"}]}
+    scene = lambda n: {"Id": n[-9:], "Name": n, "ContentDate": {"Start": f"{n[11:15]}-{n[15:17]}-{n[17:19]}T00:00:00Z"}, "Footprint": "geography'SRID=4326;POLYGON ((3.0 46.4, 3.1 46.4, 3.1 46.7, 3.0 46.7, 3.0 46.4))'", "Attributes": [{"Name": "relativeOrbitNumber", "Value": "51"}]}
     (tmp_path / "pages").mkdir()
     (tmp_path / "pages/a.json").write_text(json.dumps({"value": [scene(n) for n in names]}))
     cli.main(["ingest", d], spark)
     kept = spark.read.parquet(f"{d}/parcels_aoi")
-    assert kept.count() == 40 and spark.read.parquet(f"{d}/catalogue").count() == 8
+    assert kept.count() == 42 and spark.read.parquet(f"{d}/catalogue").count() == 8
     from fieldseries.operators import raster
 
-    cells = raster.rasterize(kept, raster.Grid.of(kept), "id_parcel").collect()
+    whole = {r["id_parcel"]: r for r in spark.read.parquet(f"{d}/parcels_whole").collect()}
+    assert len(whole) == 40 and {i: (len(r["rings"]), r["n_parts"]) for i, r in whole.items() if r["n_parts"] > 1} == {"p00": (1, 2), "p03": (2, 2)}
+    cells = raster.rasterize(kept, raster.Grid.of(kept, "rings"), "id_parcel", "rings").collect()
     obs = [(n.removesuffix(".SAFE"), "30UYV", date(2024, int(n[15:17]), int(n[17:19])), c["row"], c["col"], 4 if r.random() > 0.1 else 9, *[float(1000 + 500 * b + 300 * int(c["id_parcel"][1:]) % 2 + r.integers(90) + 200 * int(n[15:17])) for b in range(7)]) for n in names for c in cells]
     spark.createDataFrame(obs, "scene_id string, tile_id string, date date, row int, col int, scl int, b02 double, b04 double, b05 double, b06 double, b07 double, b08 double, b11 double").write.parquet(f"{d}/pixel_obs")
     cli.main(["process", d], spark)
@@ -352,6 +355,8 @@ def test_the_entry_points_run_one_after_another(spark, tmp_path):
     assert spark.read.parquet(f"{d}/classification").count() == 40 and spark.read.parquet(f"{d}/report_model").count() == 3
     cli.main(["phenology", d], spark)
     assert spark.read.parquet(f"{d}/phenology").count() == 40 == spark.read.parquet(f"{d}/divergence").count()
+    seam = {r["id_parcel"]: r for r in spark.read.parquet(f"{d}/divergence").collect()}
+    assert seam["p00"]["zone_raccord_orbital"] and seam["p00"]["dist_raccord"] < 200 and all(r["dist_raccord"] is not None for r in seam.values())
 
 
 def test_search_and_unseen_rows(spark):
