@@ -65,6 +65,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with all columns under names by their position, and these names by the old ones: what an operator adds cannot clash. toDF(*columns) undoes it."""
+    names = {c: f"__own{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def drop_cuts(*dfs: DataFrame) -> None:
     for df in dfs:
         drop_cut(df)

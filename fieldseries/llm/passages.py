@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldseries.llm.common import CHUNK_BYTES, WORD_CLASS, cut, drop_cut
+from fieldseries.llm.common import CHUNK_BYTES, WORD_CLASS, cut, drop_cut, set_aside
 
 #: Words of the sequence whose hash selects a suffix; a passage of L words has L - K + 1 of them.
 K = 24
@@ -245,7 +245,10 @@ def repeated_passages(df: DataFrame, id: str = "doc_id", text: str = "text", lea
 
 
 def without_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least: int = 50) -> DataFrame:
-    """df without the words of passages that stand earlier in the corpus (by id, then place); of every passage its first place stays."""
+    """df without the words of passages that stand earlier in the corpus (by id, then place); of every passage its first place stays. Columns may have any names."""
+    columns = df.columns
+    df, own = set_aside(df)
+    id, text = own[id], own[text]
     later = spans(windows(df, id, text, least).where("earlier"), least)
     gone = later.groupBy(F.col("id").alias("__id"), F.col("t").alias("__t")).agg(F.sort_array(F.collect_list(F.array("start_word", "end_word"))).alias("__gone"))
     body = F.col(f"`{text}`")
@@ -269,4 +272,4 @@ def without_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least
         return pd.Series(out, dtype=object)
 
     stripped = F.when(F.col("__gone").isNull(), body).otherwise(strip(body, F.col("__gone")))
-    return joined.select(*[stripped.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns])
+    return joined.select(*[stripped.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns]).toDF(*columns)

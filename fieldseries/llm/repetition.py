@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldseries.llm.common import WORD_CLASS, by_text
+from fieldseries.llm.common import WORD_CLASS, by_text, set_aside
 
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, covered_words long, longest_repeat long"
 #: The characters that count as symbols.
@@ -133,3 +133,9 @@ def quality(df: DataFrame, keys: list[str], text: str = "text", limits: Limits |
     out = by_text(df, lambda texts: measure(texts, limits), SCHEMA, keys, text)
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.base_percent * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("covered_words") <= limits.max_covered * F.col("n_words")) & (F.col("longest_repeat") <= limits.max_longest))
+
+
+def passing(df: DataFrame, text: str = "text", limits: Limits | None = None) -> DataFrame:
+    """The rows whose text quality() keeps, with their columns as they are, whatever these are called."""
+    own, names = set_aside(df)
+    return quality(own, own.columns, names[text], limits).where("kept").select(own.columns).toDF(*df.columns)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldseries.llm.common import by_text, cut, drop_cuts
+from fieldseries.llm.common import by_text, cut, drop_cuts, set_aside
 from fieldseries.llm.components import components
 
 #: Rows before it that a row is compared with.
@@ -321,7 +321,10 @@ def only(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
 
 
 def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, least: float = 0.8) -> DataFrame:
-    """df with the row of the smallest id of every group; rows with a null id stay, and of equal rows of that id and text any one."""
+    """df with the row of the smallest id of every group; rows with a null id stay, and of equal rows of that id and text any one. Columns may have any names."""
+    columns = df.columns
+    df, own = set_aside(df)
+    id, text = own[id], own[text]
     groups = cut(similar_groups(df, id, text, k, least), "groups")
     names = {"id": "__near_id", "node": "__near_node"}
     keys = lambda rows: rows.select(*[F.col(a).alias(b) for a, b in names.items()])
@@ -331,4 +334,4 @@ def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text", k: int =
     if not repeated.isEmpty():
         twice = only(kept, repeated).dropDuplicates(list(names.values()))
         kept = only(kept, repeated, "left_anti").unionByName(twice)
-    return kept.drop(*names.values())
+    return kept.drop(*names.values()).toDF(*columns)
