@@ -4,7 +4,7 @@ ORACLE_SQL is None: the near-duplicate, surrogate and BPE stages are not express
 plain version or its own operator's brute-force tests.
 
 Defined results: null and empty texts fail the quality rules and go; a row with a null id is never a duplicate of another; of equal rows one
-stays; a text of any length is read as a whole; extra columns pass through all stages but the last; an empty table gives an empty table.
+stays; a text of any length is read as a whole; extra columns, whatever their names, pass through all stages but the last; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from fieldseries.functions.session import ship
 from fieldseries.llm import bpe, mixing, pii, repetition, simhash
-from fieldseries.llm.common import cut, table
+from fieldseries.llm.common import cut, set_aside, table
 from fieldseries.llm.queries import TOKENIZER, pii_key
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the repetition rule keep."""
     ship(spark)
-    return repetition.quality(docs, docs.columns).where("kept").select(docs.columns)
+    return repetition.passing(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +33,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced; n_chars follows the new text."""
-    made = pii.replace(docs, pii_key(spark))
-    changed = F.when(F.col(made.columns[-1]) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return made.withColumn("n_chars", changed).select(docs.columns)
+    own, names = set_aside(docs)
+    made = pii.replace(own, pii_key(spark), names["text"])
+    changed = F.when(F.col(made.columns[-1]) > 0, F.length(names["text"]).cast("long")).otherwise(F.col(names["n_chars"]))
+    return made.withColumn(names["n_chars"], changed).select(own.columns).toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's rate draws it, in a global random order."""
-    return mixing.replicate(docs).select(docs.columns)
+    own, names = set_aside(docs)
+    return mixing.replicate(own, id=names["doc_id"], source=names["source"], text=names["text"]).select(own.columns).toDF(*docs.columns)
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
