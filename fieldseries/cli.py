@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldseries.functions import columns as C
-from fieldseries.operators import catalog, composites, divergence, geo, imputation, model, phenology, raster, reports, ringsets, smoothing, spatial, split, zonal
+from fieldseries.operators import catalog, composites, divergence, geo, imputation, model, phenology, raster, reports, ringsets, schemas, smoothing, spatial, split, zonal
 from fieldseries.operators import features as feat
 from fieldseries.sources import tables
 
 # Tiles with their strips, and the window of the reference year.
 TILES = {"30UYV": "nord", "31UCQ": "nord", "30UYU": "sud", "31UCP": "sud"}
 FIRST, LAST = "2023-09-01", "2024-12-31"
+VERSION = "fieldseries-1"
 INDICES = ("ndvi", "evi", "ndwi", "ndre")
 BANDS = ("b02", "b04", "b05", "b06", "b07", "b08", "b11")
 
@@ -91,14 +92,14 @@ def process(spark: SparkSession, folder: str, skip_scl: bool = False, skip_bands
         grid = raster.Grid.of(parcels, "rings")
         labels = _write(raster.rasterize(parcels, grid, "id_parcel", "rings"), folder, "labels")  # the greatest id stands where parcels overlap
         on = lambda df: df.join(labels, ["row", "col"])
-        _write(zonal.zonal_stats(on(_read(spark, folder, "composites")), ["id_parcel", "mois", "variable"], "composite"), folder, "monthly")
+        schemas.write(zonal.zonal_stats(on(_read(spark, folder, "composites")), ["id_parcel", "mois", "variable"], "composite"), folder, schemas.TABLES["monthly"])
         clear = _read(spark, folder, "clear")
         seen = clear.where("ndvi IS NOT NULL").groupBy("row", "col", "mois").agg(F.count_distinct("date").alias("n"))
         every = labels.join(F.broadcast(clear.select("mois").distinct()))  # a calendar's months
         counts = every.join(seen, ["row", "col", "mois"], "left").withColumn("n_valid", F.coalesce("n", F.lit(0)))
-        _write(zonal.completeness(counts, ["id_parcel", "mois"]), folder, "completeness")
+        schemas.write(zonal.completeness(counts, ["id_parcel", "mois"]), folder, schemas.TABLES["completeness"])
         daily = clear.groupBy("row", "col", "date").agg(F.median("ndvi").alias("ndvi"))
-        _write(zonal.stats_by_date(on(daily), ["id_parcel", "date"], "ndvi"), folder, "ndvi_dates")
+        schemas.write(zonal.stats_by_date(on(daily), ["id_parcel", "date"], "ndvi"), folder, schemas.TABLES["ndvi_dates"])
 
 
 def _features(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str], list[str]]:
@@ -129,10 +130,12 @@ def ml(spark: SparkSession, folder: str, skip_search: bool = True, **forest: int
         _write(model.search(train, "x", "classe", "id_parcel"), folder, "search")
     fitted = model.train(train, "x", "classe", **forest)
     guessed = model.predict(fitted, table, "x", "id_parcel", "classe", "rf_base").join(table.select("id_parcel", "split"), "id_parcel")
-    guessed = _write(guessed.withColumn("date_prediction", F.current_timestamp()), folder, "classification")
+    guessed = schemas.write(guessed, folder, schemas.TABLES["classification"])  # the time of writing is a default
     classes = model.report(model.confusion(guessed.where("split = 'test'"), "classe_declaree", "classe_predite"), "classe_declaree", "classe_predite")
     _write(classes, folder, "report_classes")
     _write(model.averages(classes), folder, "report_model")
+    bagged = model.train_bags(train, "x", "classe", "id_parcel", **forest)
+    _write(model.unseen_accuracy(model.unseen_votes(bagged, train, "x", "id_parcel", "classe")), folder, "report_unseen")
     _write(reports.predictions_check(guessed), folder, "report_predictions")
 
 
@@ -146,12 +149,14 @@ def season(spark: SparkSession, folder: str) -> None:
     flagged = divergence.flags(divergence.rms_distance(divergence.zscore(long), "id_parcel")).join(classes.select("id_parcel", "cx", "cy"), "id_parcel")
     prints = divergence.seam_scenes(_read(spark, folder, "scenes")).where("footprint IS NOT NULL")
     lines = prints.select(geo.reproject(geo.wkt_ring(geo.footprint(F.col("footprint")))).alias("boundary"))
-    flagged = _write(divergence.seam_flag(flagged, lines, "id_parcel").drop("cx", "cy"), folder, "divergence")
+    flagged = divergence.seam_flag(flagged, lines, "id_parcel").withColumnRenamed("classe", "classe_declaree").withColumn("version_pipeline", F.lit(VERSION))
+    flagged = schemas.write(flagged.drop("cx", "cy", "pct_features_valides"), folder, schemas.TABLES["divergence"])
     obs = reports.enough_pixels(_read(spark, folder, "ndvi_dates")).withColumnRenamed("mean", "ndvi")
     first, days = obs.agg(F.min("date"), F.datediff(F.max("date"), F.min("date"))).first()
     series = smoothing.whittaker(smoothing.dense_series(smoothing.weighted_bins(obs, "id_parcel"), obs, "id_parcel", max(3, days // 5 + 1)), "id_parcel")
-    dated = _write(phenology.seasons(series.join(classes.select("id_parcel", "classe"), "id_parcel"), str(first)), folder, "phenology")
-    _write(phenology.class_summary(dated), folder, "report_phenology")
+    dated = phenology.seasons(series.select("id_parcel", "z").join(classes.select("id_parcel", "classe"), "id_parcel"), str(first)).withColumnRenamed("classe", "classe_declaree")
+    dated = schemas.write(dated.withColumns({"lambda_whittaker": F.lit(smoothing.PENALTY), "version_pipeline": F.lit(VERSION)}), folder, schemas.TABLES["phenology"])
+    _write(phenology.class_summary(dated, "classe_declaree"), folder, "report_phenology")
     _write(reports.synthesis(flagged, dated, "id_parcel"), folder, "report_synthesis")
 
 

@@ -57,7 +57,11 @@ def smooth_rows(y: np.ndarray, w: np.ndarray, penalty: float = 800.0, ridge: flo
     return z
 
 
-def whittaker(series: DataFrame, id: str, penalty: float = 800.0) -> DataFrame:
+#: Fixed value: the weight of the second differences.
+PENALTY = 800.0
+
+
+def whittaker(series: DataFrame, id: str, penalty: float = PENALTY) -> DataFrame:
     """Id, z (null if fewer than two points have weight): every batch of rows is solved at once."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldseries.functions import columns as C
-from fieldseries.operators import api, catalog, composites, divergence, geo, imputation, model, phenology, quality, sinks, smoothing, split, zonal
+from fieldseries.operators import api, catalog, composites, divergence, geo, imputation, model, phenology, quality, schemas, sinks, smoothing, split, zonal
 from fieldseries.operators import features as feat
 from fieldseries.sources import analogues as A
 from fieldseries.sources.tables import table
@@ -404,6 +404,24 @@ def violations(spark: SparkSession, d: str) -> DataFrame:
     return quality.violations(table(spark, d, "orders"), ["o_orderkey"], ["o_custkey"], {"o_orderstatus": ["O", "F"]})
 
 
+#: Orders as a declared table: a priority of its list, a note where there is none, no order without a customer.
+ORDERS = schemas.Table("orders", {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "note": "string"}, ("o_custkey", "o_totalprice"), ("o_orderkey",), {"o_orderstatus": ("O", "F")}, {"note": "'none'"})
+
+
+@query("WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS o_custkey, o_orderstatus, o_totalprice FROM orders) SELECT 'not_null:o_custkey' AS contrainte, count(*) FILTER (o_custkey IS NULL) AS n FROM t UNION ALL SELECT 'not_null:o_totalprice', count(*) FILTER (o_totalprice IS NULL) FROM t UNION ALL SELECT 'not_null:o_orderkey', count(*) FILTER (o_orderkey IS NULL) FROM t UNION ALL SELECT 'domaine:o_orderstatus', count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) FROM t UNION ALL SELECT 'cle', (SELECT count(*) FROM t) - count(*) FROM (SELECT DISTINCT o_custkey, o_totalprice FROM t)")
+def schema_faults(spark: SparkSession, d: str) -> DataFrame:
+    """How many orders the declared table would refuse; every fiftieth has lost its customer."""
+    lost = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 50 != 0, F.col("o_custkey")).alias("o_custkey"), "o_orderstatus", "o_totalprice")
+    return schemas.faults(lost, ORDERS)
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END, 'none') AS note FROM orders WHERE o_orderstatus <> 'P'")
+def schema_enforced(spark: SparkSession, d: str) -> DataFrame:
+    """Orders that pass the declared table, with its default where the note is missing."""
+    some = table(spark, d, "orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("note"))
+    return schemas.enforced(some, ORDERS)
+
+
 @query("WITH a AS (SELECT o_custkey AS k, count(*) AS n, count(*) FILTER (o_orderstatus = 'P') AS nn, count(*) FILTER (o_totalprice < 5000) AS nz FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN n IS NULL THEN 'MANQUANT' WHEN nn = n THEN 'VIDE' WHEN nz > 0 THEN 'ZEROS_RESIDUELS' ELSE 'OK' END AS statut FROM customer LEFT JOIN a ON k = c_custkey")
 def expected_artifacts(spark: SparkSession, d: str) -> DataFrame:
     actual = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "P").alias("n_nodata"), F.count_if(F.col("o_totalprice") < 5000).alias("n_zeros"))

@@ -353,6 +353,7 @@ def test_the_entry_points_run_one_after_another(spark, tmp_path):
     assert spark.read.parquet(f"{d}/monthly").count() == 40 * 4 * 11
     cli.ml(spark, d, trees=5, depth=4)
     assert spark.read.parquet(f"{d}/classification").count() == 40 and spark.read.parquet(f"{d}/report_model").count() == 3
+    assert 0 < spark.read.parquet(f"{d}/report_unseen").first()["n"] <= 40
     cli.main(["phenology", d], spark)
     assert spark.read.parquet(f"{d}/phenology").count() == 40 == spark.read.parquet(f"{d}/divergence").count()
     seam = {r["id_parcel"]: r for r in spark.read.parquet(f"{d}/divergence").collect()}
