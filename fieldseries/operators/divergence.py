@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldseries.functions.session import kept
 from fieldseries.operators import catalog, geo, ranks
 
 
@@ -30,14 +31,14 @@ def rms_distance(scored: DataFrame, id: str, classe: str = "classe", feature: st
 
 def thresholds(distances: DataFrame, classe: str = "classe", k: float = 2.0) -> DataFrame:
     """Quartiles of the distance and median + k * interquartile range per class."""
-    found = ranks.percentiles(distances, [classe], "dist_classe", [0.25, 0.5, 0.75]).select(F.col(classe).alias("__c"), F.col("p").alias("q"))
-    made = distances.groupBy(classe).agg(F.count("*").alias("n")).join(found, F.col(classe).eqNullSafe(F.col("__c")), "left")
+    made = ranks.percentiles(distances, [classe], "dist_classe", [0.25, 0.5, 0.75]).select(classe, F.col("p").alias("q"), F.col("n_rows").alias("n"))
     parts = [F.get("q", F.lit(i)).alias(f"q{p}") for i, p in enumerate((25, 50, 75))]
     return made.select(classe, *parts, "n").withColumn("seuil_div", F.col("q50") + k * (F.col("q75") - F.col("q25")))
 
 
 def flags(distances: DataFrame, classe: str = "classe", k: float = 2.0) -> DataFrame:
     """Divergent where the distance exceeds the class's threshold; a missing distance is not divergent."""
+    distances = kept(distances, "distances")  # a row a parcel, read twice, after joins over all features
     limits = thresholds(distances, classe, k).select(classe, "seuil_div")
     return distances.join(limits, classe).withColumn("divergent", F.coalesce(F.col("dist_classe") > F.col("seuil_div"), F.lit(False)))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from fieldseries.functions.session import kept
@@ -30,17 +30,18 @@ def ranked(df: DataFrame, order: list[Column], name: str, keep: Callable[[DataFr
 
 
 def percentiles(df: DataFrame, keys: list[str], value: str, cuts: list[float], one_task: int = ONE_TASK) -> DataFrame:
-    """keys, n, p (array of the exact percentiles, linear between neighbours, of the n non-null values; nulls for a group without any). Keys may be null, or none
+    """keys, n, n_rows, p (array of the exact percentiles, linear between neighbours, of the n non-null values of n_rows rows; nulls for a group without any). Keys may be null, or none
     at all; an empty table gives no row.
 
     Equal values of a group are counted together before anything is sorted, so ties never crowd. The counts are written down; where a group has more
     distinct values than one task may sort, they are sorted by range over (keys, value), and each part takes its start from the parts before it.
     """
-    made = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(value).cast("double").alias("__v")).agg(F.count(value).alias("__n"))  # no value counts 0
+    made = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(value).cast("double").alias("__v")).agg(F.count(value).alias("__n"), F.count("*").alias("__m"))  # no value counts 0
     by = [f"__k{i}" for i in range(len(keys))]
-    held = kept(made, "value-counts")
-    largest = held.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if largest > one_task:
+    seen = Observation()
+    held = kept(made.observe(seen, F.count(F.lit(1)).alias("rows")), "value-counts")
+    # All groups together may be small enough; if not, the largest is looked at.
+    if seen.get.get("rows", 0) > one_task and held.groupBy(*by).count().agg(F.max("count")).first()[0] > one_task:
         held = numbered(held, [*map(F.col, by), F.col("__v")], lambda x: kept(x, "value-ranges"))
         sums = held.groupBy(*by, "__part").agg(F.sum("__n").alias("__in"))
         over = Window.partitionBy(*by).orderBy("__part")
@@ -57,6 +58,6 @@ def percentiles(df: DataFrame, keys: list[str], value: str, cuts: list[float], o
     at = lambda place: F.max(F.when((F.col("__to") - F.col("__n") <= place) & (place < F.col("__to")), F.col("__v")))
     spots = [(F.col("__all") - 1) * F.lit(float(q)) for q in cuts]
     picks = [c for i, s in enumerate(spots) for c in (at(F.floor(s)).alias(f"__a{i}"), at(F.ceil(s)).alias(f"__b{i}"))]
-    found = ranked_values.groupBy(*by).agg(F.max("__all").alias("__all"), *picks)
+    found = ranked_values.groupBy(*by).agg(F.max("__all").alias("__all"), F.sum("__m").alias("n_rows"), *picks)
     between = [F.col(f"__a{i}") + (F.col(f"__b{i}") - F.col(f"__a{i}")) * (s - F.floor(s)) for i, s in enumerate(spots)]
-    return found.where("__all IS NOT NULL").select(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], F.col("__all").alias("n"), F.array(*between).alias("p"))
+    return found.where("__all IS NOT NULL").select(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], F.col("__all").alias("n"), "n_rows", F.array(*between).alias("p"))

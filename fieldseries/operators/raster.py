@@ -52,13 +52,10 @@ class Grid:
         return self.ymax - (row + 0.5) * self.res
 
 
-def scanlines(shape: ringsets.Shape, grid: Grid) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first column, last column) of the runs of cells whose centre lies inside: each row's crossings with the sides, sorted and taken in pairs (even-odd), so a
-    cell costs the same however many sides the shape has. A centre on a left or lower border counts as inside."""
-    empty = np.zeros(0, np.int64)
-    if not shape:
-        return empty, empty, empty
-    p, q = np.concatenate([r[:-1] for r in shape]), np.concatenate([r[1:] for r in shape])
+def scanlines(p: np.ndarray, q: np.ndarray, owner: np.ndarray, grid: Grid) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, row, first column, last column) of the runs of cells whose centre lies inside, for the sides from p to q of many shapes at once: each row's crossings
+    with a shape's sides, sorted and taken in pairs (even-odd), so a cell costs the same however many sides its shape has. A centre on a left or lower
+    border counts as inside."""
     low, high = np.minimum(p[:, 1], q[:, 1]), np.maximum(p[:, 1], q[:, 1])
     # A row more on either side than the bounds ask for; the exact test follows.
     top = np.clip(np.floor((grid.ymax - high) / grid.res - 0.5), 0, grid.height).astype(np.int64)
@@ -71,8 +68,8 @@ def scanlines(shape: ringsets.Shape, grid: Grid) -> tuple[np.ndarray, np.ndarray
     side, row, y = side[met], row[met], y[met]
     a, b = p[side], q[side]
     x = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) / (b[:, 1] - a[:, 1]) + a[:, 0]
-    by = np.lexsort((x, row))
-    row, x = row[by][::2], x[by]
+    by = np.lexsort((x, row, owner[side]))
+    who, row, x = owner[side][by][::2], row[by][::2], x[by]
     centre = lambda col: grid.xmin + (col + 0.5) * grid.res
 
     def first_not_left_of(edge: np.ndarray) -> np.ndarray:
@@ -82,7 +79,7 @@ def scanlines(shape: ringsets.Shape, grid: Grid) -> tuple[np.ndarray, np.ndarray
 
     first, last = np.maximum(first_not_left_of(x[::2]), 0), np.minimum(first_not_left_of(x[1::2]) - 1, grid.width - 1)
     some = first <= last
-    return row[some], first[some].astype(np.int64), last[some].astype(np.int64)
+    return who[some], row[some], first[some].astype(np.int64), last[some].astype(np.int64)
 
 
 def runs_within(shapes: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
@@ -91,10 +88,10 @@ def runs_within(shapes: DataFrame, grid: Grid, rings: str = "rings") -> DataFram
 
     @F.arrow_udf("array<struct<row:int,first:int,last:int>>")
     def scan(values: pa.Array) -> pa.Array:
-        made = [scanlines(s or [], grid) for s in ringsets.shapes(values)]
-        ends = np.cumsum([0, *(len(m[0]) for m in made)])
-        columns = [pa.array(np.concatenate([m[k] for m in made]) if made else [], pa.int64()).cast(pa.int32()) for k in range(3)]
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, names=["row", "first", "last"]))
+        who, *columns = scanlines(*ringsets.all_sides(values), grid)
+        ends = np.searchsorted(who, np.arange(len(values) + 1))
+        made = pa.StructArray.from_arrays([pa.array(c.astype(np.int32)) for c in columns], names=["row", "first", "last"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)
 
     single = shapes.schema[rings].dataType.elementType.typeName() == "struct"
     given = F.array(F.col(rings)) if single else F.col(rings)
@@ -144,6 +141,12 @@ def not_rasterized(parcels: DataFrame, labels: DataFrame, label: str = "label",
     return summary, large.drop("__held", "__gone", "perimetre_m").orderBy(F.desc("compacite"))
 
 
+#: Rows and columns of a patch of pixels that one task writes.
+PATCH = 512
+
+
 def write_pixels(pixels: DataFrame, path: str, by: tuple[str, ...] = ("mois", "variable")) -> None:
-    """The pixel table as Parquet folders by month and variable, which filters on them prune."""
-    pixels.repartition(*by).write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    """The pixel table as Parquet folders by month and variable, which filters on them prune. A month's raster is dealt to tasks, and to files, by patches of
+    rows and columns where it has these."""
+    patch = [F.floor(F.col(c) / PATCH) for c in ("row", "col") if c in pixels.columns]
+    pixels.repartition(*by, *patch).write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -39,6 +39,19 @@ def shapes(column: pa.Array) -> Iterator[Shape | None]:
         yield [xy[inner[k] : inner[k + 1]] for k in range(outer[i], outer[i + 1])] if known else None
 
 
+def all_sides(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sides of all rows of a ring set column, end to end: their starts, their ends, and the row of each."""
+    rings = column.values
+    points = rings.values
+    xy = np.column_stack([points.field(n).to_numpy(zero_copy_only=False) for n in ("x", "y")]) if len(points) else np.zeros((0, 2))
+    outer, inner = column.offsets.to_numpy(), rings.offsets.to_numpy().astype(np.int64)
+    start, length = inner[outer[0] : outer[-1]], np.diff(inner[outer[0] : outer[-1] + 1])
+    count = np.maximum(length - 1, 0)
+    at = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    row = np.repeat(np.repeat(np.arange(len(column)), np.diff(outer)), count)
+    return xy[at], xy[at + 1], row
+
+
 def column_of(rows: list[Shape | None]) -> pa.Array:
     """The reverse of shapes()."""
     rings = [r for s in rows if s is not None for r in s]

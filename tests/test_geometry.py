@@ -160,7 +160,8 @@ def test_scanlines_equal_a_test_of_every_cell(spark):
             return ((x < (b[:, 0] - a[:, 0]) * (y - a[:, 1]) / (b[:, 1] - a[:, 1]) + a[:, 0]).sum()) % 2 == 1
 
         want = {(i, k) for i in range(grid.height) for k in range(grid.width) if inside(grid.xmin + (k + 0.5) * 5, grid.ymax - (i + 0.5) * 5)}
-        row, first, last = raster.scanlines(shape, grid)
+        who, row, first, last = raster.scanlines(*ringsets.all_sides(ringsets.column_of([[], shape])), grid)
+        assert set(who.tolist()) <= {1}
         assert {(i, k) for i, a, b in zip(row.tolist(), first.tolist(), last.tolist(), strict=True) for k in range(a, b + 1)} == want and int((last - first + 1).sum()) == len(want)
     cells = raster.cells_within(frame(spark, [(1, [SQUARE * 10]), (2, []), (3, None)]), grid).collect()
     assert len(cells) == 64 and {c["id"] for c in cells} == {1}
@@ -233,6 +234,7 @@ def test_percentiles_equal_numpy(spark, one_task):
     cuts = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     got = {(x["k"], x["m"]): (x["n"], list(x["p"])) for x in ranks.percentiles(df, ["k", "m"], "v", cuts, one_task).collect()}
     assert set(got) == {x[:2] for x in rows} and got["c", 1] == (0, [None] * 6)
+    assert sum(x["n_rows"] for x in ranks.percentiles(df, ["k", "m"], "v", cuts, one_task).collect()) == len(rows)
     for key, (n, p) in got.items():
         v = [x[2] for x in rows if x[:2] == key and x[2] is not None]
         assert n == len(v) and (not v or p == pytest.approx(np.percentile(v, [100 * c for c in cuts])))

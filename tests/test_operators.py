@@ -380,3 +380,24 @@ def test_statistics_of_several_variables_equal_those_of_one(spark):
     want = {(r["id"], r["variable"]): tuple(r)[2:] for r in zonal.zonal_stats(df.unpivot(["id"], ["a", "b"], "variable", "value"), ["id", "variable"]).collect()}
     assert set(got) == set(want) == {(1, "a"), (1, "b"), (2, "b")}
     assert all(got[k] == pytest.approx(want[k]) for k in got)
+
+
+def test_statistics_by_batches_equal_plain_ones(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    data = [(None if k == 0 else int(k), "ab"[int(m)], None if r.random() < 0.2 else float(v), float(v) * 2) for k, m, v in zip(r.integers(0, 9, 700), r.integers(0, 2, 700), r.normal(0, 9, 700), strict=True)]
+    data += [(99, "a", float(i), None) for i in range(300)] + [(98, "a", None, None)]
+    df = spark.createDataFrame(data, "k int, m string, v double, w double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")  # groups lie across batches
+    try:
+        got = {(x["k"], x["m"], x["variable"]): tuple(x)[3:] for x in zonal.zonal_stats_of(df, ["k", "m"], ["v", "w"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    groups = {}
+    for k, m, v, w in data:
+        for name, x in (("v", v), ("w", w)):
+            if x is not None:
+                groups.setdefault((k, m, name), []).append(x)
+    assert set(got) == set(groups)
+    for key, x in groups.items():
+        assert got[key] == pytest.approx((np.mean(x), np.std(x), np.percentile(x, 10), np.percentile(x, 90)))
+    assert zonal.zonal_stats_of(df.limit(0), ["k"], ["v"]).count() == 0
