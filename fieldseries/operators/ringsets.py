@@ -282,6 +282,11 @@ def is_valid(shape: Shape) -> bool:
     size = np.array([len(r) - 1 for r in shape])[ring]
     place = np.concatenate([np.arange(len(r) - 1) for r in shape])
     i, j = near_pairs(p, q)
+    return not _meet_wrongly(p, q, ring, place, size, i, j).any()
+
+
+def _meet_wrongly(p: np.ndarray, q: np.ndarray, ring: np.ndarray, place: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs i < j of sides meet though they should not. Of each side its ring, its place in it and the ring's number of sides are given."""
     gap = place[j] - place[i]
     after, around = (ring[i] == ring[j]) & (gap == 1), (ring[i] == ring[j]) & (gap == size[i] - 1)
     pi, qi, pj, qj = p[i], q[i], p[j], q[j]
@@ -290,7 +295,7 @@ def is_valid(shape: Shape) -> bool:
     low, high = np.maximum(np.minimum(pi, qi), np.minimum(pj, qj)), np.minimum(np.maximum(pi, qi), np.maximum(pj, qj))
     along = (_turns(pi, qi, pj) == 0) & (_turns(pi, qi, qj) == 0) & ((high - low).max(1) > 0)  # they share a stretch
     one = ring[i] == ring[j]
-    return not (along | cross | (one & ~(after | around) & touch)).any()
+    return along | cross | (one & ~(after | around) & touch)
 
 
 def valid(rings: Column) -> Column:
@@ -419,3 +424,66 @@ def to_geojson(rings: Column) -> Column:
         return pa.array([None if m is None else json.dumps({"type": "MultiPolygon", "coordinates": m}) for m in made], pa.string())
 
     return text(rings)
+
+
+def simplified(shape: Shape, tolerance: float) -> Shape:
+    """Fewer points, none farther than the tolerance from the new sides, and the topology of the shape: a ring keeps four points or stays whole; where
+    new sides would meet others, or cut a ring off its place, the farthest of the points that they leave out come back until they do not. The result of a valid
+    shape is valid."""
+    keep = []
+    for ring in shape:
+        far = int(np.hypot(*(ring - ring[0]).T).argmax())
+        on = np.r_[geo.keep_points(ring[: far + 1, 0], ring[: far + 1, 1], tolerance)[:-1], geo.keep_points(ring[far:, 0], ring[far:, 1], tolerance)]
+        keep.append(on if on.sum() >= 4 else np.ones(len(ring), bool))
+    while True:
+        made = [r[k] for r, k in zip(shape, keep, strict=True)]
+        bad = _sides_in_the_way(made) | _cutting_off(shape, keep)
+        grown = False
+        for ring_no, side in sorted(bad):
+            places = np.flatnonzero(keep[ring_no])
+            a, b = places[side], places[side + 1]
+            if b - a > 1:
+                ring = shape[ring_no]
+                d, away = ring[b] - ring[a], ring[a + 1 : b] - ring[a]
+                length = math.hypot(*d)
+                distance = np.abs(d[0] * away[:, 1] - d[1] * away[:, 0]) / length if length else np.hypot(*away.T)
+                keep[ring_no][a + 1 + int(distance.argmax())] = grown = True
+        if not grown:
+            return made
+
+
+def _sides_in_the_way(shape: Shape) -> set[tuple[int, int]]:
+    """(ring, side) of the sides that meet another one where they should not."""
+    p, q = _sides_of(shape)
+    sizes = [len(r) - 1 for r in shape]
+    ring, place = np.repeat(np.arange(len(shape)), sizes), np.concatenate([np.arange(n) for n in sizes])
+    i, j = near_pairs(p, q)
+    wrong = _meet_wrongly(p, q, ring, place, np.array(sizes)[ring], i, j)
+    return {(int(ring[k]), int(place[k])) for k in np.r_[i[wrong], j[wrong]]}
+
+
+def _cutting_off(shape: Shape, keep: list[np.ndarray]) -> set[tuple[int, int]]:
+    """(ring, side) of the new sides that have a corner of another ring between them and the points they leave out."""
+    if len(shape) < 2:
+        return set()
+    out = set()
+    for n, (ring, on) in enumerate(zip(shape, keep, strict=True)):
+        others = np.concatenate([r[:1] for m, r in enumerate(shape) if m != n])
+        places = np.flatnonzero(on)
+        for side in np.flatnonzero(np.diff(places) > 1).tolist():
+            part = ring[places[side] : places[side + 1] + 1]
+            near = others[((others >= part.min(0)) & (others <= part.max(0))).all(1)]
+            if len(near) and _windings(near, part, np.roll(part, -1, axis=0)).any():
+                out.add((n, side))
+    return out
+
+
+def simplify(df: DataFrame, rings: str = "rings", tolerance: float = 5.0) -> DataFrame:
+    """Df with simplified() shapes."""
+    ship(df.sparkSession)
+
+    @F.arrow_udf(RINGS)
+    def thin(values: pa.Array) -> pa.Array:
+        return column_of([s if not s else simplified(s, tolerance) for s in shapes(values)])
+
+    return df.withColumn(rings, thin(F.col(rings)))

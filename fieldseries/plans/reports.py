@@ -164,3 +164,19 @@ def half_even(spark: SparkSession, d: str) -> DataFrame:
 def absent_months(spark: SparkSession, d: str) -> DataFrame:
     loaded = table(spark, d, "orders").where("o_orderdate < DATE '1997-01-01'").select(C.month(F.col("o_orderdate")).alias("mois"))
     return sinks.absent(A.monthly_shares(spark, d), loaded, "mois")
+
+
+@query(f"WITH {SCENES} SELECT strftime(date, '%Y-%m') AS mois, bool_and(CAST(scene_id AS BIGINT) % 400 <> 0) AS complet FROM scenes GROUP BY 1")
+def complete_months(spark: SparkSession, d: str) -> DataFrame:
+    """Months all of whose scenes are there; every four-hundredth is not."""
+    scenes = A.scenes(spark, d).withColumn("mois", C.month(F.col("date")))
+    return quality.complete_months(scenes, scenes.where(F.col("scene_id").cast("long") % 400 != 0))
+
+
+@query(f"WITH {CLASSIFICATION}, {DIVERGENCE} SELECT (SELECT count(*) FROM classification) AS n_parcelles, (SELECT count(*) FROM divergence) AS n_divergence, (SELECT count(*) FILTER (divergent) FROM divergence) AS n_divergentes, true AS sans_phenologie")
+def closing_report(spark: SparkSession, d: str) -> DataFrame:
+    """Reports of one row each in one, as JSON and read back; the one that is not there is null."""
+    parts = {"parcelles": A.classification(spark, d).agg(F.count("*").alias("n")), "divergence": A.divergence(spark, d).agg(F.count("*").alias("n"), F.count_if("divergent").alias("n_div")), "phenologie": None}
+    text = reports.as_json(reports.closing_report(parts))
+    read = text.select(F.from_json("value", "parcelles struct<n:bigint>, divergence struct<n:bigint,n_div:bigint>, phenologie string").alias("j"))
+    return read.select(F.col("j.parcelles.n").alias("n_parcelles"), F.col("j.divergence.n").alias("n_divergence"), F.col("j.divergence.n_div").alias("n_divergentes"), F.col("j.phenologie").isNull().alias("sans_phenologie"))

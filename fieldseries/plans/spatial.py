@@ -161,6 +161,31 @@ def simplified_rings(spark: SparkSession, d: str) -> DataFrame:
     return geo.simplify(many).select("id_parcel", "n_avant", F.size("ring").alias("n_apres"))
 
 
+@query(f"""WITH {FIELDS}, c AS (SELECT id_parcel, 100.0 AS w, y1 - y0 AS h, x0, y0 FROM fields), p AS (SELECT id_parcel, unnest(range(9)) AS i, unnest([x0, x0 + w, x0 + w, x0 + 0.6 * w, x0 + 0.6 * w, x0 + 0.4 * w, x0 + 0.4 * w, x0, x0]) AS x,
+  unnest([y0, y0, y0 + 100, y0 + 100, y0 + h, y0 + h, y0 + 100, y0 + 100, y0]) AS y FROM c) SELECT id_parcel, CAST(i AS INTEGER) AS i, round(x, 4) AS x, round(y, 4) AS y, true AS valide FROM p""")
+def simplified_outlines(spark: SparkSession, d: str) -> DataFrame:
+    """A square with a notch, its sides given with points a little off them: the corners stay, and the result is valid."""
+    x0, y0, h, w = F.col("xmin"), F.col("ymin"), F.col("ymax") - F.col("ymin"), 100.0
+    corners = [(x0, y0), (x0 + w, y0), (x0 + w, y0 + 100), (x0 + 0.6 * w, y0 + 100), (x0 + 0.6 * w, y0 + h), (x0 + 0.4 * w, y0 + h), (x0 + 0.4 * w, y0 + 100), (x0, y0 + 100), (x0, y0)]
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    points = [p for (a, b), (c, e) in zip(corners, corners[1:], strict=False) for p in (point(a, b), point((a + c) / 2 + 0.1, (b + e) / 2 + 0.1))] + [point(*corners[-1])]
+    thin = ringsets.simplify(A.fields(spark, d).select("id_parcel", F.array(F.array(*points)).alias("rings")))
+    made = thin.select("id_parcel", ringsets.valid(F.col("rings")).alias("valide"), F.posexplode(F.get("rings", F.lit(0))).alias("i", "p"))
+    return made.select("id_parcel", "i", F.round("p.x", 4).alias("x"), F.round("p.y", 4).alias("y"), "valide")
+
+
+@query(f"""WITH {FIELDS}, s AS (SELECT *, (x1 - x0) / 4 AS w, (y1 - y0) / 4 AS h FROM fields),
+  p AS (SELECT id_parcel, 0 AS part, 0 AS ring, unnest(range(5)) AS i, unnest([x0, x1, x1, x0, x0]) AS x, unnest([y0, y0, y1, y1, y0]) AS y FROM s UNION ALL
+    SELECT id_parcel, 0, 1, unnest(range(5)), unnest([x0 + w, x0 + w, x1 - w, x1 - w, x0 + w]), unnest([y0 + h, y1 - h, y1 - h, y0 + h, y0 + h]) FROM s UNION ALL
+    SELECT id_parcel, 1, 0, unnest(range(5)), unnest([x0 + 100, x1 + 100, x1 + 100, x0 + 100, x0 + 100]), unnest([y0, y0, y1, y1, y0]) FROM s) SELECT id_parcel, CAST(part AS INTEGER) AS part, CAST(ring AS INTEGER) AS ring, CAST(i AS INTEGER) AS i, x, y FROM p""")
+def geojson_coordinates(spark: SparkSession, d: str) -> DataFrame:
+    """The coordinates of multi-part geometries in GeoJSON, read back: the hole stands behind its outer ring."""
+    text = _two_parts(spark, d).select("id_parcel", F.from_json(ringsets.to_geojson(F.col("rings")), "type string, coordinates array<array<array<array<double>>>>").alias("j"))
+    parts = text.where("j.type = 'MultiPolygon'").select("id_parcel", F.posexplode("j.coordinates").alias("part", "p"))
+    corners = parts.select("id_parcel", "part", F.posexplode("p").alias("ring", "r")).select("id_parcel", "part", "ring", F.posexplode("r").alias("i", "c"))
+    return corners.select("id_parcel", "part", "ring", "i", F.get("c", F.lit(0)).alias("x"), F.get("c", F.lit(1)).alias("y"))
+
+
 @query(f"WITH {FIELDS} SELECT min(x0) AS xmin, min(y0) AS ymin, max(x1) AS xmax, max(y1) AS ymax, CAST(5 * count(*) AS BIGINT) AS n_points FROM fields")
 def extent(spark: SparkSession, d: str) -> DataFrame:
     ends = A.fields(spark, d).select(F.size("ring").alias("n"), F.explode("ring").alias("p"))

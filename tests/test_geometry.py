@@ -221,6 +221,34 @@ def test_a_box_reads_few_row_groups(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(xmin)" in got._jdf.queryExecution().toString()
 
 
+def test_simplified_shapes_stay_valid_and_near(spark):
+    r = random.Random(12)
+    changed = 0
+    for k in range(60):
+        n = r.randint(12, 150)
+        a = np.arange(n) * 2 * math.pi / n
+        spike = np.array([r.choice([1.0, 1.0, r.uniform(0.15, 1.6)]) for _ in range(n)])
+        ring = np.column_stack([np.cos(a), np.sin(a)]) * (30 * spike)[:, None]
+        shape = [np.vstack([ring, ring[:1]])]
+        if k % 2:
+            shape.append(box(-2, -2, 4, 4)[::-1])
+        if not ringsets.is_valid(shape):
+            continue
+        made = ringsets.simplified(shape, r.choice([2.0, 6.0, 12.0]))
+        assert ringsets.is_valid(made) and len(made) == len(shape)
+        assert all({tuple(x) for x in m.tolist()} <= {tuple(x) for x in s.tolist()} for m, s in zip(made, shape, strict=True))
+        plain = [s[geo.keep_points(s[:, 0], s[:, 1], 12.0)] for s in shape]
+        changed += sum(map(len, made)) < sum(map(len, shape)) and not ringsets.is_valid(plain)
+    assert changed > 3  # shapes whose plain thinning is not valid
+    bump = np.array([[0, 0], [40, 0], [40, 20], [22, 20], [20, 26], [18, 20], [0, 20], [0, 0]], float)
+    pin = np.array([[20, 22], [19.8, 21.5], [20.2, 21.5], [20, 22]], float)[::-1]
+    pin = pin if ringsets.signed(pin) < 0 else pin[::-1]
+    held = ringsets.simplified([bump, pin], 10.0)
+    assert ringsets._windings(held[1][:1], held[0][:-1], held[0][1:])[0] == 1  # the hole is still inside
+    assert ringsets.simplified([bump], 10.0)[0].shape[0] < len(held[0])
+    assert ringsets.simplify(frame(spark, [(1, None), (2, []), (3, [bump])]), tolerance=1.0).count() == 3
+
+
 def test_z_order_interleaves_bits(spark):
     got = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (0.0, 1.0), (3.0, 5.0), (7.0, 7.0), (99.0, -5.0)], "x double, y double").select(spatial.z_order(F.col("x"), F.col("y"), (0, 0, 7, 7), 3)).collect()
     assert [r[0] for r in got] == [0, 1, 2, 0b100111, 63, 0b010101]
