@@ -152,12 +152,14 @@ def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int, m
     """
     bits = F.col("key").bitwiseAND((1 << check_bits) - 1) if check_bits else F.col("id")
     members = only(rows.select(F.shiftright("key", check_bits + 1).alias("variant"), (F.shiftright("key", check_bits).bitwiseAND(1) == 0).alias("home"), "id", bits.alias("bits")), big.select(F.col("big").alias("variant")).distinct())
-    members = members.join(label, "id", "left").select("variant", "home", "id", "bits", F.coalesce("component", "id").alias("component"))
+    # Kept, as it is read twice and follows from all keys of all rows.
+    labelled = members = cut(members.join(label, "id", "left").select("variant", "home", "id", "bits", F.coalesce("component", "id").alias("component")), "labelled")
     sizes = members.groupBy("variant", "component").agg(F.count("*").alias("n"), F.count_if("home").alias("homes"))
     mixed = sizes.groupBy("variant").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("homes").alias("homes"), F.sum("n").alias("n")).where("parts > 1 AND homes > 0")
     salts = F.ceil(F.col("n") / SALTED_ROWS).cast("int")
     members = members.join(mixed.select("variant", "main", salts.alias("salts")), "variant")
     members = cut(members.withColumn("fp", F.col("id")) if wide is None else members.join(wide, "id"), "members")
+    drop_cuts(labelled)
     few = members.where("component <> main").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("x")
     every = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).alias("y")
     near = (F.col("x.component") != F.col("y.component")) & (F.col("x.home") | F.col("y.home")) & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= most)
