@@ -56,6 +56,9 @@ def spatial_join(left: DataFrame, right: DataFrame, condition: Column, size: flo
     on = ["__cell", "__piece"] if several else ["__cell"]
     corner = (F.floor(F.greatest("xmin", "__xmin") / size) == F.col("__cell.i")) & (F.floor(F.greatest("ymin", "__ymin") / size) == F.col("__cell.j"))
     meet = (F.col("xmin") <= F.col("__xmax")) & (F.col("xmax") >= F.col("__xmin")) & (F.col("ymin") <= F.col("__ymax")) & (F.col("ymax") >= F.col("__ymin"))
+    # The condition is dear and the rows are small: as many tasks as a shuffle has, which adaptive execution would merge by size alone.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = a.repartition(tasks, *on), b.repartition(tasks, *on)
     return a.join(b, on).where(corner & meet).where(condition).drop(*on, *[f"__{c}" for c in BOX])
 
 
