@@ -4,8 +4,8 @@ Fingerprints are cut into segments, so few that two within the distance differ i
 segment is indexed under its variants with one bit wildcarded, the wildcard being written as a set bit: a segment's own value (all
 variants whose wildcard is set in it) and, as a visitor, the value with each unset bit set. Segments that are equal or one
 bit apart meet in exactly one variant, where one of them is at home. Rows are ordered by variant and compared with the rows
-before them and with the first of their variant; candidates are verified. Variants with more rows than that covers are
-finished by a salted join between the connected groups found so far, so no link between groups is lost, and no group of
+before them and with the first of their variant; candidates are verified. Variants with more rows than that covers give only the
+closest of these to a row, as that connects most of them, and are finished by a salted join between the connected groups found so far, so no link between groups is lost, and no group of
 copies is expanded into pairs. Equal fingerprints (or texts) are one row before anything is compared. Joins on a fingerprint or a
 text that very many rows share are split at run time by adaptive execution.
 
@@ -68,15 +68,15 @@ def fingerprint(text: str | None, k: int) -> int:
     return int(bit_majority(h[:, None]).view(np.int64)[0]) if len(h) else 0
 
 
-def wide_fingerprint(text: str | None, k: int, words: int) -> np.ndarray:
-    """words * 64 bits, each 64 from another mix of the distinct shingles' hashes: repeats count once, as in jaccard()."""
+def wide_fingerprint(text: str | None, k: int, words: int) -> tuple[np.ndarray, int]:
+    """words * 64 bits, each 64 from another mix of the distinct shingles' hashes (repeats count once, as in jaccard()), and their number."""
     h = np.unique(shingle_hashes(text, k))
     if not len(h):
-        return np.zeros(words, np.int64)
+        return np.zeros(words, np.int64), 0
     x = h[:, None] + (np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None]
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return bit_majority(x ^ (x >> np.uint64(31))).view(np.int64)
+    return bit_majority(x ^ (x >> np.uint64(31))).view(np.int64), len(h)
 
 
 def differing(x: np.ndarray) -> np.ndarray:
@@ -107,28 +107,34 @@ def neighbours(rows: DataFrame, check_bits: int, most: int) -> DataFrame:
             variant, home, bits = parts(key, id)
             at = np.arange(len(key))
             start = np.maximum.accumulate(np.where(np.r_[True, variant[1:] != variant[:-1]], at, 0))
+            new = at[old:]
+            runs, begin, counts = np.unique(variant[old:], return_index=True, return_counts=True)
+            owners = np.add.reduceat(home[old:].astype(np.int64), begin)
+            if last is not None and runs[0] == last:
+                counts[0] += length
+                owners[0] += homes
+            crowded = (counts > LAGS + 1) & (owners > 1)  # those with one at home come first in their variant and were compared with all
             found = []
             for lag in range(1, LAGS + 1):
                 j = at[max(lag, old) :]
                 found.append((j, j - lag))
-            new = at[old:]
             found.append((new, start[new]))
             a, b = (np.concatenate(x) for x in zip(*found, strict=True))
             ok = (variant[a] == variant[b]) & (home[a] | home[b]) & (id[a] != id[b])
             a, b = a[ok], b[ok]
-            ok = differing(bits[a] ^ bits[b]) <= most
+            far = differing(bits[a] ^ bits[b])
+            ok = far <= most
+            a, b, far = a[ok], b[ok], far[ok]
+            order = np.lexsort((b, far, a))  # a row of a crowded variant, which the join finishes, keeps its closest one only
+            a, b = a[order], b[order]
+            ok = ~np.repeat(crowded, np.diff(np.r_[begin, len(new)]))[a - old] | np.r_[True, a[1:] != a[:-1]][: len(a)]
             pair = [np.stack([id[a[ok]], id[b[ok]]], 1)]
             if hub is not None and old and start[old] == 0 and variant[old] == hub[0]:  # the variant began in an earlier batch
                 run_on = new[start[new] == 0]
                 near = run_on[(differing(bits[run_on] ^ hub[2]) <= most) & (id[run_on] != hub[1]) & (home[run_on] | hub[3])]
                 pair.append(np.stack([id[near], np.full(len(near), hub[1])], 1))
             pairs = np.unique(np.sort(np.concatenate(pair), 1), axis=0)
-            runs, at, counts = np.unique(variant[old:], return_index=True, return_counts=True)
-            owners = np.add.reduceat(home[old:].astype(np.int64), at)
-            if last is not None and runs[0] == last:
-                counts[0] += length
-                owners[0] += homes
-            big = runs[(counts > LAGS + 1) & (owners > 1)]  # those with one at home come first in their variant and were compared with all
+            big = runs[crowded]
             if first is None:
                 first = runs[0]
             length, homes, last = int(counts[-1]), int(owners[-1]), runs[-1]
@@ -144,8 +150,8 @@ def neighbours(rows: DataFrame, check_bits: int, most: int) -> DataFrame:
     return rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id").mapInPandas(run, "a long, b long, big long")
 
 
-def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int, most: int, wide: DataFrame | None, parts: list[Callable[[Column], Column]], bits_each: int) -> DataFrame:
-    """Candidate links (a, b) inside big variants between different components: every member outside a variant's largest component against all its others.
+def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int, most: int, wide: DataFrame | None, parts: list[Callable[[Column], Column]], bits_each: int, close: Callable[[str, str], Column] | None) -> DataFrame:
+    """Candidate links (a, b), of wide fingerprints those that close() takes, inside big variants between different components: every member outside a variant's largest component against all its others.
 
     A pair is taken in its first segment of at most one differing bit. Were the variant of that one not big, or held by one component, the pair would have
     been compared, or linked, before. A variant of very many rows is dealt out by salts.
@@ -164,19 +170,22 @@ def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int, m
     every = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).alias("y")
     near = (F.col("x.component") != F.col("y.component")) & (F.col("x.home") | F.col("y.home")) & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= most)
     differ = F.array(*[F.bit_count(part(F.col("x.fp")).bitwiseXOR(part(F.col("y.fp")))) for part in parts])
+    if close is not None:
+        near = near & close("x.", "y.")
     near = near & (F.array_position(F.transform(differ, lambda d: d <= 1), True) - 1 == F.shiftright("x.variant", bits_each))
     found = few.join(every, (F.col("x.variant") == F.col("y.variant")) & (F.col("x.salt") == F.col("y.salt")) & near)
     return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def linked(rows: DataFrame, check_bits: int, most: int, parts: list[Callable[[Column], Column]], bits_each: int, wide: DataFrame | None = None, verify: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None) -> DataFrame:
-    """rows(key, id) -> (id, component) of all ids with a link. parts: the segments of a fingerprint (of wide(id, fp); None: of the id itself).
+def linked(rows: DataFrame, check_bits: int, most: int, parts: list[Callable[[Column], Column]], bits_each: int, wide: DataFrame | None = None, close: Callable[[str, str], Column] | None = None, verify: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None) -> DataFrame:
+    """rows(key, id) -> (id, component) of all ids with a link. parts: the segments of a fingerprint (of wide(id, fp, n); None: of the id itself).
+    close(x, y): whether two rows of wide, under these prefixes, may be a link.
     verify(candidates, labels so far) gives the true links; None: all candidates are."""
     verify = verify or (lambda pairs, _: pairs)
     near = cut(neighbours(rows, check_bits, most), "near")
     links = cut(verify(near.where("big IS NULL").select("a", "b").distinct(), None), "found")
     label = components(links)
-    more = cut(verify(across(rows, near.where("big IS NOT NULL"), label, check_bits, most, wide, parts, bits_each), label), "found")
+    more = cut(verify(across(rows, near.where("big IS NOT NULL"), label, check_bits, most, wide, parts, bits_each, close), label), "found")
     if not more.isEmpty():
         label = components(links.union(more))
     drop_cuts(near, links, more)
@@ -212,9 +221,11 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", k: in
 
 
 #: The wide fingerprint of similarity search: SEGMENTS segments of BITS bits are indexed, CHECK further bits ride along, all WORDS * 64 bits are compared.
-WORDS, SEGMENTS, BITS, CHECK = 6, 16, 20, 34
+WORDS, SEGMENTS, BITS, CHECK = 24, 16, 20, 34
 #: Differing check bits, and differing bits of all, that a candidate may have: 3 standard deviations above what a Jaccard similarity of 0.8 gives.
-CHECK_MOST, WIDE_MOST = 11, 80
+CHECK_MOST, WIDE_MOST = 11, 278
+#: Texts of up to FEW shingles may differ in more bits: one shingle more or less tips many of their majorities.
+FEW, FEW_MOST = 16, 350
 
 
 def segment(words: Column, i: int) -> Column:
@@ -255,19 +266,24 @@ def similar_groups(df: DataFrame, id: str = "doc_id", text: str = "text", k: int
     at 0.9 with 0.999. Each candidate is verified on whole texts, closest first; pairs whose groups have meanwhile been linked need no verifying.
     """
     known = df.where(F.col(f"`{id}`").isNotNull()).select(F.col(f"`{id}`").alias("id"), node(F.col(f"`{text}`")).alias("node"), F.col(f"`{text}`").alias("text"))
-    make = lambda ts: pd.DataFrame({"fp": [wide_fingerprint(t, k, WORDS) for t in ts]})
-    prints = cut(by_text(known, make, "fp array<long>", ["id", "node"]), "prints")
-    nodes = cut(prints.groupBy(F.col("node").alias("id")).agg(F.any_value("fp").alias("fp")), "nodes")
+    make = lambda ts: pd.DataFrame([wide_fingerprint(t, k, WORDS) for t in ts], columns=["fp", "n"])
+    prints = cut(by_text(known, make, "fp array<long>, n long", ["id", "node"]), "prints")
+    nodes = cut(prints.groupBy(F.col("node").alias("id")).agg(F.any_value("fp").alias("fp"), F.any_value("n").alias("n")), "nodes")
     check = F.shiftrightunsigned(F.get("fp", F.lit(WORDS - 1)), 64 - CHECK)
     keys = F.concat(*[variants(segment(F.col("fp"), i), i, BITS) for i in range(SEGMENTS)])
     rows = spread(nodes).select(F.explode(F.transform(keys, lambda x: F.shiftleft(x, CHECK).bitwiseOR(check))).alias("key"), "id")
-    wide = nodes.select("id", "fp")
-    apart = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    wide = nodes.select("id", "fp", "n")
+    apart = lambda x, y: F.aggregate(F.zip_with(f"{x}fp", f"{y}fp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda acc, x: acc + x)
+
+    def close(x: str, y: str) -> Column:
+        fewer, more = F.least(f"{x}n", f"{y}n"), F.greatest(f"{x}n", f"{y}n")
+        return (fewer >= least * more - 1e-9) & (apart(x, y) <= F.when(fewer > FEW, WIDE_MOST).otherwise(FEW_MOST))
+
     held: list[DataFrame] = []
 
     def verify(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
-        pairs = pairs.join(wide.toDF("a", "fa"), "a").join(wide.toDF("b", "fb"), "b").select("a", "b", apart.alias("bits")).where(F.col("bits") <= WIDE_MOST)
-        pairs = cut(pairs, "pairs")
+        pairs = pairs.join(wide.toDF("a", "a_fp", "a_n"), "a").join(wide.toDF("b", "b_fp", "b_n"), "b").where(close("a_", "b_"))
+        pairs = cut(pairs.select("a", "b", apart("a_", "b_").alias("bits")), "pairs")
         best = pairs.select("a", F.struct("bits", "b").alias("x"), "b").union(pairs.select(F.col("b"), F.struct("bits", "a"), F.col("a"))).toDF("a", "x", "b").groupBy("a").agg(F.min("x").alias("x"))
         chosen = best.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
         one = cut(_similar(chosen, known, k, least), "similar")
@@ -279,7 +295,7 @@ def similar_groups(df: DataFrame, id: str = "doc_id", text: str = "text", k: int
         return one.union(_similar(rest, known, k, least))
 
     parts = [partial(segment, i=i) for i in range(SEGMENTS)]
-    label = linked(rows, CHECK, CHECK_MOST, parts, BITS, wide, verify)
+    label = linked(rows, CHECK, CHECK_MOST, parts, BITS, wide, close, verify)
     drop_cuts(*held)
     named = prints.groupBy("node").agg(F.min("id").alias("least")).join(label.withColumnRenamed("id", "node"), "node", "left").select("node", "least", F.coalesce("component", "node").alias("group"))
     heads = named.groupBy("group").agg(F.min(F.struct("least", "node")).alias("head"))
