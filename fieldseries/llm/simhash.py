@@ -85,7 +85,7 @@ def differing(x: np.ndarray) -> np.ndarray:
 
 
 def neighbours(rows: DataFrame, check_bits: int, most: int) -> DataFrame:
-    """rows(key, id) -> (a, b, big): candidate links, or in big a variant that needs the join.
+    """rows(key, id) -> (a, b, far, big): candidate links, or in big a variant that needs the join. far: for a row a of a crowded variant the bits to its closest b, else null.
 
     From its high bits down a key holds the variant, whether the row is a visitor, and check_bits bits of the fingerprint; without check bits
     the id is the fingerprint itself. Rows are dealt out by ranges of (key, id), so a hot variant spreads over tasks; variants at the edges of tasks count as big.
@@ -126,14 +126,24 @@ def neighbours(rows: DataFrame, check_bits: int, most: int) -> DataFrame:
             ok = far <= most
             a, b, far = a[ok], b[ok], far[ok]
             order = np.lexsort((b, far, a))  # a row of a crowded variant, which the join finishes, keeps its closest one only
-            a, b = a[order], b[order]
-            ok = ~np.repeat(crowded, np.diff(np.r_[begin, len(new)]))[a - old] | np.r_[True, a[1:] != a[:-1]][: len(a)]
-            pair = [np.stack([id[a[ok]], id[b[ok]]], 1)]
+            a, b, far = a[order], b[order], far[order]
+            many = np.repeat(crowded, np.diff(np.r_[begin, len(new)]))[a - old]
+            one = many & np.r_[True, a[1:] != a[:-1]][: len(a)]
+            pair = [np.stack([id[a[~many]], id[b[~many]]], 1)]
+            closest = [np.stack([id[a[one]], id[b[one]], far[one]], 1)]
             if hub is not None and old and start[old] == 0 and variant[old] == hub[0]:  # the variant began in an earlier batch
                 run_on = new[start[new] == 0]
-                near = run_on[(differing(bits[run_on] ^ hub[2]) <= most) & (id[run_on] != hub[1]) & (home[run_on] | hub[3])]
-                pair.append(np.stack([id[near], np.full(len(near), hub[1])], 1))
+                far = differing(bits[run_on] ^ hub[2])
+                ok = (far <= most) & (id[run_on] != hub[1]) & (home[run_on] | hub[3])
+                near = np.stack([id[run_on[ok]], np.full(ok.sum(), hub[1]), far[ok]], 1)
+                if crowded[0]:
+                    closest.append(near)
+                else:
+                    pair.append(near[:, :2])
             pairs = np.unique(np.sort(np.concatenate(pair), 1), axis=0)
+            nearest = np.concatenate(closest)
+            nearest = nearest[np.lexsort((nearest[:, 1], nearest[:, 2], nearest[:, 0]))]
+            nearest = nearest[np.r_[True, nearest[1:, 0] != nearest[:-1, 0]][: len(nearest)]]
             big = runs[crowded]
             if first is None:
                 first = runs[0]
@@ -142,16 +152,19 @@ def neighbours(rows: DataFrame, check_bits: int, most: int) -> DataFrame:
             if hub is None or hub[0] != variant[i]:
                 hub = (variant[i], id[i], bits[i], home[i])
             key, id = key[-LAGS:], id[-LAGS:]
-            yield pd.DataFrame({"a": pd.array(np.r_[pairs[:, 0], np.zeros(len(big), np.int64)]), "b": np.r_[pairs[:, 1], np.zeros(len(big), np.int64)], "big": pd.array([None] * len(pairs) + big.tolist(), "Int64")})
+            zeros = np.zeros(len(big), np.int64)
+            columns = {"a": np.r_[pairs[:, 0], nearest[:, 0], zeros], "b": np.r_[pairs[:, 1], nearest[:, 1], zeros]}
+            far, variant = [None] * len(pairs) + nearest[:, 2].tolist() + [None] * len(big), [None] * (len(pairs) + len(nearest)) + big.tolist()
+            yield pd.DataFrame(columns | {"far": pd.array(far, "Int64"), "big": pd.array(variant, "Int64")})
         if first is not None:
             edges = sorted({int(first), int(last)})
-            yield pd.DataFrame({"a": 0, "b": 0, "big": pd.array(edges, "Int64")})
+            yield pd.DataFrame({"a": 0, "b": 0, "far": pd.array([None] * len(edges), "Int64"), "big": pd.array(edges, "Int64")})
 
-    return rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id").mapInPandas(run, "a long, b long, big long")
+    return rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id").mapInPandas(run, "a long, b long, far long, big long")
 
 
-def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int, most: int, wide: DataFrame | None, parts: list[Callable[[Column], Column]], bits_each: int, close: Callable[[str, str], Column] | None) -> DataFrame:
-    """Candidate links (a, b), of wide fingerprints those that close() takes, inside big variants between different components: every member outside a variant's largest component against all its others.
+def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int, most: int, wide: DataFrame | None, parts: list[Callable[[Column], Column]], bits_each: int, close: Callable[[str, str], Column] | None, apart: Callable[[str, str], Column] | None) -> DataFrame:
+    """Candidate links (a, b; bits, if apart() is given), of wide fingerprints those that close() takes, inside big variants between different components: every member outside a variant's largest component against all its others.
 
     A pair is taken in its first segment of at most one differing bit. Were the variant of that one not big, or held by one component, the pair would have
     been compared, or linked, before. A variant of very many rows is dealt out by salts.
@@ -174,20 +187,33 @@ def across(rows: DataFrame, big: DataFrame, label: DataFrame, check_bits: int, m
         near = near & close("x.", "y.")
     near = near & (F.array_position(F.transform(differ, lambda d: d <= 1), True) - 1 == F.shiftright("x.variant", bits_each))
     found = few.join(every, (F.col("x.variant") == F.col("y.variant")) & (F.col("x.salt") == F.col("y.salt")) & near)
-    return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    bits = [] if apart is None else [apart("x.", "y.").alias("bits")]
+    return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), *bits).distinct()
 
 
-def linked(rows: DataFrame, check_bits: int, most: int, parts: list[Callable[[Column], Column]], bits_each: int, wide: DataFrame | None = None, close: Callable[[str, str], Column] | None = None, verify: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None) -> DataFrame:
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """label(id, component) after further links (a, b): only the components that they touch are worked on."""
+    of = lambda x: label.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
+    over = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    roots = components(over.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    new = over.where("ca IS NULL").select("a").union(over.where("cb IS NULL").select("b")).distinct()
+    every = label.select("id", "component").union(new.select(F.col("a"), F.col("a")))
+    return cut(every.join(roots.toDF("component", "least"), "component", "left").select("id", F.coalesce("least", "component").alias("component")), "merged")
+
+
+def linked(rows: DataFrame, check_bits: int, most: int, parts: list[Callable[[Column], Column]], bits_each: int, wide: DataFrame | None = None, close: Callable[[str, str], Column] | None = None, apart: Callable[[str, str], Column] | None = None, verify: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None) -> DataFrame:
     """rows(key, id) -> (id, component) of all ids with a link. parts: the segments of a fingerprint (of wide(id, fp, n); None: of the id itself).
-    close(x, y): whether two rows of wide, under these prefixes, may be a link.
-    verify(candidates, labels so far) gives the true links; None: all candidates are."""
+    close(x, y): whether two rows of wide, under these prefixes, may be a link; apart(x, y): their differing bits.
+    verify(candidates, labels so far) gives the true links; None: all candidates are. With labels, candidates have passed close() and carry its bits."""
     verify = verify or (lambda pairs, _: pairs)
     near = cut(neighbours(rows, check_bits, most), "near")
-    links = cut(verify(near.where("big IS NULL").select("a", "b").distinct(), None), "found")
+    closest = near.where("far IS NOT NULL").groupBy("a").agg(F.min(F.struct("far", "b")).alias("x"))
+    pairs = near.where("far IS NULL AND big IS NULL").select("a", "b").union(closest.select(F.least("a", "x.b"), F.greatest("a", "x.b"))).distinct()
+    links = cut(verify(pairs, None), "found")
     label = components(links)
-    more = cut(verify(across(rows, near.where("big IS NOT NULL"), label, check_bits, most, wide, parts, bits_each, close), label), "found")
+    more = cut(verify(across(rows, near.where("big IS NOT NULL"), label, check_bits, most, wide, parts, bits_each, close, apart), label), "found")
     if not more.isEmpty():
-        label = components(links.union(more))
+        label = merged(label, more)
     drop_cuts(near, links, more)
     return label
 
@@ -282,12 +308,14 @@ def similar_groups(df: DataFrame, id: str = "doc_id", text: str = "text", k: int
     held: list[DataFrame] = []
 
     def verify(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
-        pairs = pairs.join(wide.toDF("a", "a_fp", "a_n"), "a").join(wide.toDF("b", "b_fp", "b_n"), "b").where(close("a_", "b_"))
-        pairs = cut(pairs.select("a", "b", apart("a_", "b_").alias("bits")), "pairs")
+        if label is None:
+            pairs = pairs.join(wide.toDF("a", "a_fp", "a_n"), "a").join(wide.toDF("b", "b_fp", "b_n"), "b").where(close("a_", "b_"))
+            pairs = pairs.select("a", "b", apart("a_", "b_").alias("bits"))
+        pairs = cut(pairs, "pairs")
         best = pairs.select("a", F.struct("bits", "b").alias("x"), "b").union(pairs.select(F.col("b"), F.struct("bits", "a"), F.col("a"))).toDF("a", "x", "b").groupBy("a").agg(F.min("x").alias("x"))
         chosen = best.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
         one = cut(_similar(chosen, known, k, least), "similar")
-        have = components(one if label is None else one.union(label.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        have = components(one) if label is None else merged(label, one)
         rest = pairs.join(chosen, ["a", "b"], "left_anti")
         side = lambda x: have.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
         rest = rest.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
@@ -295,7 +323,7 @@ def similar_groups(df: DataFrame, id: str = "doc_id", text: str = "text", k: int
         return one.union(_similar(rest, known, k, least))
 
     parts = [partial(segment, i=i) for i in range(SEGMENTS)]
-    label = linked(rows, CHECK, CHECK_MOST, parts, BITS, wide, close, verify)
+    label = linked(rows, CHECK, CHECK_MOST, parts, BITS, wide, close, apart, verify)
     drop_cuts(*held)
     named = prints.groupBy("node").agg(F.min("id").alias("least")).join(label.withColumnRenamed("id", "node"), "node", "left").select("node", "least", F.coalesce("component", "node").alias("group"))
     heads = named.groupBy("group").agg(F.min(F.struct("least", "node")).alias("head"))
