@@ -66,6 +66,14 @@ def subtract(left: Column, right: Column) -> Column:
     return F.struct(*[F.zip_with(left[f"r{r}"], right[f"r{r}"], lambda a, b: _add(a, b, -1)).alias(f"r{r}") for r in range(3)])
 
 
+def differing(less: Column) -> Column:
+    """About how many digests a pair differs in, from its subtracted cells: what both sides have cancels, and each of d others adds 1 or -1 to one cell of
+    a row, so that the squares of a row's numbers sum to d + (s * s - d) / WIDTH on average, s being the sum of the numbers."""
+    squares = F.aggregate(F.concat(*[less[f"r{r}"] for r in range(3)]), F.lit(0.0), lambda q, x: q + x["n"].cast("double") * x["n"])
+    total = F.aggregate(less["r0"], F.lit(0.0), lambda n, x: n + x["n"])
+    return F.ceil((squares * WIDTH / 3 - total * total) / (WIDTH - 1)).cast("int")
+
+
 def peel(difference: Column, level: Column) -> Column:
     """struct(left, right): the digests recovered; null if cells remain."""
     none = F.array().cast("array<bigint>")
@@ -100,34 +108,36 @@ def difference(left: Column, right: Column, known: Column | None = None) -> Colu
     """struct(left, right): digests that only one side has, recovered from subtracted sketches. known: the subtracted cells of the first level, if they are at hand."""
     none = F.array().cast("array<bigint>")
     pair = F.struct(left.alias("a"), right.alias("b"))
-    first = F.struct(pair.alias("p"), peel(subtract(cells(left, F.lit(0)), cells(right, F.lit(0))) if known is None else known, F.lit(0)).alias("d"))
 
-    def tried(pairs: Column, level: Column) -> Column:
-        return F.transform(pairs, lambda p: F.struct(p.alias("p"), peel(subtract(cells(p["a"], level), cells(p["b"], level)), level).alias("d")))
+    def tried(p: Column, level: Column, less: Column | None = None) -> Column:
+        """The pair, what its subtracted cells give, and how many digests its sides seem to differ in. Each sketch is computed once."""
+        if less is None:
+            less = _let(F.struct(cells(p["a"], level).alias("a"), cells(p["b"], level).alias("b")), lambda s: subtract(s["a"], s["b"]))
+        return _let(less, lambda x: F.struct(p.alias("p"), peel(x, level).alias("d"), differing(x).alias("e")))
 
     def sum_up(acc: Column, found: Column) -> Column:
         """The state after a level: what was recovered, and the pairs that failed."""
         done = F.filter(found, lambda x: x["d"].isNotNull())
         gained = lambda side: F.concat(acc[side], F.flatten(F.transform(done, lambda x: x["d"][side]))).alias(side)
-        return F.struct(gained("left"), gained("right"), F.transform(F.filter(found, lambda x: x["d"].isNull()), lambda x: x["p"]).alias("open"))
+        return F.struct(gained("left"), gained("right"), F.transform(F.filter(found, lambda x: x["d"].isNull()), lambda x: F.struct(x["p"]["a"].alias("a"), x["p"]["b"].alias("b"), x["e"].alias("e"))).alias("open"))
 
     def dealt(pairs: Column, level: Column) -> Column:
-        """Failed pairs by their digests' hash, into 2 to MOST_TABLES tables of about LOAD digests of both sides each."""
-        tables = lambda p: F.greatest(F.lit(2), F.least(F.lit(MOST_TABLES), F.ceil((F.size(p["a"]) + F.size(p["b"])) / LOAD).cast("int")))
+        """Failed pairs by their digests' hash, into 2 to MOST_TABLES tables of about LOAD differing digests each, as the failed cells tell."""
+        tables = lambda p: F.greatest(F.lit(2), F.least(F.lit(MOST_TABLES), F.ceil(F.least(p["e"], F.size(p["a"]) + F.size(p["b"])) / LOAD).cast("int")))
         numbered = lambda ks, t: F.transform(ks, lambda k: F.struct(F.pmod(F.xxhash64(F.lit(-1), level, k), t).cast("int").alias("t"), k.alias("k")))
         part = lambda ks, i: F.transform(F.filter(ks, lambda x: x["t"] == i), lambda x: x["k"])
         spread = lambda x: F.transform(F.sequence(F.lit(0), x["t"] - 1), lambda i: F.struct(part(x["a"], i).alias("a"), part(x["b"], i).alias("b")))
         return F.flatten(F.transform(pairs, lambda p: _let(_let(tables(p), lambda t: F.struct(t.alias("t"), numbered(p["a"], t).alias("a"), numbered(p["b"], t).alias("b"))), spread)))
 
     def step(acc: Column, level: Column) -> Column:
-        return F.when(F.size(acc["open"]) > 0, _let(tried(dealt(acc["open"], level), level), lambda found: sum_up(acc, found))).otherwise(acc)
+        return F.when(F.size(acc["open"]) > 0, _let(F.transform(dealt(acc["open"], level), lambda p: tried(p, level)), lambda found: sum_up(acc, found))).otherwise(acc)
 
     def settle(acc: Column) -> Column:
         rest = lambda a, b: F.flatten(F.transform(acc["open"], lambda p: F.array_except(p[a], p[b])))
         return F.struct(F.concat(acc["left"], rest("a", "b")).alias("left"), F.concat(acc["right"], rest("b", "a")).alias("right"))
 
-    empty = F.struct(none.alias("left"), none.alias("right"), F.array().cast("array<struct<a:array<bigint>,b:array<bigint>>>").alias("open"))
-    start = _let(F.array(first), lambda found: sum_up(empty, found))
+    empty = F.struct(none.alias("left"), none.alias("right"), F.array().cast("array<struct<a:array<bigint>,b:array<bigint>,e:int>>").alias("open"))
+    start = _let(F.array(tried(pair, F.lit(0), known)), lambda found: sum_up(empty, found))
     return F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), start, step, settle)
 
 
