@@ -21,7 +21,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Cells of a row, rounds of peeling; digests of both sides a larger sketch's table is made for, tables that a failed pair is dealt out to at most, and how often.
+#: Cells of a row, rounds of peeling; differing digests a larger sketch's table is made for, tables that a failed pair is dealt out to at most, and how often.
 WIDTH, ROUNDS, LOAD, MOST_TABLES, LEVELS = 8, 16, 12, 64, 6
 #: A paragraph ends at a line break or at white space behind a sentence's end.
 BREAKS = r"\n+|(?<=[.!?])\s+"
