@@ -67,8 +67,7 @@ def op8_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    ranker = ranking.train(docs, table(spark, sf_dir, "labels"), "quality", _fold(4) != 2)
-    made = ranking.score(docs, ranker, ["doc_id"], at_threshold=0.7)
+    made = ranking.classify(docs, table(spark, sf_dir, "labels"), "quality", _fold(4) != 2, ["doc_id"], at_threshold=0.7)
     return made.select("doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 

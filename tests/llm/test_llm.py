@@ -472,6 +472,33 @@ def test_scores_are_recomputed_from_the_model(spark):
         assert got[i] == pytest.approx(1 / (1 + np.exp(-(s + np.log(0.7 / 0.3)))), abs=1e-9)
 
 
+def test_the_ranker_learns_from_all_pairs_of_labelled_rows(spark, monkeypatch):
+    """op9: weights of every pair written out, and the threshold between the two neighbouring scores of all rows; repeated rows and labels count."""
+    r = random.Random(4)
+    texts = [f"{'good calm ' * r.randint(0, 9)}{'bad ### 12 ' * r.randint(0, 9)}{t or ''}" for t in corpus(seed=5, n=260)]
+    texts[3] = "!" * 5000
+    ids = [i // 2 * 2 if i % 40 == 1 else i for i in range(len(texts))]
+    marked = [(i, int("calm" in t and r.random() < 0.9)) for i, t in enumerate(texts) if i % 5] + [(7, None), (8, 3), (11, 1), (None, 0), (10**6, 1)]
+    labels = spark.createDataFrame(marked, "doc_id long, quality int")
+    got = ranking.train(frame(spark, texts, ids), labels, "quality", F.col("doc_id") % 9 > 0)
+    rows = [(ranking.features(t), y) for t, i in zip(texts, ids, strict=True) for j, y in marked if i == j and j % 9 and y in (0, 1)]
+    x, y = np.array([v for v, _ in rows]), np.array([v for _, v in rows])
+    scale = np.where(x.std(0) > 1e-9, x.std(0), 1.0)
+    assert np.allclose(got.mean, x.mean(0)) and np.allclose(got.scale, scale)
+    z = (x - x.mean(0)) / scale
+    good, bad = z[y == 1], z[y == 0]
+    assert len(good) > 20 and len(bad) > 20
+    want = ranking.fit_pairs(np.repeat(good, len(bad), 0), np.tile(bad, (len(good), 1)))
+    assert abs(got.weights - want).max() < 1e-3 * abs(want).max()
+    s = np.sort(z @ got.weights)
+    assert got.threshold == pytest.approx((s[len(bad) - 1] + s[len(bad)]) / 2, abs=1e-9)
+    monkeypatch.setattr(ranking, "SORTED_IN_ONE", 5)
+    again = ranking.train(frame(spark, texts, ids), labels, "quality", F.col("doc_id") % 9 > 0)
+    assert again.threshold == pytest.approx(got.threshold, abs=1e-9) and np.allclose(again.weights, got.weights, atol=1e-6)
+    alone = ranking.train(frame(spark, texts, ids), labels.where("quality = 1"), "quality", F.lit(True))
+    assert alone.threshold == 0 and not alone.weights.any()
+
+
 def test_repeated_passages_equal_brute_force(spark):
     texts = corpus() + ["head " + " ".join(f"w{i}" for i in range(60)) + " tail " + " ".join(f"w{i}" for i in range(60))]
     texts += [texts[-1]]
