@@ -6,7 +6,7 @@ the whole corpus is made on the count of pieces of each size (no more counts tha
 it runs short, and is written down once with its number of repeats. Each piece then finds its place from its rank among the pieces of its size.
 
 Texts are split at single spaces into segments that the vocabulary's own pattern never joins; the tokenizers library encodes every segment that a worker has not
-met, and a text's ids are those of its segments end to end.
+met, and a text's ids are those of its segments end to end. A segment of letters is one piece of that pattern and goes to the library's model itself; with marks behind the letters it is two.
 
 Defined results: a null text is an empty one: its only id is the end mark; repeated rows are packed as pieces of their own; a document of any length is cut into
 full pieces but for a shorter first one; an empty table gives an empty table; extra columns are kept where named as keys, under their own names,
@@ -21,7 +21,8 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -31,23 +32,48 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
+from fieldseries.llm.bpe import byte_letters
 from fieldseries.llm.common import chunks, cut
 
 CAPACITY, END = 1024, 2
 #: The white space of the vocabulary's pattern.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Latin letters, of which the vocabulary's pattern makes one piece with a space before them, and marks behind them, of which it makes another (an apostrophe may begin one with letters).
+WORD = re.compile("( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 #: A worker forgets its segments when it holds more than so many, and never keeps longer ones; this bounds memory, not results.
 MOST_SEGMENTS, LONGEST_KEPT = 1_000_000, 64
 #: A table of part sizes of more rows is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
 
+class Known(dict[str, bytes]):
+    """The ids of segments by segment; one that is not there is encoded when it is asked for. A segment behind a space has the space in front."""
+
+    def __init__(self, model: Tokenizer):
+        self.model, self.piece = model, model.model.tokenize
+        self.letters = dict(enumerate(byte_letters()))
+
+    def __missing__(self, segment: str) -> bytes:
+        if found := WORD.fullmatch(segment):
+            word, marks = found.groups()
+            if marks:
+                made = self[word] + self[marks]
+            else:
+                letters = segment.replace(" ", self.letters[32]) if segment.isascii() else segment.encode().decode("latin-1").translate(self.letters)
+                ids = [t.id for t in self.piece(letters)]
+                made = pack_ids(f"<{len(ids)}I", *ids)
+        else:
+            made = np.array(self.model.encode(segment, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(segment) <= LONGEST_KEPT:
+            self[segment] = made
+        return made
+
+
 @dataclass
 class Encoder:
     """The tokenizer with the segments met so far. Byte-level vocabularies with the usual pattern: a space joins the word behind it."""
 
     spec: str
-    known: dict[str, bytes] = field(default_factory=dict)  # by segment; one behind a space has the space in front
 
     def __post_init__(self) -> None:
         spec = json.loads(self.spec)
@@ -63,8 +89,11 @@ class Encoder:
         self.named = {a["content"]: np.array([a["id"]], "<u4").tobytes() for a in added}
         self.blanks = re.compile(f"([{SPACE}]+(?=[{SPACE}]))").split  # all of a run of white space but its last
         self.tail = re.compile(f"[{SPACE}]{{2,}}\\Z").search
-        (self.newline,) = self.model.encode("\n", add_special_tokens=False).ids
-        self.known |= self.named
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = Known(self.model)
+        self.known.update(self.named)
 
     def segments(self, text: str) -> list[str]:
         """The text in segments, end to end."""
@@ -86,35 +115,14 @@ class Encoder:
             out.append(end[0])
         return out
 
-    def encode(self, fresh: list[str]) -> None:
-        """Learn new segments. Those that end with a letter or mark go through the library as the lines of one text, which costs a fraction of a call each."""
-        odd = [s for s in fresh if s[-1].isspace()]
-        plain = [s for s in fresh if not s[-1].isspace()]
-        for s, e in zip(odd, self.model.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-            self.known[s] = np.array(e.ids, "<u4").tobytes()
-        for start in range(0, len(plain), 2000):
-            lines = plain[start : start + 2000]
-            ids = np.array(self.model.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, "<u4")
-            ends = [*(4 * np.flatnonzero(ids == self.newline)).tolist(), 4 * len(ids)]
-            raw, at = ids.tobytes(), 0
-            for s, to in zip(lines, ends, strict=True):
-                self.known[s] = raw[at:to]
-                at = to + 4
-
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         if len(self.known) > MOST_SEGMENTS:
-            self.known = dict(self.named)
-        split = []
+            self.forget()
+        ids, made = self.known.__getitem__, []
         for t in texts:
             parts = self.cut(t) if t else []
-            split.append(self.segments(t) if len(parts) == 1 else [s for i, p in enumerate(parts) if p for s in ([p] if i % 2 else self.segments(p))])
-        fresh = [s for s in set().union(*split) if s not in self.known]
-        self.encode(fresh)
-        made = [b"".join(map(self.known.__getitem__, s)) for s in split]
-        for s in fresh:
-            if len(s) > LONGEST_KEPT:
-                del self.known[s]
+            made.append(b"".join(map(ids, self.segments(t) if len(parts) == 1 else [s for i, p in enumerate(parts) if p for s in ([p] if i % 2 else self.segments(p))])))
         return made
 
 

@@ -131,6 +131,24 @@ def test_segments_encode_as_whole_texts():
         assert packing.Encoder(f.read()).batch(texts) == want
 
 
+def test_words_with_marks_share_their_word():
+    """op12: a word is encoded once, whatever marks stand behind it; any character beside letters and marks gives the library's ids."""
+    model = Tokenizer.from_file(TOKENIZER)
+    with open(TOKENIZER, encoding="utf-8") as f:
+        spec = f.read()
+    made, seen = packing.Encoder(spec), []
+    piece = made.known.piece
+    made.known.piece = lambda letters: seen.append(letters) or piece(letters)
+    text = "Zqorblä zqorblä, zqorblä. zqorblä!?) zqorblä zqorblä's\nzqorblä, zqorblä;"
+    assert made.batch([text, text]) == 2 * [np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert len(seen) == len(set(seen)) == 3  # with the capital, behind a space, and at the line's start
+    long = "ab" * packing.LONGEST_KEPT
+    texts = [t for c in map(chr, [*range(1, 0x260), 0x300, 0x2019, 0x2028, 0x37E, 0x1F600]) for t in (f"ab{c}", f" ab{c}cd.", f"{c}ab,{c}", f"ab.{c} cd", f"ab {c}cd{c}{c}", f"é,{c}'s", f"ab{c}'ll")] + [long, f" {long}, {long}"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch(texts, add_special_tokens=False)]
+    assert packing.Encoder(spec).batch(texts) == want and made.batch(texts) == want
+    assert max(map(len, made.known)) <= packing.LONGEST_KEPT
+
+
 def test_packing_holds_every_token_once(spark):
     texts, capacity = corpus(), 64
     docs = frame(spark, texts, [None if i == 5 else i // 2 for i in range(len(texts))])  # ids repeat
