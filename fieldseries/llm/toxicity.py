@@ -27,9 +27,11 @@ import re
 from array import array
 from collections import defaultdict
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,18 +60,17 @@ def letters(words: list[str], width: int) -> np.ndarray:
 
 def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     """The subsequence kernel of each row of s with the same row of t (padded with 0)."""
-    match = ((s[:, :, None] == t[:, None, :]) & (s[:, :, None] > 0)) * DECAY**2
-    n, a, b = match.shape
-    before = np.ones((n, a, b))  # K' of the prefixes that end before each pair of positions
+    s, t = np.ascontiguousarray(s.T), np.ascontiguousarray(t.T)  # rows last: every step below runs over all of them
+    match = ((s[:, None] == t[None]) & (s[:, None] > 0)) * DECAY**2
+    inner = match.copy()
     for _ in range(LENGTH - 1):
-        inner = match * before
-        for j in range(1, b):
-            inner[:, :, j] += DECAY * inner[:, :, j - 1]
-        for i in range(1, a):
-            inner[:, i] += DECAY * inner[:, i - 1]
-        before = np.zeros((n, a, b))
-        before[:, 1:, 1:] = inner[:, :-1, :-1]
-    return (match * before).sum((1, 2))
+        for j in range(1, inner.shape[1]):
+            inner[:, j] += DECAY * inner[:, j - 1]
+        for i in range(1, len(inner)):
+            inner[i] += DECAY * inner[i - 1]
+        before, inner = inner, np.zeros_like(match)  # K' of the prefixes that end before each pair of positions
+        inner[1:, 1:] = match[1:, 1:] * before[:-1, :-1]
+    return inner.sum((0, 1))
 
 
 def self_kernel(s: np.ndarray) -> np.ndarray:
@@ -93,32 +94,51 @@ class Landmarks:
             for j, c in enumerate(w):
                 if c:
                     self.masks[np.searchsorted(self.alphabet, c), m] |= np.uint32(1 << j)
+        counts = (self.t[:, None] == self.alphabet[:, None]).sum(2)  # landmarks by letters
+        self.letter, self.times = np.array([(c, k) for c, most in enumerate(counts.max(0, initial=0).tolist()) for k in range(1, most + 1)], np.int64).reshape(-1, 2).T
+        self.has = (counts[:, self.letter] >= self.times).T.astype(np.float32)  # whether a landmark has a letter so many times
         self.full = np.uint32(0xFFFFFFFF) >> (32 - self.lengths).astype(np.uint32)
 
-    def common(self, s: np.ndarray) -> np.ndarray:
-        """Lengths of the longest common subsequences, words by landmarks; bit j of a state is 0 where letter j adds one."""
+    def codes(self, s: np.ndarray) -> np.ndarray:
+        """Each letter's place in the alphabet; its length for letters that no landmark has."""
         at = np.minimum(np.searchsorted(self.alphabet, s), len(self.alphabet) - 1)
-        code = np.where(self.alphabet[at] == s, at, len(self.alphabet))
-        state = np.full((len(s), len(self.words)), 0xFFFFFFFF, np.uint32)
-        for j in range(s.shape[1]):
-            if (code[:, j] == len(self.alphabet)).all():
-                continue
-            hit = state & self.masks[code[:, j]]
+        return np.where(self.alphabet[at] == s, at, len(self.alphabet))
+
+    def possible(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, landmark) that share enough letters, in whatever order: no other pair has a common subsequence of the least length."""
+        n, k = len(code), len(self.alphabet) + 1
+        counts = np.bincount((np.arange(n)[:, None] * k + code).ravel(), minlength=n * k).reshape(n, k)
+        shared = (counts[:, self.letter] >= self.times).astype(np.float32) @ self.has
+        return np.nonzero(shared >= self.least)
+
+    def common(self, code: np.ndarray, w: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Lengths of the longest common subsequences of words w with landmarks m; bit j of a state is 0 where letter j adds one."""
+        state = np.full(len(w), 0xFFFFFFFF, np.uint32)
+        for column in code.T:
+            hit = state & self.masks[column[w], m]
             state = (state + hit) | (state - hit)
-        return np.bitwise_count(~state & self.full).astype(np.int64)
+        return np.bitwise_count(~state & self.full[m]).astype(np.int64)
 
     def values(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word, landmark, kernel value over the landmark's own) of the pairs that count."""
+        """(word, landmark, kernel value over the landmark's own) of the pairs that count. Words of like length are taken together, and so are landmarks."""
         out = []
         if not self.words:
             words = []
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
         for i in range(0, len(words), 8192):
-            part = words[i : i + 8192]
-            s = letters(part, min(WINDOW + 1, max(map(len, part))))
-            w, m = np.nonzero(self.common(s) >= self.least)
-            for j in range(0, len(w), 4096):
-                at = slice(j, j + 4096)
-                out.append((w[at] + i, m[at], kernel(s[w[at]], self.t[m[at]]) / self.own[m[at]]))
+            part = order[i : i + 8192]
+            s = letters([words[x] for x in part.tolist()], min(WINDOW + 1, max(1, int(sizes[part[-1]]))))
+            code = self.codes(s)
+            w, m = self.possible(code)
+            near = np.concatenate([np.zeros(0, bool), *(self.common(code, w[j : j + 32768], m[j : j + 32768]) >= self.least[m[j : j + 32768]] for j in range(0, len(w), 32768))])
+            w, m = w[near], m[near]
+            by = np.argsort(self.lengths[m], kind="stable")
+            w, m = w[by], m[by]
+            for j in range(0, len(w), 2048):
+                at = slice(j, j + 2048)
+                width = self.lengths[m[at][-1]]
+                out.append((part[w[at]], m[at], kernel(s[w[at]], self.t[m[at], :width]) / self.own[m[at]]))
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -143,31 +163,45 @@ class Reader:
     def clear(self) -> None:
         self.index: defaultdict[str, int] = defaultdict()
         self.index.default_factory = self.index.__len__
-        self.joined: dict[int, int] = {}  # of two neighbouring tokens' numbers: the row of their join in vectors, or -1
+        self.known: dict[str, int] = {}  # of each word and join read: its row in vectors, or -1
         self.row = np.zeros(0, np.int32)  # of each token: its row in vectors, or -1
         self.bare: list[str] = []  # tokens without punctuation at their ends
         self.size = np.zeros(0, np.int32)  # and their lengths
         self.stop = np.zeros(0, bool)  # tokens that end a sentence
         self.vectors = np.zeros((0, len(self.marks.words)), np.float32)
-
-    def rows(self, words: list[list[str]]) -> np.ndarray:
-        """Store the vectors of what matches (the pieces of each word taken together) and return their rows, -1 for no match."""
-        owner = np.repeat(np.arange(len(words)), [len(p) for p in words])
-        w, m, k = self.marks.values([x for p in words for x in p])
-        row = np.full(len(words), -1, np.int32)
+        self.margins = np.zeros(0)  # of the vectors, with a machine
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """The rows of the vectors of words, -1 for no match. What is new is stored (its pieces taken together); a word behind START is one piece."""
+        seen = list(map(self.known.get, words))
+        if None not in seen:
+            return np.array(seen, np.int32)
+        new = list(dict.fromkeys(x for x, r in zip(words, seen, strict=True) if r is None))
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        owner = np.flatnonzero((size >= LENGTH) & (size <= WINDOW))
+        parts = [START + new[i] for i in owner.tolist()]  # as pieces() gives them
+        for i in np.flatnonzero(size > WINDOW).tolist():
+            more = [new[i]] if new[i][0] == START else pieces(new[i])
+            owner = np.r_[owner, np.full(len(more), i)]
+            parts += more
+        w, m, k = self.marks.values(parts)
+        row = np.full(len(new), -1, np.int32)
         if len(w):
             found, at = np.unique(owner[w], return_inverse=True)
             made = np.zeros((len(found), len(self.marks.words)), np.float32)
             np.maximum.at(made, (at, m), k.astype(np.float32))
             row[found] = len(self.vectors) + np.arange(len(found))
             self.vectors = np.concatenate([self.vectors, made])
-        return row
+            if self.machine:
+                self.margins = np.concatenate([self.margins, self.machine.margins(made)])
+        self.known.update(zip(new, row.tolist(), strict=True))
+        return np.array(list(map(self.known.get, words)), np.int32)
 
     def learn(self, new: list[str]) -> None:
         bare = [t.strip(EDGES) for t in new]
         self.bare += bare
-        self.row = np.concatenate([self.row, self.rows([pieces(t) for t in bare])])
-        self.size = np.concatenate([self.size, np.array([len(t) for t in bare], np.int32)])
+        self.row = np.concatenate([self.row, self.rows(bare)])
+        self.size = np.concatenate([self.size, np.fromiter(map(len, bare), np.int32, len(bare))])
         self.stop = np.concatenate([self.stop, np.array([t[-1] in ".!?" for t in new], bool)])
 
     def joins(self, tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,24 +210,31 @@ class Reader:
         a, b = size[:-1], size[1:]
         at = np.flatnonzero((a > 0) & (b > 0) & (np.minimum(a, b) < LENGTH) & (a + b > LENGTH) & (a + b < self.marks.width) & ~ends[:-1])
         pair, back = np.unique(tokens[at].astype(np.int64) << 32 | tokens[at + 1], return_inverse=True)
-        new = [p for p in pair.tolist() if p not in self.joined]
-        if new:
-            bare = self.bare
-            self.joined.update(zip(new, self.rows([[START + bare[p >> 32] + bare[p & 0xFFFFFFFF]] for p in new]).tolist(), strict=True))
-        row = np.fromiter((self.joined[p] for p in pair.tolist()), np.int32, len(pair))[back]
+        bare = self.bare
+        both = [bare[p] + bare[q] for p, q in zip((pair >> 32).tolist(), (pair & 0xFFFFFFFF).tolist(), strict=True)]
+        row = self.rows([x if len(x) <= WINDOW else START + x for x in both])[back]
         return at[row >= 0], row[row >= 0]
 
+    def read(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The numbers of each text's tokens; runs of single letters follow as sentences of their own. Each distinct token of these texts is looked up once."""
+        lows = [(t or "").lower().replace("\n", " . ") for t in texts]
+        split = [low.split() for low in lows]
+        coded = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
+        distinct, number = coded.dictionary.to_pylist(), self.index.__getitem__
+        at = coded.indices.to_numpy()
+        one = np.fromiter(map(len, distinct), np.int64, len(distinct))[at] == 1
+        cuts = np.cumsum([len(tokens) for tokens in split])
+        docs = np.split(np.fromiter(map(number, distinct), np.int32, len(distinct))[at], cuts[:-1])
+        for i in np.unique(np.searchsorted(cuts, np.flatnonzero(one[:-2] & one[1:-1] & one[2:]), side="right")).tolist():
+            runs = [x for run in SPACED.findall(lows[i]) for x in (".", "".join(run.split()))]
+            docs[i] = np.r_[docs[i], np.fromiter(map(number, runs), np.int32, len(runs))]
+        return docs
+
     def matches(self, texts: list[str | None]) -> list[Matches]:
         """For each text, the vectors of its sentences that match a landmark, the margins of its words and joins that do (none without a machine), and the number of words."""
-        if len(self.row) + len(self.joined) > MOST_WORDS or len(self.vectors) > MOST_VECTORS:
+        if len(self.row) + len(self.known) > MOST_WORDS or len(self.vectors) > MOST_VECTORS:
             self.clear()
-        number, docs = self.index.__getitem__, []
-        for t in texts:
-            low = (t or "").lower().replace("\n", " . ")
-            tokens = low.split()
-            for run in SPACED.findall(low):
-                tokens += [".", "".join(run.split())]
-            docs.append(np.fromiter(map(number, tokens), np.int32, len(tokens)))
+        docs = self.read(texts)
         self.learn(list(self.index)[len(self.row) :])
         sizes = np.array([len(d) for d in docs], np.int64)
         tokens = np.concatenate([np.zeros(0, np.int32), *docs])
@@ -212,7 +253,7 @@ class Reader:
         last = np.flatnonzero(ends)[sentence]  # the last token of each sentence tells its text
         cuts = np.searchsorted(last, np.cumsum(sizes))
         owner = np.searchsorted(np.cumsum(sizes), at, side="right")
-        margins = self.machine.margins(self.vectors)[row[np.argsort(owner, kind="stable")]] if self.machine else np.zeros(0)
+        margins = self.margins[row[np.argsort(owner, kind="stable")]] if self.machine else np.zeros(0)
         counts = np.cumsum(np.bincount(owner, minlength=len(sizes)))
         return [(out[a:b], margins[c:d], n) for a, b, c, d, n in zip(np.r_[0, cuts[:-1]], cuts, np.r_[0, counts[:-1]], counts, sizes.tolist(), strict=True)]
 
@@ -362,7 +403,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, landma
         parts += r["x"]
         times.append(r["n"])
     machine = fit(marks, toxic, np.frombuffer(parts, np.float32).reshape(len(times), len(marks.words)), np.array(times, np.int64))
-    evidence = by_text(rows, lambda ts: pd.DataFrame({"e": list(machine.evidence(Reader(marks, machine).matches(ts)))}), "e array<double>", [id, "y"], "t").orderBy(id, "y").collect()
+    evidence = by_text(rows, lambda ts: pd.DataFrame({"e": list(machine.evidence(Reader(marks, machine).matches(ts)))}), "e array<double>", [id, "y"], "t").collect()
+    evidence.sort(key=lambda r: (r[id], r["y"], r["e"]))  # here, as a sort by Spark reads the texts once more to find its ranges
     machine.logit = fit_logistic(np.array([r["e"] for r in evidence]), np.array([r["y"] for r in evidence]))
     return machine
 

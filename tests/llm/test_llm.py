@@ -291,6 +291,36 @@ def test_split_insults_are_read_as_one_word():
     assert whole == split == spaced > 0.9 and apart == 0
 
 
+def test_a_word_is_compared_once_and_only_with_landmarks_whose_letters_it_has(monkeypatch):
+    """Tokens that differ in punctuation, joins and later chunks ask for a word's kernel values once; the letters' bound drops no pair that counts."""
+    r = random.Random(6)
+    word = lambda k: "".join(r.choice("abcdeéz") for _ in range(k))
+    marks = toxicity.Landmarks([toxicity.START + word(r.randint(3, 9)) for _ in range(20)])
+    asked, common, compared = [], toxicity.Landmarks.common, []
+    values = toxicity.Landmarks.values
+    monkeypatch.setattr(toxicity.Landmarks, "values", lambda self, words: asked.extend(words) or values(self, words))
+    reader = toxicity.Reader(marks)
+    long = word(60)
+    reader.matches(["abcde, abcde. (abcde) ab cde", "abc de", long])
+    reader.matches(["abcde! ab cde? " + long])
+    assert asked.count(toxicity.START + "abcde") == 1 and len(asked) == len(set(asked))
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            out = [0]
+            for j, y in enumerate(b):
+                out.append(row[j] + 1 if x == y else max(row[j + 1], out[-1]))
+            row = out
+        return row[-1]
+
+    words = [toxicity.START + word(r.randint(3, 14)) for _ in range(300)] + ["qqqq", toxicity.START + "q"]
+    monkeypatch.setattr(toxicity.Landmarks, "common", lambda self, code, w, m: compared.append(len(w)) or common(self, code, w, m))
+    w, m, _ = values(marks, words)
+    want = {(i, j) for i, x in enumerate(words) for j, y in enumerate(marks.words) if longest(x, y) >= marks.least[j]}
+    assert set(zip(w.tolist(), m.tolist(), strict=True)) == want and len(want) == len(w) <= sum(compared) < len(words) * len(marks.words)
+
+
 def test_near_duplicates_keep_one_of_each_group(spark):
     texts = corpus()
     kept = sorted(r["doc_id"] for r in simhash.one_of_each(frame(spark, texts)).collect())
