@@ -37,12 +37,12 @@ def _let(value: Column, body) -> Column:  # noqa: ANN001
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _placed(digests: Column, level: Column) -> Column:
+def _placed(digests: Column, level: Column, sign: int = 1) -> Column:
     """Each digest with its sign, its check hash and its cell in every row of cells."""
 
     def of(k: Column) -> Column:
         place = lambda h, r: F.shiftright(h, 20 * r).bitwiseAND(WIDTH - 1).cast("int").alias(f"p{r}")
-        return _let(F.xxhash64(k, level), lambda h: F.struct(F.lit(1).alias("n"), k.alias("k"), F.xxhash64(k).alias("c"), *[place(h, r) for r in range(3)]))
+        return _let(F.xxhash64(k, level), lambda h: F.struct(F.lit(sign).alias("n"), k.alias("k"), F.xxhash64(k).alias("c"), *[place(h, r) for r in range(3)]))
 
     return F.transform(digests, of)
 
@@ -57,7 +57,7 @@ def cells(digests: Column, level: Column) -> Column:
     empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
 
     def row(placed: Column, r: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda i: F.aggregate(placed, empty, lambda acc, d: F.when(d[f"p{r}"] == i, _add(acc, d, 1)).otherwise(acc)))
+        return F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda i: F.aggregate(F.filter(placed, lambda d: d[f"p{r}"] == i), empty, lambda acc, d: _add(acc, d, 1)))
 
     return _let(_placed(digests, level), lambda placed: F.struct(*[row(placed, r).alias(f"r{r}") for r in range(3)]))
 
@@ -81,19 +81,19 @@ def peel(difference: Column, level: Column) -> Column:
     start = F.struct(*[difference[n].alias(n) for n in names], none.alias("left"), none.alias("right"), F.lit(True).alias("going"))
 
     def pure(acc: Column) -> Column:
-        single = F.array_distinct(F.filter(F.concat(*[acc[n] for n in names]), lambda x: (F.abs(x["n"]) == 1) & (F.xxhash64(x["k"]) == x["c"])))
-        signs = F.transform(single, lambda x: x["n"])
-        return F.zip_with(_placed(F.transform(single, lambda x: x["k"]), level), signs, lambda d, n: F.struct(n.alias("n"), *[d[c].alias(c) for c in ("k", "c", "p0", "p1", "p2")]))
+        single = F.filter(F.concat(*[acc[n] for n in names]), lambda x: (F.abs(x["n"]) == 1) & (F.xxhash64(x["k"]) == x["c"]))
+        of = lambda found, sign: F.array_distinct(F.transform(F.filter(found, lambda x: x["n"] == sign), lambda x: x["k"]))  # noqa: E731 - numbers, told apart by their hash
+        return _let(single, lambda x: F.when(F.size(x) > 0, F.concat(_placed(of(x, 1), level, 1), _placed(of(x, -1), level, -1))))
 
     def without(found: Column, place: str):  # noqa: ANN202
-        return lambda x, i: F.aggregate(found, x, lambda cell, d: F.when(d[place] == i, _add(cell, d, -1)).otherwise(cell))
+        return lambda x, i: F.aggregate(F.filter(found, lambda d: d[place] == i), x, lambda cell, d: _add(cell, d, -1))
 
     def step(acc: Column, _: Column) -> Column:
         def go(found: Column) -> Column:
             keys = lambda sign: F.transform(F.filter(found, lambda d: d["n"] == sign), lambda d: d["k"])
             less = [F.transform(acc[n], without(found, f"p{r}")).alias(n) for r, n in enumerate(names)]
             more = F.struct(*less, F.concat(acc["left"], keys(1)).alias("left"), F.concat(acc["right"], keys(-1)).alias("right"), F.lit(True).alias("going"))
-            return F.when(F.size(found) > 0, more).otherwise(F.struct(*[acc[n].alias(n) for n in [*names, "left", "right"]], F.lit(False).alias("going")))
+            return F.when(found.isNotNull(), more).otherwise(F.struct(*[acc[n].alias(n) for n in [*names, "left", "right"]], F.lit(False).alias("going")))
 
         return F.when(acc["going"], _let(pure(acc), go)).otherwise(acc)
 
@@ -206,4 +206,5 @@ def fingerprint_versions(df: DataFrame, id: str = "doc_id", text: str = "text")
     hashed = edited.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), paragraphs(F.col("text")).alias("own"), paragraphs(F.col("edited")).alias("new"), paragraphs(F.col("next_text")).alias("next"))
     made = hashed.withColumn("cells", sketch(F.col("own"))).withColumn("new_cells", sketch(F.col("new")))
     near = likeness(F.col("own"), F.col("new"), subtract(F.col("cells"), F.col("new_cells")))
-    return made.select(F.col("id").alias(id), "n_chars", "edited_sha256", fingerprint(F.col("cells")).alias("fingerprint"), fingerprint(F.col("new_cells")).alias("edited_fingerprint"), near.alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"))
+    near_next = likeness(F.col("own"), F.col("next"), subtract(F.col("cells"), sketch(F.col("next"))))
+    return made.select(F.col("id").alias(id), "n_chars", "edited_sha256", fingerprint(F.col("cells")).alias("fingerprint"), fingerprint(F.col("new_cells")).alias("edited_fingerprint"), near.alias("near_edited"), near_next.alias("near_next"))

@@ -392,6 +392,14 @@ def test_sketch_differences_are_exact(spark):
         assert x["l"] == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
 
 
+def test_each_text_is_sketched_once(spark, monkeypatch):
+    """The text's own cells serve its fingerprint and both likenesses: at the first level there are three sketches, the text's, the edited one's and the next one's."""
+    made, cells = [], sketches.cells
+    monkeypatch.setattr(sketches, "cells", lambda digests, level: made.append(str(level)) or cells(digests, level))
+    rows = sketches.fingerprint_versions(frame(spark, ["One. Two. Three.", "One. Two. Four."])).collect()
+    assert made.count(str(F.lit(0))) == 3 and {r["near_next"] for r in rows} == {0.5}
+
+
 def test_fingerprints_alone_give_small_differences(spark):
     df = spark.createDataFrame([(list(range(1000, 1060)), list(range(1003, 1062)))], "a array<long>, b array<long>").select(sketches.fingerprint(sketches.sketch(F.col("a"))).alias("a"), sketches.fingerprint(sketches.sketch(F.col("b"))).alias("b"))
     d = df.select(sketches.peel(sketches.subtract(sketches.unpack(F.col("a")), sketches.unpack(F.col("b"))), F.lit(0)).alias("d")).first()["d"]
