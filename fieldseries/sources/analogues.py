@@ -12,8 +12,8 @@ from fieldseries.sources.tables import table
 VARIABLES = ("quantity", "extendedprice", "discount", "tax")
 
 
-def _orders(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+def _orders(spark: SparkSession, d: str, place: str | None = None) -> DataFrame:
+    return table(spark, d, "lineitem", place).join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def pixels(spark: SparkSession, d: str) -> DataFrame:
@@ -21,9 +21,9 @@ def pixels(spark: SparkSession, d: str) -> DataFrame:
     return pixels_wide(spark, d).unpivot(["id_parcel", "mois"], list(VARIABLES), "variable", "value")
 
 
-def pixels_wide(spark: SparkSession, d: str) -> DataFrame:
-    """id_parcel, mois and one column for each variable."""
-    return _orders(spark, d).select(F.col("o_custkey").alias("id_parcel"), month(F.col("l_shipdate")).alias("mois"), *[F.col(f"l_{v}").alias(v) for v in VARIABLES])
+def pixels_wide(spark: SparkSession, d: str, place: str | None = None) -> DataFrame:
+    """id_parcel, mois and one column for each variable; where place is given, a column of that name has the pixel's place in its table."""
+    return _orders(spark, d, place).select(F.col("o_custkey").alias("id_parcel"), month(F.col("l_shipdate")).alias("mois"), *[F.col(f"l_{v}").alias(v) for v in VARIABLES], *[place] * bool(place))
 
 
 def pixel_counts(spark: SparkSession, d: str) -> DataFrame:

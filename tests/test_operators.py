@@ -231,6 +231,36 @@ def test_profile_is_aligned_with_the_calendar(spark):
     assert rows(api.aligned_profile(m, ids, "id", ["2024-01", "2024-02"]).select("id", "ndvi"), "id") == [("a", [None, 0.5]), ("b", [None, None])]
 
 
+def test_profile_means_are_added_up_in_the_order_of_the_table(spark, tmp_path):
+    """Sums of doubles in another order end in other digits, and a mean just below a half is rounded otherwise."""
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from datetime import datetime
+
+    from fieldseries.plans import registry
+    from fieldseries.sources import analogues as A
+
+    r, n = np.random.default_rng(3), 4000
+    order = r.permutation(n)
+    at = [datetime(1998, 1 + int(k) % 8, 3) for k in r.integers(0, 8, n)]
+    ids, zeros = pa.array(order), pa.array(np.zeros(n))
+    pq.write_table(pa.table({"l_orderkey": ids, "l_shipdate": pa.array(at, pa.timestamp("us")), "l_quantity": zeros, "l_extendedprice": pa.array(r.integers(90000, 10000000, n) / 100), "l_discount": pa.array(r.integers(0, 11, n) / 100), "l_tax": pa.array(r.integers(0, 9, n) / 100)}), f"{tmp_path}/lineitem.parquet", row_group_size=500)
+    pq.write_table(pa.table({"o_orderkey": pa.array(np.arange(n)), "o_custkey": pa.array(np.arange(n) % 40)}), f"{tmp_path}/orders.parquet")
+    c = np.arange(40)
+    pq.write_table(pa.table({"c_custkey": pa.array(c), "c_mktsegment": pa.array(["X"] * 40), "c_nationkey": pa.array(c % 5), "c_acctbal": pa.array(c * 1.0)}), f"{tmp_path}/customer.parquet")
+    con = duckdb.connect()
+    con.execute("set threads = 1")  # several threads add up in no fixed order
+    for t in ("lineitem", "orders", "customer"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet'")
+    columns = ["id_parcel", *A.VARIABLES]
+    want = sorted(con.sql(registry.oracle_sql()["aligned_profile"]).select(*columns).fetchall())
+    other = spark.newSession()
+    other.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    got = sorted(tuple(x) for x in registry.queries()["aligned_profile"](other, str(tmp_path)).select(*columns).collect())
+    assert got == want
+
+
 def test_sinks_and_manifest(spark, tmp_path):
     old, new = spark.createDataFrame([(1, "o"), (2, "o")], "k int, v string"), spark.createDataFrame([(2, "n"), (3, "n")], "k int, v string")
     assert rows(sinks.insert_if_absent(old, new, ["k"]), "k") == [(1, "o"), (2, "o"), (3, "n")]
