@@ -16,6 +16,7 @@ rows with one id and several texts each text counts on its own; an empty table g
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -246,21 +247,37 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", k: in
     return prints.join(classes, "fp").select(id, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The wide fingerprint of similarity search: SEGMENTS segments of BITS bits are indexed, CHECK further bits ride along, all WORDS * 64 bits are compared.
-WORDS, SEGMENTS, BITS, CHECK = 24, 16, 20, 34
-#: Differing check bits, and differing bits of all, that a candidate may have: 3 standard deviations above what a Jaccard similarity of 0.8 gives.
-CHECK_MOST, WIDE_MOST = 11, 278
+#: The wide fingerprint of similarity search: all WORDS * 64 bits are compared, segments of them are indexed, and up to CHECK further bits ride along.
+WORDS, CHECK = 24, 34
+#: A segment has BITS bits for up to TEXTS texts, and one more for each doubling up to MOST_BITS, where segments take up all bits that are not checked.
+BITS, TEXTS, MOST_BITS = 20, 2**17, 28
+#: Of two texts at a Jaccard similarity of 0.8 the share of bits that differ, and how often they may have no segment in common.
+APART, MISSED = math.acos(8 / 9) / math.pi, 0.05
+#: Differing bits of all that a candidate may have: 3 standard deviations above what a Jaccard similarity of 0.8 gives.
+WIDE_MOST = 278
 #: Texts of up to FEW shingles may differ in more bits: one shingle more or less tips many of their majorities.
 FEW, FEW_MOST = 16, 350
 
 
-def segment(words: Column, i: int) -> Column:
-    """Bits i * BITS to (i + 1) * BITS of an array of 64-bit words."""
-    at, shift = divmod(i * BITS, 64)
+def layout(texts: int) -> tuple[int, int, int, int]:
+    """(bits of a segment, segments, check bits, differing check bits that a candidate may have) for so many texts.
+
+    With the texts the bits grow, so a variant holds as few rows (under 2 on average, while bits grow) and few need the join, and with the bits the
+    segments, so that a pair is found as often. Check bits are what a key of 63 bits has left; 3 standard deviations of differing ones are allowed."""
+    bits = min(MOST_BITS, BITS + max(0, math.ceil(math.log2(max(texts, 1) / TEXTS))))
+    meet = (1 - APART) ** bits + bits * APART * (1 - APART) ** (bits - 1)
+    segments = math.ceil(math.log(MISSED) / math.log(1 - meet))
+    check = min(CHECK, 62 - bits - (segments - 1).bit_length())
+    return bits, segments, check, int(check * APART + 3 * math.sqrt(check * APART * (1 - APART)))
+
+
+def segment(words: Column, i: int, bits: int = BITS) -> Column:
+    """Bits i * bits to (i + 1) * bits of an array of 64-bit words."""
+    at, shift = divmod(i * bits, 64)
     out = F.shiftrightunsigned(F.get(words, F.lit(at)), shift)
-    if shift + BITS > 64:
+    if shift + bits > 64:
         out = out.bitwiseOR(F.shiftleft(F.get(words, F.lit(at + 1)), 64 - shift))
-    return out.bitwiseAND((1 << BITS) - 1)
+    return out.bitwiseAND((1 << bits) - 1)
 
 
 def shingle_set(text: str | None, k: int) -> np.ndarray:
@@ -288,16 +305,18 @@ def similar_groups(df: DataFrame, id: str = "doc_id", text: str = "text", k: int
     """(id, node, component, first): for every row with an id its text's node, the smallest id of its group, and whether it is that id's row
     (with the least node, should it have several texts). Groups are linked by equal texts or a Jaccard similarity of k-word shingles of at least `least`.
 
-    Candidates share a one-wildcard variant of one of SEGMENTS segments; a pair at similarity 0.8 does with probability 0.95, at 0.85 with 0.99,
+    Candidates share a one-wildcard variant of one of the segments (layout()); a pair at similarity 0.8 does with probability 0.95, at 0.85 with 0.99,
     at 0.9 with 0.999. Each candidate is verified on whole texts, closest first; pairs whose groups have meanwhile been linked need no verifying.
     """
     known = df.where(F.col(f"`{id}`").isNotNull()).select(F.col(f"`{id}`").alias("id"), node(F.col(f"`{text}`")).alias("node"), F.col(f"`{text}`").alias("text"))
     make = lambda ts: pd.DataFrame([wide_fingerprint(t, k, WORDS) for t in ts], columns=["fp", "n"])
     prints = cut(by_text(known, make, "fp array<long>, n long", ["id", "node"]), "prints")
     nodes = cut(prints.groupBy(F.col("node").alias("id")).agg(F.any_value("fp").alias("fp"), F.any_value("n").alias("n")), "nodes")
-    check = F.shiftrightunsigned(F.get("fp", F.lit(WORDS - 1)), 64 - CHECK)
-    keys = F.concat(*[variants(segment(F.col("fp"), i), i, BITS) for i in range(SEGMENTS)])
-    rows = spread(nodes).select(F.explode(F.transform(keys, lambda x: F.shiftleft(x, CHECK).bitwiseOR(check))).alias("key"), "id")
+    bits, segments, check_bits, most = layout(nodes.count())
+    check = F.shiftrightunsigned(F.get("fp", F.lit(WORDS - 1)), 64 - check_bits)
+    parts = [partial(segment, i=i, bits=bits) for i in range(segments)]
+    keys = F.concat(*[variants(part(F.col("fp")), i, bits) for i, part in enumerate(parts)])
+    rows = spread(nodes).select(F.explode(F.transform(keys, lambda x: F.shiftleft(x, check_bits).bitwiseOR(check))).alias("key"), "id")
     wide = nodes.select("id", "fp", "n")
     apart = lambda x, y: F.aggregate(F.zip_with(f"{x}fp", f"{y}fp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda acc, x: acc + x)
 
@@ -322,8 +341,7 @@ def similar_groups(df: DataFrame, id: str = "doc_id", text: str = "text", k: int
         held.extend((pairs, one))
         return one.union(_similar(rest, known, k, least))
 
-    parts = [partial(segment, i=i) for i in range(SEGMENTS)]
-    label = linked(rows, CHECK, CHECK_MOST, parts, BITS, wide, close, apart, verify)
+    label = linked(rows, check_bits, most, parts, bits, wide, close, apart, verify)
     drop_cuts(*held)
     named = prints.groupBy("node").agg(F.min("id").alias("least")).join(label.withColumnRenamed("id", "node"), "node", "left").select("node", "least", F.coalesce("component", "node").alias("group"))
     heads = named.groupBy("group").agg(F.min(F.struct("least", "node")).alias("head"))

@@ -374,6 +374,30 @@ def test_pair_recall_by_band_of_similarity(spark):
     assert all(got[2 * i] != got[2 * i + 1] for i, b in enumerate(bands) if b < 0.8)
 
 
+def test_variants_stay_small_and_pairs_are_found_however_many_texts_there_are(spark, monkeypatch):
+    """With few bits for many texts all variants would be crowded, and the join among their members would grow with the square of the texts."""
+    monkeypatch.setattr(simhash, "BITS", 8)
+    monkeypatch.setattr(simhash, "TEXTS", 16, raising=False)
+    counts, plain = [], simhash.across
+    monkeypatch.setattr(simhash, "across", lambda rows, big, *more: counts.append((rows.count(), big.distinct().count())) or plain(rows, big, *more))
+    r = random.Random(8)
+    texts = [" ".join(str(r.random()) for _ in range(80)) for _ in range(1500)]
+    near = [t.rsplit(" ", 3)[0] for t in texts[:300]]  # 73 of 76 shingles
+    got = {x["id"]: x["component"] for x in simhash.similar_groups(frame(spark, texts + near)).collect()}
+    assert sum(got[1500 + i] == i for i in range(300)) >= 297 and all(got[i] == i for i in range(1500))
+    (keys, big), = counts
+    assert 20 * big < keys
+
+
+def test_segments_grow_with_the_texts():
+    assert simhash.layout(0) == simhash.layout(2**17) == (20, 16, 34, 11)
+    for n in (10**5, 10**6, 10**7, 3 * 10**7):
+        bits, segments, check, most = simhash.layout(n)
+        assert n * (1 + bits / 2) / 2**bits < 2 and bits * segments <= 64 * simhash.WORDS - check and bits + (segments - 1).bit_length() + 1 + check <= 63
+        p = simhash.APART
+        assert (1 - (1 - p) ** bits - bits * p * (1 - p) ** (bits - 1)) ** segments <= 0.05 and check * p < most < check / 2
+
+
 def test_ids_of_several_texts_and_text_ids(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     rows = spark.createDataFrame([("k1", a, 1), ("k1", b, 2), ("k0", c, 3), ("k2", a, 4), ("k1", a, 5), (None, a, 6), (None, a, 7)], "doc_id string, text string, __near_id int")
