@@ -275,3 +275,22 @@ def test_ranks_over_many_parts(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("v"), "id").repartition(9)
     got = ranks.ranked(df, [F.desc("v"), F.asc("id")], "rank", lambda x: kept(x, "ranked")).collect()
     assert [r["rank"] for r in sorted(got, key=lambda r: (-r["v"], r["id"]))] == list(range(1, 5001))
+
+
+def test_the_union_of_many_parts_compares_near_sides_only(monkeypatch):
+    """Windings by box and slab equal those over all sides; a union of very many parts no longer takes the latter."""
+    r = np.random.default_rng(5)
+    star = lambda x, y, n: np.array([[x + k * math.cos(t), y + k * math.sin(t)] for t, k in zip(np.linspace(0, 2 * math.pi, n, endpoint=False), r.uniform(0.3, 3, n), strict=True)])
+    rings = [np.vstack([s, s[:1]]) for s in (star(*r.uniform(0, 30, 2), int(r.integers(3, 40))) for _ in range(80))]
+    rings += [box(-5, -5, 60, 60), box(10, 10, 5, 5)[::-1], box(10, 10, 5, 5)]
+    p, q = ringsets._sides_of(rings)
+    at = np.vstack([r.uniform(-10, 60, (2000, 2)), r.integers(-6, 20, (500, 2)), p[:300]])
+    ring = np.repeat(np.arange(len(rings)), [len(x) - 1 for x in rings])
+    assert (ringsets._windings_near(at, p, q, ring) == ringsets._windings(at, p, q)).all()
+
+    def never(*_):
+        raise AssertionError("all points against all sides")
+
+    monkeypatch.setattr(ringsets, "_windings", never)
+    made = ringsets.union([[box(3 * (i % 100), 3 * (i // 100))] for i in range(5000)] + [[box(0.5, 0.5, 2.6)]])
+    assert len(made) == 4999 and size(made) == pytest.approx(5000 + 2.6 - 0.25 - 0.05)
