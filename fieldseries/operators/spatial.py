@@ -68,7 +68,21 @@ def in_areas(parcels: DataFrame, areas: DataFrame, ring: str = "ring", area_ring
     as_set = lambda df, c: F.array(F.col(c)) if df.schema[c].dataType.elementType.typeName() == "struct" else F.col(c)
     a, b = as_set(parcels, ring), as_set(areas, area_ring)
     boxed = areas.withColumn("__e", geo.envelope(F.flatten(b))).select("*", "__e.*").drop("__e")
-    return spatial_join(parcels, boxed, ringsets.intersects(a, b))
+    # A rectangle along the axes is its box: it need not travel, and two of them meet where their boxes do.
+    left, right = parcels.withColumn("__a", F.when(~_is_box(a), a)), boxed.withColumn("__b", F.when(~_is_box(b), b))
+    of_box = lambda *names: F.array(F.array(*[F.struct(F.col(names[i]).alias("x"), F.col(names[j]).alias("y")) for i, j in ((0, 1), (2, 1), (2, 3), (0, 3), (0, 1))]))
+    looked_at = ringsets.intersects(F.coalesce("__a", of_box(*BOX)), F.coalesce("__b", of_box(*(f"__{c}" for c in BOX))))
+    return spatial_join(left, right, F.when(F.col("__a").isNull() & F.col("__b").isNull(), True).otherwise(looked_at)).drop("__a", "__b")
+
+
+def _is_box(rings: Column) -> Column:
+    """Whether a ring set is one rectangle along the axes that fills the box of the envelope columns."""
+    ring = F.get(rings, F.lit(0))
+    p = [F.get(ring, F.lit(i)) for i in range(5)]
+    turn = lambda p, q, r, s: (q["x"] == r["x"]) & (q["y"] == p["y"]) & (s["x"] == p["x"]) & (s["y"] == r["y"])
+    corners = (turn(p[0], p[1], p[2], p[3]) | turn(p[0], p[3], p[2], p[1])) & (p[4] == p[0]) & (p[0]["x"] != p[2]["x"]) & (p[0]["y"] != p[2]["y"])
+    ends = [(f(p[0][c], p[2][c]) == F.col(n)) for f, c, n in zip((F.least, F.least, F.greatest, F.greatest), "xyxy", BOX, strict=True)]
+    return F.coalesce((F.size(rings) == 1) & (F.size(ring) == 5) & corners & ends[0] & ends[1] & ends[2] & ends[3], F.lit(False))
 
 
 def z_order(x: Column, y: Column, box: tuple[float, float, float, float], bits: int = 20) -> Column:

@@ -58,9 +58,11 @@ def monthly_shares(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("id_parcel"), month(F.col("l_shipdate")).alias("mois")).agg((100 * F.avg(back.cast("int"))).alias("pct"), F.when(F.count_if(back) > 1, F.avg(F.when(back, F.col("l_quantity")))).alias("quantity"))
 
 
-def parcels(spark: SparkSession, d: str) -> DataFrame:
-    """id_parcel, classe, code_group, surf_parc, cx, cy and ring: a rectangle of that centre, wide as the key says."""
+def parcels(spark: SparkSession, d: str, spread: bool = False) -> DataFrame:
+    """id_parcel, classe, code_group, surf_parc, cx, cy and ring: a rectangle of that centre, wide as the key says. With spread the rows come in as many
+    tasks as a shuffle has, for work that is dear by the row: a few small files hold very many."""
     c = table(spark, d, "customer")
+    c = c.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey") if spread else c
     x, y = (F.col("c_custkey") * 7919 % 60000).cast("double"), (F.col("c_custkey") * 104729 % 50000).cast("double")
     w, h = (F.col("c_custkey") % 40 + 10).cast("double"), (F.col("c_nationkey") + 5).cast("double")
     p = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
@@ -86,7 +88,7 @@ def phenology(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").where(k % 6 != 2).select(k.alias("id_parcel"), F.when(k % 13 != 0, F.col("c_mktsegment")).alias("classe_declaree"), (k * 37 % 211 + 30).cast("int").alias("los_jours"), (k % 5 != 0).alias("fiable"))
 
 
-def fields(spark: SparkSession, d: str) -> DataFrame:
+def fields(spark: SparkSession, d: str, spread: bool = False) -> DataFrame:
     """Parcels in metres of Lambert-93, with envelope columns."""
-    moved = parcels(spark, d).withColumn("ring", F.transform("ring", lambda p: F.struct((p["x"] + 600_000).alias("x"), (p["y"] + 6_880_000).alias("y")))).withColumns({"cx": F.col("cx") + 600_000, "cy": F.col("cy") + 6_880_000})
+    moved = parcels(spark, d, spread).withColumn("ring", F.transform("ring", lambda p: F.struct((p["x"] + 600_000).alias("x"), (p["y"] + 6_880_000).alias("y")))).withColumns({"cx": F.col("cx") + 600_000, "cy": F.col("cy") + 6_880_000})
     return geo.with_envelope(moved)

@@ -308,3 +308,17 @@ def test_the_union_of_many_parts_compares_near_sides_only(monkeypatch):
     monkeypatch.setattr(ringsets, "_windings", never)
     made = ringsets.union([[box(3 * (i % 100), 3 * (i // 100))] for i in range(5000)] + [[box(0.5, 0.5, 2.6)]])
     assert len(made) == 4999 and size(made) == pytest.approx(5000 + 2.6 - 0.25 - 0.05)
+
+
+def test_rectangles_are_joined_by_their_boxes_and_others_by_their_sides(spark):
+    r = np.random.default_rng(2)
+    star = lambda x, y: np.array([[x + k * math.cos(t), y + k * math.sin(t)] for t, k in zip(np.linspace(0, 2 * math.pi, 7, endpoint=False), r.uniform(0.5, 4, 7), strict=True)])
+    shape = lambda i: box(*r.uniform(0, 30, 2), *r.uniform(0.5, 5, 2))[:: 1 - 2 * (i % 2)] if i % 3 else (lambda s: np.vstack([s, s[:1]]))(star(*r.uniform(0, 30, 2)))
+    frame = lambda n, id, ring: spark.createDataFrame([(i, shape(i).tolist()) for i in range(n)], f"{id} int, p array<array<double>>").selectExpr(id, f"transform(p, q -> struct(q[0] as x, q[1] as y)) as {ring}")
+    parcels, areas = geo.with_envelope(frame(90, "id", "ring")), frame(60, "zone", "aoi")
+    got = sorted(map(tuple, spatial.in_areas(parcels, areas).select("id", "zone").collect()))
+    want = parcels.select("id", "ring").crossJoin(areas).where(ringsets.intersects(F.array("ring"), F.array("aoi"))).select("id", "zone")
+    assert got == sorted(map(tuple, want.collect())) and got
+    assert sorted(spatial.in_areas(parcels, areas).columns) == sorted([*parcels.columns, "zone", "aoi"])
+    flags = parcels.select("id", spatial._is_box(F.array("ring")).alias("b")).collect()
+    assert all(x["b"] == (x["id"] % 3 > 0) for x in flags)
