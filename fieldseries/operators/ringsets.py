@@ -308,12 +308,62 @@ def _meet_wrongly(p: np.ndarray, q: np.ndarray, ring: np.ndarray, place: np.ndar
     return along | cross | (one & ~(after | around) & touch)
 
 
+#: Shapes of up to so many sides are looked at many at once, all their sides against each other, in runs of about so many pairs of sides.
+SMALL, PAIRS_AT_ONCE = 64, 1_000_000
+
+
+def _wrong_sides(some: list[Shape]) -> list[set[tuple[int, int]]]:
+    """_sides_in_the_way() of each shape."""
+    out: list[set[tuple[int, int]]] = [set() for _ in some]
+    run, pairs = [], 0
+    for n, shape in enumerate(some):
+        sides = sum(len(r) - 1 for r in shape)
+        if sides > SMALL:
+            out[n] = _sides_in_the_way(shape)
+            continue
+        run.append(n)
+        pairs += sides * (sides - 1) // 2
+        if pairs > PAIRS_AT_ONCE:
+            _look_at([some[k] for k in run], [out[k] for k in run])
+            run, pairs = [], 0
+    if run:
+        _look_at([some[k] for k in run], [out[k] for k in run])
+    return out
+
+
+def _look_at(some: list[Shape], out: list[set[tuple[int, int]]]) -> None:
+    """Adds to out what _sides_in_the_way() has of each of some small shapes."""
+    p, q = _sides_of([r for s in some for r in s])
+    sizes = np.array([len(r) - 1 for s in some for r in s])
+    ring, place = _spread(sizes)
+    of = np.repeat(np.arange(len(some)), [len(s) for s in some])  # the shape of each ring
+    shape = of[ring]
+    i, nth = _spread(np.cumsum(np.bincount(shape))[shape] - np.arange(len(p)) - 1)
+    j = i + 1 + nth
+    low, high = np.minimum(p, q), np.maximum(p, q)
+    meet = (low[i, 0] <= high[j, 0]) & (low[j, 0] <= high[i, 0]) & (low[i, 1] <= high[j, 1]) & (low[j, 1] <= high[i, 1])
+    i, j = i[meet], j[meet]
+    wrong = _meet_wrongly(p, q, ring, place, sizes[ring], i, j)
+    first = np.searchsorted(of, np.arange(len(some)))
+    for k in np.unique(np.r_[i[wrong], j[wrong]]).tolist():
+        out[shape[k]].add((int(ring[k] - first[shape[k]]), int(place[k])))
+
+
+def are_valid(some: list[Shape]) -> list[bool]:
+    """is_valid() of each shape."""
+    sound = [bool(s) and not any(len(r) < 4 or (r[0] != r[-1]).any() or not signed(r) for r in s) for s in some]
+    wrong = iter(_wrong_sides([s for s, ok in zip(some, sound, strict=True) if ok]))
+    return [ok and not next(wrong) for ok in sound]
+
+
 def valid(rings: Column) -> Column:
     """G02 over ring sets, in time that grows little faster than the sides."""
 
     @F.arrow_udf("boolean")
     def check(values: pa.Array) -> pa.Array:
-        return pa.array([None if s is None else is_valid(s) for s in shapes(values)], pa.bool_())
+        some = list(shapes(values))
+        checked = iter(are_valid([s for s in some if s is not None]))
+        return pa.array([None if s is None else next(checked) for s in some], pa.bool_())
 
     return check(rings)
 
@@ -490,11 +540,61 @@ def simplified(shape: Shape, tolerance: float) -> Shape:
     """Fewer points, none farther than the tolerance from the new sides, and the topology of the shape: a ring keeps four points or stays whole; where
     new sides would meet others, or cut a ring off its place, the farthest of the points that they leave out come back until they do not. The result of a valid
     shape is valid."""
-    keep = []
-    for ring in shape:
-        far = int(np.hypot(*(ring - ring[0]).T).argmax())
-        on = np.r_[geo.keep_points(ring[: far + 1, 0], ring[: far + 1, 1], tolerance)[:-1], geo.keep_points(ring[far:, 0], ring[far:, 1], tolerance)]
-        keep.append(on if on.sum() >= 4 else np.ones(len(ring), bool))
+    return simplified_all([shape], tolerance)[0]
+
+
+def simplified_all(some: list[Shape], tolerance: float) -> list[Shape]:
+    """simplified() of each shape, of many at once."""
+    kept = _kept_points([r for s in some for r in s], tolerance)
+    keep = [kept[e - len(s) : e] for s, e in zip(some, np.cumsum([len(s) for s in some]).tolist(), strict=True)]
+    made = [[r[k] for r, k in zip(s, on, strict=True)] for s, on in zip(some, keep, strict=True)]
+    wrong = _wrong_sides(made)
+    return [_mended(s, on) if bad or _cutting_off(s, on) else m for s, on, m, bad in zip(some, keep, made, wrong, strict=True)]
+
+
+def _kept_points(rings: list[np.ndarray], tolerance: float) -> list[np.ndarray]:
+    """Which points of each ring stay, by Douglas-Peucker on its halves between the first point and the one farthest from it, the spans of all rings at once; a
+    ring keeps four points or stays whole."""
+    if not rings:
+        return []
+    xy, sizes = np.concatenate(rings), np.array([len(r) for r in rings])
+    first = np.cumsum(sizes) - sizes
+    away = xy - xy[np.repeat(first, sizes)]
+    far = _first_largest(np.hypot(away[:, 0], away[:, 1]), sizes)
+    a, b = np.r_[first, far], np.r_[far, first + sizes - 1]
+    keep = np.zeros(len(xy), bool)
+    keep[a] = keep[b] = True
+    while True:
+        wide = b - a > 1
+        a, b = a[wide], b[wide]
+        if not len(a):
+            break
+        span, nth = _spread(b - a - 1)
+        at = a[span] + 1 + nth
+        d, e = (xy[b] - xy[a])[span], xy[at] - xy[a[span]]
+        length = np.array([math.hypot(x, y) for x, y in (xy[b] - xy[a]).tolist()])[span]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            away = np.where(length > 0, np.abs(d[:, 0] * e[:, 1] - d[:, 1] * e[:, 0]) / length, np.hypot(e[:, 0], e[:, 1]))
+        m = _first_largest(away, b - a - 1)
+        more = away[m] > tolerance
+        m, a, b = at[m[more]], a[more], b[more]
+        keep[m] = True
+        a, b = np.r_[a, m], np.r_[m, b]
+    parts = np.split(keep, first[1:])
+    return [k if k.sum() >= 4 else np.ones(len(k), bool) for k in parts]
+
+
+def _first_largest(value: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The place of the first largest value (NaN before all) of each run, of runs of these sizes."""
+    start = np.cumsum(sizes) - sizes
+    most = np.maximum.reduceat(value, start)
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    hit = np.flatnonzero((value == most[run]) | np.isnan(value))
+    return hit[np.unique(run[hit], return_index=True)[1]]
+
+
+def _mended(shape: Shape, keep: list[np.ndarray]) -> Shape:
+    """The shape of the points kept and of those that come back until no side is in the way."""
     while True:
         made = [r[k] for r, k in zip(shape, keep, strict=True)]
         bad = _sides_in_the_way(made) | _cutting_off(shape, keep)
@@ -544,6 +644,8 @@ def simplify(df: DataFrame, rings: str = "rings", tolerance: float = 5.0) -> Dat
 
     @F.arrow_udf(RINGS)
     def thin(values: pa.Array) -> pa.Array:
-        return column_of([s if not s else simplified(s, tolerance) for s in shapes(values)])
+        some = list(shapes(values))
+        made = iter(simplified_all([s for s in some if s], tolerance))
+        return column_of([next(made) if s else s for s in some])
 
     return df.withColumn(rings, thin(F.col(rings)))

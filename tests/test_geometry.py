@@ -322,3 +322,27 @@ def test_rectangles_are_joined_by_their_boxes_and_others_by_their_sides(spark):
     assert sorted(spatial.in_areas(parcels, areas).columns) == sorted([*parcels.columns, "zone", "aoi"])
     flags = parcels.select("id", spatial._is_box(F.array("ring")).alias("b")).collect()
     assert all(x["b"] == (x["id"] % 3 > 0) for x in flags)
+
+
+def test_many_shapes_at_once_are_thinned_and_checked_as_each_alone(monkeypatch):
+    r, some = np.random.default_rng(4), []
+    for i in range(300):
+        rings = []
+        for k in range(1 + i % 3):
+            n = int(r.integers(3, 120 if i % 50 == 0 else 25))
+            t, far = np.sort(r.uniform(0, 2 * math.pi, n)), r.uniform(3, 30, n) / (k + 1)
+            p = np.column_stack([far * np.cos(t), far * np.sin(t)]) + (0 if k < 2 else 15)
+            p = np.round(p) if i % 7 == 0 else p
+            rings.append(np.vstack([p, p[:1]])[:: 1 if k == 0 else -1])
+        some.append(rings)
+    monkeypatch.setattr(ringsets, "PAIRS_AT_ONCE", 5000, raising=False)
+    alone = [ringsets.is_valid(s) for s in some]
+    assert ringsets.are_valid(some) == alone and 0 < sum(alone) < 300
+    thin = ringsets.simplified_all(some, 5.0)
+    for shape, made in zip(some, thin, strict=True):
+        keep = [np.r_[geo.keep_points(*x[: (f := int(np.hypot(*(x - x[0]).T).argmax())) + 1].T, 5.0)[:-1], geo.keep_points(*x[f:].T, 5.0)] for x in shape]
+        plain = ringsets._mended(shape, [k if k.sum() >= 4 else np.ones(len(k), bool) for k in keep])
+        assert all(np.array_equal(a, b) for a, b in zip(made, plain, strict=True))
+    small = [s for s in some if sum(map(len, s)) < 60]
+    monkeypatch.setattr(ringsets, "near_pairs", lambda *_: pytest.fail("a small shape on its own"))
+    assert len(ringsets.are_valid(small)) == len(small)
